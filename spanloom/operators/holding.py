@@ -59,40 +59,48 @@ def released_traces(pending: DataFrame, as_of: int | Column, rules: HoldRules) -
     )
 
 
-def expired_traces(pending: DataFrame, as_of: int | Column, rules: HoldRules) -> DataFrame:
-    """Held traces that no new span has reached before the end of the release window."""
-    return (
-        pending.groupBy("traceid").agg(F.max("receive").alias("last_in"))
-        .where(_as_column(as_of) - F.col("last_in") >= rules.release_from_ms).select("traceid")
-    )
+READY, WAITING, DROPPED = "ready", "waiting", "dropped"
 
 
 def assemble(
     fresh: DataFrame, pending: DataFrame, as_of: int | Column, rules: HoldRules = HoldRules()
-) -> tuple[DataFrame, DataFrame]:
-    """One batch step: (spans of the traces now ready, spans still pending).
+) -> DataFrame:
+    """One batch step: the spans of the batch and those waiting, with ``state``.
 
     A trace with a recent span waits with all its spans, added to those already waiting. A
-    trace seen again without a recent span takes its waiting spans along. A waiting trace
-    that nothing new reached for one batch interval is emitted once and forgotten.
+    trace seen again without a recent span is ready and takes its waiting spans along. A
+    waiting trace that nothing new reached for one batch interval is ready, once. Late
+    traces are left out.
     """
-    batch = on_time(fresh, as_of, rules)
-    flags = hold_flags(batch, rules)
-    held = flags.where("held").select("traceid")
-    seen = flags.where("not held").select("traceid")
-
-    waiting_on = pending.join(held, "traceid", "left_semi")
-    idle = pending.join(flags.select("traceid"), "traceid", "left_anti")
-    due = expired_traces(idle, as_of, rules)
-
-    ready = (
-        batch.join(held, "traceid", "left_anti")
-        .unionByName(pending.join(seen, "traceid", "left_semi"))
-        .unionByName(idle.join(due, "traceid", "left_semi"))
+    now = _as_column(as_of)
+    rows = fresh.withColumn("is_new", F.lit(True)).unionByName(
+        pending.withColumn("is_new", F.lit(False))
+    )
+    is_new = F.col("is_new")
+    recent = is_new & (F.col("receive") - F.col("end") < rules.hold_ms)
+    verdicts = (
+        rows.groupBy("traceid")
+        .agg(
+            F.max(F.when(is_new, F.col("end"))).alias("new_end"),
+            F.bool_or(recent).alias("recent"),
+            F.max(F.when(~is_new, F.col("receive"))).alias("last_in"),
+        )
+        .select(
+            "traceid",
+            F.coalesce(now - F.col("new_end") < rules.late_ms, F.lit(False)).alias("live"),
+            F.when(F.col("recent"), WAITING).otherwise(READY).alias("live_state"),
+            F.when(now - F.col("last_in") >= rules.release_from_ms, READY)
+            .otherwise(WAITING).alias("idle_state"),
+        )
     )
-    still = (
-        batch.join(held, "traceid", "left_semi")
-        .unionByName(waiting_on)
-        .unionByName(idle.join(due, "traceid", "left_anti"))
+    state = (
+        F.when(F.col("live"), F.col("live_state"))
+        .when(is_new, DROPPED)
+        .otherwise(F.col("idle_state"))
+    )
+    return (
+        rows.join(verdicts, "traceid")
+        .withColumn("state", state)
+        .where(F.col("state") != DROPPED)
+        .select(*fresh.columns, "state")
     )
-    return ready, still

@@ -51,27 +51,13 @@ def all_by_key(forest: Forest) -> DataFrame:
     """Both lookup rows of every trace segment in one pass: ``key`` is the chain, then the API."""
     keyed = F.explode(
         F.array(
-            F.struct(F.lit("md5").alias("kind"), F.col("trace_md5").alias("key")),
-            F.struct(F.lit("api").alias("kind"), F.col("api").alias("key")),
+            F.struct(F.lit("md5").alias("index"), F.col("trace_md5").alias("key")),
+            F.struct(F.lit("api").alias("index"), F.col("api").alias("key")),
         )
     )
     rows = _all_rows(forest).withColumn("k", keyed)
     return rows.select(
-        F.col("k.kind").alias("kind"),
+        F.col("k.index").alias("index"),
         F.concat_ws(":", "k.key", "starttime", "traceid").alias("rowkey"),
         "segment", "spans", "traceid", "starttime", "bucket_md5", "duration", "region",
     )
-
-
-def all_by_md5(forest: Forest) -> DataFrame:
-    return _all_rows(forest).select(
-        F.concat_ws(":", "trace_md5", "starttime", "traceid").alias("rowkey"),
-        "segment", "spans", "traceid", "starttime", "bucket_md5", "duration", "region",
-    )
-
-
-def all_by_api(forest: Forest) -> DataFrame:
-    return _all_rows(forest).select(
-        F.concat_ws(":", "api", "starttime", "traceid").alias("rowkey"),
-        "segment", "spans", "traceid", "starttime", "bucket_md5", "duration", "region",
-    )

@@ -24,10 +24,6 @@ class HeavyKeys:
     def hinted(self) -> DataFrame:
         return F.broadcast(self.rows) if self.count <= BROADCAST_KEYS else self.rows
 
-    def renamed(self, column: str, expression) -> "HeavyKeys":
-        """The same keys under another name or spelling."""
-        return HeavyKeys(column, self.rows.select(expression.alias(column)), self.count)
-
 
 def heavy_keys(df: DataFrame, column: str, limit: int) -> HeavyKeys | None:
     """Keys with more than ``limit`` rows, or None when there are none.

@@ -49,6 +49,14 @@ class Forest:
     wide_steps: DataFrame | None = None
     extra: tuple[str, ...] = ()
 
+    def persist(self) -> "Forest":
+        """Keep the trees of the ordinary traces for several outputs; the others are written."""
+        self.inline.persist()
+        return self
+
+    def unpersist(self) -> None:
+        self.inline.unpersist()
+
     def summary(self) -> DataFrame:
         """One row per trace with its measures."""
         rows = self.inline.select(*MEASURES)
@@ -255,7 +263,9 @@ def _wide_steps(spans: DataFrame, extra: tuple[str, ...]) -> DataFrame:
         children.write.parquet(f"{folder}/level={level}")
     edges.unpersist()
 
-    nodes = spark.read.schema(first.schema.add("level", "bigint")).parquet(folder).drop("node_id")
+    nodes = spark.read.schema(
+        "traceid string, rank bigint, path array<bigint>, level bigint"
+    ).parquet(folder)
     placed = ranged_row_number(nodes, "traceid", ["path"], "number")
     full = placed.drop("path").join(ranked, ["traceid", "rank"])
     pos = F.col("number") - 1

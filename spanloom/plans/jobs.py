@@ -24,6 +24,7 @@ def forest_of(spans: DataFrame, extra: tuple[str, ...] = ()) -> Forest:
 
 def write_trace_tables(forest: Forest, root: str, batch_id: int, now_sec: int) -> None:
     """Chain statistics, failed traces, all traces and address latency of one batch."""
+    forest.persist()
     start = t.day_of_seconds(F.col("starttime"))
     minute = t.day_of_seconds(F.col("minute_start"))
     chains = stats.chain_table(forest, "minute_start").withColumn("now", F.lit(now_sec))
@@ -31,12 +32,12 @@ def write_trace_tables(forest: Forest, root: str, batch_id: int, now_sec: int) -
     t.write_batch(chains, root, t.CHAIN_MINUTES, batch_id, minute)
     t.write_batch(indexes.failed_by_time(forest), root, t.FAILED_BY_TIME, batch_id, start)
     t.write_batch(indexes.failed_by_api(forest), root, t.FAILED_BY_API, batch_id, start)
-    t.write_batch(indexes.all_by_md5(forest), root, t.ALL_BY_MD5, batch_id, start)
-    t.write_batch(indexes.all_by_api(forest), root, t.ALL_BY_API, batch_id, start)
+    t.write_batch(indexes.all_by_key(forest), root, t.ALL_TRACES, batch_id, start, ("index",))
     addresses = stats.address_latency(forest).withColumn(
         "rowkey", F.concat_ws(":", "trace_md5", "span_name", "minute_start", "ip")
     )
     t.write_batch(addresses, root, t.ADDRESSES, batch_id, minute)
+    forest.unpersist()
 
 
 def write_page_tables(spans: DataFrame, root: str, batch_id: int, now_ms: int) -> None:

@@ -44,6 +44,7 @@ SPAN_COLUMNS = (
     "name", "traceid", "spanid", "parent", "begin", "end", "duration", "receive", "event",
     "service", "ip", "http_host", "error_count", "span_type", "region", "page_id",
 )
+LONG_COLUMNS = ("begin", "end", "duration", "receive", "error_count")
 
 
 @dataclass(frozen=True)

@@ -12,8 +12,7 @@ CHAIN_MINUTES = "trace_api_analyze_minutes"
 CHAIN_DAYS = "trace_api_analyze"
 FAILED_BY_TIME = "exception_trace_by_time"
 FAILED_BY_API = "exception_trace_by_api"
-ALL_BY_MD5 = "all_trace_by_md5"
-ALL_BY_API = "all_trace_by_api"
+ALL_TRACES = "all_trace"
 ADDRESSES = "span_ip"
 PAGE_APIS = "trace_page_analyze_minutes"
 API_PAGES = "trace_api_source_analyze_minutes"
@@ -26,13 +25,12 @@ def day_of_seconds(seconds: Column) -> Column:
 
 
 def write_batch(
-    df: DataFrame, root: str, table: str, batch_id: int, day: Column | None = None
+    df: DataFrame, root: str, table: str, batch_id: int, day: Column | None = None,
+    by: tuple[str, ...] = (),
 ) -> None:
-    target = f"{root}/{table}/batch_id={batch_id}"
-    if day is None:
-        df.write.mode("overwrite").parquet(target)
-    else:
-        df.withColumn("day", day).write.mode("overwrite").partitionBy("day").parquet(target)
+    if day is not None:
+        df, by = df.withColumn("day", day), (*by, "day")
+    df.write.mode("overwrite").partitionBy(*by).parquet(f"{root}/{table}/batch_id={batch_id}")
 
 
 def read_table(spark: SparkSession, root: str, table: str) -> DataFrame:

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from spanloom.functions import hex_id
 from spanloom.operators.skew import HeavyKeys, heavy_keys, row_number_in_group
@@ -26,55 +26,58 @@ class SpanTable:
 
 
 def event_spans(spark: SparkSession, sf_dir: str, inline_spans: int = INLINE_SPANS) -> SpanTable:
-    moment = F.to_utc_timestamp(F.col("ts").cast("timestamp"), F.current_timezone())
-    trace_no = (F.col("user_id") * 1000 + F.dayofyear("ts")).alias("tno")
+    """One shuffle: everything after it is grouped by the trace id or by more than that."""
+    trace_no = F.col("user_id") * 1000 + F.dayofyear("ts")
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    traced = events.withColumn("tno", trace_no).withColumn("traceid", hex_id(F.col("tno")))
 
-    heavy = heavy_keys(events.select(trace_no), "tno", inline_spans)
-    ordered = row_number_in_group(
-        events.select("*", trace_no), "tno", ["ts", "event_id"], "idx", heavy
-    )
-    spanid = F.when(F.col("idx") == 1, hex_id(F.col("tno"))).otherwise(
+    heavy = heavy_keys(traced, "traceid", inline_spans)
+    numbered = row_number_in_group(traced, "traceid", ["ts", "event_id"], "idx", heavy)
+    spanid = F.when(F.col("idx") == 1, F.col("traceid")).otherwise(
         hex_id(F.lit(1_000_000_000) + F.col("event_id"))
     )
-    numbered = ordered.withColumn("spanid", spanid)
-    parents = numbered.select(
-        "tno", F.col("idx").alias("parent_idx"), F.col("spanid").alias("parent")
+    # Every span stands once under its own number and once under its parent's, so a parent
+    # meets its two children in a group of three rows.
+    places = F.explode(
+        F.array(
+            F.struct(F.col("idx").alias("slot"), F.lit(True).alias("own")),
+            F.struct(F.expr("idx div 2").alias("slot"), F.lit(False).alias("own")),
+        )
+    )
+    placed = numbered.withColumn("spanid", spanid).select("*", places.alias("p")).select(
+        "*", F.col("p.slot").alias("slot"), F.col("p.own").alias("own")
     )
-    k = F.get_json_object("props", "$.k").cast("int")
-    child = numbered.select(
-        "tno", "idx", "spanid", "event_id", "user_id", "event_type", "value",
-        F.unix_millis(moment).alias("begin"),
-        k.alias("k"),
-        F.expr("idx div 2").alias("parent_idx"),
+    family = Window.partitionBy("traceid", "slot")
+    child = placed.withColumn(
+        "parent", F.max(F.when(F.col("own"), F.col("spanid"))).over(family)
+    ).where(~F.col("own"))
+
+    moment = F.to_utc_timestamp(F.col("ts").cast("timestamp"), F.current_timezone())
+    child = child.withColumn("begin", F.unix_millis(moment)).withColumn(
+        "k", F.get_json_object("props", "$.k").cast("int")
     )
-    joined = child.join(parents, ["tno", "parent_idx"], "left")
-    kk, idx, user = F.col("k"), F.col("idx"), F.col("user_id")
-    rows = joined.select(
-        "tno", "idx", "event_id",
-        hex_id(F.col("tno")).alias("traceid"),
-        "spanid",
-        "parent",
-        F.when(kk == 99, F.lit("http:/"))
+    k, idx, user = F.col("k"), F.col("idx"), F.col("user_id")
+    rows = child.select(
+        "tno", "idx", "event_id", "traceid", "spanid", "parent",
+        F.when(k == 99, F.lit("http:/"))
         .when(idx == 1, F.concat(F.lit("http:/"), "event_type"))
         .otherwise(F.col("event_type")).alias("name"),
         "begin",
         (F.col("begin") + F.floor("value").cast("bigint")).alias("end"),
         F.expr("(begin div 86400000 + 1) * 86400000").alias("receive"),
-        F.when((idx == 1) | (kk % 10 == 0), "sr").otherwise("cs").alias("event"),
+        F.when((idx == 1) | (k % 10 == 0), "sr").otherwise("cs").alias("event"),
         F.concat(F.lit("svc"), (user % 7).cast("string")).alias("service"),
         F.concat(F.lit("10.1.0."), (user % 50).cast("string")).alias("ip"),
-        F.when(kk % 5 == 0, "redis").when(kk % 5 == 1, "mysql").alias("tag_lc"),
-        F.when(kk % 5 == 2, "http://h/x").alias("tag_http_url"),
-        F.when(kk % 4 == 0, F.concat(F.lit("10.0.0."), kk.cast("string"))).alias("tag_http_host"),
+        F.when(k % 5 == 0, "redis").when(k % 5 == 1, "mysql").alias("tag_lc"),
+        F.when(k % 5 == 2, "http://h/x").alias("tag_http_url"),
+        F.when(k % 4 == 0, F.concat(F.lit("10.0.0."), k.cast("string"))).alias("tag_http_host"),
         F.when(F.col("event_type") == "error", "boom").alias("tag_error"),
         F.when(user % 2 == 0, "r1").alias("tag_region"),
-        F.when(kk % 3 == 0, F.concat(F.lit("iFP"), (user % 10).cast("string")))
-        .when(kk % 3 == 1, F.concat(F.lit("aFP"), (user % 10).cast("string")))
+        F.when(k % 3 == 0, F.concat(F.lit("iFP"), (user % 10).cast("string")))
+        .when(k % 3 == 1, F.concat(F.lit("aFP"), (user % 10).cast("string")))
         .alias("tag_from_page"),
     )
-    renamed = heavy.renamed("traceid", hex_id(F.col("tno"))) if heavy else None
-    return SpanTable(rows, renamed)
+    return SpanTable(rows, heavy)
 
 
 # Spans of one trace sent together in a message, at most.
@@ -118,7 +121,7 @@ def event_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     run = F.expr(f"(idx - 1) div {SPANS_PER_MESSAGE}")
     return (
-        spans.groupBy("tno", run.alias("run"), "receive", host.alias("host"))
+        spans.groupBy("traceid", run.alias("run"), "receive", "service", "ip")
         .agg(F.collect_list(span).alias("spans"))
-        .select("host", "spans", "receive")
+        .select(host.alias("host"), "spans", "receive")
     )

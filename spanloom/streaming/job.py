@@ -14,10 +14,10 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from spanloom.operators.holding import HoldRules, assemble
+from spanloom.operators.holding import READY, WAITING, HoldRules, assemble
 from spanloom.operators.spans import explode_spans, flat_spans
 from spanloom.plans import jobs
-from spanloom.schemas import TagKeys
+from spanloom.schemas import LONG_COLUMNS, SPAN_COLUMNS, TagKeys
 from spanloom.sinks import tables as t
 from spanloom.sources.messages import dead_letters, decode, good_messages
 
@@ -57,28 +57,45 @@ def analyze_traces(batch: MicroBatch) -> None:
 HANDLERS: Sequence[Handler] = (store_spans, analyze_traces, analyze_pages)
 
 
-def _slot(root: str, name: str, batch_id: int) -> str:
-    return f"{root}/_{name}/slot={batch_id % 2}"
+# Column types of the flat span rows, plus the verdict the folder is partitioned by.
+SLOT_SCHEMA = ", ".join(
+    [f"{c} {'bigint' if c in LONG_COLUMNS else 'string'}" for c in SPAN_COLUMNS] + ["state string"]
+)
+
+
+def _slot(root: str, batch_id: int) -> str:
+    return f"{root}/_assembly/slot={batch_id % 2}"
+
+
+def _in_state(spark: SparkSession, root: str, batch_id: int, state: str) -> DataFrame:
+    rows = spark.read.schema(SLOT_SCHEMA).parquet(_slot(root, batch_id))
+    return rows.where(F.col("state") == state).drop("state")
+
+
+def waiting_spans(spark: SparkSession, root: str, batch_id: int) -> DataFrame:
+    """The spans that wait after a batch."""
+    return _in_state(spark, root, batch_id, WAITING)
 
 
 def assemble_batch(batch: MicroBatch) -> DataFrame | None:
-    """Write the spans that go on waiting and return those of the traces now complete."""
+    """Decide over the batch's and the waiting spans; returns those of the traces now ready.
+
+    Both groups are written in one pass, as two partitions of the batch's folder.
+    """
     spark, spans = batch.spark, batch.spans
     if batch.batch_id == 0:
         pending = spans.limit(0)
     else:
-        pending = spark.read.schema(spans.schema).parquet(
-            _slot(batch.root, "pending", batch.batch_id - 1)
-        )
-    target = _slot(batch.root, "pending", batch.batch_id)
+        pending = _in_state(spark, batch.root, batch.batch_id - 1, WAITING)
+    target = _slot(batch.root, batch.batch_id)
+    if batch.as_of_ms is None:
+        decided = pending.withColumn("state", F.lit(WAITING))
+    else:
+        decided = assemble(spans, pending, batch.as_of_ms, batch.rules)
+    decided.write.mode("overwrite").partitionBy("state").parquet(target)
     if batch.as_of_ms is None:
-        pending.write.mode("overwrite").parquet(target)
         return None
-    ready, still = assemble(spans, pending, batch.as_of_ms, batch.rules)
-    still.write.mode("overwrite").parquet(target)
-    out = _slot(batch.root, "ready", batch.batch_id)
-    ready.write.mode("overwrite").parquet(out)
-    return spark.read.schema(ready.schema).parquet(out)
+    return _in_state(spark, batch.root, batch.batch_id, READY)
 
 
 @dataclass(frozen=True)
@@ -111,7 +128,7 @@ class TraceStream:
 
     def flush(self, spark: SparkSession, last_batch_id: int, as_of_ms: int) -> None:
         """After the stream has stopped for good: analyze what still waits."""
-        pending = spark.read.parquet(_slot(self.root, "pending", last_batch_id))
+        pending = waiting_spans(spark, self.root, last_batch_id)
         forest = jobs.forest_of(pending, extra=("ip", "http_host"))
         jobs.write_trace_tables(forest, self.root, last_batch_id + 1, as_of_ms // 1000)
 
