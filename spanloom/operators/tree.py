@@ -195,11 +195,13 @@ def _inline(spans: DataFrame, extra: tuple[str, ...]) -> DataFrame:
 # ---- large traces: one row per span, joined level by level ----------------------------------
 
 
-def _salted_edges(ranked: DataFrame, roots: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+def _salted_edges(
+    ranked: DataFrame, roots: DataFrame, floor: int = 10_000
+) -> tuple[DataFrame, DataFrame | None]:
     """Candidate child rows spread over (traceid, parent, salt), and the salts per hot parent.
 
-    A parent is hot when it has more than 1/10,000 of all children (and over 10,000): there
-    are fewer than 10,000 such parents whatever the data, so their list is broadcast.
+    A parent is hot when it has more than 1/10,000 of all children (and over ``floor``):
+    there are fewer than 10,000 such parents whatever the data, so their list is broadcast.
     """
     edges = (
         ranked.where((F.col("event") == CLIENT_SEND) & (F.col("spanid") != F.col("parent")))
@@ -207,7 +209,7 @@ def _salted_edges(ranked: DataFrame, roots: DataFrame) -> tuple[DataFrame, DataF
         .join(roots, ["traceid", "rank"], "left_anti")
     )
     edges = stage(edges, "edges")
-    limit = max(10_000, edges.count() // 10_000)
+    limit = max(floor, edges.count() // 10_000)
     hot = (
         edges.groupBy("traceid", "parent").agg(F.count("*").alias("n")).where(F.col("n") > limit)
         .select("traceid", "parent", F.expr(f"cast(n div {limit} + 1 as int)").alias("salts"))
