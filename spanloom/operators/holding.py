@@ -26,37 +26,55 @@ def _as_column(value: int | Column) -> Column:
     return value if isinstance(value, Column) else F.lit(value)
 
 
-def on_time(spans: DataFrame, as_of: int | Column, rules: HoldRules) -> DataFrame:
-    """Leave out traces whose last span ended ``late_ms`` or longer ago."""
-    late = (
-        spans.groupBy("traceid").agg(F.max("end").alias("last_end"))
-        .where(_as_column(as_of) - F.col("last_end") >= rules.late_ms).select("traceid")
+def trace_times(spans: DataFrame, rules: HoldRules = HoldRules()) -> DataFrame:
+    """One row per trace with all that the rules ask: does any span lie too close to its
+    receive time, when did the last one end, when did the first and last arrive?"""
+    recent = F.col("receive") - F.col("end") < rules.hold_ms
+    return spans.groupBy("traceid").agg(
+        F.count("*").alias("spans"),
+        F.bool_or(recent).alias("held"),
+        F.max("end").alias("last_end"),
+        F.min("receive").alias("first_in"),
+        F.max("receive").alias("last_in"),
+    )
+
+
+def is_late(as_of: int | Column, rules: HoldRules) -> Column:
+    """The last span of the trace ended ``late_ms`` or longer ago."""
+    return _as_column(as_of) - F.col("last_end") >= rules.late_ms
+
+
+def is_due(as_of: int | Column, rules: HoldRules) -> Column:
+    """All spans of the trace were received in the release window."""
+    now = _as_column(as_of)
+    return (now - F.col("last_in") >= rules.release_from_ms) & (
+        now - F.col("first_in") < rules.release_until_ms
     )
+
+
+def on_time(spans: DataFrame, as_of: int | Column, rules: HoldRules = HoldRules()) -> DataFrame:
+    """Leave out the spans of late traces."""
+    late = trace_times(spans, rules).where(is_late(as_of, rules)).select("traceid")
     return spans.join(late, "traceid", "left_anti")
 
 
-def hold_flags(spans: DataFrame, rules: HoldRules) -> DataFrame:
-    """Per trace of a batch: does any span lie too close to its receive time?"""
-    recent = F.col("receive") - F.col("end") < rules.hold_ms
-    return spans.groupBy("traceid").agg(F.bool_or(recent).alias("held"))
+def held_traces(spans: DataFrame, rules: HoldRules = HoldRules()) -> DataFrame:
+    return trace_times(spans, rules).where("held").select("traceid")
 
 
-def held_traces(spans: DataFrame, rules: HoldRules) -> DataFrame:
-    return hold_flags(spans, rules).where("held").select("traceid")
+def released_traces(
+    spans: DataFrame, as_of: int | Column, rules: HoldRules = HoldRules()
+) -> DataFrame:
+    """Held traces that the release window lets go."""
+    return trace_times(spans, rules).where(F.col("held") & is_due(as_of, rules)).select("traceid")
 
 
-def released_traces(pending: DataFrame, as_of: int | Column, rules: HoldRules) -> DataFrame:
-    """Held traces all of whose spans were received in the previous batch interval."""
-    now = _as_column(as_of)
-    return (
-        pending.groupBy("traceid")
-        .agg(F.min("receive").alias("first_in"), F.max("receive").alias("last_in"))
-        .where(
-            (now - F.col("last_in") >= rules.release_from_ms)
-            & (now - F.col("first_in") < rules.release_until_ms)
-        )
-        .select("traceid")
-    )
+def ready_traces(
+    spans: DataFrame, as_of: int | Column, rules: HoldRules = HoldRules()
+) -> DataFrame:
+    """Traces complete in their batch together with the held ones now released."""
+    times = trace_times(spans, rules)
+    return times.where(~F.col("held") | is_due(as_of, rules)).select("traceid", "spans")
 
 
 READY, WAITING, DROPPED = "ready", "waiting", "dropped"

@@ -34,6 +34,23 @@ def failed_by_api(forest: Forest) -> DataFrame:
     )
 
 
+def trace_results(forest: Forest) -> DataFrame:
+    """Every trace as a call-chain result of one call, with its steps as JSON segments."""
+    return forest.segments(
+        "api", "trace_md5", "duration", "start_ms", "minute_start", "error_status",
+        "rest_times", "mysql_times", "redis_times", "region",
+    ).select(
+        F.col("api"),
+        F.lit(1).cast("bigint").alias("times"),
+        "duration", "segment", step_json("steps").alias("spans"),
+        F.concat_ws(".", "minute_start", "trace_md5").alias("bucket_md5"),
+        F.col("traceid").alias("max_latency_trace"), F.col("traceid").alias("min_latency_trace"),
+        F.col("duration").alias("max_latency"), F.col("duration").alias("min_latency"),
+        "traceid", "error_status", "start_ms",
+        "rest_times", "mysql_times", "redis_times", "region",
+    )
+
+
 def _all_rows(forest: Forest) -> DataFrame:
     return forest.segments(
         "api", "trace_md5", "start_ms", "minute_start", "duration", "region"

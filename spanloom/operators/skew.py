@@ -31,12 +31,9 @@ def heavy_keys(df: DataFrame, column: str, limit: int) -> HeavyKeys | None:
     Reads the key column only and combines on the map side, so a key with most of the rows
     costs one partial row per task.
     """
-    rows = df.groupBy(column).count().where(F.col("count") > limit).select(column).persist()
+    rows = df.groupBy(column).count().where(F.col("count") > limit).select(column)
     found = rows.count()
-    if found == 0:
-        rows.unpersist()
-        return None
-    return HeavyKeys(column, rows, found)
+    return HeavyKeys(column, stage(rows, "heavy-keys"), found) if found else None
 
 
 def split_heavy(df: DataFrame, heavy: HeavyKeys) -> tuple[DataFrame, DataFrame]:

@@ -99,6 +99,16 @@ def span_type_counts(spans: DataFrame) -> DataFrame:
     )
 
 
+def span_identities(exploded: DataFrame) -> DataFrame:
+    """Distinct spans by (high trace id, trace id, span id) and their number of records.
+
+    Client and server records of a call share an identity, so this is no key of the store.
+    """
+    return exploded.groupBy("trace_high", "trace_no", "span_no").agg(
+        F.count("*").alias("records")
+    )
+
+
 # ---- the span store -----------------------------------------------------------------------
 
 STORE_KEY = ("traceid", "begin_sec", "spanid", "event")

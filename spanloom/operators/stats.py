@@ -143,21 +143,57 @@ def step_json(steps: str | Column) -> Column:
 
 
 def chain_table(forest: Forest, bucket: str) -> DataFrame:
-    """Call-chain statistics with the merged steps as JSON, in segments of bounded length."""
-    stats = chain_stats(forest.summary(), bucket)
+    """Call-chain statistics with the merged steps as JSON, in segments of bounded length.
+
+    One pass: the first step of every segment carries the measures of its trace.
+    """
+    steps = forest.steps(
+        bucket, "trace_md5", "api", "duration", "rest_times", "mysql_times", "redis_times", "region"
+    )
+    head = F.col("pos") % SEGMENT_STEPS == 0
+
+    def once(value: str | Column) -> Column:
+        return F.when(head, value)
+
+    timed = F.struct("duration", "traceid")
+    described = F.min(F.struct("traceid", "name", "spanid", "level", "parent", "span_type"))
+    merged = steps.groupBy(bucket, "trace_md5", "api", "pos").agg(
+        F.count("*").alias("calls"),
+        F.sum(F.col("end") - F.col("begin")).alias("step_total"),
+        F.sum("error_count").alias("error_count"),
+        described.alias("d"),
+        F.sum(once(F.col("duration"))).alias("total"),
+        F.max(once(timed)).alias("slowest"),
+        F.min(once(timed)).alias("fastest"),
+        F.sum(once(F.col("rest_times"))).alias("rest_times"),
+        F.sum(once(F.col("mysql_times"))).alias("mysql_times"),
+        F.sum(once(F.col("redis_times"))).alias("redis_times"),
+        F.max(once(F.col("region"))).alias("any_region"),
+    )
     step = F.struct(
         "pos",
-        F.col("span_name").alias("spanName"), F.col("span_id").alias("spanId"), "duration",
-        "level", "parent", F.col("error_count").alias("errorCount"),
-        F.col("span_type").alias("spanType"),
+        F.col("d.name").alias("spanName"), F.col("d.spanid").alias("spanId"),
+        whole_mean(F.col("step_total"), F.col("calls")).alias("duration"),
+        F.col("d.level").alias("level"), F.col("d.parent").alias("parent"),
+        F.col("error_count").alias("errorCount"), F.col("d.span_type").alias("spanType"),
     )
-    texts = (
-        chain_steps(forest, bucket)
-        .groupBy(bucket, "trace_md5", F.expr(f"pos div {SEGMENT_STEPS}").alias("segment"))
-        .agg(F.sort_array(F.collect_list(step)).alias("steps"))
-        .select(
-            bucket, "trace_md5", "segment",
-            F.to_json(F.transform("steps", lambda s: s.dropFields("pos"))).alias("spans"),
-        )
+    first = F.struct(
+        F.col("calls").alias("times"), "total", "slowest", "fastest", "rest_times",
+        "mysql_times", "redis_times", "any_region",
+    )
+    segments = merged.groupBy(
+        bucket, "trace_md5", "api", F.expr(f"pos div {SEGMENT_STEPS}").alias("segment")
+    ).agg(
+        F.sort_array(F.collect_list(step)).alias("steps"), F.max(once(first)).alias("m")
+    )
+    return segments.select(
+        bucket, "trace_md5", "api", "segment", "m.times",
+        whole_mean(F.col("m.total"), F.col("m.times")).alias("duration"),
+        F.col("m.slowest.duration").alias("max_latency"),
+        F.col("m.slowest.traceid").alias("max_latency_trace"),
+        F.col("m.fastest.duration").alias("min_latency"),
+        F.col("m.fastest.traceid").alias("min_latency_trace"),
+        "m.rest_times", "m.mysql_times", "m.redis_times",
+        F.when(F.col("m.times") == 1, F.col("m.any_region")).alias("region"),
+        F.to_json(F.transform("steps", lambda s: s.dropFields("pos"))).alias("spans"),
     )
-    return stats.join(texts, [bucket, "trace_md5"])

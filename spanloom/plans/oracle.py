@@ -276,6 +276,17 @@ from full_rows""")
 select api || ':' || (start_ms // 1000) || ':' || traceid as rowkey, {indexed}
 from full_rows""")
 
+    q["trace_results"] = _with(JSON, """
+select api, cast(1 as bigint) as times, duration, segment, spans,
+  minute_start || '.' || trace_md5 as bucket_md5, traceid as max_latency_trace,
+  traceid as min_latency_trace, duration as max_latency, duration as min_latency, traceid,
+  error_status, start_ms, rest_times, mysql_times, redis_times, region
+from full_rows""")
+    q["span_identities"] = _with(TAGGED, """
+select cast(0 as bigint) as trace_high, tno as trace_no,
+  case when idx = 1 then tno else 1000000000 + event_id end as span_no, count(*) as records
+from tagged group by 1, 2, 3""")
+
     q["page_api"] = _with(PAGES, "select page, api, times, total_duration, duration from totals")
     q["api_page"] = _with(PAGES, "select api, page, times from totals")
     q["page_hot_api"] = _with(PAGES, "select page, max(times) as times from totals group by page")

@@ -22,7 +22,7 @@ from spanloom.streaming.job import (
 )
 from spanloom.streaming.replay import replay
 from spanloom.streaming.sessions import closed_sessions, spans_of_sessions
-from spanloom.streaming.words import running_word_count
+from spanloom.streaming.words import file_texts, running_word_count
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -72,22 +72,12 @@ def held_traces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return holding.held_traces(_spans(spark, sf_dir), SCAN_RULES)
 
 
-def _held_spans(spans: DataFrame) -> DataFrame:
-    return spans.join(holding.held_traces(spans, SCAN_RULES), "traceid", "left_semi")
-
-
 def released_traces(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return holding.released_traces(_held_spans(_spans(spark, sf_dir)), AS_OF, SCAN_RULES)
+    return holding.released_traces(_spans(spark, sf_dir), AS_OF, SCAN_RULES)
 
 
 def ready_traces(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Traces complete in the batch, and waiting traces due for release."""
-    spans = _spans(spark, sf_dir)
-    held = holding.held_traces(spans, SCAN_RULES)
-    due = holding.released_traces(_held_spans(spans), AS_OF, SCAN_RULES)
-    complete = spans.join(held, "traceid", "left_anti")
-    released = spans.join(due, "traceid", "left_semi")
-    return complete.unionByName(released).groupBy("traceid").agg(F.count("*").alias("spans"))
+    return holding.ready_traces(_spans(spark, sf_dir), AS_OF, SCAN_RULES)
 
 
 # ---- traces ---------------------------------------------------------------------------------
@@ -167,6 +157,10 @@ def all_trace_by_api(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _all_traces(spark, sf_dir, "api")
 
 
+def trace_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return indexes.trace_results(_forest(spark, sf_dir))
+
+
 # ---- pages ----------------------------------------------------------------------------------
 
 
@@ -187,11 +181,15 @@ def page_hot_api(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _store(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The store after the spans with errors were sent a second time, a minute later."""
-    first = _exploded(spark, sf_dir)
-    again = first.where(F.col("tags")["error"].isNotNull()).withColumns(
-        {"receive": F.col("receive") + 60_000, "name": F.upper("name")}
+    sendings = F.when(F.col("tags")["error"].isNotNull(), F.array(F.lit(0), F.lit(1))).otherwise(
+        F.array(F.lit(0))
     )
-    rows = span_ops.store_rows(first.unionByName(again))
+    sent = _exploded(spark, sf_dir).withColumn("again", F.explode(sendings))
+    sent = sent.withColumns({
+        "receive": F.col("receive") + F.col("again") * 60_000,
+        "name": F.when(F.col("again") == 1, F.upper("name")).otherwise(F.col("name")),
+    })
+    rows = span_ops.store_rows(sent)
     return span_ops.latest_per_key(rows, ("rowkey", *span_ops.STORE_KEY), "receive")
 
 
@@ -224,6 +222,10 @@ def id_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def span_identities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return span_ops.span_identities(_exploded(spark, sf_dir))
+
+
 # ---- format conversion ----------------------------------------------------------------------
 
 
@@ -292,9 +294,8 @@ def word_count_running(spark: SparkSession, sf_dir: str) -> DataFrame:
         t.write_batch(batch, root, "totals", batch_id)
 
     def start():
-        source = spark.readStream.schema("text string").parquet(f"{root}/in")
         return (
-            running_word_count(source).writeStream.outputMode("update").foreachBatch(write)
+            running_word_count(file_texts(spark, f"{root}/in")).writeStream.outputMode("update").foreachBatch(write)
             .option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start()
         )
 
@@ -317,8 +318,7 @@ def _replayed(spark: SparkSession, sf_dir: str, handlers) -> tuple[str, int, Tra
     stream = TraceStream(f"{root}/out", handlers, REPLAY_RULES)
 
     def start():
-        source = spark.readStream.schema(msg.PAYLOAD).parquet(f"{root}/in")
-        return stream.start(source, available_now=True)
+        return stream.start(msg.file_payloads(spark, f"{root}/in"), available_now=True)
 
     batches = replay(stage(payloads, "payloads"), "slice", f"{root}/in", start)
     return stream.root, batches, stream
@@ -403,7 +403,7 @@ def queries() -> dict[str, Query]:
         released_traces, ready_traces, span_order, trace_tree, trace_summary, api_minutes,
         api_minutes_steps, api_minutes_table, api_daily, step_profile_by_name, chain_profile,
         span_ip, exception_trace_by_time, exception_trace_by_api, all_trace_by_md5,
-        all_trace_by_api, page_api, api_page, page_hot_api, raw_span_store, stored_span_parse,
+        all_trace_by_api, trace_results, span_identities, page_api, api_page, page_hot_api, raw_span_store, stored_span_parse,
         stored_day_scan, id_normalize, zipkin_spans, zipkin_annotations,
         zipkin_binary_annotations, decode_messages, dead_letters, word_count,
         word_count_running, stream_trace_assembly, stream_api_minutes, stream_page_api,

@@ -15,5 +15,7 @@ def local_session(cores: str = "8", name: str = "spanloom", memory: str = "8g")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # Building trees costs more processor time than its bytes suggest: keep partitions small.
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "128k")
         .getOrCreate()
     )

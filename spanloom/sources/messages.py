@@ -31,13 +31,9 @@ def kafka_payloads(
     )
 
 
-def file_payloads(spark: SparkSession, path: str, files_per_batch: int = 1) -> DataFrame:
+def file_payloads(spark: SparkSession, path: str) -> DataFrame:
     """Streaming (value, timestamp) rows of a folder of Parquet files."""
-    return (
-        spark.readStream.schema(PAYLOAD)
-        .option("maxFilesPerTrigger", files_per_batch)
-        .parquet(path)
-    )
+    return spark.readStream.schema(PAYLOAD).parquet(path)
 
 
 def encode(messages: DataFrame) -> DataFrame:

@@ -9,6 +9,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+MERGE_BEFORE_SHUFFLE = "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition"
+
 
 def closed_sessions(
     spans: DataFrame, gap: str = "60 seconds", delay: str = "120 seconds"
@@ -18,6 +20,7 @@ def closed_sessions(
     Spans later than ``delay`` are dropped; a trace closes when ``gap`` has passed without a
     span of its own.
     """
+    spans.sparkSession.conf.set(MERGE_BEFORE_SHUFFLE, "true")
     return (
         spans.select("traceid", "end", F.timestamp_millis("end").alias("end_ts"))
         .withWatermark("end_ts", delay)

@@ -2,11 +2,27 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from spanloom.operators.words import word_count
 
 
+def kafka_texts(spark: SparkSession, servers: str, topic: str) -> DataFrame:
+    """Streaming ``text`` rows of a Kafka topic of strings."""
+    return (
+        spark.readStream.format("kafka")
+        .option("kafka.bootstrap.servers", servers)
+        .option("subscribe", topic)
+        .load()
+        .selectExpr("cast(value as string) as text")
+    )
+
+
+def file_texts(spark: SparkSession, path: str) -> DataFrame:
+    """Streaming ``text`` rows of a folder of Parquet files."""
+    return spark.readStream.schema("text string").parquet(path)
+
+
 def running_word_count(texts: DataFrame, column: str = "text") -> DataFrame:
     """Streaming (word, n); write with output mode ``update``."""
     return word_count(texts, column)
