@@ -1,8 +1,8 @@
 """When is a trace complete: late, held, released and ready traces.
 
 Spans of a trace may sit on both sides of a batch border, so traces with very recent spans
-wait for the next batch. Flags are combined per trace on the map side; the spans then follow
-their trace by semi join, so no trace is collected.
+wait for the next batch. Flags are combined per trace on the map side; the spans then meet
+their trace's verdict in a join, so no trace is collected.
 """
 
 from __future__ import annotations
@@ -11,6 +11,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from spanloom.operators.skew import join_sized
+
 
 @dataclass(frozen=True)
 class HoldRules:
@@ -54,8 +56,10 @@ def is_due(as_of: int | Column, rules: HoldRules) -> Column:
 
 def on_time(spans: DataFrame, as_of: int | Column, rules: HoldRules = HoldRules()) -> DataFrame:
     """Leave out the spans of late traces."""
-    late = trace_times(spans, rules).where(is_late(as_of, rules)).select("traceid")
-    return spans.join(late, "traceid", "left_anti")
+    times = trace_times(spans, rules).select(
+        "traceid", F.col("spans").alias("_size"), is_late(as_of, rules).alias("_late")
+    )
+    return join_sized(spans, times, "traceid", "_size").where(~F.col("_late")).select(*spans.columns)
 
 
 def held_traces(spans: DataFrame, rules: HoldRules = HoldRules()) -> DataFrame:
@@ -99,12 +103,14 @@ def assemble(
     verdicts = (
         rows.groupBy("traceid")
         .agg(
+            F.count("*").alias("_size"),
             F.max(F.when(is_new, F.col("end"))).alias("new_end"),
             F.bool_or(recent).alias("recent"),
             F.max(F.when(~is_new, F.col("receive"))).alias("last_in"),
         )
         .select(
             "traceid",
+            "_size",
             F.coalesce(now - F.col("new_end") < rules.late_ms, F.lit(False)).alias("live"),
             F.when(F.col("recent"), WAITING).otherwise(READY).alias("live_state"),
             F.when(now - F.col("last_in") >= rules.release_from_ms, READY)
@@ -117,7 +123,7 @@ def assemble(
         .otherwise(F.col("idle_state"))
     )
     return (
-        rows.join(verdicts, "traceid")
+        join_sized(rows, verdicts, "traceid", "_size")
         .withColumn("state", state)
         .where(F.col("state") != DROPPED)
         .select(*fresh.columns, "state")

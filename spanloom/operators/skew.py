@@ -8,21 +8,27 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from spanloom.staging import stage
 
-# Key lists up to this length are broadcast; longer ones go through a shuffled join, where
-# adaptive execution splits skewed partitions.
+# Key lists up to this length are broadcast. Where a list may be longer, only the keys with
+# more than one part in BROADCAST_KEYS of all rows go on it: there are fewer of them than
+# this, whatever the data, and no other key is large enough to burden a task.
 BROADCAST_KEYS = 100_000
 
 
 @dataclass(frozen=True)
 class HeavyKeys:
-    """The keys that hold more rows than one task should collect."""
+    """The keys with more than ``limit`` rows, which no task should collect: (key, n) rows."""
 
     column: str
+    limit: int
     rows: DataFrame
     count: int
 
-    def hinted(self) -> DataFrame:
-        return F.broadcast(self.rows) if self.count <= BROADCAST_KEYS else self.rows
+    def giants(self) -> DataFrame:
+        """At most BROADCAST_KEYS of the keys, with all of the largest."""
+        if self.count <= BROADCAST_KEYS:
+            return self.rows.select(self.column)
+        total = self.rows.agg(F.sum("n")).first()[0]
+        return self.rows.where(F.col("n") * BROADCAST_KEYS > total).select(self.column)
 
 
 def heavy_keys(df: DataFrame, column: str, limit: int) -> HeavyKeys | None:
@@ -31,15 +37,43 @@ def heavy_keys(df: DataFrame, column: str, limit: int) -> HeavyKeys | None:
     Reads the key column only and combines on the map side, so a key with most of the rows
     costs one partial row per task.
     """
-    rows = df.groupBy(column).count().where(F.col("count") > limit).select(column)
+    rows = df.groupBy(column).agg(F.count("*").alias("n")).where(F.col("n") > limit)
     found = rows.count()
-    return HeavyKeys(column, stage(rows, "heavy-keys"), found) if found else None
+    return HeavyKeys(column, limit, stage(rows, "heavy-keys"), found) if found else None
 
 
 def split_heavy(df: DataFrame, heavy: HeavyKeys) -> tuple[DataFrame, DataFrame]:
-    """(rows of ordinary keys, rows of heavy keys)."""
-    keys = heavy.hinted()
-    return df.join(keys, heavy.column, "left_anti"), df.join(keys, heavy.column, "left_semi")
+    """(rows of ordinary keys, rows of heavy keys).
+
+    The giants are split off by a broadcast list. If there are more heavy keys than that,
+    the others are told by a count per key, in the partitioning that grouping by the key
+    needs anyway.
+    """
+    giants = F.broadcast(heavy.giants())
+    rest = df.join(giants, heavy.column, "left_anti")
+    wide = df.join(giants, heavy.column, "left_semi")
+    if heavy.count <= BROADCAST_KEYS:
+        return rest, wide
+    size = F.count("*").over(Window.partitionBy(heavy.column))
+    sized = rest.withColumn("_size", size)
+    light = sized.where(F.col("_size") <= heavy.limit).drop("_size")
+    return light, wide.unionByName(sized.where(F.col("_size") > heavy.limit).drop("_size"))
+
+
+def join_sized(rows: DataFrame, groups: DataFrame, key: str, size: str) -> DataFrame:
+    """Inner join of rows with one row per key that knows the key's row count in ``size``.
+
+    A short list of groups is broadcast. Of a long one, the giants are, and the rows of the
+    other keys meet their group in a shuffled join.
+    """
+    groups = stage(groups, "groups")
+    keys, total = groups.agg(F.count("*"), F.sum(size)).first()
+    if keys <= BROADCAST_KEYS:
+        return rows.join(F.broadcast(groups), key)
+    giant = F.col(size) * BROADCAST_KEYS > total
+    few = F.broadcast(groups.where(giant))
+    rest = rows.join(F.broadcast(groups.where(giant).select(key)), key, "left_anti")
+    return rows.join(few, key).unionByName(rest.join(groups.where(~giant), key))
 
 
 def ranged_row_number(df: DataFrame, key: str, order: list[str], out: str) -> DataFrame:

@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from spanloom.functions import day_start, minute_start
-from spanloom.operators.skew import BROADCAST_KEYS, HeavyKeys, ranged_row_number, split_heavy
+from spanloom.operators.skew import HeavyKeys, join_sized, ranged_row_number, split_heavy
 from spanloom.schemas import CLIENT_SEND, MAX_LEVEL
 from spanloom.staging import new_folder, stage
 
@@ -72,7 +72,7 @@ class Forest:
             return rows
         wide = self.wide_steps
         if len(keys) > 1:
-            wide = wide.join(self._wide_keys(keys), "traceid")
+            wide = self._with_measures(wide, keys)
         return rows.unionByName(wide.select(*rows.columns))
 
     def segments(self, *measures: str) -> DataFrame:
@@ -92,13 +92,13 @@ class Forest:
         wide = (
             self.wide_steps.groupBy("traceid", F.expr(f"pos div {SEGMENT_STEPS}").alias("segment"))
             .agg(F.sort_array(F.collect_list(step)).alias("steps"))
-            .join(self._wide_keys(keys), "traceid")
         )
+        wide = self._with_measures(wide, keys)
         return rows.unionByName(wide.select(*rows.columns))
 
-    def _wide_keys(self, keys: list[str]) -> DataFrame:
-        rows = self.wide_summary.select(*keys)
-        return F.broadcast(rows) if rows.count() <= BROADCAST_KEYS else rows
+    def _with_measures(self, wide: DataFrame, keys: list[str]) -> DataFrame:
+        measures = self.wide_summary.select(*keys, F.col("steps_total").alias("_size"))
+        return join_sized(wide, measures, "traceid", "_size").drop("_size")
 
 
 def build_forest(
@@ -278,7 +278,7 @@ def _wide_steps(spans: DataFrame, extra: tuple[str, ...]) -> DataFrame:
         *(f for f in (*STEP_FIELDS, *extra) if f != "parent"),
         F.when(pos == 0, F.col("traceid")).otherwise(F.col("parent")).alias("parent"),
         "receive",
-        "region",
+        F.col("region").alias("own_region"),
     )
     return stage(steps, "wide-steps")
 
@@ -316,7 +316,7 @@ def _wide_summary(steps: DataFrame) -> DataFrame:
     def times(kind: str) -> Column:
         return F.count_if(F.col("span_type") == kind)
 
-    root = F.max(F.when(F.col("pos") == 0, F.struct("name", "begin", "end", "receive", "region")))
+    root = F.max(F.when(F.col("pos") == 0, F.struct("name", "begin", "end", "receive", "own_region")))
     totals = steps.groupBy("traceid").agg(
         root.alias("root"),
         F.bool_or(F.col("error_count") > 0).alias("error_status"),
@@ -334,7 +334,7 @@ def _wide_summary(steps: DataFrame) -> DataFrame:
         minute_start(F.col("root.receive")).alias("minute_start"),
         day_start(F.col("root.receive")).alias("day_start"),
         "error_status", "rest_times", "mysql_times", "redis_times",
-        F.col("root.region").alias("region"),
+        F.col("root.own_region").alias("region"),
         "steps_total",
     )
     return stage(summary, "wide-summary")

@@ -1,7 +1,7 @@
 """Trace assembly by session windows over the stored spans.
 
 The state per trace is a count and two times, not its spans: when a session closes, the
-spans are fetched from the span table by a semi join. Partial sessions are merged before
+spans are fetched from the span table by a join. Partial sessions are merged before
 the shuffle, so a busy trace costs each task one row.
 """
 
@@ -9,6 +9,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from spanloom.operators.skew import join_sized
+
 MERGE_BEFORE_SHUFFLE = "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition"
 
 
@@ -36,10 +38,13 @@ def spans_of_sessions(sessions: DataFrame, store: DataFrame) -> DataFrame:
     bounds = sessions.agg(F.min("first_end").alias("lo"), F.max("last_end").alias("hi")).first()
     if bounds.lo is None:
         return store.limit(0)
-    near = store.where(F.col("end").between(bounds.lo, bounds.hi)).alias("sp")
-    return near.join(
-        sessions.alias("se"),
-        (F.col("sp.traceid") == F.col("se.traceid"))
-        & F.col("sp.end").between(F.col("se.first_end"), F.col("se.last_end")),
-        "left_semi",
+    near = store.where(F.col("end").between(bounds.lo, bounds.hi))
+    # A trace may have closed twice in a batch, so its sessions come as one short list.
+    spells = sessions.groupBy("traceid").agg(
+        F.collect_list(F.struct("first_end", "last_end")).alias("_spells"),
+        F.sum("spans").alias("_size"),
+    )
+    inside = F.exists(
+        "_spells", lambda s: F.col("end").between(s["first_end"], s["last_end"])
     )
+    return join_sized(near, spells, "traceid", "_size").where(inside).select(*store.columns)

@@ -189,10 +189,22 @@ def test_ranged_row_number_splits_a_large_key(spark):
     )
 
 
-def test_many_heavy_keys_are_not_broadcast(spark, monkeypatch):
-    monkeypatch.setattr(skew, "BROADCAST_KEYS", 0)
-    monkeypatch.setattr(tree, "BROADCAST_KEYS", 0)
+def test_more_heavy_keys_than_may_be_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(skew, "BROADCAST_KEYS", 2)
     spans = frame(spark, SHALLOW)
     heavy = heavy_keys(spans, "traceid", 3)
-    assert heavy.hinted() is heavy.rows
+    assert heavy.count > 2 and heavy.giants().count() <= 2
+    light, wide = skew.split_heavy(spans, heavy)
+    sizes = {t: len(rows) for t, rows in by_trace(SHALLOW).items()}
+    assert {r.traceid for r in light.collect()} == {t for t, n in sizes.items() if n <= 3}
+    assert light.count() + wide.count() == len(SHALLOW)
     assert actual(build_forest(spans, heavy)) == expected(SHALLOW)
+
+
+def test_sized_join_splits_the_giants(spark, monkeypatch):
+    rows = spark.range(1000).selectExpr("if(id % 3 = 0, 'hot', concat('k', id % 40)) as key", "id")
+    groups = rows.groupBy("key").agg(F.count("*").alias("n"), F.max("id").alias("last"))
+    wanted = sorted(map(str, rows.join(groups, "key").collect()))
+    for keys in (3, 100):
+        monkeypatch.setattr(skew, "BROADCAST_KEYS", keys)
+        assert sorted(map(str, skew.join_sized(rows, groups, "key", "n").collect())) == wanted
