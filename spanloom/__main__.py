@@ -27,7 +27,13 @@ def main() -> None:
     args = parser.parse_args()
 
     tags = TagKeys(region=args.region_tag, from_page=args.page_tag)
-    spark = SparkSession.builder.appName("spanloom").getOrCreate()
+    state = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    spark = (
+        SparkSession.builder.appName("spanloom")
+        .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.sql.streaming.stateStore.providerClass", state)
+        .getOrCreate()
+    )
     if args.job == "daily":
         daily_job(spark, args.root, args.as_of or int(time.time() * 1000), tags=tags)
         return

@@ -344,7 +344,7 @@ select reason, count(*) as payloads from (
 words as (
   select unnest(case when text is null then ['null'] when text = '' then ['']
                      when rtrim(text, ' ') = '' then [] else string_split(rtrim(text, ' '), ' ') end) as word,
-         doc_id % 3 as slice from documents)"""
+         dense_rank() over (order by coalesce(lang, '')) - 1 as slice from documents)"""
     q["word_count"] = f"with {split} select word, count(*) as n from words group by word"
     q["word_count_running"] = f"""
 with {split}, per as (select word, slice, count(*) as c from words group by word, slice)

@@ -284,10 +284,10 @@ def word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def word_count_running(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All documents in three batches: the running total of each word of a batch."""
+    """All documents, a language per batch: the running total of each word of a batch."""
     root = new_folder(spark, "running-words")
     texts = spark.read.parquet(f"{sf_dir}/documents.parquet").select(
-        "text", (F.col("doc_id") % 3).alias("slice")
+        "text", F.coalesce("lang", F.lit("")).alias("slice")
     )
 
     def write(batch: DataFrame, batch_id: int) -> None:

@@ -15,12 +15,12 @@ from pyspark.sql.streaming import StreamingQuery
 def replay(
     rows: DataFrame, slice_column: str, path: str, start: Callable[[], StreamingQuery]
 ) -> int:
-    """Run ``start`` once per slice, in order of the slice number; returns the slice count.
+    """Run ``start`` once per slice, in order; returns the number of slices.
 
-    The slice number is a coarse time bucket, so the list of slices is short.
+    A slice is a coarse bucket, such as some days of time, so the list of slices is short.
     """
-    numbers = sorted(r[0] for r in rows.select(slice_column).distinct().collect())
-    for number in numbers:
-        rows.where(F.col(slice_column) == number).drop(slice_column).write.mode("append").parquet(path)
+    slices = sorted(r[0] for r in rows.select(slice_column).distinct().collect())
+    for one in slices:
+        rows.where(F.col(slice_column) == one).drop(slice_column).write.mode("append").parquet(path)
         start().awaitTermination()
-    return len(numbers)
+    return len(slices)
