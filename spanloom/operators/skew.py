@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from spanloom.staging import stage
 
@@ -23,6 +23,11 @@ class HeavyKeys:
     rows: DataFrame
     count: int
 
+    def spelled(self, column: str, expression: Column) -> "HeavyKeys":
+        """The same keys in another column."""
+        rows = self.rows.select(expression.alias(column), "n")
+        return HeavyKeys(column, self.limit, rows, self.count)
+
     def giants(self) -> DataFrame:
         """At most BROADCAST_KEYS of the keys, with all of the largest."""
         if self.count <= BROADCAST_KEYS:

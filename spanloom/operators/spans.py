@@ -111,7 +111,16 @@ def span_identities(exploded: DataFrame) -> DataFrame:
 
 # ---- the span store -----------------------------------------------------------------------
 
-STORE_KEY = ("traceid", "begin_sec", "spanid", "event")
+# The row key is traceid:begin_sec:spanid:event.
+STORE_COLUMNS = (
+    "rowkey", "traceid", "begin_sec", "spanid", "event", "service", "ip", "name", "begin", "end",
+    "parent", "logs", "tags", "receive",
+)
+# What the daily job reads of them; the event is part of the row key.
+ANALYSIS_COLUMNS = (
+    "rowkey", "traceid", "spanid", "service", "ip", "name", "begin", "end", "parent", "tags",
+    "receive",
+)
 
 
 def store_rows(exploded: DataFrame) -> DataFrame:
@@ -130,7 +139,7 @@ def store_rows(exploded: DataFrame) -> DataFrame:
         F.to_json("logs").alias("logs"),
         F.to_json("tags").alias("tags"),
         "receive",
-    )
+    ).select(*STORE_COLUMNS)
 
 
 def latest_per_key(rows: DataFrame, key: tuple[str, ...], version: str) -> DataFrame:

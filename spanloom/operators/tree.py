@@ -142,11 +142,25 @@ def sorted_spans(spans: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
 
 def _inline(spans: DataFrame, extra: tuple[str, ...]) -> DataFrame:
     traces = sorted_spans(spans, extra)
-    kids = f"""
-        filter(transform(s, (x, i) -> named_struct('i', i, 'parent', x.parent, 'spanid', x.spanid,
-                                                   'event', x.event)),
-               c -> c.event = '{CLIENT_SEND}' and c.spanid <> c.parent and c.i <> ri)"""
-    traces = _once(traces, F.expr(kids), "kids")
+    # Candidate children by parent and position, so that siblings lie together and in order.
+    edges = f"""
+        sort_array(filter(
+          transform(s, (x, i) -> if(x.event = '{CLIENT_SEND}' and x.spanid <> x.parent and i <> ri,
+                                    named_struct('parent', x.parent, 'i', i), null)),
+          e -> e is not null))"""
+    traces = _once(traces, F.expr(edges), "edges")
+    columns = """
+        named_struct('ids', s.spanid, 'parents', edges.parent, 'children', edges.i,
+                     'distinct', array_distinct(edges.parent))"""
+    traces = _once(traces, F.expr(columns), "e").drop("edges")
+    starts = """
+        concat(transform(e.distinct, p -> array_position(e.parents, p)), array(size(e.parents) + 1L))"""
+    traces = _once(traces, F.expr(starts), "starts")
+    below = """
+        transform(transform(e.ids, id -> cast(array_position(e.distinct, id) as int)), j ->
+          if(j = 0, cast(array() as array<int>),
+             slice(e.children, cast(starts[j - 1] as int), cast(starts[j] - starts[j - 1] as int))))"""
+    traces = _once(traces, F.expr(below), "below").drop("e", "starts")
     # Level by level: children of the frontier become the next frontier. A node is its path
     # of span indexes, so sorting the nodes gives preorder.
     walk = f"""
@@ -156,10 +170,9 @@ def _inline(spans: DataFrame, extra: tuple[str, ...]) -> DataFrame:
           (acc, l) -> if(size(acc.front) = 0, acc, named_struct(
             'done', concat(acc.done, acc.front),
             'front', flatten(transform(acc.front, p -> transform(
-                       filter(kids, c -> c.parent = s[element_at(p, -1)].spanid),
-                       c -> concat(p, array(c.i))))))),
+                       below[element_at(p, -1)], c -> concat(p, array(c))))))),
           acc -> sort_array(concat(acc.done, acc.front)))"""
-    traces = _once(traces, F.expr(walk), "paths")
+    traces = _once(traces, F.expr(walk), "paths").drop("below")
     fields = ", ".join(
         f"'{f}', " + ("if(pos = 0, traceid, x.parent)" if f == "parent" else f"x.{f}")
         for f in (*STEP_FIELDS, *extra)

@@ -59,17 +59,18 @@ def write_page_tables(spans: DataFrame, root: str, batch_id: int, now_ms: int) -
 
 
 def write_raw_spans(exploded: DataFrame, root: str, batch_id: int) -> None:
-    rows = span_ops.latest_per_key(
-        span_ops.store_rows(exploded), ("rowkey", *span_ops.STORE_KEY), "receive"
-    )
+    rows = span_ops.latest_per_key(span_ops.store_rows(exploded), ("rowkey",), "receive")
     t.write_batch(rows, root, t.RAW_SPANS, batch_id, t.day_of_seconds(F.col("begin_sec")))
 
 
-def read_raw_spans(spark: SparkSession, root: str, as_of_ms: int | None = None) -> DataFrame:
+def read_raw_spans(
+    spark: SparkSession, root: str, as_of_ms: int | None = None,
+    columns: tuple[str, ...] = span_ops.STORE_COLUMNS,
+) -> DataFrame:
     """The span store, last write per key; with ``as_of_ms`` the day scan.
 
     The range reaches the files as a partition filter on the day and a pushed filter on the
-    begin time.
+    begin time, and only the named columns are read.
     """
     store = t.read_table(spark, root, t.RAW_SPANS)
     if as_of_ms is not None:
@@ -78,10 +79,8 @@ def read_raw_spans(spark: SparkSession, root: str, as_of_ms: int | None = None)
         store = store.where(
             F.col("day") >= t.day_of_seconds(F.lit(last // 86_400 * 86_400 - 8 * 3600))
         ).where(F.col("day") <= t.day_of_seconds(F.lit(last)))
-    columns = [c for c in store.columns if c not in ("day", "batch_id")]
-    return span_ops.latest_per_key(
-        store.select(*columns), ("rowkey", *span_ops.STORE_KEY), "receive"
-    )
+    wanted = dict.fromkeys(("rowkey", "receive", *columns))
+    return span_ops.latest_per_key(store.select(*wanted), ("rowkey",), "receive")
 
 
 def daily_chains(spans: DataFrame) -> DataFrame:
@@ -102,7 +101,8 @@ def daily_job(
     tags: TagKeys = TagKeys(),
 ) -> None:
     """Run the day's handlers over the span store; a rerun replaces the day's folder."""
-    spans = span_ops.spans_of_store(read_raw_spans(spark, root, as_of_ms), tags).persist()
+    stored = read_raw_spans(spark, root, as_of_ms, span_ops.ANALYSIS_COLUMNS)
+    spans = span_ops.spans_of_store(stored, tags).persist()
     day = as_of_ms // 86_400_000
     for table, handler in handlers:
         t.write_batch(spans.transform(handler), root, table, day)

@@ -190,7 +190,7 @@ def _store(spark: SparkSession, sf_dir: str) -> DataFrame:
         "name": F.when(F.col("again") == 1, F.upper("name")).otherwise(F.col("name")),
     })
     rows = span_ops.store_rows(sent)
-    return span_ops.latest_per_key(rows, ("rowkey", *span_ops.STORE_KEY), "receive")
+    return span_ops.latest_per_key(rows, ("rowkey",), "receive")
 
 
 def raw_span_store(spark: SparkSession, sf_dir: str) -> DataFrame:

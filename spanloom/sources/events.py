@@ -14,7 +14,7 @@ from spanloom.functions import hex_id
 from spanloom.operators.skew import HeavyKeys, heavy_keys, row_number_in_group
 
 # Traces with more spans than this are built by joins instead of inside one row.
-INLINE_SPANS = 512
+INLINE_SPANS = 2048
 
 
 @dataclass(frozen=True)
@@ -31,7 +31,8 @@ def event_spans(spark: SparkSession, sf_dir: str, inline_spans: int = INLINE_SPA
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
     traced = events.withColumn("tno", trace_no).withColumn("traceid", hex_id(F.col("tno")))
 
-    heavy = heavy_keys(traced, "traceid", inline_spans)
+    heavy = heavy_keys(traced, "tno", inline_spans)
+    heavy = heavy and heavy.spelled("traceid", hex_id(F.col("tno")))
     numbered = row_number_in_group(traced, "traceid", ["ts", "event_id"], "idx", heavy)
     spanid = F.when(F.col("idx") == 1, F.col("traceid")).otherwise(
         hex_id(F.lit(1_000_000_000) + F.col("event_id"))

@@ -33,7 +33,7 @@ def _key(s):
     return [(v is not None, v) for v in fields]
 
 
-def preorder(spans):
+def preorder(spans, deepest=101):
     """Steps (level, span) of one trace: root first, children in order below their parent."""
     ordered = sorted(spans, key=_key)
     roots = [i for i, s in enumerate(ordered) if s["spanid"] == s["traceid"]]
@@ -43,7 +43,7 @@ def preorder(spans):
     while stack:
         level, at = stack.pop()
         steps.append((level, ordered[at]))
-        if level < 101:
+        if level < deepest:
             below = [
                 i for i, s in enumerate(ordered)
                 if i != root and s["parent"] == ordered[at]["spanid"] and s["event"] == "cs"
@@ -53,8 +53,8 @@ def preorder(spans):
     return steps
 
 
-def summary(spans):
-    steps = preorder(spans)
+def summary(spans, deepest=101):
+    steps = preorder(spans, deepest)
     root = steps[0][1]
     names = "".join(s["name"] + "|" for _, s in steps)
     kinds = [s["span_type"] for _, s in steps]

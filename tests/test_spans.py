@@ -122,9 +122,7 @@ def test_store_keeps_the_last_write(spark):
     rows = exploded(spark, one_span(), receive=1).unionByName(
         exploded(spark, one_span(name="later"), one_span(logs=[]), receive=2)
     )
-    stored = span_ops.latest_per_key(
-        span_ops.store_rows(rows), ("rowkey", *span_ops.STORE_KEY), "receive"
-    )
+    stored = span_ops.latest_per_key(span_ops.store_rows(rows), ("rowkey",), "receive")
     got = {r.event: r for r in stored.collect()}
     assert set(got) == {"cs", "none"}
     assert got["cs"].name == "later" and got["cs"].begin_sec == 1

@@ -3,6 +3,7 @@ import json
 from pyspark.sql import functions as F
 
 from spanloom.operators.holding import HoldRules
+from spanloom.operators import spans as span_ops
 from spanloom.plans import jobs
 from spanloom.sinks import tables as t
 from spanloom.sources.messages import PAYLOAD, file_payloads
@@ -130,8 +131,10 @@ def test_daily_job_reads_the_store(spark, tmp_path):
     assert sum(r.times for r in rows) == 6
     assert {r.day_start for r in rows} == {BASE // 86_400_000 * 86_400}
     assert sum(r.mysql_times for r in rows) == 6
-    plan = jobs.read_raw_spans(spark, stream.root, as_of)._jdf.queryExecution().toString()
+    scan = jobs.read_raw_spans(spark, stream.root, as_of, span_ops.ANALYSIS_COLUMNS)
+    plan = scan._jdf.queryExecution().toString()
     assert "PartitionFilters: [isnotnull(day" in plan and "GreaterThanOrEqual(begin" in plan
+    assert "logs" not in plan.split("ReadSchema")[1]
 
 
 def test_sessions_fetch_their_spans_from_the_store(spark, tmp_path):

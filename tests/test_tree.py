@@ -94,11 +94,11 @@ def _bounded(rows):
     return True
 
 
-def expected(rows):
+def expected(rows, deepest=101):
     summaries, steps = [], []
     for tid, group in by_trace(rows).items():
-        summaries.append(model.summary(group))
-        for pos, (level, s) in enumerate(model.preorder(group)):
+        summaries.append(model.summary(group, deepest))
+        for pos, (level, s) in enumerate(model.preorder(group, deepest)):
             parent = tid if pos == 0 else s["parent"]
             steps.append((tid, pos, level, s["spanid"], parent, s["name"], s["event"]))
     return sorted(tuple(str(v) for v in s.values()) for s in summaries), sorted(map(str, steps))
@@ -120,12 +120,13 @@ def test_inline_trees_match_the_rules(spark):
     assert actual(build_forest(frame(spark, ROWS), None)) == expected(ROWS)
 
 
-@pytest.mark.parametrize("limit,rows", [(0, ROWS), (3, SHALLOW)])
-def test_joined_trees_match_the_rules(spark, limit, rows):
-    spans = frame(spark, rows)
+@pytest.mark.parametrize("limit", [0, 3])
+def test_joined_trees_match_the_rules(spark, monkeypatch, limit):
+    monkeypatch.setattr(tree, "MAX_LEVEL", 15)
+    spans = frame(spark, ROWS)
     heavy = heavy_keys(spans, "traceid", limit)
     assert heavy is not None
-    assert actual(build_forest(spans, heavy)) == expected(rows)
+    assert actual(build_forest(spans, heavy)) == expected(ROWS, 15)
 
 
 def test_deepest_level(spark):
