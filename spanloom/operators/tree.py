@@ -30,7 +30,7 @@ PAYLOAD = ("name", "end", "receive", "error_count", "span_type", "region")
 STEP_FIELDS = ("name", "spanid", "parent", "begin", "end", "event", "error_count", "span_type")
 
 MEASURES = (
-    "traceid", "api", "trace_md5", "duration", "start_ms", "minute_start", "day_start",
+    "traceid", "api", "trace_md5", "duration", "start_ms", "start_day", "minute_start", "day_start",
     "error_status", "rest_times", "mysql_times", "redis_times", "region", "steps_total",
 )
 
@@ -193,6 +193,7 @@ def _inline(spans: DataFrame, extra: tuple[str, ...]) -> DataFrame:
         F.md5(F.concat(F.array_join(names, "|"), F.lit("|"))).alias("trace_md5"),
         (root["end"] - root["begin"]).alias("duration"),
         root["begin"].alias("start_ms"),
+        day_start(root["begin"]).alias("start_day"),
         minute_start(root["receive"]).alias("minute_start"),
         day_start(root["receive"]).alias("day_start"),
         F.exists("tree", lambda t: t["error_count"] > 0).alias("error_status"),
@@ -344,6 +345,7 @@ def _wide_summary(steps: DataFrame) -> DataFrame:
         "trace_md5",
         (F.col("root.end") - F.col("root.begin")).alias("duration"),
         F.col("root.begin").alias("start_ms"),
+        day_start(F.col("root.begin")).alias("start_day"),
         minute_start(F.col("root.receive")).alias("minute_start"),
         day_start(F.col("root.receive")).alias("day_start"),
         "error_status", "rest_times", "mysql_times", "redis_times",

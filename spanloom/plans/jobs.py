@@ -6,7 +6,6 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from spanloom.functions import day_start
 from spanloom.operators import indexes, pages, spans as span_ops, stats
 from spanloom.operators.skew import heavy_keys
 from spanloom.operators.tree import Forest, build_forest
@@ -83,11 +82,15 @@ def read_raw_spans(
     return span_ops.latest_per_key(store.select(*wanted), ("rowkey",), "receive")
 
 
+def daily_table(forest: Forest) -> DataFrame:
+    """Call-chain statistics per UTC day of the root's begin time, with steps and row key."""
+    chains = stats.chain_table(forest, "start_day").withColumnRenamed("start_day", "day_start")
+    bucket = F.concat_ws(".", "day_start", "trace_md5")
+    return chains.withColumn("rowkey", F.concat_ws(":", "api", bucket))
+
+
 def daily_chains(spans: DataFrame) -> DataFrame:
-    """Call-chain statistics per UTC day of the root's begin time."""
-    forest = forest_of(spans)
-    by_day = forest.summary().withColumn("day_start", day_start(F.col("start_ms")))
-    return stats.chain_stats(by_day, "day_start")
+    return daily_table(forest_of(spans))
 
 
 DAILY_HANDLERS: Sequence[tuple[str, BatchHandler]] = ((t.CHAIN_DAYS, daily_chains),)

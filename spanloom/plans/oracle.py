@@ -71,6 +71,7 @@ summary as (
     md5(string_agg(name, '|' order by pos) || '|') as trace_md5,
     max(case when pos = 0 then "end" - begin end) as duration,
     max(case when pos = 0 then begin end) as start_ms,
+    max(case when pos = 0 then begin end) // 86400000 * 86400 as start_day,
     max(case when pos = 0 then receive end) // 60000 * 60 as minute_start,
     max(case when pos = 0 then receive end) // 86400000 * 86400 as day_start,
     bool_or(error_count > 0) as error_status,
@@ -84,7 +85,7 @@ summary as (
 
 MEASURED = TREE + """,
 chain as (
-  select s.*, m.minute_start, m.trace_md5 from steps s join summary m on s.traceid = m.traceid)
+  select s.*, m.minute_start, m.start_day, m.trace_md5 from steps s join summary m on s.traceid = m.traceid)
 """
 
 STEP_JSON = """
@@ -122,16 +123,32 @@ select {extra} {bucket}, trace_md5, api, count(*) as times,
 from {source} group by {extra} {bucket}, trace_md5, api"""
 
 
-CHAIN_STEPS = """
-select minute_start, trace_md5, pos,
-  min({'t': traceid, 'v': name})['v'] as span_name,
-  min({'t': traceid, 'v': spanid})['v'] as span_id,
+def chain_steps(bucket: str) -> str:
+    return f"""
+select {bucket}, trace_md5, pos,
+  min({{'t': traceid, 'v': name}})['v'] as span_name,
+  min({{'t': traceid, 'v': spanid}})['v'] as span_id,
   cast(sum("end" - begin) // count(*) as bigint) as duration,
-  min({'t': traceid, 'v': level})['v'] as level,
-  min({'t': traceid, 'v': parent})['v'] as parent,
+  min({{'t': traceid, 'v': level}})['v'] as level,
+  min({{'t': traceid, 'v': parent}})['v'] as parent,
   cast(sum(error_count) as bigint) as error_count,
-  min({'t': traceid, 'v': span_type})['v'] as span_type
-from chain group by minute_start, trace_md5, pos"""
+  min({{'t': traceid, 'v': span_type}})['v'] as span_type
+from chain group by {bucket}, trace_md5, pos"""
+
+
+def chain_table(bucket: str) -> str:
+    """Chain statistics joined with their steps as JSON, 1,000 steps a row."""
+    return MEASURED + f""",
+chain_rows as ({chains("summary", bucket)}),
+chain_steps as ({chain_steps(bucket)}),
+chain_texts as (
+  select {bucket}, trace_md5, cast(pos // 1000 as bigint) as segment,
+    '[' || string_agg(
+      '{{"spanName":"' || span_name || '","spanId":"' || span_id || '","duration":' || duration
+      || ',"level":' || level || ',"parent":"' || parent || '","errorCount":' || error_count
+      || ',"spanType":"' || span_type || '"}}', ',' order by pos) || ']' as spans
+  from chain_steps group by {bucket}, trace_md5, pos // 1000)"""
+
 
 # Batches of the replayed stream: slices of sixteen days of receive time.
 SLICE_MS = 1_382_400_000
@@ -217,25 +234,20 @@ where traceid not in ({held}) or traceid in ({released}) group by traceid""")
     )
     q["trace_summary"] = _with(TREE, "select * from summary")
     q["api_minutes"] = _with(TREE, chains("summary", "minute_start"))
-    q["api_minutes_steps"] = _with(MEASURED, CHAIN_STEPS)
+    q["api_minutes_steps"] = _with(MEASURED, chain_steps("minute_start"))
     q["api_minutes_table"] = _with(
-        MEASURED + f""",
-chain_rows as ({chains("summary", "minute_start")}),
-chain_steps as ({CHAIN_STEPS}),
-chain_texts as (
-  select minute_start, trace_md5, cast(pos // 1000 as bigint) as segment,
-    '[' || string_agg(
-      '{{"spanName":"' || span_name || '","spanId":"' || span_id || '","duration":' || duration
-      || ',"level":' || level || ',"parent":"' || parent || '","errorCount":' || error_count
-      || ',"spanType":"' || span_type || '"}}', ',' order by pos) || ']' as spans
-  from chain_steps group by minute_start, trace_md5, pos // 1000)""",
+        chain_table("minute_start"),
         "select * from chain_rows join chain_texts using (minute_start, trace_md5)",
     )
     q["api_daily"] = _with(
         TREE + """,
-days as (select * exclude (day_start), start_ms // 86400000 * 86400 as day_start from summary)""",
+days as (select * exclude (day_start), start_day as day_start from summary)""",
         chains("days", "day_start"),
     )
+    q["api_daily_table"] = _with(chain_table("start_day"), """
+select * exclude (start_day), start_day as day_start,
+  api || ':' || start_day || '.' || trace_md5 as rowkey
+from chain_rows join chain_texts using (start_day, trace_md5)""")
     q["step_profile_by_name"] = _with(MEASURED + """,
 calls as (select trace_md5, count(*) as times from summary group by trace_md5)""", """
 select s.trace_md5, s.name as span_name, c.times, count(*) as steps,

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from spanloom.functions import day_start, hex_id, parse_hex_id, trace_id_string
+from spanloom.functions import hex_id, parse_hex_id, trace_id_string
 from spanloom.operators import holding, indexes, pages, spans as span_ops, stats, words, zipkin
 from spanloom.operators.skew import row_number_in_group
 from spanloom.operators.tree import Forest, build_forest
@@ -118,10 +118,12 @@ def api_minutes_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def api_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
-    summary = _forest(spark, sf_dir).summary()
-    return stats.chain_stats(
-        summary.withColumn("day_start", day_start(F.col("start_ms"))), "day_start"
-    )
+    chains = stats.chain_stats(_forest(spark, sf_dir).summary(), "start_day")
+    return chains.withColumnRenamed("start_day", "day_start")
+
+
+def api_daily_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jobs.daily_table(_forest(spark, sf_dir))
 
 
 def step_profile_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -401,7 +403,7 @@ def queries() -> dict[str, Query]:
     functions = (
         span_flatten, span_flatten_messages, span_type_counts, late_trace_filter, held_traces,
         released_traces, ready_traces, span_order, trace_tree, trace_summary, api_minutes,
-        api_minutes_steps, api_minutes_table, api_daily, step_profile_by_name, chain_profile,
+        api_minutes_steps, api_minutes_table, api_daily, api_daily_table, step_profile_by_name, chain_profile,
         span_ip, exception_trace_by_time, exception_trace_by_api, all_trace_by_md5,
         all_trace_by_api, trace_results, span_identities, page_api, api_page, page_hot_api, raw_span_store, stored_span_parse,
         stored_day_scan, id_normalize, zipkin_spans, zipkin_annotations,

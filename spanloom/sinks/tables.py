@@ -21,7 +21,8 @@ DEAD_LETTERS = "dead_letters"
 
 
 def day_of_seconds(seconds: Column) -> Column:
-    return F.timestamp_seconds(seconds).cast("date")
+    """UTC day, whatever the session's time zone."""
+    return F.date_from_unix_date(F.floor(seconds / 86_400).cast("int"))
 
 
 def write_batch(

@@ -53,7 +53,8 @@ def event_spans(spark: SparkSession, sf_dir: str, inline_spans: int = INLINE_SPA
         "parent", F.max(F.when(F.col("own"), F.col("spanid"))).over(family)
     ).where(~F.col("own"))
 
-    moment = F.to_utc_timestamp(F.col("ts").cast("timestamp"), F.current_timezone())
+    # The wall clock of the table is UTC, whatever the time zone of the session.
+    moment = F.from_utc_timestamp(F.col("ts").cast("timestamp"), F.current_timezone())
     child = child.withColumn("begin", F.unix_millis(moment)).withColumn(
         "k", F.get_json_object("props", "$.k").cast("int")
     )

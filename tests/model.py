@@ -62,6 +62,7 @@ def summary(spans, deepest=101):
         traceid=root["traceid"], api=root["name"],
         trace_md5=hashlib.md5(names.encode()).hexdigest(),
         duration=root["end"] - root["begin"], start_ms=root["begin"],
+        start_day=root["begin"] // 86_400_000 * 86_400,
         minute_start=root["receive"] // 60_000 * 60,
         day_start=root["receive"] // 86_400_000 * 86_400,
         error_status=any(s["error_count"] > 0 for _, s in steps),

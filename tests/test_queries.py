@@ -38,6 +38,16 @@ def test_query(spark, plain, name):
     assert ok, note
 
 
+def test_the_time_zone_of_the_session_does_not_matter(spark, plain):
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        for name in ("span_flatten", "decode_messages"):
+            ok, note = compare(spark, plain, SF, name)
+            assert ok, note
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 @pytest.fixture(scope="module")
 def skewed(tmp_path_factory):
     """The events with a third of all rows moved to one user and day."""

@@ -7,7 +7,7 @@ from spanloom.operators import spans as span_ops
 from spanloom.plans import jobs
 from spanloom.sinks import tables as t
 from spanloom.sources.messages import PAYLOAD, file_payloads
-from spanloom.streaming.job import HANDLERS, TraceStream, waiting_spans
+from spanloom.streaming.job import HANDLERS, TraceStream, store_spans, waiting_spans
 from spanloom.streaming.replay import replay
 from spanloom.streaming.sessions import closed_sessions, spans_of_sessions
 from spanloom.streaming.words import file_texts, running_word_count
@@ -123,7 +123,7 @@ def test_own_handlers(spark, tmp_path):
 
 
 def test_daily_job_reads_the_store(spark, tmp_path):
-    stream, _ = start_stream(spark, str(tmp_path), SLICES)
+    stream, _ = start_stream(spark, str(tmp_path), SLICES, (store_spans,))
     as_of = BASE + 300_000
     jobs.daily_job(spark, stream.root, as_of)
     jobs.daily_job(spark, stream.root, as_of)
@@ -131,6 +131,8 @@ def test_daily_job_reads_the_store(spark, tmp_path):
     assert sum(r.times for r in rows) == 6
     assert {r.day_start for r in rows} == {BASE // 86_400_000 * 86_400}
     assert sum(r.mysql_times for r in rows) == 6
+    assert sum(len(json.loads(r.spans)) * r.times for r in rows) == 8
+    assert all(r.rowkey == f"{r.api}:{r.day_start}.{r.trace_md5}" for r in rows)
     scan = jobs.read_raw_spans(spark, stream.root, as_of, span_ops.ANALYSIS_COLUMNS)
     plan = scan._jdf.queryExecution().toString()
     assert "PartitionFilters: [isnotnull(day" in plan and "GreaterThanOrEqual(begin" in plan
