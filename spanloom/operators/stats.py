@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from spanloom.functions import has_text
 from spanloom.operators.tree import SEGMENT_STEPS, Forest
@@ -70,12 +70,17 @@ def chain_steps(forest: Forest, bucket: str) -> DataFrame:
 def step_profile(forest: Forest, bucket: str | None = None) -> DataFrame:
     """Mean time per step name of every call chain: the name's total over the chain's calls."""
     keys = ["trace_md5"] if bucket is None else [bucket, "trace_md5"]
-    calls = forest.summary().groupBy(*keys).agg(F.count("*").alias("times"))
-    totals = (
+    names = (
         forest.steps(*keys).groupBy(*keys, F.col("name").alias("span_name"))
-        .agg(F.sum(F.col("end") - F.col("begin")).alias("total"), F.count("*").alias("steps"))
+        .agg(
+            F.sum(F.col("end") - F.col("begin")).alias("total"),
+            F.count("*").alias("steps"),
+            F.count_if(F.col("pos") == 0).alias("roots"),
+        )
     )
-    return totals.join(calls, keys).select(
+    # Every call has one root step, so the chain's calls are the sum over its few names.
+    times = F.sum("roots").over(Window.partitionBy(*keys))
+    return names.withColumn("times", times).select(
         *keys, "span_name", "times", "steps",
         whole_mean(F.col("total"), F.col("times")).alias("duration"),
     )

@@ -140,47 +140,71 @@ def sorted_spans(spans: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
     return grouped.select("traceid", "s", root.cast("int").alias("ri"))
 
 
-def _inline(spans: DataFrame, extra: tuple[str, ...]) -> DataFrame:
-    traces = sorted_spans(spans, extra)
-    # Candidate children by parent and position, so that siblings lie together and in order.
+# Levels walked between two looks at whether the frontier is empty.
+LEVELS_AT_ONCE = 8
+# Up to this many edges children are found by filtering, beyond it by sorted slices.
+FEW_EDGES = 24
+
+
+def _let(name: str, value: str, body: str) -> str:
+    """SQL for ``body`` with ``name`` standing for ``value``, computed once."""
+    return f"transform(array({value}), {name} -> {body})[0]"
+
+
+def _tree_expression(extra: tuple[str, ...]) -> str:
+    """SQL for the array of steps of a trace, from its sorted spans ``s`` and root index ``ri``."""
     edges = f"""
-        sort_array(filter(
-          transform(s, (x, i) -> if(x.event = '{CLIENT_SEND}' and x.spanid <> x.parent and i <> ri,
-                                    named_struct('parent', x.parent, 'i', i), null)),
-          e -> e is not null))"""
-    traces = _once(traces, F.expr(edges), "edges")
-    columns = """
-        named_struct('ids', s.spanid, 'parents', edges.parent, 'children', edges.i,
-                     'distinct', array_distinct(edges.parent))"""
-    traces = _once(traces, F.expr(columns), "e").drop("edges")
-    starts = """
-        concat(transform(e.distinct, p -> array_position(e.parents, p)), array(size(e.parents) + 1L))"""
-    traces = _once(traces, F.expr(starts), "starts")
-    below = """
-        transform(transform(e.ids, id -> cast(array_position(e.distinct, id) as int)), j ->
-          if(j = 0, cast(array() as array<int>),
-             slice(e.children, cast(starts[j - 1] as int), cast(starts[j] - starts[j - 1] as int))))"""
-    traces = _once(traces, F.expr(below), "below").drop("e", "starts")
+        filter(transform(s, (x, i) -> if(x.event = '{CLIENT_SEND}' and x.spanid <> x.parent and i <> ri,
+                                         named_struct('parent', x.parent, 'i', i), null)),
+               e -> e is not null)"""
+    # The indexes of every span's children, in order.
+    filtered = """
+        transform(s, x -> transform(filter(edges, e -> e.parent = x.spanid), e -> e.i))"""
+    sliced = _let(
+        "e",
+        """named_struct('ids', s.spanid, 'parents', ordered.parent, 'children', ordered.i,
+                        'distinct', array_distinct(ordered.parent))""",
+        _let(
+            "starts",
+            """concat(transform(e.distinct, p -> array_position(e.parents, p)),
+                      array(size(e.parents) + 1L))""",
+            """transform(transform(e.ids, id -> cast(array_position(e.distinct, id) as int)), j ->
+                 if(j = 0, cast(array() as array<int>),
+                    slice(e.children, cast(starts[j - 1] as int),
+                          cast(starts[j] - starts[j - 1] as int))))""",
+        ),
+    )
+    below = f"if(size(edges) <= {FEW_EDGES}, {filtered}, {_let('ordered', 'sort_array(edges)', sliced)})"
     # Level by level: children of the frontier become the next frontier. A node is its path
     # of span indexes, so sorting the nodes gives preorder.
+    level = """
+        if(size(acc.front) = 0, acc, named_struct(
+          'done', concat(acc.done, acc.front),
+          'front', flatten(transform(acc.front, p -> transform(
+                     below[element_at(p, -1)], c -> concat(p, array(c)))))))"""
     walk = f"""
         aggregate(
-          sequence(1, {MAX_LEVEL}),
+          sequence(1, {MAX_LEVEL}, {LEVELS_AT_ONCE}),
           named_struct('done', cast(array() as array<array<int>>), 'front', array(array(ri))),
-          (acc, l) -> if(size(acc.front) = 0, acc, named_struct(
-            'done', concat(acc.done, acc.front),
-            'front', flatten(transform(acc.front, p -> transform(
-                       below[element_at(p, -1)], c -> concat(p, array(c))))))),
+          (sofar, first) -> if(size(sofar.front) = 0, sofar, aggregate(
+            sequence(first, least(first + {LEVELS_AT_ONCE - 1}, {MAX_LEVEL})), sofar,
+            (acc, l) -> {level})),
           acc -> sort_array(concat(acc.done, acc.front)))"""
-    traces = _once(traces, F.expr(walk), "paths").drop("below")
+    paths = _let(
+        "edges", edges, f"if(size(edges) = 0, array(array(ri)), {_let('below', below, walk)})"
+    )
     fields = ", ".join(
         f"'{f}', " + ("if(pos = 0, traceid, x.parent)" if f == "parent" else f"x.{f}")
         for f in (*STEP_FIELDS, *extra)
     )
-    steps = f"""
-        transform(paths, (p, pos) -> transform(array(s[element_at(p, -1)]), x -> named_struct(
-          'pos', cast(pos as bigint), 'level', cast(size(p) - 1 as bigint), {fields}))[0])"""
-    traces = _once(traces, F.expr(steps), "tree")
+    step = f"""named_struct(
+        'pos', cast(pos as bigint), 'level', cast(size(p) - 1 as bigint), {fields})"""
+    return f"transform({paths}, (p, pos) -> {_let('x', 's[element_at(p, -1)]', step)})"
+
+
+def _inline(spans: DataFrame, extra: tuple[str, ...]) -> DataFrame:
+    traces = sorted_spans(spans, extra)
+    traces = _once(traces, F.expr(_tree_expression(extra)), "tree")
     root = F.col("s")[F.col("ri")]
 
     def times(kind: str) -> Column:

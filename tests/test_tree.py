@@ -116,7 +116,9 @@ ROWS = edge_cases() + random_rows(7, 150)
 SHALLOW = [r for r in ROWS if r["traceid"] not in ("deep", "cycle")]
 
 
-def test_inline_trees_match_the_rules(spark):
+@pytest.mark.parametrize("few", [0, tree.FEW_EDGES])
+def test_inline_trees_match_the_rules(spark, monkeypatch, few):
+    monkeypatch.setattr(tree, "FEW_EDGES", few)
     assert actual(build_forest(frame(spark, ROWS), None)) == expected(ROWS)
 
 
