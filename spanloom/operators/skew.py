@@ -65,7 +65,9 @@ def split_heavy(df: DataFrame, heavy: HeavyKeys) -> tuple[DataFrame, DataFrame]:
     return light, wide.unionByName(sized.where(F.col("_size") > heavy.limit).drop("_size"))
 
 
-def join_sized(rows: DataFrame, groups: DataFrame, key: str, size: str) -> DataFrame:
+def join_sized(
+    rows: DataFrame, groups: DataFrame, key: str | list[str], size: str
+) -> DataFrame:
     """Inner join of rows with one row per key that knows the key's row count in ``size``.
 
     A short list of groups is broadcast. Of a long one, the giants are, and the rows of the

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from spanloom.functions import has_text
+from spanloom.operators.skew import join_sized
 from spanloom.operators.tree import SEGMENT_STEPS, Forest
+from spanloom.staging import stage
 
 # Weighted means are sum over count with one truncation, so they do not depend on the order
 # in which partial results meet. Ties for the slowest (fastest) trace go to the largest
@@ -78,9 +80,10 @@ def step_profile(forest: Forest, bucket: str | None = None) -> DataFrame:
             F.count_if(F.col("pos") == 0).alias("roots"),
         )
     )
-    # Every call has one root step, so the chain's calls are the sum over its few names.
-    times = F.sum("roots").over(Window.partitionBy(*keys))
-    return names.withColumn("times", times).select(
+    # Every call has one root step, so a chain's calls are the sum over its names.
+    names = stage(names, "step-names")
+    calls = names.groupBy(*keys).agg(F.sum("roots").alias("times"), F.count("*").alias("_size"))
+    return join_sized(names, calls, keys, "_size").select(
         *keys, "span_name", "times", "steps",
         whole_mean(F.col("total"), F.col("times")).alias("duration"),
     )
