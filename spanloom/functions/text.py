@@ -14,7 +14,7 @@ def has_text(text: Column) -> Column:
     return text.isNotNull() & text.rlike(r"[^\s\x{1c}-\x{1f}]")
 
 
-def java_split_spaces(text: Column) -> Column:
+def split_on_spaces(text: Column) -> Column:
     """Split on single spaces, dropping empty strings at the end only.
 
     An empty text is one empty word, a text of spaces only has no words, and a null text

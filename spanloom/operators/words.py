@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from spanloom.functions import java_split_spaces
+from spanloom.functions import split_on_spaces
 
 
 def words(texts: DataFrame, column: str = "text") -> DataFrame:
-    return texts.select(F.explode(java_split_spaces(F.col(column))).alias("word"))
+    return texts.select(F.explode(split_on_spaces(F.col(column))).alias("word"))
 
 
 def word_count(texts: DataFrame, column: str = "text") -> DataFrame:

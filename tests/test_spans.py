@@ -2,7 +2,7 @@ import json
 
 from pyspark.sql import functions as F
 
-from spanloom.functions import has_text, hex_id, ipv4_to_int, java_split_spaces, parse_hex_id
+from spanloom.functions import has_text, hex_id, ipv4_to_int, split_on_spaces, parse_hex_id
 from spanloom.operators import spans as span_ops, zipkin
 from spanloom.schemas import MESSAGE, TagKeys
 from spanloom.sources.messages import PAYLOAD, dead_letters, decode, good_messages
@@ -57,7 +57,7 @@ def test_blank_text(spark):
 def test_word_split_drops_empty_words_at_the_end_only(spark):
     values = ["which means that the aa ", "a  b", " a", "", "   ", None]
     wanted = [["which", "means", "that", "the", "aa"], ["a", "", "b"], ["", "a"], [""], [], ["null"]]
-    assert column(spark, java_split_spaces, *values) == wanted
+    assert column(spark, split_on_spaces, *values) == wanted
 
 
 def test_flat_row(spark):

@@ -210,4 +210,5 @@ def test_sized_join_splits_the_giants(spark, monkeypatch):
     wanted = sorted(map(str, rows.join(groups, "key").collect()))
     for keys in (3, 100):
         monkeypatch.setattr(skew, "BROADCAST_KEYS", keys)
-        assert sorted(map(str, skew.join_sized(rows, groups, "key", "n").collect())) == wanted
+        for key in ("key", ["key"]):
+            assert sorted(map(str, skew.join_sized(rows, groups, key, "n").collect())) == wanted
