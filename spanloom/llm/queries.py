@@ -6,16 +6,32 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from spanloom.llm import mixing, packing, tokens
+from spanloom.llm import embeddings, langid, lines, mixing, packing, simhash, tokens
 from spanloom.llm.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_duplicates(read_table(spark, sf_dir, "embeddings"))
+
+
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.deduplicated(read_table(spark, sf_dir, "documents"))
+
+
+def op3_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicate_report(read_table(spark, sf_dir, "documents"))
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.document_tokens(read_table(spark, sf_dir, "documents"))
 
 
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.document_languages(read_table(spark, sf_dir, "documents"))
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed_documents(read_table(spark, sf_dir, "documents"))
 
@@ -25,9 +41,12 @@ def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    functions = (op5_token_counts, op9_packing, op10_source_mix)
+    functions = (
+        op1_embedding_dedup, op2_substring_dedup, op3_simhash_dedup, op5_token_counts,
+        op7_language_id, op9_packing, op10_source_mix,
+    )
     return {f.__name__: f for f in functions}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op10_source_mix": mixing.ORACLE}
+    return {"op2_substring_dedup": lines.ORACLE, "op10_source_mix": mixing.ORACLE}
