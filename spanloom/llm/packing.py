@@ -63,8 +63,7 @@ def document_ids(text: str, tokenizer: str, closing: int) -> np.ndarray:
     end = np.array([closing], dtype=np.uint32)
     if not text:
         return end
-    first, rest = id_pieces(tokenizer).parts(text)
-    return np.concatenate([np.frombuffer(first + b"".join(rest), dtype=np.uint32), end])
+    return np.concatenate([np.frombuffer(id_pieces(tokenizer).of(text), dtype=np.uint32), end])
 
 
 def cuts(lengths: np.ndarray, ids: np.ndarray, ends: np.ndarray, window: int):

@@ -37,8 +37,13 @@ CANDIDATES = 16_384
 PIECE_CHARS = 48
 #: Pieces that a task counts before it forgets the rarer ones.
 COUNTED = 200_000
-#: Entries of a worker's cache; a full cache starts again from tier 1.
-CACHED = 400_000
+#: Entries of a generation of a worker's cache, which has two.
+CACHED = 800_000
+
+#: The letters that the byte-level alphabet writes for bytes: visible Latin-1 for itself, the others
+#: as the letters from U+0100 on, in order.
+_VISIBLE = {*range(33, 127), *range(161, 173), *range(174, 256)}
+BYTE_LETTERS = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _VISIBLE)}
 
 _SPACE_BETWEEN_WORDS = re.compile(r"(?<=\S) (?=\S)")
 
@@ -60,52 +65,77 @@ def load_tokenizer(name: str):
     return tokenizer
 
 
+class UnsafeCut(Exception):
+    """A space is not between two visible characters: the text must be cut with more care."""
+
+
 class Pieces(dict):
-    """Values of pieces that follow a space, encoded when they are first asked for.
+    """Values of pieces that follow a space, found when they are first asked for.
 
-    The value of a string that a safe cut cannot give is None: it is empty, or white space
-    begins or ends it.
+    ``measure`` makes a value of token ids, ``join`` the value of a text of those of its pieces.
+    The cache has two generations: when the young one is full it becomes the old one, and what
+    is asked for again moves back. The pieces of ``frequent`` always stay.
     """
 
-    def __init__(self, encode: Callable[[str], object], frequent: dict, limit: int):
+    def __init__(self, measure: Callable, join: Callable, tokenizer, frequent: dict, limit: int):
         super().__init__(frequent)
-        self.encode = encode
-        self.frequent = frequent
+        self.measure, self.join = measure, join
+        self.encode_ids = tokenizer.encode
+        self.tokenize = tokenizer.model.tokenize
+        self.bytelevel = type(tokenizer.pre_tokenizer).__name__ == "ByteLevel"
+        self.marks = {c: self.encode(c) for c in ",.;:!?"} if self.bytelevel else {}
+        self.frequent, self.old = frequent, {}
         self.limit = limit + len(frequent)
 
+    def encode(self, text: str):
+        return self.measure(self.encode_ids(text, add_special_tokens=False).ids)
+
+    def _value(self, piece: str):
+        if self.bytelevel and piece.isalpha():
+            # Letters are one pre-token: the model alone gives the library's tokens.
+            mapped = (" " + piece).encode().decode("latin-1").translate(BYTE_LETTERS)
+            return self.measure([t.id for t in self.tokenize(mapped)])
+        if piece[-1] in self.marks and piece[:-1].isalpha():
+            return self[piece[:-1]] + self.marks[piece[-1]]
+        return self.encode(" " + piece)
+
     def __missing__(self, piece: str):
         if not piece or piece[0].isspace() or piece[-1].isspace():
-            return None
-        value = self.encode(" " + piece)
+            raise UnsafeCut
+        value = self.old.pop(piece, None)
+        if value is None:
+            value = self._value(piece)
         if len(piece) <= PIECE_CHARS:
             if len(self) >= self.limit:
+                self.old = dict(self)
                 self.clear()
                 self.update(self.frequent)
             self[piece] = value
         return value
 
-    def parts(self, text: str) -> tuple[object, list]:
-        """Value of the first piece, and the values of the others."""
+    def of(self, text: str):
+        """The value of a text."""
         first, *rest = text.split(" ")
-        found = list(map(self.__getitem__, rest))
-        if None in found or (rest and (not first or first[-1].isspace())):
+        try:
+            if rest and (not first or first[-1].isspace()):
+                raise UnsafeCut
+            return self.encode(first) + self.join(map(self.__getitem__, rest))
+        except UnsafeCut:
             first, *rest = _SPACE_BETWEEN_WORDS.split(text)
-            found = list(map(self.__getitem__, rest))
-        return self.encode(first), found
+            return self.encode(first) + self.join(map(self.__getitem__, rest))
 
 
 @functools.lru_cache(maxsize=8)
 def id_pieces(name: str) -> Pieces:
     """Token ids of pieces as little-endian 32-bit bytes."""
-    encode = load_tokenizer(name).encode
     return Pieces(
-        lambda s: array("I", encode(s, add_special_tokens=False).ids).tobytes(), {}, CACHED
+        lambda ids: array("I", ids).tobytes(), b"".join, load_tokenizer(name), {}, CACHED
     )
 
 
-def length_encoder(name: str) -> Callable[[str], int]:
-    encode = load_tokenizer(name).encode
-    return lambda s: len(encode(s, add_special_tokens=False).ids)
+def length_pieces(name: str, frequent: dict[str, int]) -> Pieces:
+    """Numbers of tokens of pieces."""
+    return Pieces(len, sum, load_tokenizer(name), frequent, CACHED)
 
 
 #: The cache of a Python worker, by tokenizer and run.
@@ -116,7 +146,7 @@ def _length_pieces(name: str, run: str, table) -> Pieces:
     key = (name, run)
     if key not in _WORKER_LENGTHS:
         _WORKER_LENGTHS.clear()
-        _WORKER_LENGTHS[key] = Pieces(length_encoder(name), table.value, CACHED)
+        _WORKER_LENGTHS[key] = length_pieces(name, table.value)
     return _WORKER_LENGTHS[key]
 
 
@@ -145,8 +175,8 @@ def frequent_lengths(docs: DataFrame, tokenizer: str = TOKENIZER) -> dict[str, i
         .groupBy("piece").agg(F.sum("n").alias("n"))
         .orderBy(F.desc("n"), "piece").limit(FREQUENT).collect()
     )
-    encode = length_encoder(tokenizer)
-    return {row.piece: encode(" " + row.piece) for row in rows}
+    pieces = length_pieces(tokenizer, {})
+    return {row.piece: pieces[row.piece] for row in rows}
 
 
 def count_tokens(
@@ -176,11 +206,7 @@ def count_tokens(
         for batch in batches:
             counts = array("q")
             for value in values(batch.column(0)):
-                if value:
-                    first, rest = pieces.parts(value)
-                    counts.append(first + sum(rest))
-                else:
-                    counts.append(0)
+                counts.append(pieces.of(value) if value else 0)
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[1:], pa.array(counts, pa.int64())], names=[*kept, out]
             )
