@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from spanloom.llm import embeddings, langid, lines, mixing, packing, simhash, tokens
+from spanloom.llm import embeddings, langid, lines, mixing, packing, quality, simhash, tokens
 from spanloom.llm.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,6 +24,12 @@ def op3_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicate_report(read_table(spark, sf_dir, "documents"))
 
 
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.verdicts(
+        read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
+    )
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.document_tokens(read_table(spark, sf_dir, "documents"))
 
@@ -42,8 +48,8 @@ def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     functions = (
-        op1_embedding_dedup, op2_substring_dedup, op3_simhash_dedup, op5_token_counts,
-        op7_language_id, op9_packing, op10_source_mix,
+        op1_embedding_dedup, op2_substring_dedup, op3_simhash_dedup, op4_quality_rules,
+        op5_token_counts, op7_language_id, op9_packing, op10_source_mix,
     )
     return {f.__name__: f for f in functions}
 
