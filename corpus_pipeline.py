@@ -4,22 +4,45 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from spanloom.llm import mixing, packing
+from spanloom.llm import langid, lines, mixing, packing, simhash
 from spanloom.llm.tables import read_table
 from spanloom.staging import new_folder
 
 
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a language go: null texts, and texts without a letter."""
+    return langid.identified_documents(docs)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates stays."""
+    return simhash.representatives(docs)
+
+
+def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Lines and sentences stay where they occur first; n_chars follows the text."""
+    return lines.cut_documents(docs)
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix takes them."""
     return mixing.mix(docs)
 
 
 def pack_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of documents in sequences."""
     return packing.packed_documents(docs)
 
 
-STAGES = [("mixing", mix_sources), ("packing", pack_documents)]
+STAGES = [
+    ("language_id", identify_language),
+    ("simhash_dedup", drop_near_duplicates),
+    ("substring_dedup", cut_repeats),
+    ("mixing", mix_sources),
+    ("packing", pack_documents),
+]
 
-#: The stages use a tokenizer, trained language models and similarity groups: not SQL.
+#: Trained models, similarity groups and a tokenizer decide here: not for SQL.
 ORACLE_SQL = None
 
 

@@ -161,6 +161,19 @@ def remove_repeats(
     )
 
 
+def cut_documents(docs: DataFrame) -> DataFrame:
+    """The columns of ``docs`` with repeats cut out of the text; a column n_chars follows it."""
+    names = docs.columns
+    packed = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in names]).alias("_row"), "doc_id", "text"
+    )
+    row = F.col("_row").withField("text", F.col("text"))
+    if "n_chars" in names:
+        kind = docs.schema["n_chars"].dataType
+        row = row.withField("n_chars", F.length("text").cast(kind))
+    return remove_repeats(packed).select(row.alias("_row")).select("_row.*")
+
+
 def deduplicated(docs: DataFrame) -> DataFrame:
     """doc_id, the text that is left, removed units, their characters, and their spans as text."""
     out = remove_repeats(docs.select("doc_id", "text"))

@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from spanloom.llm import embeddings, langid, lines, mixing, packing, quality, simhash, tokens
+from spanloom.llm import (
+    embeddings, html, langid, lines, mixing, packing, quality, simhash, tokens, warc,
+)
 from spanloom.llm.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,10 +36,18 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.document_tokens(read_table(spark, sf_dir, "documents"))
 
 
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.stored_pages(read_table(spark, sf_dir, "pages"))
+
+
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.document_languages(read_table(spark, sf_dir, "documents"))
 
 
+def op8_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.page_texts(read_table(spark, sf_dir, "pages"))
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed_documents(read_table(spark, sf_dir, "documents"))
 
@@ -49,10 +59,14 @@ def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     functions = (
         op1_embedding_dedup, op2_substring_dedup, op3_simhash_dedup, op4_quality_rules,
-        op5_token_counts, op7_language_id, op9_packing, op10_source_mix,
+        op5_token_counts, op6_warc, op7_language_id, op8_html_text, op9_packing, op10_source_mix,
     )
     return {f.__name__: f for f in functions}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_substring_dedup": lines.ORACLE, "op10_source_mix": mixing.ORACLE}
+    return {
+        "op2_substring_dedup": lines.ORACLE,
+        "op6_warc": warc.ORACLE,
+        "op10_source_mix": mixing.ORACLE,
+    }

@@ -175,7 +175,7 @@ def near_links(codes: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
 def near_duplicates(
     docs: DataFrame, words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS
 ) -> DataFrame:
-    """(doc_id, text_key, fp, component_id) for every document.
+    """(doc_id, text_key, fp, component_id, component_number) for every document.
 
     Documents are linked if their fingerprints differ in at most ``max_bits`` bits;
     component_id is the smallest doc_id reachable, the document's own included. Null and
@@ -183,7 +183,8 @@ def near_duplicates(
     component: a component of null ids alone has a null one. Repeated rows are one document each
     and share a component. No documents give no rows. Only doc_id and text are read.
 
-    Documents of one fingerprint are one entry of the index, so copies cost nothing there.
+    component_number tells components apart, those of null ids too. Documents of one fingerprint
+    are one entry of the index, so copies cost nothing there.
     """
     prints = stage(fingerprints(docs, words), "fingerprints")
     distinct = (
@@ -203,8 +204,10 @@ def near_duplicates(
     least = stage(
         grouped.groupBy("component").agg(F.min("first_id").alias("component_id")), "simhash-least"
     )
-    named = stage(grouped.join(least, "component").select("fp", "component_id"), "simhash-named")
-    return prints.join(named, "fp").select("doc_id", "text_key", "fp", "component_id")
+    named = stage(grouped.join(least, "component").drop("first_id"), "simhash-named")
+    return prints.join(named, "fp").select(
+        "doc_id", "text_key", "fp", "component_id", F.col("component").alias("component_number")
+    )
 
 
 def near_duplicate_report(docs: DataFrame) -> DataFrame:
@@ -212,3 +215,30 @@ def near_duplicate_report(docs: DataFrame) -> DataFrame:
     return near_duplicates(docs).select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
+
+
+def representatives(
+    docs: DataFrame, words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS
+) -> DataFrame:
+    """The documents of which no near duplicate ranks earlier, with the columns of ``docs``.
+
+    Of each component the document with the smallest doc_id stays (null last, then by text hash);
+    of rows with the same id and text one.
+    """
+    found = near_duplicates(docs, words, max_bits)
+    rank = F.struct(
+        F.col("doc_id").isNull().alias("last"), F.coalesce("doc_id", F.lit(0)).alias("id"), "text_key"
+    )
+    best = found.groupBy("component_number").agg(F.min(rank).alias("best"))
+    kept = stage(best.select(
+        F.when(F.col("best.last"), None).otherwise(F.col("best.id")).alias("_id"),
+        F.col("best.text_key").alias("_key"),
+    ), "simhash-kept")
+    names = docs.columns
+    keyed = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in names]).alias("_row"),
+        F.col("doc_id").cast("bigint").alias("_doc"), F.xxhash64("text").alias("_text"),
+    )
+    match = F.col("_doc").eqNullSafe(F.col("_id")) & (F.col("_text") == F.col("_key"))
+    one = keyed.join(kept, match, "left_semi").dropDuplicates(["_doc", "_text"])
+    return one.select("_row.*")
