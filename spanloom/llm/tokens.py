@@ -122,7 +122,10 @@ class Pieces(dict):
             return self.encode(first) + self.join(map(self.__getitem__, rest))
         except UnsafeCut:
             first, *rest = _SPACE_BETWEEN_WORDS.split(text)
-            return self.encode(first) + self.join(map(self.__getitem__, rest))
+            # Only the last piece can still end with white space.
+            rest, last = rest[:-1], rest[-1:]
+            found = [self[p] for p in rest] + [self.encode(" " + p) for p in last]
+            return self.encode(first) + self.join(found)
 
 
 @functools.lru_cache(maxsize=8)
