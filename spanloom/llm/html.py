@@ -314,7 +314,7 @@ def _render(node: Node | str, canvas: Canvas, pre: bool) -> None:
     elif tag in VOID:
         return
     elif tag in PARAGRAPHS or tag in LINES:
-        nested = tag in ("ul", "ol", "menu", "dir") and bool(canvas.indents)
+        nested = tag in ("ul", "ol", "menu", "dir") and bool(canvas.indents or canvas.bullet)
         gap = 1 if tag in PARAGRAPHS and not nested else 0
         # The first block of a list item stands on the line of the bullet.
         canvas.block(0 if canvas.bullet else gap)

@@ -2,9 +2,9 @@
 
 For every language a suffix automaton over labelled text knows all its substrings. A word is
 parsed against it into phrases: each phrase is the longest match that begins where the last one
-ended (a letter that the language never showed is a phrase of its own). Naming a phrase of a
-language costs log2 of the length of its labelled text, so the phrases of a text are normalised
-by that; the language that needs the fewest wins.
+ended (a letter that the language never showed is a phrase of its own). Phrases are normalised by
+the length of the text, which is the same for all languages, and the automata are built over
+samples of one size; the language that needs the fewest wins, of equals the more frequent one.
 
 Words are parsed with the spaces around them, and phrases end at word ends. So the counts of a word are the same wherever it stands, and a worker
 keeps those it has seen; only new words are parsed. Texts are read whole.
@@ -12,7 +12,6 @@ keeps those it has seen; only new words are parsed. Texts are read whole.
 
 from __future__ import annotations
 
-import math
 import uuid
 from collections.abc import Iterator
 from itertools import groupby
@@ -101,7 +100,7 @@ def held_out(doc_id: Column) -> Column:
 
 
 def _automata(groups: pd.DataFrame) -> pd.DataFrame:
-    """One row: the language's automaton, as two arrays, and the cost of naming a phrase."""
+    """One row: the language's automaton, as two arrays, and how many documents it has."""
     groups = groups.sort_values(["piece"])
     text = " ".join(["", *(run for piece in groups["piece"] for run in letter_runs(piece)), ""])
     moves = suffix_automaton(text)
@@ -109,12 +108,12 @@ def _automata(groups: pd.DataFrame) -> pd.DataFrame:
         "lang": [groups["lang"].iloc[0]],
         "states": [np.fromiter(moves.keys(), "<i8", len(moves)).tobytes()],
         "targets": [np.fromiter(moves.values(), "<i8", len(moves)).tobytes()],
-        "cost": [math.log2(len(text) + 2)],
+        "n": [groups["n"].iloc[0]],
     })
 
 
 def fit(labelled: DataFrame, docs: int = SAMPLE_DOCS, chars: int = SAMPLE_CHARS) -> list[tuple]:
-    """(language, states, targets, cost) by language, from (doc_id, lang, text) rows.
+    """(language, states, targets), the most frequent first, from (doc_id, lang, text) rows.
 
     Which documents enter the bounded sample is decided by a hash of their id against the
     number of documents of the language, so any size of input gives about ``docs`` of them, and
@@ -127,12 +126,13 @@ def fit(labelled: DataFrame, docs: int = SAMPLE_DOCS, chars: int = SAMPLE_CHARS)
     start = F.pmod(F.xxhash64("doc_id"), F.greatest(F.length("text") - chars, F.lit(1))) + 1
     sample = (
         known.join(counts.limit(LANGUAGES), "lang").where(draw < share)
-        .select("lang", F.substr("text", start.cast("int"), F.lit(chars)).alias("piece"))
+        .select("lang", "n", F.substr("text", start.cast("int"), F.lit(chars)).alias("piece"))
     )
     built = sample.groupBy("lang").applyInPandas(
-        _automata, "lang string, states binary, targets binary, cost double"
+        _automata, "lang string, states binary, targets binary, n bigint"
     )
-    return [tuple(row) for row in built.orderBy("lang").collect()]
+    rows = sorted(built.collect(), key=lambda row: (-row.n, row.lang))
+    return [(row.lang, row.states, row.targets) for row in rows]
 
 
 class Parser:
@@ -140,10 +140,9 @@ class Parser:
 
     def __init__(self, model: list[tuple]):
         self.languages = [lang for lang, *_ in model]
-        self.costs = np.array([cost for *_, cost in model])
         self.moves = [
             dict(zip(np.frombuffer(s, "<i8").tolist(), np.frombuffer(t, "<i8").tolist()))
-            for _, s, t, _ in model
+            for _, s, t in model
         ]
         self.known: dict[str, int] = {}
         self.counts = np.zeros((1024, len(model)), dtype=np.int64)
@@ -162,7 +161,7 @@ class Parser:
         return self.used - 1
 
     def predict(self, text: str | None) -> tuple[str, float]:
-        """Language and score: the share of the runner-up's cost that the winner saves."""
+        """Language and score: the share of the runner-up's phrases that the winner saves."""
         if self.used > CACHED:
             self.known, self.used = {}, 1
         known, rows = self.known, []
@@ -175,11 +174,11 @@ class Parser:
             rows.append(row)
         if not any(rows) or not self.languages:
             return UNKNOWN, 0.0
-        cost = self.counts[rows].sum(axis=0) * self.costs
-        order = np.argsort(cost, kind="stable")
+        phrases = self.counts[rows].sum(axis=0)
+        order = np.argsort(phrases, kind="stable")
         if len(order) == 1:
             return self.languages[0], 1.0
-        return self.languages[order[0]], float(1.0 - cost[order[0]] / cost[order[1]])
+        return self.languages[order[0]], float(1.0 - phrases[order[0]] / phrases[order[1]])
 
 
 #: The parser of a Python worker, by run.
@@ -190,7 +189,7 @@ def identify(docs: DataFrame, model: list[tuple], passed: list[str] | None = Non
     """The columns ``passed`` (all by default) with ``lang_pred`` and ``score``.
 
     Predictions use the text alone. A null text, one without a letter, and every text if the
-    model knows no language give ``und`` and 0. Ties go to the first language by code point.
+    model knows no language give ``und`` and 0. Ties go to the language with more documents.
     Repeated rows are predicted each; an empty table gives an empty one; columns named like the
     two results are replaced.
     """

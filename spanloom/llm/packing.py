@@ -74,8 +74,9 @@ def cuts(lengths: np.ndarray, ids: np.ndarray, ends: np.ndarray, window: int):
     penalty[0] = 0.0
     penalty[np.cumsum(lengths)] = 0.0
     at = np.flatnonzero(np.isfinite(penalty))
+    step = min(FORCED, window)
     for i in np.flatnonzero(np.diff(at) > window):
-        inside = np.arange(at[i] + FORCED, at[i + 1], FORCED)
+        inside = np.arange(at[i] + step, at[i + 1], step)
         penalty[inside] = FORCED_CUT
     at = np.flatnonzero(np.isfinite(penalty))
     return at.tolist(), penalty[at].tolist()

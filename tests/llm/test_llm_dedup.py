@@ -1,0 +1,260 @@
+import random
+
+import numpy as np
+import pytest
+import xxhash
+
+from spanloom.llm import embeddings, lines, simhash
+from spanloom.llm.components import connected_components, forest
+
+DOCS = "doc_id bigint, text string"
+
+
+def groups(pairs, nodes):
+    parent = {n: n for n in nodes}
+
+    def find(n):
+        while parent[n] != n:
+            parent[n] = parent[parent[n]]
+            n = parent[n]
+        return n
+
+    for a, b in pairs:
+        a, b = find(a), find(b)
+        parent[max(a, b)] = min(a, b)
+    return {n: find(n) for n in nodes}
+
+
+# ---- components -----------------------------------------------------------------------------
+
+
+@pytest.mark.parametrize("kind", ["chain", "star", "random", "loops"])
+def test_components(spark, kind):
+    rng = random.Random(3)
+    edges = {
+        "chain": [(i, i + 1) for i in range(40)] + [(1000 + i, 1001 + i) for i in range(9)],
+        "star": [(500, i) for i in range(400)],
+        "random": [(rng.randint(0, 400), rng.randint(0, 400)) for _ in range(260)],
+        "loops": [(1, 1), (2, 3), (3, 2), (2, 3)],
+    }[kind]
+    got = {r.node: r.component for r in connected_components(
+        spark.createDataFrame(edges, "a bigint, b bigint")).collect()}
+    nodes = {n for a, b in edges if a != b for n in (a, b)}
+    assert got == groups([(a, b) for a, b in edges if a != b], nodes)
+
+
+def test_no_edges(spark):
+    assert connected_components(spark.createDataFrame([], "a bigint, b bigint")).count() == 0
+
+
+def test_forest_of_a_matrix():
+    rng = np.random.default_rng(1)
+    linked = rng.random((60, 60)) < 0.02
+    linked |= linked.T
+    want = groups(np.argwhere(linked).tolist(), range(60))
+    assert forest(linked).tolist() == [want[i] for i in range(60)]
+
+
+# ---- SimHash --------------------------------------------------------------------------------
+
+
+def plain_fingerprint(text):
+    lowered = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+    words, word = [], ""
+    for c in lowered + " ":
+        if c in " \t\n\x0b\x0c\r":
+            words, word = words + [word] if word else words, ""
+        else:
+            word += c
+    if not words:
+        return 0
+    shingles = [" ".join(words[i : i + 3]) for i in range(max(1, len(words) - 2))]
+    hashes = [xxhash.xxh64_intdigest(s.encode(), 42) for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+EDGE = [
+    None, "", " \n", "One", "one TWO", "a b c", "ÄÖ ß\x1cx\xa0y z", "A b C", "x " * 3000, "w" * 70_000,
+]
+
+
+def test_fingerprints_follow_the_definition():
+    for text in EDGE:
+        assert simhash.fingerprint(text or "") % (1 << 64) == plain_fingerprint(text)
+
+
+def test_fingerprint_of_a_long_text_is_summed_in_blocks(monkeypatch):
+    text = " ".join(f"w{i % 977}" for i in range(5000))
+    monkeypatch.setattr(simhash, "BLOCK", 100)
+    assert simhash.fingerprint(text) % (1 << 64) == plain_fingerprint(text)
+
+
+@pytest.mark.parametrize("fanout", [4, 64])
+def test_index_links_like_brute_force(spark, monkeypatch, fanout):
+    """Codes with planted neighbours, chains of them, and a dense group."""
+    monkeypatch.setattr(simhash, "FANOUT", fanout)
+    rng = random.Random(fanout)
+    codes = {rng.getrandbits(64) for _ in range(150)}
+    for code in list(codes)[:40]:
+        for _ in range(3):
+            code ^= 1 << rng.randrange(64) | 1 << rng.randrange(64)
+            codes.add(code)
+    dense = rng.getrandbits(64)
+    codes |= {dense ^ (1 << b) for b in range(64)} | {0, (1 << 64) - 1}
+    ordered = sorted(codes, key=lambda c: int("".join(
+        str(bin(c >> i).count("1") & 1) for i in range(63, -1, -1)), 2))
+    signed = [c - (1 << 64) if c >> 63 else c for c in ordered]
+    frame = spark.createDataFrame(list(enumerate(signed)), "number bigint, fp bigint")
+    links = simhash.near_links(frame, 2).collect()
+    pairs = [(i, j) for i in range(len(ordered)) for j in range(i) if (ordered[i] ^ ordered[j]).bit_count() <= 2]
+    assert groups([tuple(r) for r in links], range(len(ordered))) == groups(pairs, range(len(ordered)))
+
+
+def test_gray_rank_sorts_like_the_gray_sequence(spark):
+    codes = [i ^ (i >> 1) for i in range(0, 1 << 64, (1 << 64) // 97)]
+    frame = spark.createDataFrame([(i, c - (1 << 64) if c >> 63 else c) for i, c in enumerate(codes)], "i bigint, c bigint")
+    from pyspark.sql import functions as F
+
+    got = [r.i for r in frame.orderBy(simhash.gray_rank(F.col("c"))).collect()]
+    assert got == list(range(len(codes)))
+
+
+def test_near_duplicates_of_edge_documents(spark):
+    rng = random.Random(11)
+    base = " ".join(f"word{rng.randint(0, 5000)}" for _ in range(900))
+    texts = EDGE + [base, base, base + " end", base.upper(), "quite another text here"]
+    rows = [(i * 3 % 41, t) for i, t in enumerate(texts)] + [(None, base), (None, "null id alone"), (0, None)]
+    docs = spark.createDataFrame([(*r, "x", 1) for r in rows], DOCS + ", fp string, component bigint")
+    got = simhash.near_duplicate_report(docs).collect()
+    assert len(got) == len(rows)
+    prints = [plain_fingerprint(t) for _, t in rows]
+    pairs = [(i, j) for i in range(len(rows)) for j in range(i) if (prints[i] ^ prints[j]).bit_count() <= 2]
+    root = groups(pairs, range(len(rows)))
+    least = {}
+    for i, (doc_id, _) in enumerate(rows):
+        known = [x for x in (least.get(root[i]), doc_id) if x is not None]
+        least[root[i]] = min(known, default=None)
+    want = [(d, f"{p:016x}", least[root[i]]) for i, ((d, _), p) in enumerate(zip(rows, prints))]
+    assert sorted(map(str, map(tuple, got))) == sorted(map(str, want))
+    kept = simhash.representatives(docs).collect()
+    assert len(kept) == len(set(root.values())) and simhash.representatives(docs).columns == docs.columns
+    assert simhash.near_duplicate_report(docs.limit(0)).count() == 0
+
+
+# ---- vectors --------------------------------------------------------------------------------
+
+
+def vector_rows():
+    rng = np.random.default_rng(9)
+    rows = [list(map(float, v)) for v in rng.standard_normal((60, 12))]
+    for v in rows[:12]:  # near copies around the limit
+        for noise in (0.01, 0.2, 0.3, 0.35):
+            rows.append(list(np.array(v) + noise * rng.standard_normal(12)))
+    rows += [rows[0]] * 5 + [[2 * x for x in rows[1]]] + [[-x for x in rows[2]]]
+    dense = rng.standard_normal(12)
+    rows += [list(dense + 0.02 * rng.standard_normal(12)) for _ in range(70)]
+    odd = [None, [], [0.0] * 12, [float("nan")] + [1.0] * 11, [float("inf")] + [1.0] * 11,
+           [None] + [1.0] * 11, [1.0], [1.0], [1e-300] * 12, [1e300] * 12]
+    return [[float(x) if x is not None else None for x in v] if v is not None else None for v in rows + odd]
+
+
+@pytest.mark.parametrize("block", [16, 512])
+def test_vectors_link_like_brute_force(spark, monkeypatch, block):
+    monkeypatch.setattr(embeddings, "BLOCK", block)
+    vectors = vector_rows()
+    ids = [(7 * i) % len(vectors) for i in range(len(vectors))]
+    rows = [(i, v, 1, 2) for i, v in zip(ids, vectors)] + [(None, vectors[0], 1, 2), (None, None, 1, 2)]
+    frame = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>, node int, label int")
+    got = embeddings.near_duplicates(frame, recall=0.9999999).collect()
+    unit = []
+    for _, v, *_ in rows:
+        ok = v and all(x is not None and np.isfinite(x) for x in v) and any(v)
+        x = np.array(v) / np.abs(v).max() if ok else None
+        unit.append(x / np.linalg.norm(x) if ok else None)
+    pairs = [
+        (i, j) for i in range(len(rows)) for j in range(i)
+        if unit[i] is not None and unit[j] is not None and len(unit[i]) == len(unit[j])
+        and unit[i] @ unit[j] >= 0.95
+    ]
+    links = [0] * len(rows)
+    for i, j in pairs:
+        links[i] += 1
+        links[j] += 1
+    root = groups(pairs, range(len(rows)))
+    least = {}
+    for i, r in enumerate(rows):
+        least[root[i]] = min([x for x in (least.get(root[i]), r[0]) if x is not None], default=None)
+    want = [(r[0], links[i], least[root[i]], r[0] == least[root[i]]) for i, r in enumerate(rows)]
+    assert sorted(map(str, map(tuple, got))) == sorted(map(str, want))
+    assert embeddings.near_duplicates(frame.limit(0)).count() == 0
+
+
+def test_tables_grow_slowly_with_the_vectors():
+    assert embeddings.plan_tables(0)[0] == embeddings.LEAST_BITS
+    bits, tables = embeddings.plan_tables(10**10)
+    agree = (1 - np.arccos(0.95) / np.pi) ** bits
+    assert bits <= 40 and 1 - (1 - agree) ** tables >= 0.999
+
+
+# ---- lines ----------------------------------------------------------------------------------
+
+
+def plain_cut(rows):
+    """Removed spans by (doc_id, text), with every occurrence ranked."""
+    places = {}
+    for doc_id, text in set(rows):
+        for start, end, digest in lines.units(text or ""):
+            places.setdefault(digest, set()).add((doc_id is None, doc_id or 0, text, start, end))
+    gone = {}
+    for found in places.values():
+        for _, doc_id, text, start, end in sorted(found)[1:]:
+            gone.setdefault(text, []).append((start, end))
+    return gone
+
+
+def test_units_cover_lines_and_sentences():
+    text = "One two three four.\nshort\nFirst sentence has quite a few words in it. And the second one has even more words in it!"
+    found = [text[a:b] for a, b, _ in lines.units(text)]
+    assert found == [
+        "One two three four.\n",
+        "First sentence has quite a few words in it. And the second one has even more words in it!",
+        "First sentence has quite a few words in it.",
+        " And the second one has even more words in it!",
+    ]
+    same = {d for _, _, d in lines.units("ONE  two\tthree four.")}
+    assert same == {d for a, _, d in lines.units(text) if a == 0}
+
+
+def test_repeats_are_cut_and_first_occurrences_stay(spark):
+    passage = "A passage of many words that several documents share with each other."
+    rows = [
+        (5, f"Own line of document five.\n{passage}\nlast"),
+        (2, f"{passage}\nOwn line of document two."),
+        (9, f"Before it stands this text. {passage} After it follows that."),
+        (7, f"x y\nx y\n{passage}\n{passage}"),
+        (3, None), (4, ""), (None, passage), (8, "Nothing here is shared by any other document."),
+        (2, f"{passage}\nOwn line of document two."), (1, "\n\n"),
+    ]
+    docs = spark.createDataFrame([(*r, "en", 0, "r") for r in rows], DOCS + ", spans string, n_chars int, removed string")
+    out = lines.remove_repeats(docs)
+    assert out.columns == ["doc_id", "text", "spans", "n_chars", "removed", "n_units"]
+    got = {(r.doc_id, r.text): [(s.start, s.end) for s in r.removed] for r in out.collect()}
+    assert len(out.collect()) == len(rows)
+    assert got[(2, rows[1][1])] == []
+    assert got[(5, "Own line of document five.\nlast")] == [(27, 28 + len(passage))]
+    assert got[(9, "Before it stands this text. After it follows that.")] == [(27, 28 + len(passage))]
+    assert (7, "x y\nx y\n") in got and (None, "") in got and (3, None) in got and (4, "") in got
+    assert got[(8, rows[7][1])] == []
+    cut = lines.cut_documents(docs)
+    assert cut.columns == docs.columns
+    assert all(r.n_chars == len(r.text) for r in cut.collect() if r.text is not None)
+    assert lines.remove_repeats(docs.limit(0)).count() == 0
+
+
+def test_a_line_in_very_many_documents(spark):
+    """A third of all lines are one line."""
+    common = "This line stands in very many documents."
+    rows = [(i, f"{common}\nown words of the document number {i}\nand some more words of {i}") for i in range(300)]
+    out = lines.remove_repeats(spark.createDataFrame(rows, DOCS)).collect()
+    assert sum(r.n_units for r in out) == 299
+    assert [r.doc_id for r in out if not r.n_units] == [0]
