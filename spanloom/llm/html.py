@@ -18,7 +18,7 @@ from html.parser import HTMLParser
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from spanloom.llm.tables import text_of, values
+from spanloom.llm.tables import slices, text_of, values
 
 #: Deepest element of a tree, and the widest table cell span that is honoured.
 DEPTH = 120
@@ -365,7 +365,7 @@ def extract_text(
     schema = pages.select(*kept).schema.add(out, "string")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             texts = [render(text_of(page)) for page in values(batch.column(0))]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[1:], pa.array(texts, pa.string())], names=[*kept, out]

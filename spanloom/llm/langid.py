@@ -21,7 +21,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from spanloom.llm.tables import values
+from spanloom.llm.tables import slices, values
 
 #: Bounds of the labelled sample that a model is fitted on: about so many documents a language,
 #: one piece of so many characters from each, and languages at most (the most frequent).
@@ -203,7 +203,7 @@ def identify(docs: DataFrame, model: list[tuple], passed: list[str] | None = Non
             _WORKER_PARSER.clear()
             _WORKER_PARSER[run] = Parser(shared.value)
         parser = _WORKER_PARSER[run]
-        for batch in batches:
+        for batch in slices(batches):
             found = [parser.predict(text) for text in values(batch.column(0))]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[1:], pa.array([f[0] for f in found], pa.string()),

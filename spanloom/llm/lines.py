@@ -20,7 +20,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from spanloom.llm.tables import values
+from spanloom.llm.tables import slices, values
 from spanloom.staging import stage
 
 LINE_WORDS = 4
@@ -60,7 +60,7 @@ def _units_of(docs: DataFrame, line_words: int, sentence_words: int) -> DataFram
     types = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             rows = [
                 (doc_id, key, *unit)
                 for doc_id, key, text in zip(*(values(c) for c in batch.columns))
@@ -138,7 +138,7 @@ def remove_repeats(
     )
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             texts, removed = [], []
             for text, found in zip(values(batch.column(0)), values(batch.column(1))):
                 outer = _outer([(s["start"], s["end"]) for s in found]) if found else []

@@ -26,7 +26,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from spanloom.llm.tables import text_of, values
+from spanloom.llm.tables import slices, text_of, values
 from spanloom.staging import stage
 
 ALPHA = 0.05
@@ -86,7 +86,7 @@ def document_signals(docs: DataFrame, stratum: str) -> DataFrame:
     """(doc_id, stratum, signals..., base_failed) for every document; a null text is empty."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             rows = [signals(text_of(text)) for text in values(batch.column(2))]
             table = np.array(rows, dtype=np.int64).reshape(len(rows), len(SIGNALS))
             yield pa.RecordBatch.from_arrays(

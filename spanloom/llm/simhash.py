@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
 from spanloom.llm.components import connected_components, forest
-from spanloom.llm.tables import text_of, values
+from spanloom.llm.tables import slices, text_of, values
 from spanloom.operators.skew import ranged_row_number
 from spanloom.staging import stage
 
@@ -68,7 +68,7 @@ def fingerprints(docs: DataFrame, words: int = SHINGLE_WORDS) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             fps = [fingerprint(text_of(t), words) for t in values(batch.column(2))]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(fps, pa.int64())],

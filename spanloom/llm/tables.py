@@ -18,5 +18,12 @@ def values(column: pa.Array) -> Iterator:
         yield item.as_py()
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
+    """The batches in short runs of rows, so that what is made of them stays small."""
+    for batch in batches:
+        for begin in range(0, batch.num_rows, rows):
+            yield batch.slice(begin, rows)
+
+
 def text_of(value) -> str:
     return "" if value is None else value

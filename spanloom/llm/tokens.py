@@ -28,7 +28,7 @@ import pyarrow as pa
 import public_tokenizers
 from pyspark.sql import DataFrame, functions as F
 
-from spanloom.llm.tables import text_of, values
+from spanloom.llm.tables import slices, text_of, values
 
 TOKENIZER = "byte_bpe_50k.json"
 #: Entries of the broadcast table, candidates for it per task, and the longest piece in it.
@@ -206,7 +206,7 @@ def count_tokens(
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = _length_pieces(tokenizer, run, table)
-        for batch in batches:
+        for batch in slices(batches):
             counts = array("q")
             for value in values(batch.column(0)):
                 counts.append(pieces.of(value) if value else 0)
