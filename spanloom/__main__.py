@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import argparse
+import signal
 import time
 
 from pyspark.sql import SparkSession
@@ -18,13 +19,16 @@ def main() -> None:
     parser.add_argument("job", choices=("online", "daily"))
     parser.add_argument("--root", required=True, help="folder of the result tables")
     parser.add_argument("--servers", help="Kafka bootstrap servers")
-    parser.add_argument("--topic", default="sleuth")
-    parser.add_argument("--group", default="trace-analyzer")
+    parser.add_argument("--topic", help="topic of the span messages; the online job needs it")
+    parser.add_argument("--group", help="consumer group prefix; the online job needs it")
     parser.add_argument("--seconds", type=int, default=60, help="time between micro-batches")
     parser.add_argument("--as-of", type=int, help="end of the daily scan, epoch ms; now if unset")
     parser.add_argument("--region-tag", default=TagKeys.region)
     parser.add_argument("--page-tag", default=TagKeys.from_page)
+    parser.add_argument("--final", action="store_true", help="analyze what waits when stopped")
     args = parser.parse_args()
+    if args.job == "online" and not (args.servers and args.topic and args.group):
+        parser.error("online needs --servers, --topic and --group")
 
     tags = TagKeys(region=args.region_tag, from_page=args.page_tag)
     state = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -38,7 +42,11 @@ def main() -> None:
         daily_job(spark, args.root, args.as_of or int(time.time() * 1000), tags=tags)
         return
     stream = TraceStream(args.root, tags=tags, trigger_seconds=args.seconds)
-    stream.start(kafka_payloads(spark, args.servers, args.topic, args.group)).awaitTermination()
+    query = stream.start_ticking(kafka_payloads(spark, args.servers, args.topic, args.group))
+    signal.signal(signal.SIGTERM, lambda *_: query.stop())
+    query.awaitTermination()
+    if args.final and query.lastProgress:
+        stream.flush(spark, query.lastProgress["batchId"], int(time.time() * 1000))
 
 
 if __name__ == "__main__":

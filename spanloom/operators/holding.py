@@ -91,8 +91,8 @@ def assemble(
 
     A trace with a recent span waits with all its spans, added to those already waiting. A
     trace seen again without a recent span is ready and takes its waiting spans along. A
-    waiting trace that nothing new reached for one batch interval is ready, once. Late
-    traces are left out.
+    waiting trace that nothing new reached for one batch interval is ready, once. The new spans
+    of late traces are dropped, which is a state like the others.
     """
     now = _as_column(as_of)
     rows = fresh.withColumn("is_new", F.lit(True)).unionByName(
@@ -125,6 +125,5 @@ def assemble(
     return (
         join_sized(rows, verdicts, "traceid", "_size")
         .withColumn("state", state)
-        .where(F.col("state") != DROPPED)
         .select(*fresh.columns, "state")
     )

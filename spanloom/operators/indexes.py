@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from spanloom.functions import has_text, to_seconds
 from spanloom.operators.stats import step_json
@@ -10,6 +10,11 @@ from spanloom.operators.tree import Forest
 from spanloom.schemas import UNNAMED_API
 
 
+def later_segment() -> Column:
+    """The end of the row key of a long tree's later rows; the first row has the plain key."""
+    return F.when(F.col("segment") > 0, F.col("segment"))
+
+
 def _failed(rows: DataFrame) -> DataFrame:
     return rows.where(
         F.col("error_status") & has_text(F.col("api")) & (F.col("api") != UNNAMED_API)
@@ -28,7 +33,7 @@ def failed_by_api(forest: Forest) -> DataFrame:
     start = to_seconds(F.col("start_ms"))
     rows = forest.segments("api", "start_ms", "error_status", "region")
     return _failed(rows).select(
-        F.concat_ws(":", "api", start, "traceid").alias("rowkey"),
+        F.concat_ws(":", "api", start, "traceid", later_segment()).alias("rowkey"),
         "segment", step_json("steps").alias("spans"),
         "traceid", start.alias("starttime"), "api", "region",
     )
@@ -64,17 +69,17 @@ def _all_rows(forest: Forest) -> DataFrame:
     )
 
 
-def all_by_key(forest: Forest) -> DataFrame:
-    """Both lookup rows of every trace segment in one pass: ``key`` is the chain, then the API."""
+def all_by_key(forest: Forest, indexes: tuple[str, ...] = ("md5", "api")) -> DataFrame:
+    """The lookup rows of every trace segment in one pass: by chain, by API, or both."""
+    keys = {"md5": "trace_md5", "api": "api"}
     keyed = F.explode(
-        F.array(
-            F.struct(F.lit("md5").alias("index"), F.col("trace_md5").alias("key")),
-            F.struct(F.lit("api").alias("index"), F.col("api").alias("key")),
-        )
+        F.array(*[
+            F.struct(F.lit(i).alias("index"), F.col(keys[i]).alias("key")) for i in indexes
+        ])
     )
     rows = _all_rows(forest).withColumn("k", keyed)
     return rows.select(
         F.col("k.index").alias("index"),
-        F.concat_ws(":", "k.key", "starttime", "traceid").alias("rowkey"),
+        F.concat_ws(":", "k.key", "starttime", "traceid", later_segment()).alias("rowkey"),
         "segment", "spans", "traceid", "starttime", "bucket_md5", "duration", "region",
     )

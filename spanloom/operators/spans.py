@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from spanloom.functions import has_text, hex_id, to_seconds
 from spanloom.schemas import NO_EVENT, SPAN_COLUMNS, TagKeys
+from spanloom.staging import stage
 
 
 def error_flag(error: Column) -> Column:
@@ -153,6 +154,25 @@ def latest_per_key(rows: DataFrame, key: tuple[str, ...], version: str) -> DataF
     return rows.groupBy(*key).agg(newest).select(*key, "_row.*")
 
 
+def resolve_resent(spans: DataFrame) -> DataFrame:
+    """Flat span rows with one row per store key: of spans sent again, the last received.
+
+    The copies are found on the key columns alone; only they are compared as whole rows.
+    """
+    key = ("traceid", "begin_sec", "spanid", "event")
+    keyed = spans.withColumn("begin_sec", F.expr("begin div 1000"))
+    sent_again = stage(
+        keyed.groupBy(*key).agg(F.count("*").alias("_n")).where("_n > 1").drop("_n"), "resent"
+    )
+    if sent_again.isEmpty():
+        return spans
+    null_safe = [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in key]
+    pairs = keyed.alias("a"), sent_again.alias("b")
+    once = pairs[0].join(pairs[1], null_safe, "left_anti")
+    copies = pairs[0].join(pairs[1], null_safe, "left_semi")
+    return once.unionByName(latest_per_key(copies, key, "receive")).select(*spans.columns)
+
+
 def parse_stored(store: DataFrame) -> DataFrame:
     """Stored rows back to analysis columns; the event is the fourth part of the row key."""
     return store.select(

@@ -112,8 +112,8 @@ def chain_profile(summary: DataFrame) -> DataFrame:
     )
 
 
-def address_latency(forest: Forest) -> DataFrame:
-    """Calls and mean duration per (chain, span name, minute, address).
+def address_totals(forest: Forest) -> DataFrame:
+    """Calls and their total duration per (chain, span name, minute, address).
 
     The root counts for its own address, other spans for the host they called; spans without
     an address are left out. The forest must carry ``ip`` and ``http_host``.
@@ -126,12 +126,20 @@ def address_latency(forest: Forest) -> DataFrame:
         .groupBy("trace_md5", F.col("name").alias("span_name"), "minute_start",
                  F.col("address").alias("ip"))
         .agg(
-            whole_mean(F.sum(F.col("end") - F.col("begin")), F.count("*")).alias("avg_duration"),
+            F.sum(F.col("end") - F.col("begin")).alias("total_duration"),
             F.count("*").alias("times"),
         )
     )
 
 
+def address_latency(forest: Forest) -> DataFrame:
+    """The same with the mean duration in place of the total."""
+    mean = whole_mean(F.col("total_duration"), F.col("times")).alias("avg_duration")
+    return address_totals(forest).select(
+        "trace_md5", "span_name", "minute_start", "ip", mean, "times"
+    )
+
+
 def step_json(steps: str | Column) -> Column:
     """JSON text of an array of steps; unset fields are left out."""
     return F.to_json(

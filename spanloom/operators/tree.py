@@ -1,5 +1,10 @@
 """Call trees: from the spans of a trace to its preorder steps and trace-level measures.
 
+Every span is attached at most once: if an id occurs several times in a trace, its children belong to
+the first of these spans (to the root, if the id is the root's). So a tree has no more steps than its
+trace has spans, however often spans were sent, cycles cannot be reached from the root, and no
+level needs a limit.
+
 Traces of ordinary size are collected into one row and walked with higher-order functions:
 one shuffle for everything. Traces with more spans than the caller's limit are walked level
 by level with joins, so no task ever holds one whole.
@@ -8,6 +13,7 @@ by level with joins, so no task ever holds one whole.
 from __future__ import annotations
 
 import hashlib
+import itertools
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -16,7 +22,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from spanloom.functions import day_start, minute_start
 from spanloom.operators.skew import HeavyKeys, join_sized, ranged_row_number, split_heavy
-from spanloom.schemas import CLIENT_SEND, MAX_LEVEL
+from spanloom.schemas import CLIENT_SEND
 from spanloom.staging import new_folder, stage
 
 # Steps per collected array; longer call trees take several segments.
@@ -157,24 +163,31 @@ def _tree_expression(extra: tuple[str, ...]) -> str:
         filter(transform(s, (x, i) -> if(x.event = '{CLIENT_SEND}' and x.spanid <> x.parent and i <> ri,
                                          named_struct('parent', x.parent, 'i', i), null)),
                e -> e is not null)"""
+    # Whether the span at a place is the one that its id's children belong to.
+    owns = "if(id = ids[ri], j = ri, single or array_position(ids, id) = j + 1)"
     # The indexes of every span's children, in order.
-    filtered = """
-        transform(s, x -> transform(filter(edges, e -> e.parent = x.spanid), e -> e.i))"""
+    filtered = f"""
+        transform(ids, (id, j) -> if({owns},
+          transform(filter(edges, e -> e.parent = id), e -> e.i), cast(array() as array<int>)))"""
     sliced = _let(
         "e",
-        """named_struct('ids', s.spanid, 'parents', ordered.parent, 'children', ordered.i,
+        """named_struct('parents', ordered.parent, 'children', ordered.i,
                         'distinct', array_distinct(ordered.parent))""",
         _let(
             "starts",
             """concat(transform(e.distinct, p -> array_position(e.parents, p)),
                       array(size(e.parents) + 1L))""",
-            """transform(transform(e.ids, id -> cast(array_position(e.distinct, id) as int)), j ->
+            f"""transform(transform(ids, (id, j) ->
+                   if({owns}, cast(array_position(e.distinct, id) as int), 0)), j ->
                  if(j = 0, cast(array() as array<int>),
                     slice(e.children, cast(starts[j - 1] as int),
                           cast(starts[j] - starts[j - 1] as int))))""",
         ),
     )
-    below = f"if(size(edges) <= {FEW_EDGES}, {filtered}, {_let('ordered', 'sort_array(edges)', sliced)})"
+    below = _let("ids", "s.spanid", _let(
+        "single", "size(array_distinct(ids)) = size(ids)",
+        f"if(size(edges) <= {FEW_EDGES}, {filtered}, {_let('ordered', 'sort_array(edges)', sliced)})",
+    ))
     # Level by level: children of the frontier become the next frontier. A node is its path
     # of span indexes, so sorting the nodes gives preorder.
     level = """
@@ -184,10 +197,10 @@ def _tree_expression(extra: tuple[str, ...]) -> str:
                      below[element_at(p, -1)], c -> concat(p, array(c)))))))"""
     walk = f"""
         aggregate(
-          sequence(1, {MAX_LEVEL}, {LEVELS_AT_ONCE}),
+          sequence(1, size(s), {LEVELS_AT_ONCE}),
           named_struct('done', cast(array() as array<array<int>>), 'front', array(array(ri))),
           (sofar, first) -> if(size(sofar.front) = 0, sofar, aggregate(
-            sequence(first, least(first + {LEVELS_AT_ONCE - 1}, {MAX_LEVEL})), sofar,
+            sequence(1, {LEVELS_AT_ONCE}), sofar,
             (acc, l) -> {level})),
           acc -> sort_array(concat(acc.done, acc.front)))"""
     paths = _let(
@@ -276,17 +289,29 @@ def _wide_steps(spans: DataFrame, extra: tuple[str, ...]) -> DataFrame:
         .agg(F.coalesce(F.min(F.when(is_root, F.col("rank"))), F.max("rank")).alias("rank")),
         "wide-roots",
     )
+    root_ids = ranked.join(roots, ["traceid", "rank"]).select("traceid", "spanid", "rank")
+    # The span that takes the children of an id: the root, or else the first with the id.
+    owners = stage(
+        ranked.select("traceid", "spanid", "rank").withColumn("_root", F.lit(False))
+        .unionByName(root_ids.withColumn("_root", F.lit(True)))
+        .groupBy("traceid", "spanid")
+        .agg(F.coalesce(F.min(F.when(F.col("_root"), F.col("rank"))), F.min("rank")).alias("rank"))
+        .select("traceid", "rank").withColumn("owns", F.lit(True)),
+        "wide-owners",
+    )
     edges, hot = _salted_edges(ranked, roots)
+    edges = edges.join(owners, ["traceid", "rank"], "left")
     edges = edges.repartition("traceid", "parent", "salt").persist()
 
     # One folder per level; a level is known to be complete before the next one starts.
     folder = new_folder(spark, "levels")
     first = ranked.join(roots, ["traceid", "rank"]).select(
-        "traceid", "rank", F.col("spanid").alias("node_id"), F.array("rank").alias("path")
+        "traceid", "rank", F.col("spanid").alias("node_id"), F.array("rank").alias("path"),
+        F.lit(True).alias("owns"),
     )
     first.write.parquet(f"{folder}/level=0")
-    for level in range(1, MAX_LEVEL + 1):
-        front = spark.read.schema(first.schema).parquet(f"{folder}/level={level - 1}")
+    for level in itertools.count(1):
+        front = spark.read.schema(first.schema).parquet(f"{folder}/level={level - 1}").where("owns")
         if front.isEmpty():
             break
         parents = front.select("traceid", F.col("node_id").alias("parent"), "path")
@@ -298,7 +323,7 @@ def _wide_steps(spans: DataFrame, extra: tuple[str, ...]) -> DataFrame:
             ).drop("salts")
         children = edges.join(parents, ["traceid", "parent", "salt"]).select(
             "traceid", "rank", F.col("child_id").alias("node_id"),
-            F.concat("path", F.array("rank")).alias("path"),
+            F.concat("path", F.array("rank")).alias("path"), "owns",
         )
         children.write.parquet(f"{folder}/level={level}")
     edges.unpersist()

@@ -12,8 +12,9 @@ from spanloom.operators.tree import Forest, build_forest
 from spanloom.schemas import TagKeys
 from spanloom.sinks import tables as t
 from spanloom.sources.events import INLINE_SPANS
+from spanloom.staging import stage
 
-BatchHandler = Callable[[DataFrame], DataFrame]
+BatchHandler = Callable[[DataFrame, int, int], DataFrame]
 
 
 def forest_of(spans: DataFrame, extra: tuple[str, ...] = ()) -> Forest:
@@ -27,12 +28,13 @@ def write_trace_tables(forest: Forest, root: str, batch_id: int, now_sec: int) -
     start = t.day_of_seconds(F.col("starttime"))
     minute = t.day_of_seconds(F.col("minute_start"))
     chains = stats.chain_table(forest, "minute_start").withColumn("now", F.lit(now_sec))
-    chains = chains.withColumn("rowkey", F.concat_ws(":", "api", "now", "trace_md5"))
+    key = F.concat_ws(":", "api", "now", "trace_md5", indexes.later_segment())
+    chains = chains.withColumn("rowkey", key)
     t.write_batch(chains, root, t.CHAIN_MINUTES, batch_id, minute)
     t.write_batch(indexes.failed_by_time(forest), root, t.FAILED_BY_TIME, batch_id, start)
     t.write_batch(indexes.failed_by_api(forest), root, t.FAILED_BY_API, batch_id, start)
     t.write_batch(indexes.all_by_key(forest), root, t.ALL_TRACES, batch_id, start, ("index",))
-    addresses = stats.address_latency(forest).withColumn(
+    addresses = stats.address_totals(forest).withColumn(
         "rowkey", F.concat_ws(":", "trace_md5", "span_name", "minute_start", "ip")
     )
     t.write_batch(addresses, root, t.ADDRESSES, batch_id, minute)
@@ -68,32 +70,65 @@ def read_raw_spans(
 ) -> DataFrame:
     """The span store, last write per key; with ``as_of_ms`` the day scan.
 
-    The range reaches the files as a partition filter on the day and a pushed filter on the
-    begin time, and only the named columns are read.
+    The range is a part of the row key, so it goes before the choice of the last write.
     """
-    store = t.read_table(spark, root, t.RAW_SPANS)
-    if as_of_ms is not None:
-        store = span_ops.day_scan(store, as_of_ms)
-        last = as_of_ms // 1000
-        store = store.where(
-            F.col("day") >= t.day_of_seconds(F.lit(last // 86_400 * 86_400 - 8 * 3600))
-        ).where(F.col("day") <= t.day_of_seconds(F.lit(last)))
-    wanted = dict.fromkeys(("rowkey", "receive", *columns))
-    return span_ops.latest_per_key(store.select(*wanted), ("rowkey",), "receive")
+    wanted = list(dict.fromkeys(("rowkey", "receive", *columns)))
+    if as_of_ms is None:
+        store = t.read_table(spark, root, t.RAW_SPANS, STORE_SCHEMA).select(*wanted)
+    else:
+        low = as_of_ms // 86_400_000 * 86_400_000 - 8 * 3_600_000
+        store = stored_between(spark, root, low, as_of_ms, wanted)
+    return span_ops.latest_per_key(store, ("rowkey",), "receive")
+
+
+STORE_SCHEMA = ", ".join(
+    f"{c} {'bigint' if c in ('begin_sec', 'begin', 'end', 'receive') else 'string'}"
+    for c in span_ops.STORE_COLUMNS
+) + ", day date, batch_id bigint"
+
+
+def stored_between(
+    spark: SparkSession, root: str, low_ms: int, high_ms: int,
+    columns: Sequence[str] = ("rowkey", "receive", *span_ops.ANALYSIS_COLUMNS),
+) -> DataFrame:
+    """Stored rows begun in a range of time, all writes of each key.
+
+    The range reaches the files as a partition filter on the day and a pushed filter on the begin
+    time; only the named columns are read.
+    """
+    store = t.read_table(spark, root, t.RAW_SPANS, STORE_SCHEMA)
+    days = F.col("day").between(
+        t.day_of_seconds(F.lit(low_ms // 1000)), t.day_of_seconds(F.lit(high_ms // 1000))
+    )
+    rows = store.where(days & F.col("begin").between(low_ms, high_ms))
+    return rows.select(*dict.fromkeys(columns))
+
+
+def address_totals(spark: SparkSession, root: str) -> DataFrame:
+    """Address latency with one row per key: a minute that fell into several batches is added up."""
+    rows = t.read_table(spark, root, t.ADDRESSES)
+    keys = ("rowkey", "trace_md5", "span_name", "minute_start", "ip")
+    return rows.groupBy(*keys).agg(
+        stats.whole_mean(F.sum("total_duration"), F.sum("times")).alias("avg_duration"),
+        F.sum("times").alias("times"),
+    )
 
 
 def daily_table(forest: Forest) -> DataFrame:
     """Call-chain statistics per UTC day of the root's begin time, with steps and row key."""
     chains = stats.chain_table(forest, "start_day").withColumnRenamed("start_day", "day_start")
     bucket = F.concat_ws(".", "day_start", "trace_md5")
-    return chains.withColumn("rowkey", F.concat_ws(":", "api", bucket))
+    return chains.withColumn("rowkey", F.concat_ws(":", "api", bucket, indexes.later_segment()))
 
 
-def daily_chains(spans: DataFrame) -> DataFrame:
-    return daily_table(forest_of(spans))
+def daily_chains(spans: DataFrame, first: int, last: int) -> DataFrame:
+    """The chains of the traces whose root began on the days that start at ``first`` to ``last`` (s)."""
+    return daily_table(forest_of(spans)).where(F.col("day_start").between(first, last))
 
 
 DAILY_HANDLERS: Sequence[tuple[str, BatchHandler]] = ((t.CHAIN_DAYS, daily_chains),)
+# Spans of a day's traces are looked for in the day and so long before and after it.
+DAY_MARGIN_MS = 8 * 3_600_000
 
 
 def daily_job(
@@ -102,11 +137,19 @@ def daily_job(
     as_of_ms: int,
     handlers: Sequence[tuple[str, BatchHandler]] = DAILY_HANDLERS,
     tags: TagKeys = TagKeys(),
+    days: int = 1,
 ) -> None:
-    """Run the day's handlers over the span store; a rerun replaces the day's folder."""
-    stored = read_raw_spans(spark, root, as_of_ms, span_ops.ANALYSIS_COLUMNS)
-    spans = span_ops.spans_of_store(stored, tags).persist()
-    day = as_of_ms // 86_400_000
+    """Run the handlers over the traces of the UTC day that ``as_of_ms`` lies in, or of more days.
+
+    A trace belongs to the day on which its root began, so different days share no trace; its
+    spans are read with a margin on both sides. Handlers give ``day_start``, the partition
+    that a row belongs to; a rerun replaces the partitions of its days.
+    """
+    day_ms = as_of_ms // 86_400_000 * 86_400_000
+    end_ms = day_ms + days * 86_400_000
+    near = stored_between(spark, root, day_ms - DAY_MARGIN_MS, end_ms + DAY_MARGIN_MS)
+    stored = span_ops.latest_per_key(near, ("rowkey",), "receive")
+    spans = stage(span_ops.spans_of_store(stored, tags), "day-spans")
     for table, handler in handlers:
-        t.write_batch(spans.transform(handler), root, table, day)
-    spans.unpersist()
+        rows = handler(spans, day_ms // 1000, end_ms // 1000 - 86_400)
+        t.write_batch(rows, root, table, 0, t.day_of_seconds(F.col("day_start")))

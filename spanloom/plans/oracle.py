@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from spanloom.plans.constants import AS_OF, LATE_MS, REPLAY_HOLD_MS, SLICE_MS
+
 TAGGED = """
 e as (select *, epoch_us(ts) // 1000 as begin_ms,
         cast(json_extract_string(props, '$.k') as int) as k,
@@ -46,20 +48,23 @@ spans as (
 TREE = SPANS + """,
 ranked as (
   select *, row_number() over (partition by traceid
-            order by begin, lower(name), spanid, event, parent) as rn from spans),
+            order by begin, lower(name), spanid, event, parent, name, "end", receive) as rn
+  from spans),
 roots as (
   select traceid, coalesce(min(case when spanid = traceid then rn end), max(rn)) as rn
   from ranked group by traceid),
-edges as (
-  select r.* from ranked r join roots o on r.traceid = o.traceid and r.rn <> o.rn
-  where r.event = 'cs' and r.spanid <> r.parent),
+-- An id's children belong to the root, if it has the id, or else to the first span with it.
+owned as (
+  select r.*, r.rn = o.rn as is_root,
+    row_number() over (partition by r.traceid, r.spanid order by r.rn <> o.rn, r.rn) = 1 as owns
+  from ranked r join roots o on r.traceid = o.traceid),
+edges as (select * from owned where not is_root and event = 'cs' and spanid <> parent),
 tree as (
-  select r.traceid, r.spanid, r.rn, 0 as level, [r.rn] as path
-  from ranked r join roots o on r.traceid = o.traceid and r.rn = o.rn
+  select traceid, spanid, rn, owns, 0 as level, [rn] as path from owned where is_root
   union all
-  select c.traceid, c.spanid, c.rn, t.level + 1, list_append(t.path, c.rn)
+  select c.traceid, c.spanid, c.rn, c.owns, t.level + 1, list_append(t.path, c.rn)
   from tree t join edges c on c.traceid = t.traceid and c.parent = t.spanid
-  where t.level < 101),
+  where t.owns),
 steps as (
   select t.traceid, cast(row_number() over (partition by t.traceid order by t.path) - 1 as bigint) as pos,
     cast(t.level as bigint) as level, r.spanid, r.name, r.event, r.begin, r."end", r.receive,
@@ -150,10 +155,6 @@ chain_texts as (
   from chain_steps group by {bucket}, trace_md5, pos // 1000)"""
 
 
-# Batches of the replayed stream: slices of sixteen days of receive time.
-SLICE_MS = 1_382_400_000
-REPLAY_HOLD_MS = 7_200_000
-
 EMITTED = TREE + f""",
 slices as (
   select traceid, min(receive) // {SLICE_MS} as slice,
@@ -201,8 +202,43 @@ z as (
   from tagged)
 """
 
-# The fixed time of the hold and day-scan queries, in ms: 2024-01-31 18:00 UTC.
-AS_OF = 1_706_724_000_000
+
+
+# Spans with errors sent a second time, a minute later, under a name in upper case.
+RESENT = """,
+spans as (
+  select * from first_spans
+  union all
+  select * replace (upper(name) as name, receive + 60000 as receive) from first_spans
+  where error_count > 0)
+"""
+RESOLVED = """,
+spans as (
+  select * from sent_spans
+  qualify row_number() over (partition by traceid, begin // 1000, spanid, event
+                             order by receive desc) = 1)
+"""
+
+
+def _resent(ctes: str, resolved: bool = False) -> str:
+    """The relations of ``ctes`` over spans of which some were sent again."""
+    flat = SPANS.replace("\nspans as (", "\nfirst_spans as (")
+    again = RESENT + RESOLVED if resolved else RESENT
+    if resolved:
+        again = again.replace("\nspans as (", "\nsent_spans as (", 1)
+    return ctes.replace(SPANS, flat + again)
+
+
+def _traces_by(ctes: str, trace_no: str) -> str:
+    """The same relations over events cut into traces by another number."""
+    return (
+        ctes.replace("user_id * 1000 + dayofyear(d) as tno", f"cast({trace_no} as bigint) as tno")
+        .replace("partition by user_id, d order by", f"partition by {trace_no} order by")
+        .replace("c.user_id = p.user_id and c.d = p.d", "c.tno = p.tno")
+    )
+
+
+TYPE_NO = "ascii(event_type) * 100 + length(event_type)"
 
 
 def oracle_sql() -> dict[str, str]:
@@ -378,6 +414,35 @@ from (select receive // {SLICE_MS} as slice, page, api, count(*) as times,
         cast(sum(duration) as bigint) as total_duration,
         cast(sum(duration) // count(*) as bigint) as duration
       from paged group by 1, 2, 3)""")
+    steps = "select traceid, pos, level, spanid, parent, name, event from steps"
+    q["resent_trace_tree"] = _with(_resent(TREE), steps)
+    q["resent_trace_summary"] = _with(_resent(TREE, resolved=True), "select * from summary")
+    q["wide_trace_tree"] = _with(_traces_by(TREE, TYPE_NO), steps)
+    q["wide_trace_summary"] = _with(_traces_by(TREE, TYPE_NO), "select * from summary")
+    q["daily_job_table"] = q["api_daily_table"]
+    q["stream_late_spans"] = _with(SPANS, f"""
+select batch_id, as_of, traceid, spanid from (
+  select *, cast(dense_rank() over (order by receive // {SLICE_MS}) - 1 as bigint) as batch_id,
+    max(receive) over (partition by receive // {SLICE_MS}) as as_of,
+    max("end") over (partition by traceid) as last_end from spans)
+where as_of - last_end >= {LATE_MS}""")
+    q["stream_crossing_traces"] = _with(_traces_by(SPANS, "user_id") + f""",
+per as (
+  select traceid, cast(dense_rank() over (order by slice) - 1 as bigint) as b, recent, n from (
+    select traceid, receive // {SLICE_MS} as slice, count(*) as n,
+      bool_or(receive - "end" < {REPLAY_HOLD_MS}) as recent
+    from spans group by 1, 2)),
+-- A trace goes out in the first batch, from its own on, that brings it no recent span.
+free as (
+  select t.traceid, a.b from (select distinct traceid from per) t, (select distinct b from per) a
+  where not exists (select 1 from per r where r.traceid = t.traceid and r.b = a.b and r.recent)),
+ends as (
+  select p.traceid, p.b, p.n, min(x.b) as out_b
+  from per p left join free x on x.traceid = p.traceid and x.b >= p.b group by p.traceid, p.b, p.n)
+""", """
+select coalesce(out_b, (select max(b) + 1 from per)) as batch_id, traceid,
+  cast(sum(n) as bigint) as spans
+from ends group by 1, 2""")
     q["stream_sessions"] = _with(TREE, """
 select traceid, api, trace_md5, duration, steps_total from summary""")
     return q

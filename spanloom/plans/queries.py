@@ -4,21 +4,23 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from spanloom.functions import hex_id, parse_hex_id, trace_id_string
 from spanloom.operators import holding, indexes, pages, spans as span_ops, stats, words, zipkin
 from spanloom.operators.skew import row_number_in_group
 from spanloom.operators.tree import Forest, build_forest
 from spanloom.plans import jobs
-from spanloom.plans.oracle import AS_OF, REPLAY_HOLD_MS, SLICE_MS
-from spanloom.schemas import TagKeys
+from spanloom.plans.constants import AS_OF, LATE_MS, REPLAY_HOLD_MS, SLICE_MS
 from spanloom.sinks import tables as t
 from spanloom.sources import messages as msg
-from spanloom.sources.events import event_messages, event_spans
+from spanloom.sources.events import (
+    DAY_TRACES, TYPE_TRACES, USER_TRACES, event_messages, event_spans,
+)
 from spanloom.staging import new_folder, stage
 from spanloom.streaming.job import (
-    TraceStream, analyze_pages, analyze_traces, assemble_batch, waiting_spans,
+    TraceStream, analyze_pages, analyze_traces, assemble_batch, late_spans, newest_receive,
+    store_spans, waiting_spans,
 )
 from spanloom.streaming.replay import replay
 from spanloom.streaming.sessions import closed_sessions, spans_of_sessions
@@ -26,6 +28,11 @@ from spanloom.streaming.words import file_texts, running_word_count
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+DAY_MS = 86_400_000
+# Days of one run of the daily job, and spans from which a trace is built by joins.
+DAYS_AT_ONCE = 11
+WIDE_LIMIT = 256
+
 # Replays of history judge no trace too late; a trace waits if it ended close to midnight.
 REPLAY_RULES = holding.HoldRules(late_ms=10 * SLICE_MS, hold_ms=REPLAY_HOLD_MS)
 SCAN_RULES = holding.HoldRules(
@@ -105,6 +112,42 @@ def trace_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _forest(spark, sf_dir).summary()
 
 
+STEP_COLUMNS = ("traceid", "pos", "level", "spanid", "parent", "name", "event")
+
+
+def _resent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Flat spans, those with errors sent a second time under a name in upper case."""
+    spans = _spans(spark, sf_dir)
+    again = spans.where(F.col("error_count") > 0).withColumns({
+        "name": F.upper("name"), "receive": F.col("receive") + 60_000,
+    })
+    return stage(spans.unionByName(again), "resent-spans")
+
+
+def resent_trace_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trees in which copies of spans stand: each is attached once, and has no children."""
+    return jobs.forest_of(_resent(spark, sf_dir)).steps().select(*STEP_COLUMNS)
+
+
+def resent_trace_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Traces after the last write of each span was chosen, as the stream does."""
+    return jobs.forest_of(span_ops.resolve_resent(_resent(spark, sf_dir))).summary()
+
+
+def _wide_forest(spark: SparkSession, sf_dir: str) -> Forest:
+    """One trace per event type, with a share of all spans each: none fits into one row."""
+    table = event_spans(spark, sf_dir, WIDE_LIMIT, TYPE_TRACES)
+    return build_forest(span_ops.spans_of_tagged(table.rows), table.heavy)
+
+
+def wide_trace_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _wide_forest(spark, sf_dir).steps().select(*STEP_COLUMNS)
+
+
+def wide_trace_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _wide_forest(spark, sf_dir).summary()
+
+
 def api_minutes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stats.chain_stats(_forest(spark, sf_dir).summary(), "minute_start")
 
@@ -147,8 +190,7 @@ def exception_trace_by_api(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _all_traces(spark: SparkSession, sf_dir: str, index: str) -> DataFrame:
-    rows = indexes.all_by_key(_forest(spark, sf_dir))
-    return rows.where(F.col("index") == index).drop("index")
+    return indexes.all_by_key(_forest(spark, sf_dir), (index,)).drop("index")
 
 
 def all_trace_by_md5(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -181,17 +223,20 @@ def page_hot_api(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---- the span store -------------------------------------------------------------------------
 
 
-def _store(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The store after the spans with errors were sent a second time, a minute later."""
+def _sent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exploded spans, those with errors sent a second time, a minute later."""
     sendings = F.when(F.col("tags")["error"].isNotNull(), F.array(F.lit(0), F.lit(1))).otherwise(
         F.array(F.lit(0))
     )
     sent = _exploded(spark, sf_dir).withColumn("again", F.explode(sendings))
-    sent = sent.withColumns({
+    return sent.withColumns({
         "receive": F.col("receive") + F.col("again") * 60_000,
         "name": F.when(F.col("again") == 1, F.upper("name")).otherwise(F.col("name")),
     })
-    rows = span_ops.store_rows(sent)
+
+
+def _store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = span_ops.store_rows(_sent(spark, sf_dir))
     return span_ops.latest_per_key(rows, ("rowkey",), "receive")
 
 
@@ -204,7 +249,26 @@ def stored_span_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stored_day_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return span_ops.parse_stored(span_ops.day_scan(_store(spark, sf_dir), AS_OF))
+    """A day's scan of the written store, through the job's own reader."""
+    root = new_folder(spark, "store")
+    jobs.write_raw_spans(_sent(spark, sf_dir), root, 0)
+    return span_ops.parse_stored(jobs.read_raw_spans(spark, root, AS_OF, span_ops.ANALYSIS_COLUMNS))
+
+
+def daily_job_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The daily table after the job ran over the stored spans of all days, some days at a time."""
+    root = new_folder(spark, "daily")
+    sent = _exploded(spark, sf_dir)
+    copies = sent.where(F.col("tags")["error"].isNotNull()).withColumn(
+        "receive", F.col("receive") + 60_000
+    )
+    jobs.write_raw_spans(sent, root, 0)
+    jobs.write_raw_spans(copies, root, 1)
+    store = t.read_table(spark, root, t.RAW_SPANS, jobs.STORE_SCHEMA)
+    first, last = (d // DAY_MS for d in store.agg(F.min("begin"), F.max("begin")).first())
+    for day in range(first, last + 1, DAYS_AT_ONCE):
+        jobs.daily_job(spark, root, day * DAY_MS, days=DAYS_AT_ONCE)
+    return t.read_table(spark, root, t.CHAIN_DAYS).drop("day", "batch_id")
 
 
 def id_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -310,14 +374,17 @@ def word_count_running(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---- streams --------------------------------------------------------------------------------
 
 
-def _replayed(spark: SparkSession, sf_dir: str, handlers) -> tuple[str, int, TraceStream]:
+def _replayed(
+    spark: SparkSession, sf_dir: str, handlers, rules: holding.HoldRules = REPLAY_RULES,
+    trace_no: str = DAY_TRACES,
+) -> tuple[str, int, TraceStream]:
     """All messages through the stream, sixteen days of them per micro-batch."""
     root = new_folder(spark, "stream")
-    messages = event_messages(spark, sf_dir)
+    messages = event_messages(spark, sf_dir, trace_no)
     payloads = msg.encode(messages).withColumn(
         "slice", F.expr(f"unix_millis(timestamp) div {SLICE_MS}")
     )
-    stream = TraceStream(f"{root}/out", handlers, REPLAY_RULES)
+    stream = TraceStream(f"{root}/out", handlers, rules, clock=newest_receive)
 
     def start():
         return stream.start(msg.file_payloads(spark, f"{root}/in"), available_now=True)
@@ -363,6 +430,31 @@ def stream_page_api(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def stream_late_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the stream sets aside when traces count as late after four days."""
+    rules = holding.HoldRules(late_ms=LATE_MS, hold_ms=REPLAY_HOLD_MS)
+    root, _, _ = _replayed(spark, sf_dir, (assemble_batch,), rules)
+    return late_spans(spark, root).select("batch_id", "as_of", "traceid", "spanid")
+
+
+def _ready_counts(batch) -> None:
+    ready = assemble_batch(batch)
+    if ready is not None:
+        counts = ready.groupBy("traceid").agg(F.count("*").alias("spans"))
+        t.write_batch(counts, batch.root, "ready", batch.batch_id)
+
+
+def stream_crossing_traces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Traces of a user's whole history, which cross the batches, through several handlers."""
+    root, batches, _ = _replayed(
+        spark, sf_dir, (store_spans, _ready_counts, analyze_pages), trace_no=USER_TRACES
+    )
+    waiting = waiting_spans(spark, root, batches - 1)
+    counts = waiting.groupBy("traceid").agg(F.count("*").alias("spans"))
+    t.write_batch(counts, root, "ready", batches)
+    return _batched(t.read_table(spark, root, "ready")).select("batch_id", "traceid", "spans")
+
+
 def stream_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Traces assembled by session windows that close after a day without a span.
 
@@ -380,7 +472,8 @@ def stream_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     def write(sessions: DataFrame, batch_id: int) -> None:
         # Written first: what follows then runs in the plain session, with adaptive execution.
         t.write_batch(sessions, root, "closed", batch_id)
-        closed = spark.read.schema(sessions.schema).parquet(f"{root}/closed/batch_id={batch_id}")
+        ddl = "traceid string, first_end bigint, last_end bigint, spans bigint, batch_id bigint"
+        closed = t.read_table(spark, root, "closed", ddl).where(F.col("batch_id") == batch_id)
         store = spark.read.schema(schema).parquet(f"{root}/in")
         ready = stage(spans_of_sessions(closed, store), "session-spans")
         t.write_batch(jobs.forest_of(ready).summary(), root, "summary", batch_id)
@@ -409,6 +502,7 @@ def queries() -> dict[str, Query]:
         stored_day_scan, id_normalize, zipkin_spans, zipkin_annotations,
         zipkin_binary_annotations, decode_messages, dead_letters, word_count,
         word_count_running, stream_trace_assembly, stream_api_minutes, stream_page_api,
-        stream_sessions,
+        stream_sessions, resent_trace_tree, resent_trace_summary, wide_trace_tree,
+        wide_trace_summary, daily_job_table, stream_late_spans, stream_crossing_traces,
     )
     return {f.__name__: f for f in functions}

@@ -73,4 +73,3 @@ PEER_SERVICE = "peer.service"
 NO_EVENT = "none"
 UNNAMED_API = "http:/"
 COLLECTOR_SPAN = "message:sleuth"
-MAX_LEVEL = 101

@@ -25,9 +25,17 @@ class SpanTable:
     heavy: HeavyKeys | None
 
 
-def event_spans(spark: SparkSession, sf_dir: str, inline_spans: int = INLINE_SPANS) -> SpanTable:
+#: Other ways to cut the events into traces: all events of a user, and all of a type.
+USER_TRACES = "user_id"
+TYPE_TRACES = "cast(ascii(event_type) * 100 + length(event_type) as bigint)"
+DAY_TRACES = "user_id * 1000 + dayofyear(ts)"
+
+
+def event_spans(
+    spark: SparkSession, sf_dir: str, inline_spans: int = INLINE_SPANS, trace_no: str = DAY_TRACES
+) -> SpanTable:
     """One shuffle: everything after it is grouped by the trace id or by more than that."""
-    trace_no = F.col("user_id") * 1000 + F.dayofyear("ts")
+    trace_no = F.expr(trace_no)
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
     traced = events.withColumn("tno", trace_no).withColumn("traceid", hex_id(F.col("tno")))
 
@@ -86,12 +94,12 @@ def event_spans(spark: SparkSession, sf_dir: str, inline_spans: int = INLINE_SPA
 SPANS_PER_MESSAGE = 50
 
 
-def event_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+def event_messages(spark: SparkSession, sf_dir: str, trace_no: str = DAY_TRACES) -> DataFrame:
     """The same spans nested into messages, as hosts send them.
 
     A message holds a bounded run of one trace's spans, so no group grows with the data.
     """
-    spans = event_spans(spark, sf_dir).rows
+    spans = event_spans(spark, sf_dir, trace_no=trace_no).rows
     tags = F.map_filter(
         F.create_map(
             F.lit("lc"), "tag_lc", F.lit("http.url"), "tag_http_url",

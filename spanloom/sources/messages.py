@@ -17,7 +17,7 @@ PAYLOAD = T.StructType([
 
 
 def kafka_payloads(
-    spark: SparkSession, servers: str, topic: str = "sleuth", group: str = "trace-analyzer"
+    spark: SparkSession, servers: str, topic: str, group: str
 ) -> DataFrame:
     """Streaming (value, timestamp) rows of a Kafka topic."""
     return (

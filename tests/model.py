@@ -33,7 +33,7 @@ def _key(s):
     return [(v is not None, v) for v in fields]
 
 
-def preorder(spans, deepest=101):
+def preorder(spans):
     """Steps (level, span) of one trace: root first, children in order below their parent."""
     ordered = sorted(spans, key=_key)
     roots = [i for i, s in enumerate(ordered) if s["spanid"] == s["traceid"]]
@@ -43,18 +43,20 @@ def preorder(spans, deepest=101):
     while stack:
         level, at = stack.pop()
         steps.append((level, ordered[at]))
-        if level < deepest:
+        own = ordered[at]["spanid"]
+        same = [i for i, s in enumerate(ordered) if s["spanid"] == own]
+        if at == (root if root in same else same[0]):
             below = [
                 i for i, s in enumerate(ordered)
-                if i != root and s["parent"] == ordered[at]["spanid"] and s["event"] == "cs"
+                if i != root and s["parent"] == own and s["event"] == "cs"
                 and s["spanid"] != s["parent"]
             ]
             stack.extend((level + 1, i) for i in reversed(below))
     return steps
 
 
-def summary(spans, deepest=101):
-    steps = preorder(spans, deepest)
+def summary(spans):
+    steps = preorder(spans)
     root = steps[0][1]
     names = "".join(s["name"] + "|" for _, s in steps)
     kinds = [s["span_type"] for _, s in steps]

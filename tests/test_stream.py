@@ -7,7 +7,9 @@ from spanloom.operators import spans as span_ops
 from spanloom.plans import jobs
 from spanloom.sinks import tables as t
 from spanloom.sources.messages import PAYLOAD, file_payloads
-from spanloom.streaming.job import HANDLERS, TraceStream, store_spans, waiting_spans
+from spanloom.streaming.job import (
+    HANDLERS, TraceStream, late_spans, newest_receive, store_spans, waiting_spans,
+)
 from spanloom.streaming.replay import replay
 from spanloom.streaming.sessions import closed_sessions, spans_of_sessions
 from spanloom.streaming.words import file_texts, running_word_count
@@ -48,8 +50,8 @@ SLICES = [
 ]
 
 
-def start_stream(spark, root, slices, handlers=HANDLERS):
-    stream = TraceStream(f"{root}/out", handlers)
+def start_stream(spark, root, slices, handlers=HANDLERS, clock=newest_receive):
+    stream = TraceStream(f"{root}/out", handlers, clock=clock)
     source = f"{root}/in"
     count = replay(
         batches(spark, slices), "slice", source,
@@ -116,6 +118,65 @@ def test_an_empty_batch_keeps_what_waits(spark, tmp_path):
     assert sorted((int(r.traceid, 16), r.batch_id) for r in rows) == [(1, 2), (2, 2)]
 
 
+def test_one_wrong_broker_time_costs_no_other_trace(spark, tmp_path):
+    """A payload stamped ten minutes ahead; the batch's clock is the wall clock."""
+    slices = [[payload(60_000, one(1, 1, 10_000)), payload(60_000, one(2, 2, 12_000)),
+               payload(660_000, one(3, 3, 600_000))]]
+    stream, _ = start_stream(spark, str(tmp_path), slices, clock=lambda spans: BASE + 61_000)
+    rows = t.read_table(spark, stream.root, t.ALL_TRACES).where("index = 'api'").collect()
+    assert {int(r.traceid, 16) for r in rows} == {1, 2, 3}
+    assert late_spans(spark, stream.root).count() == 0
+
+
+def test_late_spans_are_kept_aside_and_a_retry_decides_the_same(spark, tmp_path):
+    clocks = iter([BASE + 61_000, BASE + 600_000])
+    slices = [[payload(60_000, one(1, 1, 10_000)), payload(60_000, one(2, 2, -200_000))]]
+    stream, _ = start_stream(spark, str(tmp_path), slices, clock=lambda spans: next(clocks))
+
+    def found():
+        done = t.read_table(spark, stream.root, t.ALL_TRACES).where("index = 'api'").collect()
+        late = late_spans(spark, stream.root).collect()
+        return [int(r.traceid, 16) for r in done], [(int(r.traceid, 16), r.as_of - BASE) for r in late]
+
+    assert found() == ([1], [(2, 61_000)])
+    stream.process(batches(spark, slices).drop("slice"), 0)
+    assert found() == ([1], [(2, 61_000)])
+
+
+def test_ticks_release_what_waits_without_new_input(spark, tmp_path):
+    import time
+
+    root = str(tmp_path)
+    rules = HoldRules(late_ms=10**15, release_from_ms=60_000)
+    start = time.time()
+    # The held trace was received just now; later batches see a clock one minute ahead.
+    stream = TraceStream(f"{root}/out", rules=rules, trigger_seconds=2,
+                         clock=lambda spans: BASE + 60_000 + int((time.time() - start) * 20_000))
+    batches(spark, [[payload(60_000, one(7, 7, 59_000))]]).drop("slice").write.parquet(f"{root}/in")
+    query = stream.start_ticking(file_payloads(spark, f"{root}/in"))
+    try:
+        for _ in range(90):
+            time.sleep(1)
+            if t.exists(spark, f"{root}/out/{t.ALL_TRACES}/index=api"):
+                break
+    finally:
+        query.stop()
+    rows = t.read_table(spark, stream.root, t.ALL_TRACES).where("index = 'api'").collect()
+    assert [int(r.traceid, 16) for r in rows] == [7]
+
+
+def test_a_day_lists_its_own_folders_and_compaction_keeps_rows(spark, tmp_path):
+    root = str(tmp_path)
+    for batch in range(4):
+        rows = spark.createDataFrame([(batch, 86_400 * d) for d in range(2)], "n int, s bigint").repartition(2)
+        t.write_batch(rows, root, "x", batch, t.day_of_seconds(F.col("s")))
+    assert sorted(p.name for p in (tmp_path / "x").iterdir() if p.is_dir()) == ["day=1970-01-01", "day=1970-01-02"]
+    before = sorted(map(str, t.read_table(spark, root, "x").select("n", "s", "batch_id").collect()))
+    t.compact(spark, root, "x", "1970-01-01")
+    assert sorted(map(str, t.read_table(spark, root, "x").select("n", "s", "batch_id").collect())) == before
+    assert t.read_table(spark, root, "none", "a int").count() == 0
+
+
 def test_own_handlers(spark, tmp_path):
     seen = []
     start_stream(spark, str(tmp_path), SLICES, (lambda b: seen.append((b.batch_id, b.spans.count())),))

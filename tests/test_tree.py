@@ -8,6 +8,7 @@ import model
 from model import frame, span
 from spanloom.operators import skew, tree
 from spanloom.operators.skew import heavy_keys, ranged_row_number
+from spanloom.operators.spans import resolve_resent
 from spanloom.operators.tree import build_forest
 
 
@@ -71,34 +72,14 @@ def random_rows(seed, traces):
             ))
             if rng.random() < 0.03:
                 rows.append(dict(rows[-1]))
-    # repeated ids make cycles, whose trees may be huge: keep the traces with small ones
-    small = [rs for rs in by_trace(rows).values() if _bounded(rs)]
-    return [r for rs in small for r in rs]
+    return rows
 
 
-def _bounded(rows):
-    seen, level = set(), [rows]
-    ids = [r["spanid"] for r in rows]
-    parents = {}
-    for r in rows:
-        parents.setdefault(r["spanid"], set()).add(r["parent"])
-    for start in set(ids):
-        at, trail = {start}, set()
-        while at:
-            at = {p for x in at for p in parents.get(x, ()) if p and p != x}
-            if start in at:
-                return False
-            if at <= trail:
-                break
-            trail |= at
-    return True
-
-
-def expected(rows, deepest=101):
+def expected(rows):
     summaries, steps = [], []
     for tid, group in by_trace(rows).items():
-        summaries.append(model.summary(group, deepest))
-        for pos, (level, s) in enumerate(model.preorder(group, deepest)):
+        summaries.append(model.summary(group))
+        for pos, (level, s) in enumerate(model.preorder(group)):
             parent = tid if pos == 0 else s["parent"]
             steps.append((tid, pos, level, s["spanid"], parent, s["name"], s["event"]))
     return sorted(tuple(str(v) for v in s.values()) for s in summaries), sorted(map(str, steps))
@@ -112,8 +93,8 @@ def actual(forest):
 
 
 ROWS = edge_cases() + random_rows(7, 150)
-# Without the two traces that reach the deepest level: each level is a job when joined.
-SHALLOW = [r for r in ROWS if r["traceid"] not in ("deep", "cycle")]
+# Without the deep trace: each level is a job when joined.
+SHALLOW = [r for r in ROWS if r["traceid"] != "deep"]
 
 
 @pytest.mark.parametrize("few", [0, tree.FEW_EDGES])
@@ -123,18 +104,44 @@ def test_inline_trees_match_the_rules(spark, monkeypatch, few):
 
 
 @pytest.mark.parametrize("limit", [0, 3])
-def test_joined_trees_match_the_rules(spark, monkeypatch, limit):
-    monkeypatch.setattr(tree, "MAX_LEVEL", 15)
-    spans = frame(spark, ROWS)
+def test_joined_trees_match_the_rules(spark, limit):
+    spans = frame(spark, SHALLOW)
     heavy = heavy_keys(spans, "traceid", limit)
     assert heavy is not None
-    assert actual(build_forest(spans, heavy)) == expected(ROWS, 15)
+    assert actual(build_forest(spans, heavy)) == expected(SHALLOW)
 
 
-def test_deepest_level(spark):
+def test_a_deep_chain_is_whole(spark):
     rows = [r for r in ROWS if r["traceid"] == "deep"]
     steps = build_forest(frame(spark, rows), None).steps()
-    assert steps.agg(F.max("level")).first()[0] == 101
+    assert tuple(steps.agg(F.max("level"), F.count("*")).first()) == (150, 151)
+
+
+def chain_sent(times, depth=30):
+    rows = []
+    for again in range(times):
+        previous = None
+        for i in range(depth + 1):
+            sid = f"c{i}" if i else "chain"
+            rows.append(span("chain", sid, previous, f"n{i}", begin=i * 1000, event="cs" if i else "sr",
+                             receive=10_000 + again))
+            previous = sid
+    return rows
+
+
+@pytest.mark.parametrize("limit", [None, 10])
+def test_a_chain_sent_again_does_not_grow(spark, limit):
+    """Copies become leaves; resolved by the store's key they are gone, in either job."""
+    rows = chain_sent(3)
+    spans = frame(spark, rows)
+    heavy = limit and heavy_keys(spans, "traceid", limit)
+    forest = build_forest(spans, heavy)
+    assert actual(forest) == expected(rows)
+    assert forest.summary().first().steps_total == 1 + 3 * 30
+    once = build_forest(resolve_resent(spans), None).summary().first()
+    assert once.steps_total == 31
+    plain = build_forest(frame(spark, chain_sent(1)), None).summary().first()
+    assert once.trace_md5 == plain.trace_md5
 
 
 def test_one_hot_parent_is_salted(spark, monkeypatch):
