@@ -30,7 +30,7 @@ SAMPLE_CHARS = 1024
 LANGUAGES = 200
 SEED = 7
 #: Words a worker remembers, and the longest of them.
-CACHED = 300_000
+CACHED = 600_000
 WORD_CHARS = 48
 UNKNOWN = "und"
 
@@ -77,21 +77,30 @@ def suffix_automaton(text: str) -> dict[int, int]:
     }
 
 
-def count_phrases(word: str, moves: dict[int, int]) -> int:
+def linked_states(moves: dict[int, int]) -> dict:
+    """The automaton as its root: each state is a dictionary from a letter to the next state."""
+    states: dict[int, dict] = {0: {}}
+    for key, target in moves.items():
+        state = states.setdefault(key >> _CODE_BITS << _CODE_BITS, {})
+        letter = chr(key & ((1 << _CODE_BITS) - 1))
+        state[letter] = states.setdefault(target, {})
+    return states[0]
+
+
+def count_phrases(word: str, root: dict) -> int:
     """Phrases of the cross-parsing of a word."""
-    phrases = state = 0
-    get = moves.get
-    for code in map(ord, word):
-        target = get(state | code)
-        if target is None:
-            if state:
+    phrases, state = 0, root
+    for letter in word:
+        following = state.get(letter)
+        if following is None:
+            if state is not root:
                 phrases += 1
-            target = get(code)
-            if target is None:
+            following = root.get(letter)
+            if following is None:
                 phrases += 1
-                target = 0
-        state = target
-    return phrases + (state > 0)
+                following = root
+        state = following
+    return phrases + (state is not root)
 
 
 def held_out(doc_id: Column) -> Column:
@@ -140,38 +149,51 @@ class Parser:
 
     def __init__(self, model: list[tuple]):
         self.languages = [lang for lang, *_ in model]
-        self.moves = [
-            dict(zip(np.frombuffer(s, "<i8").tolist(), np.frombuffer(t, "<i8").tolist()))
+        self.roots = [
+            linked_states(dict(zip(np.frombuffer(s, "<i8").tolist(), np.frombuffer(t, "<i8").tolist())))
             for _, s, t in model
         ]
         self.known: dict[str, int] = {}
         self.counts = np.zeros((1024, len(model)), dtype=np.int64)
         self.used = 1  # row 0: no letters
 
-    def _row(self, word: str) -> int:
-        runs = letter_runs(word)
+    def _parse(self, runs: list[str]) -> int:
+        """A new row with the phrases of some runs of letters."""
         if not runs:
             return 0
         if self.used == len(self.counts):
             self.counts = np.concatenate([self.counts, np.zeros_like(self.counts)])
         self.counts[self.used] = [
-            sum(count_phrases(f" {run} ", moves) for run in runs) for moves in self.moves
+            sum(count_phrases(f" {run} ", root) for run in runs) for root in self.roots
         ]
         self.used += 1
         return self.used - 1
 
+    def _row(self, word: str) -> int:
+        """The row of a word, which is that of its lower-case letters where it has one run."""
+        row = self.known.get(word)
+        if row is None:
+            lower = word.lower()
+            if lower != word:
+                row = self._row(lower)
+            elif word.isalpha():
+                row = self._parse([word])
+            elif word[:-1].isalpha():
+                row = self._row(word[:-1])
+            else:
+                row = self._parse(letter_runs(word))
+            if len(word) <= WORD_CHARS:
+                self.known[word] = row
+        return row
+
     def predict(self, text: str | None) -> tuple[str, float]:
         """Language and score: the share of the runner-up's phrases that the winner saves."""
-        if self.used > CACHED:
+        if len(self.known) > CACHED:
             self.known, self.used = {}, 1
         known, rows = self.known, []
         for word in (text or "").split():
             row = known.get(word)
-            if row is None:
-                row = self._row(word)
-                if len(word) <= WORD_CHARS:
-                    known[word] = row
-            rows.append(row)
+            rows.append(self._row(word) if row is None else row)
         if not any(rows) or not self.languages:
             return UNKNOWN, 0.0
         phrases = self.counts[rows].sum(axis=0)
