@@ -10,6 +10,7 @@ from pyspark.sql import SparkSession
 
 from spanloom.plans.jobs import daily_job
 from spanloom.schemas import TagKeys
+from spanloom.session import MERGE_SESSIONS
 from spanloom.sources.messages import kafka_payloads
 from spanloom.streaming.job import TraceStream
 
@@ -36,6 +37,7 @@ def main() -> None:
         SparkSession.builder.appName("spanloom")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.streaming.stateStore.providerClass", state)
+        .config(MERGE_SESSIONS, "true")
         .getOrCreate()
     )
     if args.job == "daily":

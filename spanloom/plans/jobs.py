@@ -12,7 +12,7 @@ from spanloom.operators.tree import Forest, build_forest
 from spanloom.schemas import TagKeys
 from spanloom.sinks import tables as t
 from spanloom.sources.events import INLINE_SPANS
-from spanloom.staging import stage
+from spanloom.staging import stage, staged_job
 
 BatchHandler = Callable[[DataFrame, int, int], DataFrame]
 
@@ -147,9 +147,10 @@ def daily_job(
     """
     day_ms = as_of_ms // 86_400_000 * 86_400_000
     end_ms = day_ms + days * 86_400_000
-    near = stored_between(spark, root, day_ms - DAY_MARGIN_MS, end_ms + DAY_MARGIN_MS)
-    stored = span_ops.latest_per_key(near, ("rowkey",), "receive")
-    spans = stage(span_ops.spans_of_store(stored, tags), "day-spans")
-    for table, handler in handlers:
-        rows = handler(spans, day_ms // 1000, end_ms // 1000 - 86_400)
-        t.write_batch(rows, root, table, 0, t.day_of_seconds(F.col("day_start")))
+    with staged_job(spark):
+        near = stored_between(spark, root, day_ms - DAY_MARGIN_MS, end_ms + DAY_MARGIN_MS)
+        stored = span_ops.latest_per_key(near, ("rowkey",), "receive")
+        spans = stage(span_ops.spans_of_store(stored, tags), "day-spans")
+        for table, handler in handlers:
+            rows = handler(spans, day_ms // 1000, end_ms // 1000 - 86_400)
+            t.write_batch(rows, root, table, 0, t.day_of_seconds(F.col("day_start")))

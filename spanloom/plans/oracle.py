@@ -380,13 +380,21 @@ union all
 select trace_id, id, event_key, 'STRING', 'lc', lower('Proc-' || service), service, ipv4,
   cast(8080 as bigint) from z where event = 'cs' and tag_lc is null""")
 
-    q["decode_messages"] = _with(SPANS, """
-select service, ip, cast(8080 as bigint) as port, receive, traceid, spanid, name from spans""")
+    q["decode_messages"] = _with(TAGGED, """
+select service, ip, cast(8080 as bigint) as port, receive, traceid, spanid, parent, name, begin, "end",
+  false as remote, 'Proc-' || service as process_id, ("end" - begin) * 1000 as duration_micros,
+  concat_ws(',', 'error=' || tag_error, 'fromPage=' || tag_from_page, 'http.host=' || tag_http_host,
+            'http.url=' || tag_http_url, 'lc=' || tag_lc, 'region=' || tag_region) as tags,
+  begin as log_ms, event as log_event, cast(1 as bigint) as n_logs
+from tagged""")
     q["dead_letters"] = """
-select reason, count(*) as payloads from (
-  select case when page_id % 4 = 0 then 'truncated' when page_id % 4 = 1 then 'empty'
-              when page_id % 4 = 2 then 'malformed' else 'no spans' end as reason
-  from pages) group by reason"""
+select page_id,
+  case when page_id % 4 = 0 then 'truncated' when page_id % 4 = 1 then 'empty'
+       when page_id % 4 = 2 then 'malformed' else 'no spans' end as reason,
+  md5(case when page_id % 4 = 0 then '\\x00'::blob when page_id % 4 = 1 then '\\x00\\x00'::blob
+       when page_id % 4 = 2 then '\\x00\\x00'::blob || encode(html)
+       else '\\x00\\x00'::blob || encode('{"url":"' || url || '"}') end) as payload_md5
+from pages"""
 
     split = """
 words as (

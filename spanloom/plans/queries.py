@@ -317,7 +317,13 @@ def decode_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spans.select(
         "service", "ip", F.col("port").cast("bigint").alias("port"), "receive",
         hex_id(F.col("trace_no")).alias("traceid"), hex_id(F.col("span_no")).alias("spanid"),
-        "name",
+        hex_id(F.try_element_at("parents", F.lit(1))).alias("parent"),
+        "name", "begin", "end", "remote", "process_id", "duration_micros",
+        F.array_join(F.transform(
+            F.array_sort(F.map_entries("tags")), lambda e: F.concat(e["key"], F.lit("="), e["value"])
+        ), ",").alias("tags"),
+        F.col("logs")[0]["timestamp"].alias("log_ms"), F.col("logs")[0]["event"].alias("log_event"),
+        F.size("logs").cast("bigint").alias("n_logs"),
     )
 
 
@@ -336,9 +342,8 @@ def dead_letters(spark: SparkSession, sf_dir: str) -> DataFrame:
     payloads = spark.read.parquet(f"{sf_dir}/pages.parquet").select(
         value.alias("value"), F.timestamp_seconds(F.col("page_id")).alias("timestamp")
     )
-    return (
-        msg.dead_letters(msg.decode(payloads)).groupBy("reason")
-        .agg(F.count("*").alias("payloads"))
+    return msg.dead_letters(msg.decode(payloads)).select(
+        F.unix_seconds("timestamp").alias("page_id"), "reason", F.md5("value").alias("payload_md5")
     )
 
 

@@ -56,7 +56,8 @@ def decode(payloads: DataFrame) -> DataFrame:
     body = F.substring("value", HEADER_BYTES + 1, 2**31 - 1)
     length = F.octet_length("value")
     parsed = payloads.withColumn(
-        "message", F.from_json(F.decode(body, "UTF-8"), parse_schema, options)
+        # Bytes that are not UTF-8 make a payload malformed; they must not end the batch.
+        "message", F.from_json(F.make_valid_utf8(body.cast("string")), parse_schema, options)
     )
     reason = (
         F.when(F.col("value").isNull() | (length < HEADER_BYTES), "truncated")

@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -22,8 +25,36 @@ def staging_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+_jobs = threading.local()
+
+
 def new_folder(spark: SparkSession, name: str) -> str:
-    return f"{staging_root(spark)}/{name}-{uuid.uuid4().hex}"
+    """A folder of its own; inside ``staged_job`` it goes when the job ends."""
+    path = f"{staging_root(spark)}/{name}-{uuid.uuid4().hex}"
+    if getattr(_jobs, "open", None):
+        _jobs.open[-1].append(path)
+    return path
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder in any file system that Spark reaches."""
+    location = spark._jvm.org.apache.hadoop.fs.Path(path)
+    location.getFileSystem(spark._jsc.hadoopConfiguration()).delete(location, True)
+
+
+@contextmanager
+def staged_job(spark: SparkSession) -> Iterator[None]:
+    """A job that writes its results: what it staged on the way is removed at its end.
+
+    DataFrames made inside must not be used after it. Jobs in other threads are apart.
+    """
+    _jobs.open = getattr(_jobs, "open", None) or []
+    _jobs.open.append([])
+    try:
+        yield
+    finally:
+        for path in _jobs.open.pop():
+            remove(spark, path)
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:

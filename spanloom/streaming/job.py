@@ -25,6 +25,7 @@ from spanloom.plans import jobs
 from spanloom.schemas import LONG_COLUMNS, SPAN_COLUMNS, TagKeys
 from spanloom.sinks import tables as t
 from spanloom.sources.messages import dead_letters, decode, good_messages
+from spanloom.staging import staged_job
 
 
 @dataclass(frozen=True)
@@ -166,16 +167,18 @@ class TraceStream:
             batch = MicroBatch(
                 payloads.sparkSession, batch_id, self.root, exploded, spans, as_of, self.rules
             )
-            for handler in self.handlers:
-                handler(batch)
+            with staged_job(batch.spark):
+                for handler in self.handlers:
+                    handler(batch)
         finally:
             decoded.unpersist()
 
     def flush(self, spark: SparkSession, last_batch_id: int, as_of_ms: int) -> None:
         """After the stream has stopped for good: analyze what still waits."""
-        pending = waiting_spans(spark, self.root, last_batch_id)
-        forest = jobs.forest_of(resolve_resent(pending), extra=("ip", "http_host"))
-        jobs.write_trace_tables(forest, self.root, last_batch_id + 1, as_of_ms // 1000)
+        with staged_job(spark):
+            pending = waiting_spans(spark, self.root, last_batch_id)
+            forest = jobs.forest_of(resolve_resent(pending), extra=("ip", "http_host"))
+            jobs.write_trace_tables(forest, self.root, last_batch_id + 1, as_of_ms // 1000)
 
     def start(self, payloads: DataFrame, available_now: bool = False) -> StreamingQuery:
         writer = payloads.writeStream.foreachBatch(self.process).option(

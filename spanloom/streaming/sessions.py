@@ -2,7 +2,8 @@
 
 The state per trace is a count and two times, not its spans: when a session closes, the
 spans are fetched from the span table by a join. Partial sessions are merged before
-the shuffle, so a busy trace costs each task one row.
+the shuffle, so a busy trace costs each task one row, in a session with ``MERGE_SESSIONS`` set
+(the sessions that this package opens have it).
 """
 
 from __future__ import annotations
@@ -11,8 +12,6 @@ from pyspark.sql import DataFrame, functions as F
 
 from spanloom.operators.skew import join_sized
 
-MERGE_BEFORE_SHUFFLE = "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition"
-
 
 def closed_sessions(
     spans: DataFrame, gap: str = "60 seconds", delay: str = "120 seconds"
@@ -22,7 +21,6 @@ def closed_sessions(
     Spans later than ``delay`` are dropped; a trace closes when ``gap`` has passed without a
     span of its own.
     """
-    spans.sparkSession.conf.set(MERGE_BEFORE_SHUFFLE, "true")
     return (
         spans.select("traceid", "end", F.timestamp_millis("end").alias("end_ts"))
         .withWatermark("end_ts", delay)

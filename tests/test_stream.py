@@ -177,6 +177,23 @@ def test_a_day_lists_its_own_folders_and_compaction_keeps_rows(spark, tmp_path):
     assert t.read_table(spark, root, "none", "a int").count() == 0
 
 
+def test_batches_leave_no_staged_folder(spark, tmp_path):
+    import os
+
+    from spanloom.staging import staging_root
+
+    before = set(os.listdir(staging_root(spark)))
+    start_stream(spark, str(tmp_path), SLICES)
+    assert set(os.listdir(staging_root(spark))) == before
+
+
+def test_bytes_that_are_not_text_are_a_dead_letter(spark, tmp_path):
+    slices = [[payload(60_000, raw=b"\xff\xfe{"), payload(60_000, one(1, 1, 10_000))]]
+    stream, _ = start_stream(spark, str(tmp_path), slices)
+    assert [r.reason for r in t.read_table(spark, stream.root, t.DEAD_LETTERS).collect()] == ["malformed"]
+    assert t.read_table(spark, stream.root, t.RAW_SPANS).count() == 1
+
+
 def test_own_handlers(spark, tmp_path):
     seen = []
     start_stream(spark, str(tmp_path), SLICES, (lambda b: seen.append((b.batch_id, b.spans.count())),))
