@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from spanloom.llm import langid, lines, mixing, packing, simhash
 from spanloom.llm.tables import read_table
-from spanloom.staging import new_folder
+from spanloom.staging import new_folder, remove, staged_job
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -47,10 +47,17 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents table; the rows of the last."""
-    docs = read_table(spark, sf_dir, "documents")
+    """All stages over the documents table; the rows of the last.
+
+    What a stage staged goes when it has written its rows, and these when the next stage has.
+    """
+    docs, before = read_table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
         path = new_folder(spark, f"pipeline-{name}")
-        stage(spark, docs, sf_dir).write.parquet(path)
+        with staged_job(spark):
+            stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+        if before:
+            remove(spark, before)
+        before = path
     return docs
