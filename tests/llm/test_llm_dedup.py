@@ -136,11 +136,40 @@ def test_near_duplicates_of_edge_documents(spark):
         least[root[i]] = min(known, default=None)
     want = [(d, f"{p:016x}", least[root[i]]) for i, ((d, _), p) in enumerate(zip(rows, prints))]
     assert sorted(map(str, map(tuple, got))) == sorted(map(str, want))
-    kept = simhash.representatives(docs).collect()
-    assert len(kept) == len(set(root.values())) and simhash.representatives(docs).columns == docs.columns
+    kept = simhash.representatives(docs, simhash.near_duplicates(docs))
+    assert kept.count() == len(set(root.values())) and kept.columns == docs.columns
     assert simhash.near_duplicate_report(docs.limit(0)).count() == 0
 
 
+def test_similar_documents_are_found_and_others_stay(spark):
+    rng = random.Random(21)
+
+    def text(n):
+        return [f"w{rng.randint(0, 10**6)}" for _ in range(n)]
+
+    def edited(words, edits):
+        out = list(words)
+        for at in rng.sample(range(len(out)), edits):
+            out[at] = "changed"
+        return out
+
+    rows, number = [], 0
+    for group in range(60):
+        base = text(300)
+        for copy in (base, edited(base, 3), edited(base, 5), text(300)):
+            rows.append((number, " ".join(copy)))
+            number += 1
+    # Half of the text in common is not a near duplicate.
+    half = text(300)
+    rows += [(900, " ".join(half)), (901, " ".join(half[:150] + text(150))), (902, None), (903, ""), (904, "one two")]
+    docs = spark.createDataFrame(rows, DOCS)
+    kept = {r.doc_id for r in simhash.representatives(docs).collect()}
+    dropped = {i for i, _ in rows} - kept
+    assert len([i for i in dropped if i < 240]) >= 0.95 * 120
+    assert all(i % 4 in (1, 2) or i == 903 for i in dropped if i != 903) and 903 in dropped
+    assert simhash.representatives(docs.limit(0)).count() == 0
+
+
 # ---- vectors --------------------------------------------------------------------------------
 
 
