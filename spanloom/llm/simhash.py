@@ -111,15 +111,24 @@ def gray_rank(code: Column) -> Column:
     return rank.bitwiseXOR(F.lit(-(1 << 63)))  # unsigned order
 
 
-def in_gray_order(distinct: DataFrame, code: str) -> DataFrame:
-    """The rows of a written table with ``number``, their place (from 0) by Gray rank of ``code``.
+#: Numbers of one index; a power of the fan-out, so that nodes of different indexes stay apart.
+INDEX_SIZE = 1 << 48
 
+
+def in_gray_order(codes: DataFrame) -> DataFrame:
+    """The rows of a written table with ``number``, their place (from 0) by Gray rank of ``fp``.
+
+    A column ``part`` tells several indexes apart; numbers of part p begin at p * INDEX_SIZE.
     Rows of one code follow each other in any order.
     """
-    ranked = distinct.withColumn("_all", F.lit(0)).withColumn("_gray", gray_rank(F.col(code)))
-    ranked = ranked.withColumn("_tie", F.monotonically_increasing_id())
-    placed = ranged_row_number(ranked, "_all", ["_gray", "_tie"], "_rank")
-    return placed.withColumn("number", F.col("_rank") - 1).drop("_all", "_gray", "_tie", "_rank")
+    if "part" not in codes.columns:
+        codes = codes.withColumn("part", F.lit(0))
+    ranked = codes.withColumn("_gray", gray_rank(F.col("fp"))).withColumn(
+        "_tie", F.monotonically_increasing_id()
+    )
+    placed = ranged_row_number(ranked, "part", ["_gray", "_tie"], "_rank")
+    number = F.col("part").cast("bigint") * INDEX_SIZE + F.col("_rank") - 1
+    return placed.withColumn("number", number).drop("part", "_gray", "_tie", "_rank")
 
 
 def _level(below: DataFrame) -> DataFrame:
@@ -203,18 +212,19 @@ def _edges(
 
 
 def near_links(
-    codes: DataFrame, max_bits: int = MAX_BITS, prune_bits: int | None = None
+    codes: DataFrame, max_bits: int = MAX_BITS, prune_bits: int | None = None, indexes: int = 1
 ) -> DataFrame:
     """(a, b): links between the numbers of ``codes`` (number 0.., fp), in Gray order, that
     connect exactly the codes connected by steps of at most ``max_bits`` differing bits.
 
     With ``prune_bits`` below ``max_bits`` groups are pruned when they differ in more of the bits
-    that both share: faster, and pairs that differ more there are missed.
+    that both share: faster, and pairs that differ more there are missed. ``codes`` may hold several
+    indexes, numbered apart; each is searched for itself, in the same jobs.
     """
     prune_bits = max_bits if prune_bits is None else prune_bits
     leaves = codes.select("number", F.col("fp").alias("low"), F.col("fp").alias("high"))
     levels = [stage(_level(leaves), "gray-level")]
-    while levels[-1].count() > 1:
+    while levels[-1].count() > indexes:
         above = levels[-1].select(F.col("node").alias("number"), "low", "high")
         levels.append(stage(_level(above), "gray-level"))
     pairs = levels[-1].select(F.col("node").alias("a"), F.col("node").alias("b"))
@@ -245,8 +255,7 @@ def near_duplicates(
     distinct = stage(
         prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "simhash-distinct"
     )
-    codes = in_gray_order(distinct, "fp").select("number", "fp", "first_id")
-    codes = stage(codes, "gray-codes")
+    codes = stage(in_gray_order(distinct), "gray-codes")
     found = stage(connected_components(near_links(codes, max_bits), "simhash"), "simhash-groups")
     grouped = codes.join(found, codes["number"] == found["node"], "left").select(
         "fp", "first_id", F.coalesce("component", "number").alias("component")
@@ -304,17 +313,16 @@ def similar_documents(
     entries = stage(prints.select(*names).distinct(), "similar-distinct")
     entries = stage(entries.withColumn("entry", F.monotonically_increasing_id()), "similar-entries")
     reach = bit_limit(64, similarity, 1.5)
-    found = None
-    for name in names:
-        codes = in_gray_order(entries, name).select("number", F.col(name).alias("fp"), "entry")
-        codes = stage(codes, "similar-codes")
-        links = near_links(codes, reach, PRUNE_BITS)
-        left = codes.select(F.col("number").alias("a"), F.col("entry").alias("e"))
-        right = codes.select(F.col("number").alias("b"), F.col("entry").alias("f"))
-        named = links.join(left, "a").join(right, "b").select(
-            F.least("e", "f").alias("a"), F.greatest("e", "f").alias("b")
-        )
-        found = named if found is None else found.unionByName(named)
+    parts = stage(
+        entries.select("entry", F.posexplode(F.array(*names)).alias("part", "fp")), "similar-parts"
+    )
+    codes = stage(in_gray_order(parts), "similar-codes")
+    links = near_links(codes, reach, PRUNE_BITS, PARTS)
+    left = codes.select(F.col("number").alias("a"), F.col("entry").alias("e"))
+    right = codes.select(F.col("number").alias("b"), F.col("entry").alias("f"))
+    found = links.join(left, "a").join(right, "b").select(
+        F.least("e", "f").alias("a"), F.greatest("e", "f").alias("b")
+    )
     found = stage(found.distinct(), "similar-links")
     one = entries.select(F.col("entry").alias("a"), F.array(*names).alias("x"))
     other = entries.select(F.col("entry").alias("b"), F.array(*names).alias("y"))
