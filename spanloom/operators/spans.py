@@ -146,31 +146,31 @@ def store_rows(exploded: DataFrame) -> DataFrame:
 def latest_per_key(rows: DataFrame, key: tuple[str, ...], version: str) -> DataFrame:
     """Last write wins per key.
 
-    An aggregate, not a window: copies collapse on the map side before the shuffle, so a
-    key with very many copies is no burden on one task.
+    Most keys are written once. The others are found on the key columns alone; only their rows
+    are compared, by an aggregate that combines copies before the shuffle, so a key with very
+    many copies is no burden on one task. Rows of single keys are not shuffled, unless there are
+    more repeated keys than Spark broadcasts.
     """
     rest = [c for c in rows.columns if c not in key and c != version]
+    columns = [*key, version, *rest]
+    repeated = stage(
+        rows.groupBy(*key).agg(F.count("*").alias("_n")).where("_n > 1").drop("_n"), "repeated-keys"
+    )
+    if repeated.isEmpty():
+        return rows.select(*columns)
+    same = [F.col(f"r.{c}").eqNullSafe(F.col(f"k.{c}")) for c in key]
+    all_rows, keys = rows.alias("r"), repeated.alias("k")
+    single = all_rows.join(keys, same, "left_anti").select(*columns)
     newest = F.max(F.struct(version, *rest)).alias("_row")
-    return rows.groupBy(*key).agg(newest).select(*key, "_row.*")
+    copies = all_rows.join(keys, same, "left_semi").groupBy(*key).agg(newest)
+    return single.unionByName(copies.select(*key, "_row.*"))
 
 
 def resolve_resent(spans: DataFrame) -> DataFrame:
-    """Flat span rows with one row per store key: of spans sent again, the last received.
-
-    The copies are found on the key columns alone; only they are compared as whole rows.
-    """
-    key = ("traceid", "begin_sec", "spanid", "event")
+    """Flat span rows with one row per store key: of spans sent again, the last received."""
     keyed = spans.withColumn("begin_sec", F.expr("begin div 1000"))
-    sent_again = stage(
-        keyed.groupBy(*key).agg(F.count("*").alias("_n")).where("_n > 1").drop("_n"), "resent"
-    )
-    if sent_again.isEmpty():
-        return spans
-    null_safe = [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in key]
-    pairs = keyed.alias("a"), sent_again.alias("b")
-    once = pairs[0].join(pairs[1], null_safe, "left_anti")
-    copies = pairs[0].join(pairs[1], null_safe, "left_semi")
-    return once.unionByName(latest_per_key(copies, key, "receive")).select(*spans.columns)
+    key = ("traceid", "begin_sec", "spanid", "event")
+    return latest_per_key(keyed, key, "receive").select(*spans.columns)
 
 
 def parse_stored(store: DataFrame) -> DataFrame:

@@ -236,7 +236,7 @@ def _sent(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _store(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = span_ops.store_rows(_sent(spark, sf_dir))
+    rows = stage(span_ops.store_rows(_sent(spark, sf_dir)), "store-rows")
     return span_ops.latest_per_key(rows, ("rowkey",), "receive")
 
 
