@@ -8,10 +8,11 @@ import pytest
 
 import __spark_entry__ as entry
 from check import compare, connect
+from spanloom.plans import oracle, queries as registry
 from spanloom.sources import events as events_source
 
 SF = "/root/testdata/sf0.001"
-NAMES = sorted(entry.queries())
+NAMES = sorted(registry.queries())
 # Queries whose large-trace path is exercised with the skewed tables.
 SKEWED = (
     "span_flatten_messages", "span_order", "trace_tree", "trace_summary", "api_minutes_table",
@@ -25,7 +26,8 @@ def plain():
 
 
 def test_every_query_has_sql():
-    assert set(entry.oracle_sql()) == set(NAMES)
+    assert set(oracle.oracle_sql()) == set(NAMES)
+    assert set(NAMES) <= set(entry.queries())
 
 
 def test_flagship(spark):
@@ -71,7 +73,8 @@ def skewed(tmp_path_factory):
 @pytest.mark.parametrize("name", SKEWED)
 def test_query_with_a_third_of_all_rows_in_one_trace(spark, skewed, monkeypatch, name):
     folder, con = skewed
-    monkeypatch.setattr(events_source.event_spans, "__defaults__", (64,))
+    defaults = (64, events_source.DAY_TRACES)
+    monkeypatch.setattr(events_source.event_spans, "__defaults__", defaults)
     assert events_source.event_spans(spark, folder).heavy.count == 1
     ok, note = compare(spark, con, folder, name)
     assert ok, note
