@@ -366,6 +366,32 @@ select trace_id, id, event_key, parent as parent_id, lower(name) as name,
 select trace_id, id, event_key, begin * 1000 as timestamp, event as value,
   service as endpoint_service, ipv4 as endpoint_ipv4, cast(8080 as bigint) as endpoint_port
 from z""")
+    varied = NESTED.replace("tagged.*,", """tagged.*,
+    case when idx = 1 then tno else 1000000000 + event_id end % 6 as kind,""")
+    kept = "from z where kind <> 0"
+    q["zipkin_varied_spans"] = _with(varied, f"""
+select trace_id, id, case when kind = 3 then 'cs' else event_key end as event_key,
+  case when kind = 5 then coalesce(parent, traceid) else parent end as parent_id,
+  lower(name) as name, case when kind <> 1 then begin * 1000 end as timestamp,
+  cast(case when kind = 3 then 7000 when kind not in (1, 2) then ("end" - begin) * 1000 end as bigint)
+    as duration {kept}""")
+    q["zipkin_varied_tags"] = _with(varied + """,
+w as (select trace_id, id, case when kind = 3 then 'cs' else event_key end as event_key, service, ipv4,
+        kind, event, tag_lc, tag_http_url, tag_http_host, tag_error, tag_region, tag_from_page,
+        case when kind = 4 then 'Peer' || service end as tag_peer from z where kind <> 0)
+""", "\nunion all\n".join(
+        f"select trace_id, id, event_key, '{type_}' as type, '{key}' as key, {value} as value, "
+        f"{endpoint} as endpoint_service, ipv4 as endpoint_ipv4, cast(8080 as bigint) as endpoint_port "
+        f"from w where {condition}"
+        for type_, key, value, endpoint, condition in (
+            *(("STRING", key, column, "service", f"{column} is not null") for key, column in (
+                ("lc", "tag_lc"), ("http.url", "tag_http_url"), ("http.host", "tag_http_host"),
+                ("error", "tag_error"), ("region", "tag_region"), ("fromPage", "tag_from_page"),
+                ("peer.service", "tag_peer"))),
+            ("STRING", "lc", "lower('Proc-' || service)", "service",
+             "kind <> 3 and event <> 'sr' and tag_lc is null"),
+            ("BOOL", "sa", "'true'", "lower(tag_peer)", "event = 'cs' and tag_peer is not null"),
+        )))
     tag_rows = "\nunion all\n".join(
         f"select trace_id, id, event_key, 'STRING' as type, '{key}' as key, {column} as value, "
         f"service as endpoint_service, ipv4 as endpoint_ipv4, cast(8080 as bigint) as endpoint_port "

@@ -12,6 +12,7 @@ from spanloom.operators.skew import row_number_in_group
 from spanloom.operators.tree import Forest, build_forest
 from spanloom.plans import jobs
 from spanloom.plans.constants import AS_OF, LATE_MS, REPLAY_HOLD_MS, SLICE_MS
+from spanloom.schemas import COLLECTOR_SPAN
 from spanloom.sinks import tables as t
 from spanloom.sources import messages as msg
 from spanloom.sources.events import (
@@ -307,6 +308,34 @@ def zipkin_binary_annotations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return zipkin.zipkin_binary_annotations(_exploded(spark, sf_dir))
 
 
+def _varied(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exploded spans of the rarer kinds: the collector's own, remote and running ones, with both
+    client logs, with a named peer, and with two parents."""
+    kind = F.col("span_no") % 6
+    begin, both = F.col("begin"), F.col("logs")
+    logs = F.array(
+        F.struct(begin.alias("timestamp"), F.lit("cs").alias("event")),
+        F.struct((begin + 7).alias("timestamp"), F.lit("cr").alias("event")),
+    )
+    peer = F.create_map(F.lit("peer.service"), F.concat(F.lit("Peer"), "service"))
+    return _exploded(spark, sf_dir).withColumns({
+        "name": F.when(kind == 0, COLLECTOR_SPAN).otherwise(F.col("name")),
+        "remote": kind == 1,
+        "duration_micros": F.when(kind != 2, F.col("duration_micros")),
+        "logs": F.when(kind == 3, logs).otherwise(both),
+        "tags": F.when(kind == 4, F.map_concat("tags", peer)).otherwise(F.col("tags")),
+        "parents": F.when(kind == 5, F.concat("parents", F.array("trace_no"))).otherwise(F.col("parents")),
+    })
+
+
+def zipkin_varied_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return zipkin.zipkin_spans(_varied(spark, sf_dir))
+
+
+def zipkin_varied_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return zipkin.zipkin_binary_annotations(_varied(spark, sf_dir))
+
+
 # ---- messages -------------------------------------------------------------------------------
 
 
@@ -508,6 +537,6 @@ def queries() -> dict[str, Query]:
         zipkin_binary_annotations, decode_messages, dead_letters, word_count,
         word_count_running, stream_trace_assembly, stream_api_minutes, stream_page_api,
         stream_sessions, resent_trace_tree, resent_trace_summary, wide_trace_tree,
-        wide_trace_summary, daily_job_table, stream_late_spans, stream_crossing_traces,
+        wide_trace_summary, zipkin_varied_spans, zipkin_varied_tags, daily_job_table, stream_late_spans, stream_crossing_traces,
     )
     return {f.__name__: f for f in functions}
