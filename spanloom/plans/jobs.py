@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from spanloom.operators import indexes, pages, spans as span_ops, stats
 from spanloom.operators.skew import heavy_keys
@@ -28,7 +28,10 @@ def write_trace_tables(forest: Forest, root: str, batch_id: int, now_sec: int) -
     start = t.day_of_seconds(F.col("starttime"))
     minute = t.day_of_seconds(F.col("minute_start"))
     chains = stats.chain_table(forest, "minute_start").withColumn("now", F.lit(now_sec))
-    key = F.concat_ws(":", "api", "now", "trace_md5", indexes.later_segment())
+    # A chain's older minutes in a batch, and later segments, have keys of their own.
+    newest = F.max("minute_start").over(Window.partitionBy("api", "trace_md5"))
+    older = F.when(F.col("minute_start") < newest, F.concat(F.lit("m"), "minute_start"))
+    key = F.concat_ws(":", "api", "now", "trace_md5", older, indexes.later_segment())
     chains = chains.withColumn("rowkey", key)
     t.write_batch(chains, root, t.CHAIN_MINUTES, batch_id, minute)
     t.write_batch(indexes.failed_by_time(forest), root, t.FAILED_BY_TIME, batch_id, start)

@@ -324,6 +324,33 @@ from full_rows""")
 select api || ':' || (start_ms // 1000) || ':' || traceid as rowkey, {indexed}
 from full_rows""")
 
+    parity = "cast(('0x' || right(traceid, 1)) as bigint) % 2"
+    parts = TREE + f""",
+parts as (select *, {parity} as batch_id from summary)"""
+    q["stored_chain_minutes"] = _with(
+        parts + f""",
+chain_parts as ({chains("parts", "minute_start", "batch_id,")})""", f"""
+select batch_id, minute_start, trace_md5, times, duration, max_latency_trace,
+  concat_ws(':', api, {AS_OF // 1000} + batch_id, trace_md5,
+    case when minute_start < max(minute_start) over (partition by batch_id, api, trace_md5)
+         then 'm' || minute_start end) as rowkey
+from chain_parts""")
+    q["stored_address_totals"] = q["span_ip"].replace(
+        "select trace_md5, name as span_name, minute_start,",
+        """select trace_md5 || ':' || name || ':' || minute_start || ':'
+    || case when traceid = spanid then ip else http_host end as rowkey,
+  trace_md5, name as span_name, minute_start,""",
+    ).replace("group by 1, 2, 3, 4", "group by 1, 2, 3, 4, 5")
+    started = "start_ms // 1000"
+    q["stored_trace_keys"] = _with(parts, "\nunion all\n".join(
+        f"select '{label}' as index, {key} as rowkey, traceid, {started} as starttime, batch_id "
+        f"from parts {condition}"
+        for label, key, condition in (
+            ("failed by time", f"({started}) || ':' || traceid", failed),
+            ("failed by api", f"api || ':' || ({started}) || ':' || traceid", failed),
+            ("md5", f"trace_md5 || ':' || ({started}) || ':' || traceid", ""),
+            ("api", f"api || ':' || ({started}) || ':' || traceid", ""),
+        )))
     q["trace_results"] = _with(JSON, """
 select api, cast(1 as bigint) as times, duration, segment, spans,
   minute_start || '.' || trace_md5 as bucket_md5, traceid as max_latency_trace,

@@ -206,6 +206,41 @@ def trace_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     return indexes.trace_results(_forest(spark, sf_dir))
 
 
+def _written(spark: SparkSession, sf_dir: str) -> str:
+    """The trace tables after two batches, of the traces with even and with odd numbers."""
+    root = new_folder(spark, "tables")
+    spans = stage(_spans(spark, sf_dir), "spans")
+    odd = F.conv(F.substring("traceid", 16, 1), 16, 10).cast("int") % 2
+    for batch in (0, 1):
+        forest = jobs.forest_of(spans.where(odd == batch), extra=("ip", "http_host"))
+        jobs.write_trace_tables(forest, root, batch, AS_OF // 1000 + batch)
+    return root
+
+
+def stored_chain_minutes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The minutes table as written, one row per key."""
+    return _batched(t.read_table(spark, _written(spark, sf_dir), t.CHAIN_MINUTES)).select(
+        "batch_id", "rowkey", "minute_start", "trace_md5", "times", "duration", "max_latency_trace"
+    )
+
+
+def stored_address_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The address table as written, minutes that fell into both batches added up."""
+    return jobs.address_totals(spark, _written(spark, sf_dir))
+
+
+def stored_trace_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of the four trace indexes as written."""
+    root = _written(spark, sf_dir)
+    tables = {
+        name: t.read_table(spark, root, name).withColumn("index", F.lit(label))
+        for name, label in ((t.FAILED_BY_TIME, "failed by time"), (t.FAILED_BY_API, "failed by api"))
+    }
+    tables[t.ALL_TRACES] = t.read_table(spark, root, t.ALL_TRACES)
+    rows = [_batched(x).select("index", "rowkey", "traceid", "starttime", "batch_id") for x in tables.values()]
+    return rows[0].unionByName(rows[1]).unionByName(rows[2])
+
+
 # ---- pages ----------------------------------------------------------------------------------
 
 
@@ -537,6 +572,7 @@ def queries() -> dict[str, Query]:
         zipkin_binary_annotations, decode_messages, dead_letters, word_count,
         word_count_running, stream_trace_assembly, stream_api_minutes, stream_page_api,
         stream_sessions, resent_trace_tree, resent_trace_summary, wide_trace_tree,
-        wide_trace_summary, zipkin_varied_spans, zipkin_varied_tags, daily_job_table, stream_late_spans, stream_crossing_traces,
+        wide_trace_summary, zipkin_varied_spans, zipkin_varied_tags, daily_job_table,
+        stored_chain_minutes, stored_address_totals, stored_trace_keys, stream_late_spans, stream_crossing_traces,
     )
     return {f.__name__: f for f in functions}
