@@ -150,7 +150,7 @@ def test_recent_spans_hold_their_trace(spark):
     ]
     assert states(spark, fresh, []) == [
         ("done", "1", "ready"), ("done", "2", "ready"), ("edge", "1", "ready"),
-        ("held", "1", "waiting"), ("held", "2", "waiting"),
+        ("held", "1", "waiting"), ("held", "2", "waiting"), ("late", "1", "dropped"), ("late", "2", "dropped"),
         ("mixed", "1", "ready"), ("mixed", "2", "ready"), ("skew", "1", "waiting"),
     ]
 
