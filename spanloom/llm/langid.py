@@ -21,16 +21,16 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from spanloom.llm.tables import slices, values
+from spanloom.llm.tables import slices, values, worker_state
 
 #: Bounds of the labelled sample that a model is fitted on: about so many documents a language,
 #: one piece of so many characters from each, and languages at most (the most frequent).
-SAMPLE_DOCS = 96
+SAMPLE_DOCS = 48
 SAMPLE_CHARS = 1024
 LANGUAGES = 200
 SEED = 7
 #: Words a worker remembers, and the longest of them.
-CACHED = 600_000
+CACHED = 400_000
 WORD_CHARS = 48
 UNKNOWN = "und"
 
@@ -203,10 +203,6 @@ class Parser:
         return self.languages[order[0]], float(1.0 - phrases[order[0]] / phrases[order[1]])
 
 
-#: The parser of a Python worker, by run.
-_WORKER_PARSER: dict = {}
-
-
 def identify(docs: DataFrame, model: list[tuple], passed: list[str] | None = None) -> DataFrame:
     """The columns ``passed`` (all by default) with ``lang_pred`` and ``score``.
 
@@ -221,10 +217,7 @@ def identify(docs: DataFrame, model: list[tuple], passed: list[str] | None = Non
     run = uuid.uuid4().hex
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if run not in _WORKER_PARSER:
-            _WORKER_PARSER.clear()
-            _WORKER_PARSER[run] = Parser(shared.value)
-        parser = _WORKER_PARSER[run]
+        parser = worker_state(("languages", run), lambda: Parser(shared.value))
         for batch in slices(batches):
             found = [parser.predict(text) for text in values(batch.column(0))]
             yield pa.RecordBatch.from_arrays(

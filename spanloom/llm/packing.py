@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from spanloom.llm.tables import text_of, values
+from spanloom.llm.tables import text_of, values, worker_state
 from spanloom.llm.tokens import TOKENIZER, id_pieces, load_tokenizer
 
 WINDOW = 2048
@@ -63,7 +63,8 @@ def document_ids(text: str, tokenizer: str, closing: int) -> np.ndarray:
     end = np.array([closing], dtype=np.uint32)
     if not text:
         return end
-    return np.concatenate([np.frombuffer(id_pieces(tokenizer).of(text), dtype=np.uint32), end])
+    pieces = worker_state(("ids", tokenizer), lambda: id_pieces(tokenizer))
+    return np.concatenate([np.frombuffer(pieces.of(text), dtype=np.uint32), end])
 
 
 def cuts(lengths: np.ndarray, ids: np.ndarray, ends: np.ndarray, window: int):

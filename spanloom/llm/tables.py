@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -12,6 +12,18 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+#: What a Python worker keeps between tasks: the state of one operator at a time.
+_WORKER_STATE: dict = {}
+
+
+def worker_state(key: tuple, make: Callable[[], object]):
+    """The state of ``key`` in this worker, made at first use; the one before it is let go."""
+    if key not in _WORKER_STATE:
+        _WORKER_STATE.clear()
+        _WORKER_STATE[key] = make()
+    return _WORKER_STATE[key]
+
+
 def values(column: pa.Array) -> Iterator:
     """The Python values of an Arrow column, one at a time: no second copy of a whole batch."""
     for item in column:

@@ -28,7 +28,7 @@ import pyarrow as pa
 import public_tokenizers
 from pyspark.sql import DataFrame, functions as F
 
-from spanloom.llm.tables import slices, text_of, values
+from spanloom.llm.tables import slices, text_of, values, worker_state
 
 TOKENIZER = "byte_bpe_50k.json"
 #: Entries of the broadcast table, candidates for it per task, and the longest piece in it.
@@ -128,7 +128,6 @@ class Pieces(dict):
             return self.encode(first) + self.join(found)
 
 
-@functools.lru_cache(maxsize=8)
 def id_pieces(name: str) -> Pieces:
     """Token ids of pieces as little-endian 32-bit bytes."""
     return Pieces(
@@ -141,18 +140,6 @@ def length_pieces(name: str, frequent: dict[str, int]) -> Pieces:
     return Pieces(len, sum, load_tokenizer(name), frequent, CACHED)
 
 
-#: The cache of a Python worker, by tokenizer and run.
-_WORKER_LENGTHS: dict = {}
-
-
-def _length_pieces(name: str, run: str, table) -> Pieces:
-    key = (name, run)
-    if key not in _WORKER_LENGTHS:
-        _WORKER_LENGTHS.clear()
-        _WORKER_LENGTHS[key] = length_pieces(name, table.value)
-    return _WORKER_LENGTHS[key]
-
-
 def _count_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     counts: Counter = Counter()
     for batch in batches:
@@ -205,7 +192,9 @@ def count_tokens(
     schema = docs.select(*kept).schema.add(out, "long")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = _length_pieces(tokenizer, run, table)
+        pieces = worker_state(
+            ("lengths", tokenizer, run), lambda: length_pieces(tokenizer, table.value)
+        )
         for batch in slices(batches):
             counts = array("q")
             for value in values(batch.column(0)):
