@@ -35,6 +35,8 @@ TOKENIZER = "byte_bpe_50k.json"
 FREQUENT = 65_536
 CANDIDATES = 16_384
 PIECE_CHARS = 48
+#: Tasks that choose the most frequent pieces from the candidates of all.
+TOP_TASKS = 8
 #: Pieces that a task counts before it forgets the rarer ones.
 COUNTED = 200_000
 #: Entries of a generation of a worker's cache, which has two.
@@ -163,7 +165,8 @@ def frequent_lengths(docs: DataFrame, tokenizer: str = TOKENIZER) -> dict[str, i
     rows = (
         docs.select("text").mapInArrow(_count_pieces, "piece string, n bigint")
         .groupBy("piece").agg(F.sum("n").alias("n"))
-        .orderBy(F.desc("n"), "piece").limit(FREQUENT).collect()
+        # Each of these few tasks sends its best to the driver, however large the corpus is.
+        .coalesce(TOP_TASKS).orderBy(F.desc("n"), "piece").limit(FREQUENT).collect()
     )
     pieces = length_pieces(tokenizer, {})
     return {row.piece: pieces[row.piece] for row in rows}
