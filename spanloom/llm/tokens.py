@@ -47,6 +47,18 @@ CACHED = 800_000
 _VISIBLE = {*range(33, 127), *range(161, 173), *range(174, 256)}
 BYTE_LETTERS = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _VISIBLE)}
 
+
+class ByteLetters(dict):
+    """A character in the byte-level alphabet: a letter for each of its UTF-8 bytes."""
+
+    def __missing__(self, char: str) -> str:
+        self[char] = "".join(chr(BYTE_LETTERS.get(b, b)) for b in char.encode())
+        return self[char]
+
+
+_byte_letters = ByteLetters()
+_SPACE = _byte_letters[" "]
+
 _SPACE_BETWEEN_WORDS = re.compile(r"(?<=\S) (?=\S)")
 
 
@@ -95,8 +107,8 @@ class Pieces(dict):
     def _value(self, piece: str):
         if self.bytelevel and piece.isalpha():
             # Letters are one pre-token: the model alone gives the library's tokens.
-            mapped = (" " + piece).encode().decode("latin-1").translate(BYTE_LETTERS)
-            return self.measure([t.id for t in self.tokenize(mapped)])
+            mapped = piece if piece.isascii() else "".join(map(_byte_letters.__getitem__, piece))
+            return self.measure([t.id for t in self.tokenize(_SPACE + mapped)])
         if piece[-1] in self.marks and piece[:-1].isalpha():
             return self[piece[:-1]] + self.marks[piece[-1]]
         return self.encode(" " + piece)
