@@ -26,7 +26,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from spanloom.llm.components import connected_components
+from spanloom.llm.components import connected_components, forest
 from spanloom.llm.tables import slices, text_of, values
 from spanloom.operators.skew import ranged_row_number
 from spanloom.staging import stage
@@ -171,7 +171,10 @@ def _child_pairs(leaf: bool, max_bits: int, prune_bits: int):
                 if a[row] == b[row]:
                     near = np.triu(near, 1 if leaf else 0)
                 if leaf:
-                    pairs = _edges(distance, near, a[row] * FANOUT, b[row] * FANOUT)
+                    sides = None
+                    if a[row] != b[row]:
+                        sides = patterns[0][left], patterns[1][right]
+                    pairs = _edges(distance, near, a[row] * FANOUT, b[row] * FANOUT, sides, limit)
                 else:
                     i, j = np.nonzero(near)
                     pairs = a[row] * FANOUT + i, b[row] * FANOUT + j
@@ -186,14 +189,26 @@ def _child_pairs(leaf: bool, max_bits: int, prune_bits: int):
 
 
 def _edges(
-    distance: np.ndarray, near: np.ndarray, first: int, second: int
+    distance: np.ndarray, near: np.ndarray, first: int, second: int,
+    sides: tuple[np.ndarray, np.ndarray] | None, limit: int,
 ) -> tuple[np.ndarray, np.ndarray]:
-    """Edges of the shortest spanning forest of the links between two leaves (or inside one)."""
+    """Edges of the shortest spanning forest of the links between two leaves (or inside one).
+
+    Between two leaves (``sides`` are their codes) what is linked inside either counts as
+    connected: those edges come from the pair of the leaf with itself. So two leaves of one dense
+    group give one edge, and not one for each code.
+    """
     i, j = np.nonzero(near)
     if len(i) < 2:
         return first + i, second + j
     order = np.argsort(distance[i, j], kind="stable")
-    left, right = (first + i[order]).tolist(), (second + j[order]).tolist()
+    i, j = i[order], j[order]
+    u, v = first + i, second + j
+    if sides is not None:
+        left, right = (
+            forest(np.bitwise_count(codes[:, None] ^ codes[None, :]) <= limit) for codes in sides
+        )
+        u, v = first + left[i], second + right[j]
     parent: dict[int, int] = {}
 
     def root(n: int) -> int:
@@ -202,13 +217,12 @@ def _edges(
         return n
 
     kept = []
-    for u, v in zip(left, right):
-        a, b = root(u), root(v)
-        if a != b:
-            parent[a] = b
-            kept.append((u, v))
-    edges = np.array(kept, dtype=np.int64)
-    return edges[:, 0], edges[:, 1]
+    for at, (x, y) in enumerate(zip(u.tolist(), v.tolist())):
+        x, y = root(x), root(y)
+        if x != y:
+            parent[x] = y
+            kept.append(at)
+    return first + i[kept], second + j[kept]
 
 
 def near_links(
