@@ -130,13 +130,12 @@ def _pairs_inside(x: np.ndarray, group: np.ndarray, limit: float) -> tuple[np.nd
 def _compare(batch: pa.RecordBatch, limit: float) -> pa.RecordBatch:
     """Link counts and forest edges of the whole groups in a batch: rows (node, links, other)."""
     column = {name: batch.column(i) for i, name in enumerate(batch.schema.names)}
-    table, group = column["t"].to_numpy(), column["group_no"]
+    table = column["t"].to_numpy()
     node, copies = column["node"].to_numpy(), column["copies"].to_numpy()
     # Groups are numbered in this batch only.
     keys = np.stack([table, column["bucket"].to_numpy(), column["dimension"].to_numpy(),
                      column["i"].to_numpy(), column["j"].to_numpy()])
     number = np.cumsum(np.r_[0, (keys[:, 1:] != keys[:, :-1]).any(axis=0)])
-    del group
     side = column["side"].to_numpy()
     signs = column["signs"].flatten().to_numpy().reshape(len(node), -1)
     out_node, out_links, out_other = [], [], []
@@ -159,8 +158,8 @@ def _compare(batch: pa.RecordBatch, limit: float) -> pa.RecordBatch:
         out_node.append(node[linked])
         out_links.append(links[linked].astype(np.int64))
         out_other.append(np.full(len(linked), -1, np.int64))
-        cuts = np.flatnonzero(np.diff(number[a][np.argsort(number[a], kind="stable")])) + 1
         by_group = np.argsort(number[a], kind="stable")
+        cuts = np.flatnonzero(np.diff(number[a][by_group])) + 1
         for part in np.split(by_group, cuts):
             nodes, place = np.unique(np.concatenate([node[a[part]], node[b[part]]]), return_inverse=True)
             if len(nodes) == 2:
@@ -230,10 +229,7 @@ def near_links(entries: DataFrame, limit: float = LIMIT, recall: float = RECALL)
         "node", *key, F.least("_block", "_other").alias("i"), F.greatest("_block", "_other").alias("j"),
         (F.col("_block") < F.col("_other")).cast("int").alias("side"),
     )
-    wide = (
-        met.join(entries, "node").join(signed.select("node", "signs"), "node")
-        .withColumn("group_no", F.lit(0))
-    )
+    wide = met.join(entries, "node").join(signed.select("node", "signs"), "node")
     order = [*key, "i", "j"]
     grouped = wide.repartition(*order).sortWithinPartitions(*order)
     return stage(
