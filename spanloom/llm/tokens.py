@@ -40,7 +40,7 @@ TOP_TASKS = 8
 #: Pieces that a task counts before it forgets the rarer ones.
 COUNTED = 200_000
 #: Entries of a generation of a worker's cache, which has two.
-CACHED = 800_000
+CACHED = 400_000
 
 #: The letters that the byte-level alphabet writes for bytes: visible Latin-1 for itself, the others
 #: as the letters from U+0100 on, in order.
