@@ -19,7 +19,7 @@ within ``max_bits`` of its own: n * log(n)^max_bits work in all, not n * n.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -45,17 +45,27 @@ def shingle_bits(text: str, words: int, parts: int = 1) -> list[int]:
     Only A-Z are lower-cased; words end at the six ASCII white-space characters. The first word is
     made of the shingles' XXH64, the others of numbers mixed from it.
     """
+    return _sum_bits(shingle_hashes(text, words), parts)
+
+
+def shingle_hashes(text: str, words: int) -> np.ndarray:
+    """XXH64 of the word shingles, in order; a text of fewer words is one shingle."""
     tokens = text.encode().lower().split()
     if not tokens:
-        return [0] * parts
+        return np.zeros(0, dtype="<u8")
     if len(tokens) < words:
         shingles = [b" ".join(tokens)]
     else:
         shingles = map(b" ".join, zip(*(tokens[i:] for i in range(words))))
-    hashes = np.fromiter(
+    return np.fromiter(
         (xxhash.xxh64_intdigest(s, HASH_SEED) for s in shingles), dtype="<u8",
         count=max(1, len(tokens) - words + 1),
     )
+
+
+def _sum_bits(hashes: np.ndarray, parts: int) -> list[int]:
+    if not len(hashes):
+        return [0] * parts
     out = []
     for part in range(parts):
         ones = np.zeros(64, dtype=np.int64)
@@ -81,17 +91,19 @@ def fingerprint(text: str, words: int = SHINGLE_WORDS) -> int:
     return shingle_bits(text, words)[0]
 
 
-def fingerprints(docs: DataFrame, words: int = SHINGLE_WORDS, parts: int = 1) -> DataFrame:
-    """(doc_id, text_key, fp, fp1 ...): one row per document; a null text counts as empty.
+def fingerprints(docs: DataFrame, words: int = SHINGLE_WORDS) -> DataFrame:
+    """(doc_id, text_key, fp): one row per document; a null text counts as empty.
 
     ``text_key`` tells apart the documents that share an id.
     """
-    names = ["fp", *(f"fp{i}" for i in range(1, parts))]
+    return _per_text(docs, ["fp"], lambda text: shingle_bits(text, words))
+
 
+def _per_text(docs: DataFrame, names: list[str], make: Callable[[str], list[int]]) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            rows = [shingle_bits(text_of(t), words, parts) for t in values(batch.column(2))]
-            columns = np.array(rows, dtype=np.int64).reshape(len(rows), parts).T
+            rows = [make(text_of(t)) for t in values(batch.column(2))]
+            columns = np.array(rows, dtype=np.int64).reshape(len(rows), len(names)).T
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), *(pa.array(c) for c in columns)],
                 names=["doc_id", "text_key", *names],
@@ -309,22 +321,78 @@ def bit_limit(bits: int, similarity: float, deviations: float) -> int:
     return math.floor(bits * share + deviations * math.sqrt(bits * share * (1 - share)))
 
 
+def set_prints(text: str, words: int, parts: int) -> list[int]:
+    """A digest of the set of shingles, and ``parts`` words of its SimHash."""
+    hashes = np.unique(shingle_hashes(text, words))
+    digest = xxhash.xxh3_64_intdigest(hashes.tobytes()) if len(hashes) else 0
+    return [digest - (digest >> 63 << 64), *_sum_bits(hashes, parts)]
+
+
+def shingle_sets(texts: DataFrame, words: int) -> DataFrame:
+    """(entry, shingles): the distinct shingle hashes of the texts of (entry, text)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, 32):
+            sets = [np.unique(shingle_hashes(text_of(t), words)).view("<i8") for t in values(batch.column(1))]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(sets, pa.list_(pa.int64()))], names=["entry", "shingles"]
+            )
+
+    return texts.select("entry", "text").mapInArrow(run, "entry bigint, shingles array<bigint>")
+
+
+def verified_links(
+    links: DataFrame, entries: DataFrame, docs: DataFrame, words: int, similarity: float
+) -> DataFrame:
+    """The links (a, b) between entries (entry, place) whose shingle sets have the similarity.
+
+    ``place`` (text_key, doc_id) names a document of the entry. Only the texts of linked entries
+    are read again, one for each.
+    """
+    ends = links.select(F.col("a").alias("entry")).unionByName(links.select(F.col("b").alias("entry")))
+    needed = stage(
+        entries.join(ends.distinct(), "entry").select(
+            "entry", F.col("place.text_key").alias("_key"), F.col("place.doc_id").alias("_id")
+        ),
+        "similar-needed",
+    )
+    keyed = docs.select(
+        F.col("doc_id").cast("bigint").alias("_doc"), F.xxhash64("text").alias("_text"), "text"
+    )
+    match = (F.col("_text") == F.col("_key")) & F.col("_doc").eqNullSafe(F.col("_id"))
+    texts = keyed.join(needed, match)
+    sets = stage(shingle_sets(texts, words).dropDuplicates(["entry"]), "similar-shingles")
+    left = sets.select(F.col("entry").alias("a"), F.col("shingles").alias("x"))
+    right = sets.select(F.col("entry").alias("b"), F.col("shingles").alias("y"))
+    common = F.size(F.array_intersect("x", "y"))
+    return (
+        links.join(left, "a").join(right, "b")
+        .where(common >= similarity * (F.size("x") + F.size("y") - common))
+        .select("a", "b")
+    )
+
+
 def similar_documents(
     docs: DataFrame, words: int = SIMILAR_WORDS, similarity: float = SIMILARITY
 ) -> DataFrame:
     """(doc_id, text_key, component_number): documents linked if their shingles are similar.
 
-    Texts of Jaccard similarity 0.8 differ in 15 of 100 SimHash bits, far more than a search by
-    few differing bits finds. So ``PARTS`` fingerprints of 64 bits are made of the same shingles,
+    Linked are texts whose sets of word shingles have a Jaccard similarity of at least
+    ``similarity``. Such texts differ in 15 of 100 SimHash bits, far more than a search by
+    few differing bits finds. So ``PARTS`` fingerprints of 64 bits are made of the same sets,
     each with an index of its own in which groups are pruned when they differ in more than
     ``PRUNE_BITS`` of their shared bits; what one index prunes by chance another finds (about
-    99 of 100 links at n = 250,000). A link found in one is checked on all ``64 * PARTS`` bits, where
-    unrelated texts differ in a half. Texts are not compared; the check's standard error is 6
-    bits of 256. Cases are those of ``near_duplicates``.
+    99 of 100 links at n = 250,000). A link found in one is filtered on all ``64 * PARTS`` bits and
+    then decided by the exact similarity of the two sets (of 64-bit hashes). Texts of one set are
+    one entry. Cases are those of ``near_duplicates``.
     """
     names = ["fp", *(f"fp{i}" for i in range(1, PARTS))]
-    prints = stage(fingerprints(docs, words, PARTS), "similar-prints")
-    entries = stage(prints.select(*names).distinct(), "similar-distinct")
+    prints = _per_text(docs, ["set_key", *names], lambda text: set_prints(text, words, PARTS))
+    prints = stage(prints, "similar-prints")
+    entries = stage(
+        prints.groupBy("set_key", *names).agg(F.min(F.struct("text_key", "doc_id")).alias("place")),
+        "similar-distinct",
+    )
     entries = stage(entries.withColumn("entry", F.monotonically_increasing_id()), "similar-entries")
     reach = bit_limit(64, similarity, 1.5)
     parts = stage(
@@ -343,15 +411,17 @@ def similar_documents(
     bits = F.aggregate(
         F.zip_with("x", "y", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda n, b: n + b
     )
-    linked = found.join(one, "a").join(other, "b").where(bits <= bit_limit(64 * PARTS, similarity, 1.3))
-    groups = connected_components(linked.select("a", "b"), "similar")
+    near = found.join(one, "a").join(other, "b").where(bits <= bit_limit(64 * PARTS, similarity, 1.3))
+    near = stage(near.select("a", "b"), "similar-near")
+    linked = verified_links(near, entries, docs, words, similarity)
+    groups = connected_components(linked, "similar")
     numbered = stage(
         entries.join(groups, entries["entry"] == groups["node"], "left").select(
-            *names, F.coalesce("component", "entry").alias("component_number")
+            "set_key", *names, F.coalesce("component", "entry").alias("component_number")
         ),
         "similar-groups",
     )
-    return prints.join(numbered, names).select("doc_id", "text_key", "component_number")
+    return prints.join(numbered, ["set_key", *names]).select("doc_id", "text_key", "component_number")
 
 
 def representatives(docs: DataFrame, found: DataFrame | None = None) -> DataFrame:

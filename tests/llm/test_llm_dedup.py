@@ -170,6 +170,36 @@ def test_similar_documents_are_found_and_others_stay(spark):
     assert simhash.representatives(docs.limit(0)).count() == 0
 
 
+def word_shingles(text):
+    words = text.lower().split()
+    return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))}
+
+
+def jaccard(a, b):
+    return len(a & b) / len(a | b)
+
+
+def test_texts_below_the_similarity_stay_apart(spark):
+    """Edits five words apart or more: each takes five shingles of 296."""
+    rng = random.Random(5)
+    rows, want = [], set()
+    for group, edits in enumerate([6, 7, 8, 9, 10, 11, 12, 14] * 4):
+        base = [f"w{rng.randint(0, 10**6)}" for _ in range(300)]
+        copy = list(base)
+        for n in range(edits):
+            copy[5 + 20 * n] = f"changed{group}x{n}"
+        rows += [(2 * group, " ".join(base)), (2 * group + 1, " ".join(copy))]
+        similarity = jaccard(*(word_shingles(t) for _, t in rows[-2:]))
+        assert (similarity >= 0.8) == (edits == 6) and similarity > 0.6
+        want |= {2 * group} if edits == 6 else {2 * group, 2 * group + 1}
+    # One shingle outweighs all others: fingerprints of equal counts, not of equal sets.
+    for i in range(2):
+        rows.append((900 + i, "spam " * 900 + " ".join(f"o{i}x{n}" for n in range(100))))
+        want.add(900 + i)
+    kept = {r.doc_id for r in simhash.representatives(spark.createDataFrame(rows, DOCS)).collect()}
+    assert kept >= want and len(kept - want) <= 1
+
+
 # ---- vectors --------------------------------------------------------------------------------
 
 
