@@ -183,10 +183,12 @@ def _child_pairs(leaf: bool, max_bits: int, prune_bits: int):
                 if a[row] == b[row]:
                     near = np.triu(near, 1 if leaf else 0)
                 if leaf:
-                    sides = None
-                    if a[row] != b[row]:
-                        sides = patterns[0][left], patterns[1][right]
-                    pairs = _edges(distance, near, a[row] * FANOUT, b[row] * FANOUT, sides, limit)
+                    i, j = np.nonzero(near)
+                    sides = patterns[0][left], patterns[1][right]
+                    inner = None if a[row] == b[row] else lambda: tuple(
+                        forest(np.bitwise_count(c[:, None] ^ c[None, :]) <= limit) for c in sides
+                    )
+                    pairs = _edges(distance[i, j], i, j, a[row] * FANOUT, b[row] * FANOUT, inner)
                 else:
                     i, j = np.nonzero(near)
                     pairs = a[row] * FANOUT + i, b[row] * FANOUT + j
@@ -201,25 +203,22 @@ def _child_pairs(leaf: bool, max_bits: int, prune_bits: int):
 
 
 def _edges(
-    distance: np.ndarray, near: np.ndarray, first: int, second: int,
-    sides: tuple[np.ndarray, np.ndarray] | None, limit: int,
+    distance: np.ndarray, i: np.ndarray, j: np.ndarray, first: int, second: int,
+    inner: Callable[[], tuple[np.ndarray, np.ndarray]] | None,
 ) -> tuple[np.ndarray, np.ndarray]:
-    """Edges of the shortest spanning forest of the links between two leaves (or inside one).
+    """Edges of the shortest spanning forest of the links (i, j) between two leaves (or inside one).
 
-    Between two leaves (``sides`` are their codes) what is linked inside either counts as
-    connected: those edges come from the pair of the leaf with itself. So two leaves of one dense
+    Between two leaves (``inner`` gives the groups inside each) what is linked inside either counts
+    as connected: those edges come from the pair of the leaf with itself. So two leaves of one dense
     group give one edge, and not one for each code.
     """
-    i, j = np.nonzero(near)
     if len(i) < 2:
         return first + i, second + j
-    order = np.argsort(distance[i, j], kind="stable")
+    order = np.argsort(distance, kind="stable")
     i, j = i[order], j[order]
     u, v = first + i, second + j
-    if sides is not None:
-        left, right = (
-            forest(np.bitwise_count(codes[:, None] ^ codes[None, :]) <= limit) for codes in sides
-        )
+    if inner is not None:
+        left, right = inner()
         u, v = first + left[i], second + right[j]
     parent: dict[int, int] = {}
 
@@ -237,24 +236,73 @@ def _edges(
     return first + i[kept], second + j[kept]
 
 
-def near_links(
-    codes: DataFrame, max_bits: int = MAX_BITS, prune_bits: int | None = None, indexes: int = 1
-) -> DataFrame:
-    """(a, b): links between the numbers of ``codes`` (number 0.., fp), in Gray order, that
-    connect exactly the codes connected by steps of at most ``max_bits`` differing bits.
+def _words_differ(left: np.ndarray, right: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Differing bits of the rows i of ``left`` and j of ``right``, over all words."""
+    return np.bitwise_count(left[i] ^ right[j]).sum(axis=1, dtype=np.int64)
+
+
+def _leaf_links(reach: int, limit: int, parts: int):
+    """Links of leaf pairs (a, b, and fp, words and label of the codes of each leaf) whose first
+    word is within ``reach`` and whose ``parts`` words are within ``limit``.
 
-    With ``prune_bits`` below ``max_bits`` groups are pruned when they differ in more of the bits
-    that both share: faster, and pairs that differ more there are missed. ``codes`` may hold several
-    indexes, numbered apart; each is searched for itself, in the same jobs.
+    Without labels those of a spanning forest; with labels all between codes of different labels.
     """
-    prune_bits = max_bits if prune_bits is None else prune_bits
-    leaves = codes.select("number", F.col("fp").alias("low"), F.col("fp").alias("high"))
-    levels = [stage(_level(leaves), "gray-level")]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            a, b = (batch.column(i).to_numpy() for i in (0, 1))
+            ends, prints, words, labels = [], [], [], []
+            for side in (2, 5):
+                column = batch.column(side)
+                ends.append(np.concatenate([[0], np.cumsum(column.value_lengths().to_numpy())]))
+                prints.append(column.flatten().to_numpy().view(np.uint64))
+                flat = batch.column(side + 1).flatten().to_numpy().view(np.uint64)
+                words.append(flat.reshape(-1, parts))
+                labels.append(batch.column(side + 2).flatten().to_numpy())
+            first, second = [], []
+            for row in range(len(a)):
+                left = slice(ends[0][row], ends[0][row + 1])
+                right = slice(ends[1][row], ends[1][row + 1])
+                near = np.bitwise_count(prints[0][left][:, None] ^ prints[1][right][None, :]) <= reach
+                if a[row] == b[row]:
+                    near = np.triu(near, 1)
+                i, j = np.nonzero(near)
+                x, y = words[0][left], words[1][right]
+                labelled = len(labels[0]) > 0
+                if labelled:
+                    apart = labels[0][left][i] != labels[1][right][j]
+                    i, j = i[apart], j[apart]
+                differ = _words_differ(x, y, i, j)
+                i, j, differ = i[differ <= limit], j[differ <= limit], differ[differ <= limit]
+                if labelled:
+                    pairs = a[row] * FANOUT + i, b[row] * FANOUT + j
+                else:
+                    inner = None if a[row] == b[row] else lambda: tuple(
+                        forest(np.bitwise_count(w[:, None] ^ w[None]).sum(axis=2, dtype=np.int64) <= limit)
+                        for w in (x, y)
+                    )
+                    pairs = _edges(differ, i, j, a[row] * FANOUT, b[row] * FANOUT, inner)
+                first.append(pairs[0])
+                second.append(pairs[1])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.concatenate(x) if x else [], pa.int64()) for x in (first, second)],
+                names=["a", "b"],
+            )
+
+    return run
+
+
+def _walk(codes: DataFrame, max_bits: int, prune_bits: int, indexes: int, leaves: bool) -> DataFrame:
+    """Pairs of leaves that are not pruned or, with ``leaves``, the links found in them."""
+    rows = codes.select("number", F.col("fp").alias("low"), F.col("fp").alias("high"))
+    levels = [stage(_level(rows), "gray-level")]
     while levels[-1].count() > indexes:
         above = levels[-1].select(F.col("node").alias("number"), "low", "high")
         levels.append(stage(_level(above), "gray-level"))
     pairs = levels[-1].select(F.col("node").alias("a"), F.col("node").alias("b"))
     for depth, level in reversed(list(enumerate(levels))):
+        if depth == 0 and not leaves:
+            break
         left = level.select(F.col("node").alias("a"), F.col("lows").alias("l1"), F.col("highs").alias("h1"))
         right = level.select(F.col("node").alias("b"), F.col("lows").alias("l2"), F.col("highs").alias("h2"))
         met = pairs.join(left, "a").join(right, "b").select("a", "b", "l1", "h1", "l2", "h2")
@@ -263,6 +311,74 @@ def near_links(
     return pairs
 
 
+def near_links(codes: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
+    """(a, b): links between the numbers of ``codes`` (number 0.., fp), in Gray order, that
+    connect exactly the codes connected by steps of at most ``max_bits`` differing bits.
+    """
+    return _walk(codes, max_bits, max_bits, 1, True)
+
+
+def _compared(pairs: DataFrame, codes: DataFrame, reach: int, limit: int, parts: int) -> DataFrame:
+    """The links of ``_leaf_links`` for the pairs of leaves of ``codes`` (number, fp, words, label)."""
+    label = F.col("label") if "label" in codes.columns else F.lit(None).cast("bigint")
+    code = F.struct("number", "fp", "words", label.alias("label"))
+    leaves = stage(
+        codes.groupBy(F.expr(f"number div {FANOUT}").alias("node"))
+        .agg(F.sort_array(F.collect_list(code)).alias("c"))
+        .select("node", "c.fp", F.flatten("c.words").alias("words"),
+                F.filter("c.label", lambda x: x.isNotNull()).alias("label")),
+        "gray-leaves",
+    )
+    met = pairs
+    for end, side in (("a", "x"), ("b", "y")):
+        met = met.join(leaves.select(
+            F.col("node").alias(end), *[F.col(n).alias(f"{n}_{side}") for n in ("fp", "words", "label")]
+        ), end)
+    names = [f"{n}_{side}" for side in "xy" for n in ("fp", "words", "label")]
+    return met.select("a", "b", *names).mapInArrow(_leaf_links(reach, limit, parts), "a bigint, b bigint")
+
+
+def _between_entries(links: DataFrame, codes: DataFrame) -> DataFrame:
+    """The distinct links between the entries of the linked numbers."""
+    left = codes.select(F.col("number").alias("a"), F.col("entry").alias("e"))
+    right = codes.select(F.col("number").alias("b"), F.col("entry").alias("f"))
+    found = links.join(left, "a").join(right, "b")
+    return found.select(F.least("e", "f").alias("a"), F.greatest("e", "f").alias("b")).distinct()
+
+
+def similar_links(
+    codes: DataFrame, reach: int, limit: int, prune_bits: int, indexes: int,
+    verify: Callable[[DataFrame], DataFrame],
+) -> DataFrame:
+    """(a, b): verified links between the entries of ``codes`` (number, entry, fp, words), that
+    connect what all links within reach that ``verify`` passes do.
+
+    ``codes`` holds several indexes, numbered apart; groups are pruned when they differ in more
+    than ``prune_bits`` of the bits that both share. In the leaves that are left codes are linked by
+    ``reach`` of the 64 bits of ``fp`` and ``limit`` of all bits of ``words``. First a spanning forest
+    of the links is verified, which connects groups of near copies without their pairs. A
+    link that ``verify`` rejects may have stood for others: so then all links between entries
+    that are not connected yet are verified, and nothing is left out.
+    """
+    parts = len(codes.first()["words"]) if codes.head(1) else 1
+    pairs = _walk(codes, reach, prune_bits, indexes, False)
+    links = stage(_compared(pairs, codes, reach, limit, parts), "similar-forest")
+    tried = stage(_between_entries(links, codes), "similar-tried")
+    passed = stage(verify(tried), "similar-passed")
+    groups = connected_components(passed, "similar")
+    known = codes.join(groups, codes["entry"] == groups["node"], "left").withColumn(
+        "label", F.coalesce("component", "entry")
+    )
+    # Leaves without a link in the forest have no link at all.
+    again = stage(
+        links.select(F.expr(f"a div {FANOUT}").alias("a"), F.expr(f"b div {FANOUT}").alias("b")).distinct(),
+        "similar-leaves",
+    )
+    rest = _between_entries(_compared(again, known, reach, limit, parts), codes)
+    rest = stage(rest.join(tried, ["a", "b"], "left_anti"), "similar-rest")
+    return passed.unionByName(verify(rest))
+
+
 def near_duplicates(
     docs: DataFrame, words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS
 ) -> DataFrame:
@@ -382,9 +498,9 @@ def similar_documents(
     few differing bits finds. So ``PARTS`` fingerprints of 64 bits are made of the same sets,
     each with an index of its own in which groups are pruned when they differ in more than
     ``PRUNE_BITS`` of their shared bits; what one index prunes by chance another finds (about
-    99 of 100 links at n = 250,000). A link found in one is filtered on all ``64 * PARTS`` bits and
-    then decided by the exact similarity of the two sets (of 64-bit hashes). Texts of one set are
-    one entry. Cases are those of ``near_duplicates``.
+    99 of 100 links at n = 250,000). A link found in one is filtered on all ``64 * PARTS`` bits in
+    the leaves and then decided by the exact similarity of the two sets (of 64-bit hashes). Texts of
+    one set are one entry. Cases are those of ``near_duplicates``.
     """
     names = ["fp", *(f"fp{i}" for i in range(1, PARTS))]
     prints = _per_text(docs, ["set_key", *names], lambda text: set_prints(text, words, PARTS))
@@ -396,24 +512,16 @@ def similar_documents(
     entries = stage(entries.withColumn("entry", F.monotonically_increasing_id()), "similar-entries")
     reach = bit_limit(64, similarity, 1.5)
     parts = stage(
-        entries.select("entry", F.posexplode(F.array(*names)).alias("part", "fp")), "similar-parts"
+        entries.select(
+            "entry", F.array(*names).alias("words"), F.posexplode(F.array(*names)).alias("part", "fp")
+        ),
+        "similar-parts",
     )
     codes = stage(in_gray_order(parts), "similar-codes")
-    links = near_links(codes, reach, PRUNE_BITS, PARTS)
-    left = codes.select(F.col("number").alias("a"), F.col("entry").alias("e"))
-    right = codes.select(F.col("number").alias("b"), F.col("entry").alias("f"))
-    found = links.join(left, "a").join(right, "b").select(
-        F.least("e", "f").alias("a"), F.greatest("e", "f").alias("b")
-    )
-    found = stage(found.distinct(), "similar-links")
-    one = entries.select(F.col("entry").alias("a"), F.array(*names).alias("x"))
-    other = entries.select(F.col("entry").alias("b"), F.array(*names).alias("y"))
-    bits = F.aggregate(
-        F.zip_with("x", "y", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda n, b: n + b
+    linked = similar_links(
+        codes, reach, bit_limit(64 * PARTS, similarity, 1.3), PRUNE_BITS, PARTS,
+        lambda links: verified_links(links, entries, docs, words, similarity),
     )
-    near = found.join(one, "a").join(other, "b").where(bits <= bit_limit(64 * PARTS, similarity, 1.3))
-    near = stage(near.select("a", "b"), "similar-near")
-    linked = verified_links(near, entries, docs, words, similarity)
     groups = connected_components(linked, "similar")
     numbered = stage(
         entries.join(groups, entries["entry"] == groups["node"], "left").select(

@@ -200,6 +200,22 @@ def test_texts_below_the_similarity_stay_apart(spark):
     assert kept >= want and len(kept - want) <= 1
 
 
+def test_a_rejected_link_hides_no_other(spark):
+    """Between 0, 1 and 2 the first word is near; other words, or the check, reject a link."""
+    code = [0, 1, 3, 1 << 40 | 1 << 50]
+    far = (1 << 63) - 1
+    words = {0: [0, 0], 1: [1, far], 2: [3, 0], 3: [code[3], 7]}
+    rows = [(i, 10 + i, code[i], words[i]) for i in range(4)]
+    codes = spark.createDataFrame(rows, "number bigint, entry bigint, fp bigint, words array<bigint>")
+    every = simhash.similar_links(codes, 9, 9, 9, 1, lambda links: links)
+    assert groups([tuple(r) for r in every.collect()], range(10, 14)) == {10: 10, 11: 11, 12: 10, 13: 10}
+    some = simhash.similar_links(codes, 9, 9, 9, 1, lambda links: links.where("not (a = 10 and b = 12)"))
+    assert sorted(map(tuple, some.collect())) == [(10, 13), (12, 13)]
+    # The forest takes (10, 12) and (10, 13); (12, 13) is looked at as these fail.
+    last = simhash.similar_links(codes, 9, 9, 9, 1, lambda links: links.where("a = 12"))
+    assert list(map(tuple, last.collect())) == [(12, 13)]
+
+
 # ---- vectors --------------------------------------------------------------------------------
 
 
