@@ -156,9 +156,12 @@ def _level(below: DataFrame) -> DataFrame:
     )
 
 
-def _child_pairs(leaf: bool, max_bits: int, prune_bits: int):
-    """Pairs of children within reach; for leaves, edges that connect what is within reach."""
-    limit = max_bits if leaf else prune_bits
+def _child_pairs(leaf: bool, limits: list[int]):
+    """Pairs of children within reach; for leaves, edges that connect what is within reach.
+
+    ``limits`` has the bits in which two children may differ, by the number of bits they share.
+    """
+    limit, allowed = limits[-1], np.array(limits, dtype=np.uint8)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -176,10 +179,12 @@ def _child_pairs(leaf: bool, max_bits: int, prune_bits: int):
                 left = slice(ends[0][row], ends[0][row + 1])
                 right = slice(ends[1][row], ends[1][row + 1])
                 differ = patterns[0][left][:, None] ^ patterns[1][right][None, :]
-                if not leaf:
-                    differ &= masks[0][left][:, None] & masks[1][right][None, :]
-                distance = np.bitwise_count(differ)
-                near = distance <= limit
+                if leaf:
+                    distance = np.bitwise_count(differ)
+                    near = distance <= limit
+                else:
+                    shared = masks[0][left][:, None] & masks[1][right][None, :]
+                    near = np.bitwise_count(differ & shared) <= allowed[np.bitwise_count(shared)]
                 if a[row] == b[row]:
                     near = np.triu(near, 1 if leaf else 0)
                 if leaf:
@@ -292,7 +297,7 @@ def _leaf_links(reach: int, limit: int, parts: int):
     return run
 
 
-def _walk(codes: DataFrame, max_bits: int, prune_bits: int, indexes: int, leaves: bool) -> DataFrame:
+def _walk(codes: DataFrame, limits: list[int], indexes: int, leaves: bool) -> DataFrame:
     """Pairs of leaves that are not pruned or, with ``leaves``, the links found in them."""
     rows = codes.select("number", F.col("fp").alias("low"), F.col("fp").alias("high"))
     levels = [stage(_level(rows), "gray-level")]
@@ -306,7 +311,7 @@ def _walk(codes: DataFrame, max_bits: int, prune_bits: int, indexes: int, leaves
         left = level.select(F.col("node").alias("a"), F.col("lows").alias("l1"), F.col("highs").alias("h1"))
         right = level.select(F.col("node").alias("b"), F.col("lows").alias("l2"), F.col("highs").alias("h2"))
         met = pairs.join(left, "a").join(right, "b").select("a", "b", "l1", "h1", "l2", "h2")
-        found = met.mapInArrow(_child_pairs(depth == 0, max_bits, prune_bits), "a bigint, b bigint")
+        found = met.mapInArrow(_child_pairs(depth == 0, limits), "a bigint, b bigint")
         pairs = stage(found, "gray-pairs")
     return pairs
 
@@ -315,7 +320,7 @@ def near_links(codes: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     """(a, b): links between the numbers of ``codes`` (number 0.., fp), in Gray order, that
     connect exactly the codes connected by steps of at most ``max_bits`` differing bits.
     """
-    return _walk(codes, max_bits, max_bits, 1, True)
+    return _walk(codes, [max_bits] * 65, 1, True)
 
 
 def _compared(pairs: DataFrame, codes: DataFrame, reach: int, limit: int, parts: int) -> DataFrame:
@@ -347,21 +352,22 @@ def _between_entries(links: DataFrame, codes: DataFrame) -> DataFrame:
 
 
 def similar_links(
-    codes: DataFrame, reach: int, limit: int, prune_bits: int, indexes: int,
+    codes: DataFrame, reach: int, limit: int, prune_bits: int | list[int], indexes: int,
     verify: Callable[[DataFrame], DataFrame],
 ) -> DataFrame:
     """(a, b): verified links between the entries of ``codes`` (number, entry, fp, words), that
     connect what all links within reach that ``verify`` passes do.
 
     ``codes`` holds several indexes, numbered apart; groups are pruned when they differ in more
-    than ``prune_bits`` of the bits that both share. In the leaves that are left codes are linked by
+    than ``prune_bits`` of the bits that both share (a list: by the number of these). In the leaves that are left codes are linked by
     ``reach`` of the 64 bits of ``fp`` and ``limit`` of all bits of ``words``. First a spanning forest
     of the links is verified, which connects groups of near copies without their pairs. A
     link that ``verify`` rejects may have stood for others: so then all links between entries
     that are not connected yet are verified, and nothing is left out.
     """
     parts = len(codes.first()["words"]) if codes.head(1) else 1
-    pairs = _walk(codes, reach, prune_bits, indexes, False)
+    limits = [prune_bits] * 65 if isinstance(prune_bits, int) else prune_bits
+    pairs = _walk(codes, limits, indexes, False)
     links = stage(_compared(pairs, codes, reach, limit, parts), "similar-forest")
     tried = stage(_between_entries(links, codes), "similar-tried")
     passed = stage(verify(tried), "similar-passed")
@@ -422,8 +428,14 @@ def near_duplicate_report(docs: DataFrame) -> DataFrame:
 # Similar documents: five-word shingles, Jaccard similarity, and four fingerprints.
 SIMILAR_WORDS = 5
 SIMILARITY = 0.8
+#: Fingerprints of a text that its links are filtered on; more may be made to search by.
 PARTS = 4
+MOST_PARTS = 8
 PRUNE_BITS = 2
+#: Least chance that the search meets a link of exactly ``SIMILARITY``.
+RECALL = 0.99
+#: Standard deviations between the mean and the limits of bits; the exact check follows.
+DEVIATIONS = 3.0
 
 
 def differing_share(similarity: float) -> float:
@@ -437,6 +449,37 @@ def bit_limit(bits: int, similarity: float, deviations: float) -> int:
     return math.floor(bits * share + deviations * math.sqrt(bits * share * (1 - share)))
 
 
+def within(bits: int, limit: int, share: float) -> float:
+    """Probability that at most ``limit`` of so many independent bits differ."""
+    return math.fsum(
+        math.comb(bits, i) * share**i * (1 - share) ** (bits - i) for i in range(min(bits, limit) + 1)
+    )
+
+
+def plan_indexes(
+    n: int, similarity: float = SIMILARITY, recall: float = RECALL
+) -> tuple[int, list[int]]:
+    """Indexes for n texts, and the bits by which groups may differ, by the number they share.
+
+    Leaves of a random order share about log2(n / FANOUT) bits, so a fixed limit would lose more
+    links the larger n is. Of all numbers of indexes, each with the least limit that gives the
+    recall, the one with the fewest comparisons is taken. Groups that share more bits, those
+    of dense leaves, may differ in more, so that a link has the same chance there.
+    """
+    share = differing_share(similarity)
+    depth = min(64, max(0, math.ceil(math.log2(max(n, FANOUT) / FANOUT))))
+    reach = bit_limit(64, similarity, DEVIATIONS)
+    kept = within(64, reach, share)
+    plans = []
+    for parts in range(PARTS, MOST_PARTS + 1):
+        chance = (1 - (1 - recall) ** (1 / parts)) / kept
+        limits = [next(k for k in range(s + 1) if k == s or within(s, k, share) >= chance) for s in range(65)]
+        flat = max(PRUNE_BITS, limits[depth])
+        met = sum(math.comb(depth, i) for i in range(min(flat, depth) + 1))
+        plans.append((parts * met, parts, [min(reach, max(flat, k)) for k in limits]))
+    return min(plans)[1:]
+
+
 def set_prints(text: str, words: int, parts: int) -> list[int]:
     """A digest of the set of shingles, and ``parts`` words of its SimHash."""
     hashes = np.unique(shingle_hashes(text, words))
@@ -495,31 +538,33 @@ def similar_documents(
 
     Linked are texts whose sets of word shingles have a Jaccard similarity of at least
     ``similarity``. Such texts differ in 15 of 100 SimHash bits, far more than a search by
-    few differing bits finds. So ``PARTS`` fingerprints of 64 bits are made of the same sets,
-    each with an index of its own in which groups are pruned when they differ in more than
-    ``PRUNE_BITS`` of their shared bits; what one index prunes by chance another finds (about
-    99 of 100 links at n = 250,000). A link found in one is filtered on all ``64 * PARTS`` bits in
-    the leaves and then decided by the exact similarity of the two sets (of 64-bit hashes). Texts of
+    few differing bits finds. So several fingerprints of 64 bits are made of the same sets,
+    each with an index of its own in which groups are pruned when they differ in more bits than
+    ``plan_indexes`` allows; what one index prunes by chance another finds. Their number
+    follows that of the documents, so that the search meets a link of similarity 0.8 with
+    probability ``RECALL`` at every size. A link found is filtered on ``64 * PARTS`` bits and
+    then decided by the exact similarity of the two sets (of 64-bit hashes). Texts of
     one set are one entry. Cases are those of ``near_duplicates``.
     """
-    names = ["fp", *(f"fp{i}" for i in range(1, PARTS))]
-    prints = _per_text(docs, ["set_key", *names], lambda text: set_prints(text, words, PARTS))
+    count, limits = plan_indexes(docs.count(), similarity)
+    names = ["fp", *(f"fp{i}" for i in range(1, count))]
+    prints = _per_text(docs, ["set_key", *names], lambda text: set_prints(text, words, count))
     prints = stage(prints, "similar-prints")
     entries = stage(
         prints.groupBy("set_key", *names).agg(F.min(F.struct("text_key", "doc_id")).alias("place")),
         "similar-distinct",
     )
     entries = stage(entries.withColumn("entry", F.monotonically_increasing_id()), "similar-entries")
-    reach = bit_limit(64, similarity, 1.5)
     parts = stage(
         entries.select(
-            "entry", F.array(*names).alias("words"), F.posexplode(F.array(*names)).alias("part", "fp")
+            "entry", F.array(*names[:PARTS]).alias("words"), F.posexplode(F.array(*names)).alias("part", "fp")
         ),
         "similar-parts",
     )
     codes = stage(in_gray_order(parts), "similar-codes")
     linked = similar_links(
-        codes, reach, bit_limit(64 * PARTS, similarity, 1.3), PRUNE_BITS, PARTS,
+        codes, bit_limit(64, similarity, DEVIATIONS), bit_limit(64 * PARTS, similarity, DEVIATIONS),
+        limits, count,
         lambda links: verified_links(links, entries, docs, words, similarity),
     )
     groups = connected_components(linked, "similar")

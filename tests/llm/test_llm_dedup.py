@@ -216,6 +216,22 @@ def test_a_rejected_link_hides_no_other(spark):
     assert list(map(tuple, last.collect())) == [(12, 13)]
 
 
+@pytest.mark.parametrize("n", [0, 10**4, 250_000, 12 * 10**6, 10**8])
+def test_recall_of_the_search_holds_at_every_size(n):
+    """The plan of a size, with bits that differ independently, over the levels of the tree."""
+    parts, limits = simhash.plan_indexes(n)
+    depth = max(0, int(np.ceil(np.log2(max(n, 64) / 64))))
+    assert limits[0] >= simhash.PRUNE_BITS and sorted(limits) == limits
+    rng = np.random.default_rng(3)
+    share = simhash.differing_share(0.8)
+    bits = rng.random((40_000, parts, 64)) < share
+    seen = bits.sum(axis=2) <= simhash.bit_limit(64, 0.8, simhash.DEVIATIONS)
+    for shared in (*range(depth % 6, depth + 1, 6), depth):
+        seen &= bits[:, :, :shared].sum(axis=2) <= limits[shared]
+    total = bits[:, : simhash.PARTS].sum(axis=(1, 2)) <= simhash.bit_limit(256, 0.8, simhash.DEVIATIONS)
+    assert seen.any(axis=1).mean() >= 0.988 and (seen.any(axis=1) & total).mean() >= 0.985
+
+
 # ---- vectors --------------------------------------------------------------------------------
 
 
