@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from spanloom.llm import langid, lines, mixing, packing, simhash
 from spanloom.llm.tables import read_table
@@ -30,8 +30,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of documents in sequences."""
-    return packing.packed_documents(docs)
+    """Pieces of documents in sequences: the token ids, and their CRC-32."""
+    return packing.pack(docs).withColumn("ids_crc32", F.crc32("ids"))
 
 
 STAGES = [

@@ -186,3 +186,17 @@ def test_stages_take_an_empty_table(spark):
     docs = spark.createDataFrame([], ddl)
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, docs, "").count() == 0
+
+
+def test_the_last_stage_holds_the_tokens(spark):
+    import zlib
+
+    from spanloom.llm import tokens
+
+    text = "Words of a document, all of which are in the packed corpus."
+    docs = spark.createDataFrame([(4, text, "en", "s", len(text))], "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    name, stage = corpus_pipeline.STAGES[-1]
+    rows = stage(spark, docs, "").collect()
+    ids = [int.from_bytes(r.ids[i : i + 4], "little") for r in rows for i in range(0, len(r.ids), 4)]
+    assert name == "packing" and tokens.load_tokenizer(tokens.TOKENIZER).decode(ids[:-1]) == text
+    assert all(r.ids_crc32 == zlib.crc32(bytes(r.ids)) and len(r.ids) == 4 * r.length for r in rows)
