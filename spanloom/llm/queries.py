@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from spanloom.llm import (
-    embeddings, html, langid, lines, mixing, packing, quality, simhash, tokens, warc,
+    embeddings, html, langid, lines, manifest, mixing, packing, pieces, quality, resample, simhash,
+    tokens, warc,
 )
 from spanloom.llm.tables import read_table
 
@@ -56,10 +57,25 @@ def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sizes(read_table(spark, sf_dir, "documents"))
 
 
+def op11_target_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample.resample(
+        read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark")
+    )
+
+
+def op12_piece_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.round_trip(read_table(spark, sf_dir, "documents"))
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest.audit(read_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
     functions = (
         op1_embedding_dedup, op2_substring_dedup, op3_simhash_dedup, op4_quality_rules,
         op5_token_counts, op6_warc, op7_language_id, op8_html_text, op9_packing, op10_source_mix,
+        op11_target_resampling, op12_piece_encoding, op13_merkle_manifest,
     )
     return {f.__name__: f for f in functions}
 
@@ -69,4 +85,5 @@ def oracle_sql() -> dict[str, str]:
         "op2_substring_dedup": lines.ORACLE,
         "op6_warc": warc.ORACLE,
         "op10_source_mix": mixing.ORACLE,
+        "op13_merkle_manifest": manifest.ORACLE,
     }

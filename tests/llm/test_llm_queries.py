@@ -12,12 +12,13 @@ ROWS_OF = {
     "op1_embedding_dedup": "embeddings", "op3_simhash_dedup": "documents",
     "op4_quality_rules": "documents", "op5_token_counts": "documents",
     "op7_language_id": "documents", "op8_html_text": "pages",
+    "op11_target_resampling": "documents", "op12_piece_encoding": "documents",
 }
 
 
 def test_there_is_one_query_for_each_operator():
     names = [n for n in entry.queries() if n.startswith("op") and "_" in n]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
     assert "pipeline" in entry.queries() and set(llm.oracle_sql()) <= set(names)
 
 
