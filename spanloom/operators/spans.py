@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from spanloom.functions import has_text, hex_id, to_seconds
 from spanloom.schemas import NO_EVENT, SPAN_COLUMNS, TagKeys
-from spanloom.staging import stage
 
 
 def error_flag(error: Column) -> Column:
@@ -143,27 +142,27 @@ def store_rows(exploded: DataFrame) -> DataFrame:
     ).select(*STORE_COLUMNS)
 
 
+def trace_days(exploded: DataFrame) -> DataFrame:
+    """(traceid, begin_sec, has_root) per trace and UTC day: the day of begin_sec, and whether a span with the
+    trace's own id began on it.
+
+    Both follow from the store's key alone, so spans sent again change nothing.
+    """
+    begin_day = F.expr("floor(begin div 1000 / 86400) * 86400")
+    return exploded.groupBy("trace_no", begin_day.alias("begin_sec")).agg(
+        F.bool_or(F.col("span_no") == F.col("trace_no")).alias("has_root")
+    ).select(hex_id(F.col("trace_no")).alias("traceid"), "begin_sec", "has_root")
+
+
 def latest_per_key(rows: DataFrame, key: tuple[str, ...], version: str) -> DataFrame:
-    """Last write wins per key.
+    """Last write wins per key, in one pass and one shuffle.
 
-    Most keys are written once. The others are found on the key columns alone; only their rows
-    are compared, by an aggregate that combines copies before the shuffle, so a key with very
-    many copies is no burden on one task. Rows of single keys are not shuffled, unless there are
-    more repeated keys than Spark broadcasts.
+    The newest row of a key is a maximum, which combines copies before the shuffle: a key with
+    very many copies costs each task one row.
     """
     rest = [c for c in rows.columns if c not in key and c != version]
-    columns = [*key, version, *rest]
-    repeated = stage(
-        rows.groupBy(*key).agg(F.count("*").alias("_n")).where("_n > 1").drop("_n"), "repeated-keys"
-    )
-    if repeated.isEmpty():
-        return rows.select(*columns)
-    same = [F.col(f"r.{c}").eqNullSafe(F.col(f"k.{c}")) for c in key]
-    all_rows, keys = rows.alias("r"), repeated.alias("k")
-    single = all_rows.join(keys, same, "left_anti").select(*columns)
     newest = F.max(F.struct(version, *rest)).alias("_row")
-    copies = all_rows.join(keys, same, "left_semi").groupBy(*key).agg(newest)
-    return single.unionByName(copies.select(*key, "_row.*"))
+    return rows.groupBy(*key).agg(newest).select(*key, "_row.*")
 
 
 def resolve_resent(spans: DataFrame) -> DataFrame:

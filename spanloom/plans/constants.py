@@ -7,3 +7,5 @@ REPLAY_HOLD_MS = 7_200_000
 LATE_MS = 345_600_000
 # The fixed time of the hold and day-scan queries: 2024-01-31 18:00 UTC.
 AS_OF = 1_706_724_000_000
+# 2024-01-01, where the events begin.
+FIRST_MS = 1_704_067_200_000

@@ -63,6 +63,12 @@ def write_page_tables(spans: DataFrame, root: str, batch_id: int, now_ms: int) -
 
 
 def write_raw_spans(exploded: DataFrame, root: str, batch_id: int) -> None:
+    """The spans of a batch, and the days on which its traces have spans.
+
+    The days go first: a day that is told of spans which are not there yet does no harm.
+    """
+    days = span_ops.trace_days(exploded)
+    t.write_batch(days, root, t.TRACE_DAYS, batch_id, t.day_of_seconds(F.col("begin_sec")))
     rows = span_ops.latest_per_key(span_ops.store_rows(exploded), ("rowkey",), "receive")
     t.write_batch(rows, root, t.RAW_SPANS, batch_id, t.day_of_seconds(F.col("begin_sec")))
 
@@ -124,14 +130,71 @@ def daily_table(forest: Forest) -> DataFrame:
     return chains.withColumn("rowkey", F.concat_ws(":", "api", bucket, indexes.later_segment()))
 
 
+TRACE_DAYS_SCHEMA = "traceid string, begin_sec bigint, has_root boolean, day date, batch_id bigint"
+
+
+def crossing_traces(spark: SparkSession, root: str, first: int, last: int) -> DataFrame:
+    """Traces with spans both on the days from ``first`` to ``last`` (s) and on others.
+
+    One row per trace: ``owner``, the day of its first root span or, without one, of its last span,
+    and ``others``, the days outside the range. Only the narrow table of trace days is read.
+    """
+    rows = t.read_table(spark, root, t.TRACE_DAYS, TRACE_DAYS_SCHEMA).select(
+        "traceid", "has_root", "day"
+    )
+    low, high = t.day_of_seconds(F.lit(first)), t.day_of_seconds(F.lit(last))
+    inside = F.col("day").between(low, high)
+    here = rows.where(inside)
+    there = rows.where(~inside).join(here.select("traceid").distinct(), "traceid", "left_semi")
+    there = stage(there.distinct(), "crossing-days")
+    both = there.unionByName(here.join(there.select("traceid").distinct(), "traceid", "left_semi"))
+    return both.groupBy("traceid").agg(
+        F.coalesce(F.min(F.when(F.col("has_root"), F.col("day"))), F.max("day")).alias("owner"),
+        # At most the days that the store has.
+        F.collect_set(F.when(~inside, F.col("day"))).alias("others"),
+    ).withColumn("owned", F.col("owner").between(low, high))
+
+
+def spans_of_days(
+    spark: SparkSession, root: str, first: int, last: int,
+    columns: Sequence[str] = ("rowkey", "receive", *span_ops.ANALYSIS_COLUMNS),
+) -> DataFrame:
+    """Stored rows of the traces whose root began on the days from ``first`` to ``last`` (s), all
+    writes of each key and on whatever day a span lies.
+
+    Traces that lie inside the range are read without a join. Of the others those owned by another day
+    are left out, and the spans that owned ones have elsewhere are looked up in those days alone.
+    """
+    store = t.read_table(spark, root, t.RAW_SPANS, STORE_SCHEMA)
+    wanted = list(dict.fromkeys(columns))
+    low, high = t.day_of_seconds(F.lit(first)), t.day_of_seconds(F.lit(last))
+    here = store.where(F.col("day").between(low, high)).select(*wanted)
+    crossing = stage(crossing_traces(spark, root, first, last), "crossing-traces")
+    if crossing.isEmpty():
+        return here
+    kept = here.join(crossing.where("not owned").select("traceid"), "traceid", "left_anti")
+    owned = crossing.where("owned")
+    days = [r.day for r in owned.select(F.explode("others").alias("day")).distinct().collect()]
+    if not days:
+        return kept.select(*wanted)
+    there = store.where(F.col("day").isin(days)).join(owned.select("traceid"), "traceid", "left_semi")
+    return kept.select(*wanted).unionByName(there.select(*wanted))
+
+
+def owner_days(spark: SparkSession, root: str, first: int, last: int) -> list[int]:
+    """The other days (s) that own a trace with spans in the range: run again, their tables change."""
+    rows = crossing_traces(spark, root, first, last).where("not owned").select("owner").distinct()
+    return sorted(
+        r.owner for r in rows.select((F.unix_date("owner") * 86_400).alias("owner")).collect()
+    )
+
+
 def daily_chains(spans: DataFrame, first: int, last: int) -> DataFrame:
     """The chains of the traces whose root began on the days that start at ``first`` to ``last`` (s)."""
     return daily_table(forest_of(spans)).where(F.col("day_start").between(first, last))
 
 
 DAILY_HANDLERS: Sequence[tuple[str, BatchHandler]] = ((t.CHAIN_DAYS, daily_chains),)
-# Spans of a day's traces are looked for in the day and so long before and after it.
-DAY_MARGIN_MS = 8 * 3_600_000
 
 
 def daily_job(
@@ -144,16 +207,18 @@ def daily_job(
 ) -> None:
     """Run the handlers over the traces of the UTC day that ``as_of_ms`` lies in, or of more days.
 
-    A trace belongs to the day on which its root began, so different days share no trace; its
-    spans are read with a margin on both sides. Handlers give ``day_start``, the partition
-    that a row belongs to; a rerun replaces the partitions of its days.
+    A trace belongs to the day on which its root began, whatever days its spans lie on, so no
+    trace is cut and none is counted on two days: one run of several days writes what a run of each
+    writes. Handlers give ``day_start``, the partition that a row belongs to; a rerun
+    replaces the partitions of its days. Where spans came after a day's run, ``owner_days`` names it.
     """
-    day_ms = as_of_ms // 86_400_000 * 86_400_000
-    end_ms = day_ms + days * 86_400_000
+    first = as_of_ms // 86_400_000 * 86_400
+    last = first + (days - 1) * 86_400
     with staged_job(spark):
-        near = stored_between(spark, root, day_ms - DAY_MARGIN_MS, end_ms + DAY_MARGIN_MS)
-        stored = span_ops.latest_per_key(near, ("rowkey",), "receive")
+        stored = span_ops.latest_per_key(
+            spans_of_days(spark, root, first, last), ("rowkey",), "receive"
+        )
         spans = stage(span_ops.spans_of_store(stored, tags), "day-spans")
         for table, handler in handlers:
-            rows = handler(spans, day_ms // 1000, end_ms // 1000 - 86_400)
+            rows = handler(spans, first, last)
             t.write_batch(rows, root, table, 0, t.day_of_seconds(F.col("day_start")))

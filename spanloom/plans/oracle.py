@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from spanloom.plans.constants import AS_OF, LATE_MS, REPLAY_HOLD_MS, SLICE_MS
+from spanloom.plans.constants import AS_OF, FIRST_MS, LATE_MS, REPLAY_HOLD_MS, SLICE_MS
 
 TAGGED = """
 e as (select *, epoch_us(ts) // 1000 as begin_ms,
@@ -481,6 +481,12 @@ from (select receive // {SLICE_MS} as slice, page, api, count(*) as times,
     q["wide_trace_tree"] = _with(_traces_by(TREE, TYPE_NO), steps)
     q["wide_trace_summary"] = _with(_traces_by(TREE, TYPE_NO), "select * from summary")
     q["daily_job_table"] = q["api_daily_table"]
+    q["daily_job_long_traces"] = _traces_by(
+        q["api_daily_table"], "user_id * 1000 + dayofyear(d) // 10"
+    ).replace(
+        "epoch_us(ts) // 1000 as begin_ms",
+        f"{FIRST_MS} + (epoch_us(ts) // 1000 - {FIRST_MS}) // 8 as begin_ms",
+    )
     q["stream_late_spans"] = _with(SPANS, f"""
 select batch_id, as_of, traceid, spanid from (
   select *, cast(dense_rank() over (order by receive // {SLICE_MS}) - 1 as bigint) as batch_id,

@@ -11,12 +11,12 @@ from spanloom.operators import holding, indexes, pages, spans as span_ops, stats
 from spanloom.operators.skew import row_number_in_group
 from spanloom.operators.tree import Forest, build_forest
 from spanloom.plans import jobs
-from spanloom.plans.constants import AS_OF, LATE_MS, REPLAY_HOLD_MS, SLICE_MS
+from spanloom.plans.constants import AS_OF, FIRST_MS, LATE_MS, REPLAY_HOLD_MS, SLICE_MS
 from spanloom.schemas import COLLECTOR_SPAN
 from spanloom.sinks import tables as t
 from spanloom.sources import messages as msg
 from spanloom.sources.events import (
-    DAY_TRACES, TYPE_TRACES, USER_TRACES, event_messages, event_spans,
+    DAY_TRACES, LONG_TRACES, TYPE_TRACES, USER_TRACES, event_messages, event_spans,
 )
 from spanloom.staging import new_folder, stage
 from spanloom.streaming.job import (
@@ -272,8 +272,7 @@ def _sent(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _store(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = stage(span_ops.store_rows(_sent(spark, sf_dir)), "store-rows")
-    return span_ops.latest_per_key(rows, ("rowkey",), "receive")
+    return span_ops.latest_per_key(span_ops.store_rows(_sent(spark, sf_dir)), ("rowkey",), "receive")
 
 
 def raw_span_store(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -291,10 +290,9 @@ def stored_day_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return span_ops.parse_stored(jobs.read_raw_spans(spark, root, AS_OF, span_ops.ANALYSIS_COLUMNS))
 
 
-def daily_job_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The daily table after the job ran over the stored spans of all days, some days at a time."""
+def _daily(spark: SparkSession, sent: DataFrame, days: int) -> DataFrame:
+    """The daily table after the job ran over the stored spans, so many days at a time."""
     root = new_folder(spark, "daily")
-    sent = _exploded(spark, sf_dir)
     copies = sent.where(F.col("tags")["error"].isNotNull()).withColumn(
         "receive", F.col("receive") + 60_000
     )
@@ -302,11 +300,28 @@ def daily_job_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     jobs.write_raw_spans(copies, root, 1)
     store = t.read_table(spark, root, t.RAW_SPANS, jobs.STORE_SCHEMA)
     first, last = (d // DAY_MS for d in store.agg(F.min("begin"), F.max("begin")).first())
-    for day in range(first, last + 1, DAYS_AT_ONCE):
-        jobs.daily_job(spark, root, day * DAY_MS, days=DAYS_AT_ONCE)
+    for day in range(first, last + 1, days):
+        jobs.daily_job(spark, root, day * DAY_MS, days=days)
     return t.read_table(spark, root, t.CHAIN_DAYS).drop("day", "batch_id")
 
 
+def daily_job_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The daily table after the job ran over the stored spans of all days, some days at a time."""
+    return _daily(spark, _exploded(spark, sf_dir), DAYS_AT_ONCE)
+
+
+def daily_job_long_traces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The daily table of traces that lie on several days, one day at a time.
+
+    A day stands for eight of the table, so that a few runs cover it.
+    """
+    sent = span_ops.explode_spans(event_messages(spark, sf_dir, LONG_TRACES))
+    begin = F.expr(f"{FIRST_MS} + (begin - {FIRST_MS}) div 8")
+    return _daily(
+        spark, sent.withColumns({"begin": begin, "end": begin + F.col("end") - F.col("begin")}), 1
+    )
+
+
 def id_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of both signs to hex and back; upper-case hex is malformed."""
     event = F.col("event_id")
@@ -572,7 +587,7 @@ def queries() -> dict[str, Query]:
         zipkin_binary_annotations, decode_messages, dead_letters, word_count,
         word_count_running, stream_trace_assembly, stream_api_minutes, stream_page_api,
         stream_sessions, resent_trace_tree, resent_trace_summary, wide_trace_tree,
-        wide_trace_summary, zipkin_varied_spans, zipkin_varied_tags, daily_job_table,
+        wide_trace_summary, zipkin_varied_spans, zipkin_varied_tags, daily_job_table, daily_job_long_traces,
         stored_chain_minutes, stored_address_totals, stored_trace_keys, stream_late_spans, stream_crossing_traces,
     )
     return {f.__name__: f for f in functions}

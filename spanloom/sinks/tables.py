@@ -21,6 +21,7 @@ API_PAGES = "trace_api_source_analyze_minutes"
 PAGE_CALLS = "page_call_time_minutes"
 DEAD_LETTERS = "dead_letters"
 LATE_SPANS = "late_spans"
+TRACE_DAYS = "trace_days"
 
 
 def day_of_seconds(seconds: Column) -> Column:

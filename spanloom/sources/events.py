@@ -29,6 +29,8 @@ class SpanTable:
 USER_TRACES = "user_id"
 TYPE_TRACES = "cast(ascii(event_type) * 100 + length(event_type) as bigint)"
 DAY_TRACES = "user_id * 1000 + dayofyear(ts)"
+#: A user's events of ten days.
+LONG_TRACES = "user_id * 1000 + dayofyear(ts) div 10"
 
 
 def event_spans(
