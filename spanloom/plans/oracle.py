@@ -510,6 +510,7 @@ ends as (
 select coalesce(out_b, (select max(b) + 1 from per)) as batch_id, traceid,
   cast(sum(n) as bigint) as spans
 from ends group by 1, 2""")
+    q["stream_keyed_assembly"] = q["stream_crossing_traces"]
     q["stream_sessions"] = _with(TREE, """
 select traceid, api, trace_md5, duration, steps_total from summary""")
     return q

@@ -19,6 +19,7 @@ from spanloom.sources.events import (
     DAY_TRACES, LONG_TRACES, TYPE_TRACES, USER_TRACES, event_messages, event_spans,
 )
 from spanloom.staging import new_folder, stage
+from spanloom.streaming.assembly import assembled_spans, keyed_state
 from spanloom.streaming.job import (
     TraceStream, analyze_pages, analyze_traces, assemble_batch, late_spans, newest_receive,
     store_spans, waiting_spans,
@@ -30,6 +31,8 @@ from spanloom.streaming.words import file_texts, running_word_count
 Query = Callable[[SparkSession, str], DataFrame]
 
 DAY_MS = 86_400_000
+# The trace that ends a replay.
+END_TRACE = -1
 # Days of one run of the daily job, and spans from which a trace is built by joins.
 DAYS_AT_ONCE = 11
 WIDE_LIMIT = 256
@@ -539,6 +542,53 @@ def stream_crossing_traces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _batched(t.read_table(spark, root, "ready")).select("batch_id", "traceid", "spans")
 
 
+def _end_of_input(payloads: DataFrame) -> DataFrame:
+    """A payload from the far future with one span of a trace of its own, in the last slice."""
+    mark = (10_000 * SLICE_MS, END_TRACE)
+    text = (
+        '{"host": {"serviceName": "end"}, "spans": [{"begin": %d, "end": %d, "traceId": %d, "spanId": 1}]}'
+        % (mark[0], mark[0], mark[1])
+    )
+    return payloads.limit(1).select(
+        F.concat(F.lit(bytes(msg.HEADER_BYTES)), F.encode(F.lit(text), "UTF-8")).alias("value"),
+        F.timestamp_millis(F.lit(mark[0])).alias("timestamp"), F.lit(10_000).cast("bigint").alias("slice"),
+    )
+
+
+def stream_keyed_assembly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same traces as in ``stream_crossing_traces``, held in keyed state and released by timers.
+
+    The clock of a slice is its end. Each slice has a batch with its spans and one that only runs
+    the timers; a payload from the far future ends the last.
+    """
+    root = new_folder(spark, "keyed")
+    messages = event_messages(spark, sf_dir, USER_TRACES)
+    payloads = stage(msg.encode(messages).withColumn(
+        "slice", F.expr(f"unix_millis(timestamp) div {SLICE_MS}")
+    ), "payloads")
+    end = F.expr(f"(receive div {SLICE_MS} + 1) * {SLICE_MS}")
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        counts = batch.where(F.col("state") == holding.READY).groupBy("traceid").agg(
+            F.count("*").alias("spans")
+        )
+        t.write_batch(counts, root, "ready", batch_id)
+
+    def start():
+        decoded = msg.decode(msg.file_payloads(spark, f"{root}/in"))
+        spans = span_ops.flat_spans(span_ops.explode_spans(msg.good_messages(decoded)))
+        with keyed_state(spark):
+            return (
+                assembled_spans(spans, REPLAY_RULES, end).writeStream.outputMode("append")
+                .foreachBatch(write).option("checkpointLocation", f"{root}/checkpoint")
+                .trigger(availableNow=True).start()
+            )
+
+    replay(payloads.unionByName(_end_of_input(payloads)), "slice", f"{root}/in", start)
+    ready = t.read_table(spark, root, "ready", "traceid string, spans bigint, batch_id bigint")
+    return ready.select(F.expr("batch_id div 2").alias("batch_id"), "traceid", "spans")
+
+
 def stream_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Traces assembled by session windows that close after a day without a span.
 
@@ -589,5 +639,6 @@ def queries() -> dict[str, Query]:
         stream_sessions, resent_trace_tree, resent_trace_summary, wide_trace_tree,
         wide_trace_summary, zipkin_varied_spans, zipkin_varied_tags, daily_job_table, daily_job_long_traces,
         stored_chain_minutes, stored_address_totals, stored_trace_keys, stream_late_spans, stream_crossing_traces,
+        stream_keyed_assembly,
     )
     return {f.__name__: f for f in functions}
