@@ -6,14 +6,14 @@ trace has spans, however often spans were sent, cycles cannot be reached from th
 level needs a limit.
 
 Traces of ordinary size are collected into one row and walked with higher-order functions:
-one shuffle for everything. Traces with more spans than the caller's limit are walked level
-by level with joins, so no task ever holds one whole.
+one shuffle for everything. Traces with more spans than the caller's limit are one row per span:
+places and levels come from ranking their Euler tours (``preorder``), so no task ever holds the spans of
+one and the number of jobs does not follow its depth.
 """
 
 from __future__ import annotations
 
 import hashlib
-import itertools
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -21,9 +21,10 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from spanloom.functions import day_start, minute_start
+from spanloom.operators.preorder import preorder
 from spanloom.operators.skew import HeavyKeys, join_sized, ranged_row_number, split_heavy
 from spanloom.schemas import CLIENT_SEND
-from spanloom.staging import new_folder, stage
+from spanloom.staging import stage
 
 # Steps per collected array; longer call trees take several segments.
 SEGMENT_STEPS = 1000
@@ -243,45 +244,32 @@ def _inline(spans: DataFrame, extra: tuple[str, ...]) -> DataFrame:
     )
 
 
-# ---- large traces: one row per span, joined level by level ----------------------------------
+# ---- large traces: one row per span ----------------------------------------------------------
 
 
-def _salted_edges(
-    ranked: DataFrame, roots: DataFrame, floor: int = 10_000
-) -> tuple[DataFrame, DataFrame | None]:
-    """Candidate child rows spread over (traceid, parent, salt), and the salts per hot parent.
+def _parent_edges(ranked: DataFrame, owners: DataFrame, roots: DataFrame) -> DataFrame:
+    """(tree, parent, rank): every attachable span with the rank of the span it hangs on.
 
-    A parent is hot when it has more than 1/10,000 of all children (and over ``floor``):
-    there are fewer than 10,000 such parents whatever the data, so their list is broadcast.
+    A parent with very many children has one row on the owners' side, so the run-time split of
+    skewed joins applies to it.
     """
-    edges = (
+    children = (
         ranked.where((F.col("event") == CLIENT_SEND) & (F.col("spanid") != F.col("parent")))
-        .select("traceid", "parent", F.col("spanid").alias("child_id"), "rank")
-        .join(roots, ["traceid", "rank"], "left_anti")
+        .select("traceid", "parent", "rank").join(roots, ["traceid", "rank"], "left_anti")
     )
-    edges = stage(edges, "edges")
-    limit = max(floor, edges.count() // 10_000)
-    hot = (
-        edges.groupBy("traceid", "parent").agg(F.count("*").alias("n")).where(F.col("n") > limit)
-        .select("traceid", "parent", F.expr(f"cast(n div {limit} + 1 as int)").alias("salts"))
+    above = owners.select(
+        "traceid", F.col("spanid").alias("parent"), F.col("rank").alias("parent_rank")
+    )
+    return children.join(above, ["traceid", "parent"]).select(
+        F.col("traceid").alias("tree"), F.col("parent_rank").alias("parent"), "rank"
     )
-    hot = stage(hot, "hot-parents")
-    if hot.isEmpty():
-        return edges.withColumn("salt", F.lit(0)), None
-    salt = F.coalesce(F.pmod(F.col("rank"), F.col("salts")).cast("int"), F.lit(0))
-    salted = edges.join(F.broadcast(hot), ["traceid", "parent"], "left")
-    return salted.withColumn("salt", salt).drop("salts"), hot
 
 
 def _wide_steps(spans: DataFrame, extra: tuple[str, ...]) -> DataFrame:
-    spark = spans.sparkSession
     columns = [*SPAN_ORDER, *PAYLOAD, *extra]
-    # A row id makes copies of a span distinct; staging fixes it.
-    base = stage(
-        spans.select("traceid", *columns).withColumn("uid", F.monotonically_increasing_id()),
-        "wide-spans",
-    )
-    ranked = stage(ranged_row_number(base, "traceid", [*columns, "uid"], "rank"), "wide-ranked")
+    # Only exact copies of a span may change places.
+    base = spans.select("traceid", *columns)
+    ranked = stage(ranged_row_number(base, "traceid", columns, "rank"), "wide-ranked")
 
     is_root = F.col("spanid") == F.col("traceid")
     roots = stage(
@@ -289,57 +277,24 @@ def _wide_steps(spans: DataFrame, extra: tuple[str, ...]) -> DataFrame:
         .agg(F.coalesce(F.min(F.when(is_root, F.col("rank"))), F.max("rank")).alias("rank")),
         "wide-roots",
     )
-    root_ids = ranked.join(roots, ["traceid", "rank"]).select("traceid", "spanid", "rank")
-    # The span that takes the children of an id: the root, or else the first with the id.
-    owners = stage(
-        ranked.select("traceid", "spanid", "rank").withColumn("_root", F.lit(False))
-        .unionByName(root_ids.withColumn("_root", F.lit(True)))
-        .groupBy("traceid", "spanid")
-        .agg(F.coalesce(F.min(F.when(F.col("_root"), F.col("rank"))), F.min("rank")).alias("rank"))
-        .select("traceid", "rank").withColumn("owns", F.lit(True)),
-        "wide-owners",
+    chosen = ranked.join(roots.withColumn("is_root", F.lit(True)), ["traceid", "rank"], "left")
+    nodes = chosen.select(
+        F.col("traceid").alias("tree"), "rank", F.coalesce("is_root", F.lit(False)).alias("is_root"),
+        "spanid",
     )
-    edges, hot = _salted_edges(ranked, roots)
-    edges = edges.join(owners, ["traceid", "rank"], "left")
-    edges = edges.repartition("traceid", "parent", "salt").persist()
-
-    # One folder per level; a level is known to be complete before the next one starts.
-    folder = new_folder(spark, "levels")
-    first = ranked.join(roots, ["traceid", "rank"]).select(
-        "traceid", "rank", F.col("spanid").alias("node_id"), F.array("rank").alias("path"),
-        F.lit(True).alias("owns"),
+    # The span that takes the children of an id: the root, or else the first with the id.
+    owners = nodes.groupBy(F.col("tree").alias("traceid"), "spanid").agg(
+        F.coalesce(F.min(F.when(F.col("is_root"), F.col("rank"))), F.min("rank")).alias("rank")
     )
-    first.write.parquet(f"{folder}/level=0")
-    for level in itertools.count(1):
-        front = spark.read.schema(first.schema).parquet(f"{folder}/level={level - 1}").where("owns")
-        if front.isEmpty():
-            break
-        parents = front.select("traceid", F.col("node_id").alias("parent"), "path")
-        if hot is None:
-            parents = parents.withColumn("salt", F.lit(0))
-        else:
-            parents = parents.join(F.broadcast(hot), ["traceid", "parent"], "left").withColumn(
-                "salt", F.explode(F.sequence(F.lit(0), F.coalesce("salts", F.lit(1)) - 1))
-            ).drop("salts")
-        children = edges.join(parents, ["traceid", "parent", "salt"]).select(
-            "traceid", "rank", F.col("child_id").alias("node_id"),
-            F.concat("path", F.array("rank")).alias("path"), "owns",
-        )
-        children.write.parquet(f"{folder}/level={level}")
-    edges.unpersist()
-
-    nodes = spark.read.schema(
-        "traceid string, rank bigint, path array<bigint>, level bigint"
-    ).parquet(folder)
-    placed = ranged_row_number(nodes, "traceid", ["path"], "number")
-    full = placed.drop("path").join(ranked, ["traceid", "rank"])
-    pos = F.col("number") - 1
+    edges = stage(_parent_edges(ranked, owners, roots), "wide-edges")
+    placed = preorder(nodes.drop("spanid"), edges).withColumnRenamed("tree", "traceid")
+    full = placed.join(ranked, ["traceid", "rank"])
     steps = full.select(
         "traceid",
-        pos.alias("pos"),
+        "pos",
         "level",
         *(f for f in (*STEP_FIELDS, *extra) if f != "parent"),
-        F.when(pos == 0, F.col("traceid")).otherwise(F.col("parent")).alias("parent"),
+        F.when(F.col("pos") == 0, F.col("traceid")).otherwise(F.col("parent")).alias("parent"),
         "receive",
         F.col("region").alias("own_region"),
     )

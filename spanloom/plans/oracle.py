@@ -480,6 +480,12 @@ from (select receive // {SLICE_MS} as slice, page, api, count(*) as times,
     q["resent_trace_summary"] = _with(_resent(TREE, resolved=True), "select * from summary")
     q["wide_trace_tree"] = _with(_traces_by(TREE, TYPE_NO), steps)
     q["wide_trace_summary"] = _with(_traces_by(TREE, TYPE_NO), "select * from summary")
+    # In a chain the number of a span in its trace is its place and its depth.
+    chain = _traces_by(TAGGED, TYPE_NO).replace("p.idx = c.idx // 2", "p.idx = c.idx - 1")
+    q["deep_trace_tree"] = _with(chain, """
+select traceid, idx - 1 as pos, idx - 1 as level, spanid, coalesce(parent, traceid) as parent, name,
+  case when idx = 1 then event else 'cs' end as event
+from tagged""")
     q["daily_job_table"] = q["api_daily_table"]
     q["daily_job_long_traces"] = _traces_by(
         q["api_daily_table"], "user_id * 1000 + dayofyear(d) // 10"

@@ -12,11 +12,11 @@ from spanloom.operators.skew import row_number_in_group
 from spanloom.operators.tree import Forest, build_forest
 from spanloom.plans import jobs
 from spanloom.plans.constants import AS_OF, FIRST_MS, LATE_MS, REPLAY_HOLD_MS, SLICE_MS
-from spanloom.schemas import COLLECTOR_SPAN
+from spanloom.schemas import CLIENT_SEND, COLLECTOR_SPAN
 from spanloom.sinks import tables as t
 from spanloom.sources import messages as msg
 from spanloom.sources.events import (
-    DAY_TRACES, LONG_TRACES, TYPE_TRACES, USER_TRACES, event_messages, event_spans,
+    CHAIN, DAY_TRACES, LONG_TRACES, TYPE_TRACES, USER_TRACES, event_messages, event_spans,
 )
 from spanloom.staging import new_folder, stage
 from spanloom.streaming.assembly import assembled_spans, keyed_state
@@ -152,6 +152,14 @@ def wide_trace_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _wide_forest(spark, sf_dir).summary()
 
 
+def deep_trace_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One trace per event type, each a single chain of calls as deep as it has spans."""
+    table = event_spans(spark, sf_dir, WIDE_LIMIT, TYPE_TRACES, CHAIN)
+    called = F.when(F.col("idx") == 1, F.col("event")).otherwise(F.lit(CLIENT_SEND))
+    spans = span_ops.spans_of_tagged(table.rows.withColumn("event", called))
+    return build_forest(spans, table.heavy).steps().select(*STEP_COLUMNS)
+
+
 def api_minutes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stats.chain_stats(_forest(spark, sf_dir).summary(), "minute_start")
 
@@ -637,7 +645,7 @@ def queries() -> dict[str, Query]:
         zipkin_binary_annotations, decode_messages, dead_letters, word_count,
         word_count_running, stream_trace_assembly, stream_api_minutes, stream_page_api,
         stream_sessions, resent_trace_tree, resent_trace_summary, wide_trace_tree,
-        wide_trace_summary, zipkin_varied_spans, zipkin_varied_tags, daily_job_table, daily_job_long_traces,
+        wide_trace_summary, deep_trace_tree, zipkin_varied_spans, zipkin_varied_tags, daily_job_table, daily_job_long_traces,
         stored_chain_minutes, stored_address_totals, stored_trace_keys, stream_late_spans, stream_crossing_traces,
         stream_keyed_assembly,
     )

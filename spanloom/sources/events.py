@@ -32,9 +32,13 @@ DAY_TRACES = "user_id * 1000 + dayofyear(ts)"
 #: A user's events of ten days.
 LONG_TRACES = "user_id * 1000 + dayofyear(ts) div 10"
 
+#: Which span of its trace is the parent of span ``idx``: a binary tree, or a chain.
+BINARY, CHAIN = "idx div 2", "idx - 1"
+
 
 def event_spans(
-    spark: SparkSession, sf_dir: str, inline_spans: int = INLINE_SPANS, trace_no: str = DAY_TRACES
+    spark: SparkSession, sf_dir: str, inline_spans: int = INLINE_SPANS, trace_no: str = DAY_TRACES,
+    parent_idx: str = BINARY,
 ) -> SpanTable:
     """One shuffle: everything after it is grouped by the trace id or by more than that."""
     trace_no = F.expr(trace_no)
@@ -48,11 +52,11 @@ def event_spans(
         hex_id(F.lit(1_000_000_000) + F.col("event_id"))
     )
     # Every span stands once under its own number and once under its parent's, so a parent
-    # meets its two children in a group of three rows.
+    # meets its children in a group of two or three rows.
     places = F.explode(
         F.array(
             F.struct(F.col("idx").alias("slot"), F.lit(True).alias("own")),
-            F.struct(F.expr("idx div 2").alias("slot"), F.lit(False).alias("own")),
+            F.struct(F.expr(parent_idx).alias("slot"), F.lit(False).alias("own")),
         )
     )
     placed = numbered.withColumn("spanid", spanid).select("*", places.alias("p")).select(

@@ -73,7 +73,7 @@ def skewed(tmp_path_factory):
 @pytest.mark.parametrize("name", SKEWED)
 def test_query_with_a_third_of_all_rows_in_one_trace(spark, skewed, monkeypatch, name):
     folder, con = skewed
-    defaults = (64, events_source.DAY_TRACES)
+    defaults = (64, events_source.DAY_TRACES, events_source.BINARY)
     monkeypatch.setattr(events_source.event_spans, "__defaults__", defaults)
     assert events_source.event_spans(spark, folder).heavy.count == 1
     ok, note = compare(spark, con, folder, name)

@@ -1,4 +1,5 @@
 import random
+import uuid
 from collections import defaultdict
 
 import pytest
@@ -6,10 +7,11 @@ from pyspark.sql import functions as F
 
 import model
 from model import frame, span
-from spanloom.operators import skew, tree
+from spanloom.operators import preorder, skew, tree
 from spanloom.operators.skew import heavy_keys, ranged_row_number
 from spanloom.operators.spans import resolve_resent
 from spanloom.operators.tree import build_forest
+from spanloom.staging import stage
 
 
 def by_trace(rows):
@@ -93,7 +95,6 @@ def actual(forest):
 
 
 ROWS = edge_cases() + random_rows(7, 150)
-# Without the deep trace: each level is a job when joined.
 SHALLOW = [r for r in ROWS if r["traceid"] != "deep"]
 
 
@@ -103,12 +104,15 @@ def test_inline_trees_match_the_rules(spark, monkeypatch, few):
     assert actual(build_forest(frame(spark, ROWS), None)) == expected(ROWS)
 
 
-@pytest.mark.parametrize("limit", [0, 3])
-def test_joined_trees_match_the_rules(spark, limit):
-    spans = frame(spark, SHALLOW)
+@pytest.mark.parametrize("limit, run_nodes", [(0, 65_536), (3, 65_536), (0, 2), (3, 5)])
+def test_ranked_trees_match_the_rules(spark, monkeypatch, limit, run_nodes):
+    """Whole trees in a task, and runs of few nodes that are put together by joins."""
+    plain = tree.preorder
+    monkeypatch.setattr(tree, "preorder", lambda nodes, edges: plain(nodes, edges, run_nodes))
+    spans = frame(spark, ROWS)
     heavy = heavy_keys(spans, "traceid", limit)
     assert heavy is not None
-    assert actual(build_forest(spans, heavy)) == expected(SHALLOW)
+    assert actual(build_forest(spans, heavy)) == expected(ROWS)
 
 
 def test_a_deep_chain_is_whole(spark):
@@ -144,25 +148,104 @@ def test_a_chain_sent_again_does_not_grow(spark, limit):
     assert once.trace_md5 == plain.trace_md5
 
 
-def test_one_hot_parent_is_salted(spark, monkeypatch):
-    """A parent with most of all spans is spread; the result stays whole and in order."""
+def test_a_parent_with_most_spans(spark):
     rows = [span("hot", "hot", None, "root", event="sr")]
     rows += [span("hot", f"{i:05d}", "hot", f"n{i % 7}", begin=i) for i in range(600)]
     rows += [span("hot", "leaf", "00300", begin=700)]
     spans = frame(spark, rows)
+    assert actual(build_forest(spans, heavy_keys(spans, "traceid", 100))) == expected(rows)
+
+
+def jobs_of(spark, work):
+    """The number of Spark jobs that ``work`` takes."""
+    tracker, context = spark.sparkContext.statusTracker(), spark.sparkContext
+    group = uuid.uuid4().hex
+    context.setJobGroup(group, "counted")
+    try:
+        work()
+        return len(tracker.getJobIdsForGroup(group))
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+
+
+def chain(spark, length, width=1):
+    """A chain, each of whose spans has ``width - 1`` leaves besides."""
+    return spark.range(length).selectExpr(
+        f"id div {width} as at", f"id % {width} as leaf"
+    ).selectExpr(
+        "concat('n', at % 5) as name", "'c' as traceid",
+        "if(at = 0 and leaf = 0, 'c', concat('s', at, '-', leaf)) as spanid",
+        "case when at = 0 and leaf = 0 then null when at = (if(leaf = 0, 1, 0)) then 'c' "
+        "else concat('s', at - if(leaf = 0, 1, 0), '-0') end as parent",
+        "at * 10 + leaf as begin", "at * 10 + leaf + 5 as end", "5L as duration", "1000L as receive",
+        "if(at = 0 and leaf = 0, 'sr', 'cs') as event", "'s' as service", "'1' as ip",
+        "cast(null as string) as http_host", "0L as error_count", "'OTHER' as span_type",
+        "cast(null as string) as region", "cast(null as string) as page_id",
+    )
 
-    seen = []
-    plain = tree._salted_edges
-
-    def salted(ranked, roots):
-        edges, hot = plain(ranked, roots, floor=100)
-        seen.append(hot.collect())
-        return edges, hot
 
-    monkeypatch.setattr(tree, "_salted_edges", salted)
-    forest = build_forest(spans, heavy_keys(spans, "traceid", 100))
-    assert actual(forest) == expected(rows)
-    assert [(r.parent, r.salts) for r in seen[0]] == [("hot", 7)]
+def test_a_chain_of_100000_spans_takes_few_jobs(spark, tmp_path):
+    spans = stage(chain(spark, 100_000), "chain")
+    heavy = heavy_keys(spans, "traceid", 2_048)
+    found = []
+
+    def work():
+        steps = build_forest(spans, heavy).steps()
+        found.append(steps.where("level = pos and spanid = if(pos = 0, 'c', concat('s', pos, '-0'))").count())
+
+    assert jobs_of(spark, work) < 40
+    assert found == [100_000]
+
+
+def test_rounds_follow_the_logarithm_of_the_depth(spark, monkeypatch):
+    """Doubling by joins: a chain eight times as deep takes three rounds more."""
+    plain = tree.preorder
+    monkeypatch.setattr(tree, "preorder", lambda nodes, edges: plain(nodes, edges, 4))
+    counts = []
+    for length in (300, 2_400):
+        spans = stage(chain(spark, length, 3), "chain")
+        forest = []
+        counts.append(jobs_of(
+            spark, lambda: forest.append(build_forest(spans, heavy_keys(spans, "traceid", 100)))
+        ))
+        rows = forest[0].steps().select("pos", "level", "spanid").orderBy("pos").collect()
+        whole = [r.asDict() for r in spans.collect()]
+        want = [(i, level, s["spanid"]) for i, (level, s) in enumerate(model.preorder(whole))]
+        assert [tuple(r) for r in rows] == want
+    assert counts[1] - counts[0] <= 12
+
+
+def plain_places(parents, root):
+    places, stack = {}, [(root, 0)]
+    while stack:
+        node, level = stack.pop()
+        places[node] = (len(places), level)
+        stack += [(c, level + 1) for c in sorted(parents, reverse=True) if parents[c] == node]
+    return places
+
+
+@pytest.mark.parametrize("run_nodes", [1, 4, 1_000])
+def test_preorder_of_random_forests_with_cycles(spark, run_nodes):
+    rng = random.Random(run_nodes)
+    nodes, edges, want = [], [], set()
+    for name in "abcdefgh":
+        size = rng.randint(1, 40)
+        root = rng.randint(1, size)
+        parents = {
+            r: rng.randint(1, size) for r in range(1, size + 1) if r != root and rng.random() < 0.9
+        }
+        if name < "d":  # shallow cycles are likely; these have none
+            parents = {r: rng.randint(1, r - 1) for r in range(2, size + 1)}
+            root = 1
+        parents = {r: p for r, p in parents.items() if p != r}
+        nodes += [(name, r, r == root) for r in range(1, size + 1)]
+        edges += [(name, p, r) for r, p in parents.items()]
+        want |= {(name, r, *place) for r, place in plain_places(parents, root).items()}
+    got = preorder.preorder(
+        spark.createDataFrame(nodes, "tree string, rank bigint, is_root boolean"),
+        spark.createDataFrame(edges, "tree string, parent bigint, rank bigint"), run_nodes,
+    )
+    assert {tuple(r) for r in got.collect()} == want and got.count() == len(want)
 
 
 def test_segments_hold_every_step_once(spark, monkeypatch):
