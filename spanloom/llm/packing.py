@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from spanloom.llm.tables import text_of, values, worker_state
-from spanloom.llm.tokens import TOKENIZER, id_pieces, load_tokenizer
+from spanloom.llm.tokens import TOKENIZER, WholeTexts, id_pieces, load_tokenizer
 
 WINDOW = 2048
 FREE_LENGTHS = (512, 1024)
@@ -63,7 +63,12 @@ def document_ids(text: str, tokenizer: str, closing: int) -> np.ndarray:
     end = np.array([closing], dtype=np.uint32)
     if not text:
         return end
-    pieces = worker_state(("ids", tokenizer), lambda: id_pieces(tokenizer))
+    pieces, whole = worker_state(
+        ("ids", tokenizer), lambda: (id_pieces(tokenizer), WholeTexts(tokenizer))
+    )
+    ids = whole.ids(text)
+    if ids is not None:
+        return np.array([*ids, closing], dtype=np.uint32)
     return np.concatenate([np.frombuffer(pieces.of(text), dtype=np.uint32), end])
 
 

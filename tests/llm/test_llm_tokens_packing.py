@@ -31,6 +31,59 @@ def test_pieces_give_the_tokens_of_the_library(parts):
     assert ids.tolist() == library(text) + [1]
 
 
+def test_merges_of_single_words_are_the_models():
+    merge = tokens.merge_table(tokens.TOKENIZER)._core_bpe.encode_single_piece
+    model = tokens.load_tokenizer(tokens.TOKENIZER).model
+    rng = random.Random(2)
+    words = [" " + "".join(rng.choices("etaoinshrdluéßж日", k=rng.randint(1, 30))) for _ in range(5_000)]
+    words += [" " + w for w in ("the", "a", "Internationalization", "x" * 3_000)]
+    for word in words:
+        mapped = "".join(map(tokens.ByteLetters().__getitem__, word))
+        assert merge(word.encode()) == [t.id for t in model.tokenize(mapped)]
+    # Every token that a pre-token may be as a whole is reached by the merges.
+    for token in model_tokens():
+        assert merge(token.encode()) == [t.id for t in model.tokenize("".join(map(tokens.ByteLetters().__getitem__, token)))]
+
+
+def model_tokens():
+    library = tokens.load_tokenizer(tokens.TOKENIZER)
+    found = (library.decode([i], skip_special_tokens=False) for i in range(library.get_vocab_size()))
+    return [t for t in found if t.isalpha() or t[:1] == " " and t[1:].isalpha()]
+
+
+def test_other_vocabularies_have_no_table():
+    assert tokens.merge_table("word_bpe_49k.json") is None
+
+
+SETTLED = "aZ éÀßɏ 09²¼\n\t\r.,'!?’—€¿«×ªstrelvmd  "
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.text(alphabet=SETTLED, max_size=60))
+def test_whole_texts_give_the_ids_of_the_library(text):
+    assert tokens.WholeTexts(tokens.TOKENIZER).ids(text) == library(text)
+
+
+def test_every_settled_character_in_every_place():
+    whole = tokens.WholeTexts(tokens.TOKENIZER)
+    chars = [c for c in map(chr, range(0x2100)) if tokens._SETTLED.fullmatch(c)]
+    assert len(chars) > 500
+    for c in chars:
+        for text in (c, f"a{c}b", f" {c}1", f"1 {c}", f"{c}{c} .", f"'{c}s {c}'s", f"\n{c}\n\n{c}"):
+            assert whole.ids(text) == library(text), text
+
+
+def test_whole_texts_in_runs_and_left_to_the_library(monkeypatch):
+    whole = tokens.WholeTexts(tokens.TOKENIZER)
+    assert whole.ids("a <|endoftext|> b") is None and whole.ids("日本") is None and whole.ids("a\u00a0b") is None
+    assert whole.ids("^" * 70_000) is None
+    monkeypatch.setattr(tokens, "RUN_CHARS", 7)
+    rng = random.Random(6)
+    for _ in range(300):
+        text = "".join(rng.choices(SETTLED, k=rng.randint(0, 80)))
+        assert whole.ids(text) == library(text)
+
+
 def test_cache_generations_keep_values_right(monkeypatch):
     monkeypatch.setattr(tokens, "CACHED", 3)
     pieces = tokens.length_pieces(tokens.TOKENIZER, {"the": 1})
