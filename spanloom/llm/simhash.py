@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
 from spanloom.llm.components import connected_components, forest
-from spanloom.llm.tables import slices, text_of, values
+from spanloom.llm.tables import slices, text_of, values, worker_state
 from spanloom.operators.skew import ranged_row_number
 from spanloom.staging import stage
 
@@ -548,7 +548,12 @@ def similar_documents(
     """
     count, limits = plan_indexes(docs.count(), similarity)
     names = ["fp", *(f"fp{i}" for i in range(1, count))]
-    prints = _per_text(docs, ["set_key", *names], lambda text: set_prints(text, words, count))
+
+    def make(text: str) -> list[int]:
+        worker_state(("simhash",), dict)  # what an earlier stage left in the worker goes
+        return set_prints(text, words, count)
+
+    prints = _per_text(docs, ["set_key", *names], make)
     prints = stage(prints, "similar-prints")
     entries = stage(
         prints.groupBy("set_key", *names).agg(F.min(F.struct("text_key", "doc_id")).alias("place")),
