@@ -9,3 +9,9 @@ LATE_MS = 345_600_000
 AS_OF = 1_706_724_000_000
 # 2024-01-01, where the events begin.
 FIRST_MS = 1_704_067_200_000
+# Ten slices of the messages that wait for a stream, by receive time; files of each.
+BACKLOG_MS = 267_840_000
+BACKLOG_FILES = 4
+# Texts come a language an hour; words are forgotten after an hour and a half.
+TEXT_SECONDS = 3_600
+FORGET = "90 minutes"

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from spanloom.plans.constants import AS_OF, FIRST_MS, LATE_MS, REPLAY_HOLD_MS, SLICE_MS
+from spanloom.plans.constants import AS_OF, BACKLOG_MS, FIRST_MS, LATE_MS, REPLAY_HOLD_MS, SLICE_MS
 
 TAGGED = """
 e as (select *, epoch_us(ts) // 1000 as begin_ms,
@@ -517,6 +517,19 @@ select coalesce(out_b, (select max(b) + 1 from per)) as batch_id, traceid,
   cast(sum(n) as bigint) as spans
 from ends group by 1, 2""")
     q["stream_keyed_assembly"] = q["stream_crossing_traces"]
+    q["stream_merged_minutes"] = q["api_minutes"]
+    q["stream_backlog_batches"] = _with(SPANS, f"""
+select cast(dense_rank() over (order by slice) - 1 as bigint) as batch_id, spans, traces from (
+  select (receive - {FIRST_MS} - 1) // {BACKLOG_MS} as slice, count(*) as spans,
+    count(distinct traceid) as traces
+  from spans group by 1)""")
+    # Hours of a word without a gap of one belong together.
+    q["word_count_expiring"] = f"""
+with {split}, per as (select word, slice, count(*) as c from words group by word, slice),
+runs as (select *, slice - row_number() over (partition by word order by slice) as run from per)
+select word, cast(min(slice) as bigint) as first_hour, cast(max(slice) as bigint) as last_hour,
+  cast(sum(c) as bigint) as n
+from runs group by word, run"""
     q["stream_sessions"] = _with(TREE, """
 select traceid, api, trace_md5, duration, steps_total from summary""")
     return q

@@ -4,14 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from spanloom.functions import hex_id, parse_hex_id, trace_id_string
 from spanloom.operators import holding, indexes, pages, spans as span_ops, stats, words, zipkin
 from spanloom.operators.skew import row_number_in_group
 from spanloom.operators.tree import Forest, build_forest
 from spanloom.plans import jobs
-from spanloom.plans.constants import AS_OF, FIRST_MS, LATE_MS, REPLAY_HOLD_MS, SLICE_MS
+from spanloom.plans.constants import (
+    AS_OF, BACKLOG_FILES, BACKLOG_MS, FIRST_MS, FORGET, LATE_MS, REPLAY_HOLD_MS, SLICE_MS, TEXT_SECONDS,
+)
 from spanloom.schemas import CLIENT_SEND, COLLECTOR_SPAN
 from spanloom.sinks import tables as t
 from spanloom.sources import messages as msg
@@ -24,9 +26,10 @@ from spanloom.streaming.job import (
     TraceStream, analyze_pages, analyze_traces, assemble_batch, late_spans, newest_receive,
     store_spans, waiting_spans,
 )
+from spanloom.streaming.minutes import SUMMARY_SCHEMA, closed_minutes, summaries
 from spanloom.streaming.replay import replay
 from spanloom.streaming.sessions import closed_sessions, spans_of_sessions
-from spanloom.streaming.words import file_texts, running_word_count
+from spanloom.streaming.words import expiring_word_count, file_texts, running_word_count
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -466,6 +469,38 @@ def word_count_running(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def word_count_expiring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents, a language an hour: words that an hour leaves out start again after it."""
+    root = new_folder(spark, "expiring-words")
+    slices = F.dense_rank().over(Window.orderBy("lang")) - 1
+    texts = spark.read.parquet(f"{sf_dir}/documents.parquet").select(
+        "text", F.coalesce("lang", F.lit("")).alias("lang")
+    )
+    hours = texts.select("lang").distinct().withColumn("slice", slices.cast("bigint"))
+    moment = F.timestamp_seconds(F.col("slice") * TEXT_SECONDS).alias("ts")
+    timed = texts.join(F.broadcast(hours), "lang").select("text", moment, "slice")
+    end = hours.groupBy().agg(F.max("slice").alias("slice")).select(
+        F.lit("").alias("text"), F.timestamp_seconds(F.lit(10_000 * TEXT_SECONDS)).alias("ts"),
+        F.coalesce(F.col("slice") + 1, F.lit(0)).alias("slice"),
+    )
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        t.write_batch(batch, root, "totals", batch_id)
+
+    def start():
+        source = file_texts(spark, f"{root}/in", "text string, ts timestamp")
+        return (
+            expiring_word_count(source, FORGET).writeStream.outputMode("append").foreachBatch(write)
+            .option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start()
+        )
+
+    replay(stage(timed, "timed-texts").unionByName(end), "slice", f"{root}/in", start)
+    hour = lambda c: F.expr(f"unix_seconds({c}) div {TEXT_SECONDS}").alias(f"{c}_hour")
+    return t.read_table(
+        spark, root, "totals", "word string, first timestamp, last timestamp, n bigint, batch_id bigint"
+    ).select("word", hour("first"), hour("last"), "n")
+
+
 # ---- streams --------------------------------------------------------------------------------
 
 
@@ -518,6 +553,55 @@ def stream_api_minutes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def stream_merged_minutes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per minute and chain over the whole replay, whatever batches its traces came in.
+
+    The summaries of the batches are a stream of their own, taken a file at a time.
+    """
+    root, batches, _ = _replayed(spark, sf_dir, (_summaries,))
+    pending = waiting_spans(spark, root, batches - 1)
+    t.write_batch(jobs.forest_of(pending).summary(), root, "summary", batches)
+    # A trace from the far future closes the last minute.
+    end = spark.range(1).select(*[
+        (F.lit(10_000 * SLICE_MS // 1000) if kind == "bigint" else F.lit(None)).cast(kind).alias(name)
+        for name, kind in (c.split() for c in SUMMARY_SCHEMA.split(", "))
+    ])
+    t.write_batch(end, root, "summary", batches + 1)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        t.write_batch(batch, root, "minutes", batch_id)
+
+    stream = closed_minutes(summaries(spark, f"{root}/summary", max_files=8), f"{2 * SLICE_MS} milliseconds")
+    stream.writeStream.outputMode("append").foreachBatch(write).option(
+        "checkpointLocation", f"{root}/minutes-checkpoint"
+    ).trigger(availableNow=True).start().awaitTermination()
+    return t.read_table(spark, root, "minutes").drop("batch_id")
+
+
+def _batch_counts(batch) -> None:
+    counts = batch.spans.agg(
+        F.count("*").alias("spans"), F.count_distinct("traceid").alias("traces")
+    )
+    t.write_batch(counts, batch.root, "counts", batch.batch_id)
+
+
+def stream_backlog_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A backlog of ten slices, there before the stream starts, taken in batches of bounded size."""
+    root = new_folder(spark, "backlog")
+    payloads = stage(msg.encode(event_messages(spark, sf_dir)).withColumn(
+        "slice", F.expr(f"(unix_millis(timestamp) - {FIRST_MS} - 1) div {BACKLOG_MS}")
+    ), "payloads")
+    for number in sorted(r.slice for r in payloads.select("slice").distinct().collect()):
+        (
+            payloads.where(F.col("slice") == number).drop("slice").repartition(BACKLOG_FILES)
+            .write.mode("append").parquet(f"{root}/in")
+        )
+    stream = TraceStream(f"{root}/out", (_batch_counts,), REPLAY_RULES, clock=newest_receive)
+    source = msg.file_payloads(spark, f"{root}/in", max_files=BACKLOG_FILES)
+    stream.start(source, available_now=True).awaitTermination()
+    return _batched(t.read_table(spark, stream.root, "counts")).select("batch_id", "spans", "traces")
+
+
 def stream_page_api(spark: SparkSession, sf_dir: str) -> DataFrame:
     root, _, _ = _replayed(spark, sf_dir, (analyze_pages,))
     return _batched(t.read_table(spark, root, t.PAGE_APIS)).select(
@@ -647,6 +731,6 @@ def queries() -> dict[str, Query]:
         stream_sessions, resent_trace_tree, resent_trace_summary, wide_trace_tree,
         wide_trace_summary, deep_trace_tree, zipkin_varied_spans, zipkin_varied_tags, daily_job_table, daily_job_long_traces,
         stored_chain_minutes, stored_address_totals, stored_trace_keys, stream_late_spans, stream_crossing_traces,
-        stream_keyed_assembly,
+        stream_keyed_assembly, stream_merged_minutes, stream_backlog_batches, word_count_expiring,
     )
     return {f.__name__: f for f in functions}

@@ -17,23 +17,43 @@ PAYLOAD = T.StructType([
 
 
 def kafka_payloads(
-    spark: SparkSession, servers: str, topic: str, group: str
+    spark: SparkSession,
+    servers: str,
+    topic: str,
+    group: str,
+    max_messages: int | None = None,
+    min_partitions: int | None = None,
+    starting: str = "latest",
 ) -> DataFrame:
-    """Streaming (value, timestamp) rows of a Kafka topic."""
-    return (
-        spark.readStream.format("kafka")
-        .option("kafka.bootstrap.servers", servers)
-        .option("subscribe", topic)
-        .option("kafka.group.id", group)
-        .option("kafka.max.partition.fetch.bytes", FETCH_BYTES)
-        .load()
-        .select("value", "timestamp")
-    )
+    """Streaming (value, timestamp) rows of a Kafka topic.
 
+    After an outage the backlog comes in batches of ``max_messages`` at most, spread evenly over
+    the topic's partitions; ``min_partitions`` tasks share a batch even if the topic has fewer
+    partitions. ``starting`` (latest, earliest or JSON offsets) counts for a stream without a checkpoint.
+    """
+    options = {
+        "kafka.bootstrap.servers": servers,
+        "subscribe": topic,
+        "kafka.group.id": group,
+        "kafka.max.partition.fetch.bytes": FETCH_BYTES,
+        "startingOffsets": starting,
+        "maxOffsetsPerTrigger": max_messages,
+        "minPartitions": min_partitions,
+    }
+    given = {k: v for k, v in options.items() if v is not None}
+    return spark.readStream.format("kafka").options(**given).load().select("value", "timestamp")
+
+
+def file_payloads(
+    spark: SparkSession, path: str, max_files: int | None = None, max_bytes: int | None = None
+) -> DataFrame:
+    """Streaming (value, timestamp) rows of a folder of Parquet files, oldest first.
 
-def file_payloads(spark: SparkSession, path: str) -> DataFrame:
-    """Streaming (value, timestamp) rows of a folder of Parquet files."""
-    return spark.readStream.schema(PAYLOAD).parquet(path)
+    A batch takes at most ``max_files`` files, or files of about ``max_bytes``; not both.
+    """
+    limits = {"maxFilesPerTrigger": max_files, "maxBytesPerTrigger": max_bytes}
+    given = {k: v for k, v in limits.items() if v is not None}
+    return spark.readStream.schema(PAYLOAD).options(**given).parquet(path)
 
 
 def encode(messages: DataFrame) -> DataFrame:

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from spanloom.operators.words import word_count
+from spanloom.operators.words import word_count, words
 
 
 def kafka_texts(spark: SparkSession, servers: str, topic: str) -> DataFrame:
@@ -18,9 +18,27 @@ def kafka_texts(spark: SparkSession, servers: str, topic: str) -> DataFrame:
     )
 
 
-def file_texts(spark: SparkSession, path: str) -> DataFrame:
+def file_texts(spark: SparkSession, path: str, schema: str = "text string") -> DataFrame:
     """Streaming ``text`` rows of a folder of Parquet files."""
-    return spark.readStream.schema("text string").parquet(path)
+    return spark.readStream.schema(schema).parquet(path)
+
+
+def expiring_word_count(
+    texts: DataFrame, timeout: str, delay: str = "0 seconds", column: str = "text", at: str = "ts"
+) -> DataFrame:
+    """Streaming (word, first, last, n): the totals of words, each from its first text to its last before
+    ``timeout`` passed without the word.
+
+    A word that comes again after it starts at its own count. Totals are given out, and leave the
+    state, when the watermark says that nothing can be added: the state holds the words of one
+    timeout and delay, however long the stream runs.
+    """
+    seen = words(texts.withWatermark(at, delay), column, (at,))
+    return (
+        seen.groupBy("word", F.session_window(at, timeout))
+        .agg(F.min(at).alias("first"), F.max(at).alias("last"), F.count("*").alias("n"))
+        .select("word", "first", "last", "n")
+    )
 
 
 def running_word_count(texts: DataFrame, column: str = "text") -> DataFrame:
