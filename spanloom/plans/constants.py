@@ -15,3 +15,6 @@ BACKLOG_FILES = 4
 # Texts come a language an hour; words are forgotten after an hour and a half.
 TEXT_SECONDS = 3_600
 FORGET = "90 minutes"
+# Ten days from 2024-01-06, in seconds, noon to noon.
+LOOKUP_FIRST = 1_704_542_400
+LOOKUP_LAST = 1_705_406_400

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from spanloom.plans.constants import AS_OF, BACKLOG_MS, FIRST_MS, LATE_MS, REPLAY_HOLD_MS, SLICE_MS
+from spanloom.plans.constants import (
+    AS_OF, BACKLOG_MS, FIRST_MS, LATE_MS, LOOKUP_FIRST, LOOKUP_LAST, REPLAY_HOLD_MS, SLICE_MS,
+)
 
 TAGGED = """
 e as (select *, epoch_us(ts) // 1000 as begin_ms,
@@ -351,6 +353,12 @@ from chain_parts""")
             ("md5", f"trace_md5 || ':' || ({started}) || ':' || traceid", ""),
             ("api", f"api || ':' || ({started}) || ':' || traceid", ""),
         )))
+    q["merged_address_totals"] = q["stored_address_totals"]
+    q["trace_lookup"] = _with(JSON, f"""
+select api || ':' || ({started}) || ':' || traceid as rowkey, segment, traceid,
+  {started} as starttime, minute_start || '.' || trace_md5 as bucket_md5, duration, region
+from full_rows
+where api = (select max(api) from full_rows) and {started} between {LOOKUP_FIRST} and {LOOKUP_LAST}""")
     q["trace_results"] = _with(JSON, """
 select api, cast(1 as bigint) as times, duration, segment, spans,
   minute_start || '.' || trace_md5 as bucket_md5, traceid as max_latency_trace,
@@ -367,6 +375,7 @@ from tagged group by 1, 2, 3""")
     q["page_hot_api"] = _with(PAGES, "select page, max(times) as times from totals group by page")
 
     q["raw_span_store"] = _with(STORE, "select * from store")
+    q["merged_span_store"] = q["raw_span_store"]
     low = AS_OF // 86_400_000 * 86_400_000 - 8 * 3_600_000
     q["stored_day_scan"] = _with(STORE, f"""
 select name, traceid, spanid, parent, begin, "end", event, service, ip from store

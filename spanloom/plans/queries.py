@@ -12,10 +12,11 @@ from spanloom.operators.skew import row_number_in_group
 from spanloom.operators.tree import Forest, build_forest
 from spanloom.plans import jobs
 from spanloom.plans.constants import (
-    AS_OF, BACKLOG_FILES, BACKLOG_MS, FIRST_MS, FORGET, LATE_MS, REPLAY_HOLD_MS, SLICE_MS, TEXT_SECONDS,
+    AS_OF, BACKLOG_FILES, BACKLOG_MS, FIRST_MS, FORGET, LATE_MS, LOOKUP_FIRST,
+    LOOKUP_LAST, REPLAY_HOLD_MS, SLICE_MS, TEXT_SECONDS,
 )
 from spanloom.schemas import CLIENT_SEND, COLLECTOR_SPAN
-from spanloom.sinks import tables as t
+from spanloom.sinks import merged, tables as t
 from spanloom.sources import messages as msg
 from spanloom.sources.events import (
     CHAIN, DAY_TRACES, LONG_TRACES, TYPE_TRACES, USER_TRACES, event_messages, event_spans,
@@ -255,6 +256,25 @@ def stored_trace_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows[0].unionByName(rows[1]).unionByName(rows[2])
 
 
+def merged_address_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The address table with the sums of both batches merged at rest, one row per key."""
+    root = _written(spark, sf_dir)
+    merged.merge_days(spark, root, merged.ADDRESSES, merged.ADDRESSES_SCHEMA)
+    rows = merged.read_merged(spark, root, merged.ADDRESSES, merged.ADDRESSES_SCHEMA)
+    mean = stats.whole_mean(F.col("total_duration"), F.col("times")).alias("avg_duration")
+    return rows.select("rowkey", "trace_md5", "span_name", "minute_start", "ip", mean, "times")
+
+
+def trace_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The traces of the last API by name, started in a stretch of days, read by key from the merged table."""
+    root = _written(spark, sf_dir)
+    merged.merge_days(spark, root, merged.TRACES, merged.TRACES_SCHEMA)
+    stored = merged.read_merged(spark, root, merged.TRACES, merged.TRACES_SCHEMA)
+    api = stored.where("index = 'api'").agg(F.max("key")).first()[0]
+    rows = merged.find_traces(spark, root, api or "", LOOKUP_FIRST, LOOKUP_LAST)
+    return rows.select("rowkey", "segment", "traceid", "starttime", "bucket_md5", "duration", "region")
+
+
 # ---- pages ----------------------------------------------------------------------------------
 
 
@@ -293,6 +313,24 @@ def raw_span_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _store(spark, sf_dir).drop("tags")
 
 
+def merged_span_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The span store with the last write of each key at rest; the spans sent again come a batch later.
+
+    Of half the days that batch is merged too, of the others it meets the rows at rest when they are read.
+    """
+    root = new_folder(spark, "merged")
+    sent = stage(_sent(spark, sf_dir), "sent")
+    for batch in (0, 1):
+        jobs.write_raw_spans(sent.where(F.col("again") == batch).drop("again"), root, batch)
+        days = None
+        if batch:
+            found = t.read_table(spark, root, t.RAW_SPANS, jobs.STORE_SCHEMA).select("day").distinct()
+            days = [r.day for r in found.where("unix_date(day) % 2 = 0").collect()]
+        merged.merge_days(spark, root, merged.SPANS, jobs.STORE_SCHEMA, days)
+    rows = merged.read_merged(spark, root, merged.SPANS, jobs.STORE_SCHEMA)
+    return rows.drop("tags", "day", "batch_id")
+
+
 def stored_span_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     return span_ops.parse_stored(_store(spark, sf_dir))
 
@@ -730,7 +768,8 @@ def queries() -> dict[str, Query]:
         word_count_running, stream_trace_assembly, stream_api_minutes, stream_page_api,
         stream_sessions, resent_trace_tree, resent_trace_summary, wide_trace_tree,
         wide_trace_summary, deep_trace_tree, zipkin_varied_spans, zipkin_varied_tags, daily_job_table, daily_job_long_traces,
-        stored_chain_minutes, stored_address_totals, stored_trace_keys, stream_late_spans, stream_crossing_traces,
+        stored_chain_minutes, stored_address_totals, stored_trace_keys,
+        merged_address_totals, trace_lookup, merged_span_store, stream_late_spans, stream_crossing_traces,
         stream_keyed_assembly, stream_merged_minutes, stream_backlog_batches, word_count_expiring,
     )
     return {f.__name__: f for f in functions}

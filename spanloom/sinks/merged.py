@@ -1,6 +1,6 @@
 """Days of a result table merged by key: one row per key, in key order, for lookups by prefix.
 
-Batches go on being written to the table itself. ``merge_day`` writes a generation of a day beside it,
+Batches go on being written to the table itself. ``merge_days`` writes a generation of a day beside it,
 from the generation before and the batches since, and then commits it by a row that names the
 last batch it covers. A reader takes the newest committed generation and the later batches, so it
 finds every row once at any moment: a generation without its commit is not read and is written again,
@@ -12,10 +12,10 @@ lie on one day, as the time of the day is a part of the keys.
 from __future__ import annotations
 
 import datetime
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from spanloom.operators import spans as span_ops
@@ -70,12 +70,12 @@ def newest_commits(spark: SparkSession, root: str, table: str) -> Commits:
     return {r.day: (r.c.generation, r.c.upto) for r in newest}
 
 
-def _uncovered(commits: Commits) -> Column:
-    """Rows of batches that no committed generation covers; a filter on partitions alone."""
+def _covered(commits: Commits) -> Column:
+    """Rows of batches that the generations cover; a filter on partitions alone."""
     covered = F.lit(False)
     for day, (_, upto) in commits.items():
         covered = covered | ((F.col("day") == F.lit(day)) & (F.col("batch_id") <= upto))
-    return ~covered
+    return covered
 
 
 def _between(first: datetime.date | None, last: datetime.date | None) -> Column:
@@ -107,7 +107,7 @@ def read_merged(
         if (first is None or day >= first) and (last is None or day <= last)
     }
     rest = t.read_table(spark, root, table.name, schema).where(_between(first, last))
-    fresh = rest.where(_uncovered(commits))
+    fresh = rest.where(~_covered(commits))
     open_days = [r.day for r in fresh.select("day").distinct().collect()]
     merging = {day: c for day, c in commits.items() if day in open_days}
     closed = {day: c for day, c in commits.items() if day not in open_days}
@@ -127,45 +127,53 @@ def read_merged(
     return rows.select(*plain.names)
 
 
-def merge_day(
-    spark: SparkSession, root: str, table: MergedTable, schema: str, day: datetime.date,
-    upto: int | None = None, file_rows: int = FILE_ROWS,
-) -> int:
-    """Write and commit the next generation of a day, of the batches up to ``upto`` (by default all that
-    are there); returns its number, -1 if there is nothing new.
+def merge_days(
+    spark: SparkSession, root: str, table: MergedTable, schema: str,
+    days: Sequence[datetime.date] | None = None, upto: int | None = None, file_rows: int = FILE_ROWS,
+) -> dict[datetime.date, int]:
+    """Write and commit the next generation of the days (all by default) that have new batches, of those
+    up to ``upto`` (by default all that are there); returns the numbers of the generations.
 
-    Rows are range-partitioned by the order of the table, so files and row groups have ranges of
-    their own.
+    All days go in one job. Rows are range-partitioned by day and the order of the table, so files and row
+    groups have ranges of their own, and a large day has many.
     """
-    commit = newest_commits(spark, root, table.name).get(day)
-    generation, covered = commit if commit else (-1, -1)
-    rows = t.read_table(spark, root, table.name, schema).where(
-        (F.col("day") == F.lit(day)) & (F.col("batch_id") > covered)
-    )
+    commits = newest_commits(spark, root, table.name)
+    rows = t.read_table(spark, root, table.name, schema).where(~_covered(commits))
+    if days is not None:
+        rows = rows.where(F.col("day").isin(list(days)))
     if upto is not None:
         rows = rows.where(F.col("batch_id") <= upto)
-    found = rows.agg(F.count("*").alias("rows"), F.max("batch_id").alias("last")).first()
-    if not found.rows:
-        return -1
-    rows = rows.where(F.col("batch_id") <= found.last)  # not those that come meanwhile
-    count = found.rows
-    if commit:
+    found = rows.groupBy("day").agg(F.count("*").alias("rows"), F.max("batch_id").alias("last")).collect()
+    if not found:
+        return {}
+    following = {r.day: (commits.get(r.day, (-1, -1))[0] + 1, r.last) for r in found}
+    rows = rows.where(_covered(following))  # not the batches that come meanwhile
+    count = sum(r.rows for r in found)
+    replaced = {day: c for day, c in commits.items() if day in following}
+    if replaced:
         plain = table.with_derived(rows).schema
-        before = _generations(spark, root, table.name, plain, {day: commit})
+        before = _generations(spark, root, table.name, plain, replaced)
         count += before.count()
         rows = rows.unionByName(before.select(*rows.columns))
-    order = table.order or table.key
+    order = ("day", *(table.order or table.key))
     out = table.with_derived(table.merge(rows))
     out = out.repartitionByRange(-(-count // file_rows), *order).sortWithinPartitions(*order)
-    # Each generation is a folder of its own, so one that failed is replaced as a whole.
-    write = out.drop("day").write.mode("overwrite").option("parquet.block.size", ROW_GROUP_BYTES)
+    commit = spark.createDataFrame([(d, g, last) for d, (g, last) in following.items()], COMMIT)
+    numbers = F.broadcast(commit.select("day", "generation"))  # a row a day
+    write = _by_generation(out.join(numbers, "day")).option("parquet.block.size", ROW_GROUP_BYTES)
     for name in table.blooms:
         write = write.option(f"parquet.bloom.filter.enabled#{name}", "true")
-    following = f"day={day}/generation={generation + 1}"
-    write.parquet(f"{_merged(root, table.name)}/{following}")
-    row = spark.range(1).select(F.lit(found.last).cast("bigint").alias("upto")).coalesce(1)
-    row.write.mode("overwrite").parquet(f"{_commits(root, table.name)}/{following}")
-    return generation + 1
+    write.parquet(_merged(root, table.name))
+    _by_generation(commit.coalesce(1)).parquet(_commits(root, table.name))
+    return {day: generation for day, (generation, _) in following.items()}
+
+
+def _by_generation(rows: DataFrame) -> DataFrameWriter:
+    """A generation that failed is replaced as a whole, those of other days and numbers stay."""
+    return (
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .partitionBy("day", "generation")
+    )
 
 
 def retire(spark: SparkSession, root: str, table: MergedTable, schema: str, day: datetime.date) -> None:

@@ -36,13 +36,13 @@ def _names(spark, root):
 def test_last_write_of_each_key_over_generations(spark, tmp_path):
     root = str(tmp_path)
     assert _names(spark, root) == []
-    assert m.merge_day(spark, root, m.SPANS, jobs.STORE_SCHEMA, DAY) == -1
+    assert m.merge_days(spark, root, m.SPANS, jobs.STORE_SCHEMA) == {}
     _write_spans(spark, root, 0, [("a", "old", 1), ("b", "b", 1)])
     _write_spans(spark, root, 1, [("a", "new", 2), ("c", None, 1)])
     want = [("a", "new"), ("b", "b"), ("c", None)]
     assert sorted(_names(spark, root), key=str) == sorted(want, key=str)
-    assert m.merge_day(spark, root, m.SPANS, jobs.STORE_SCHEMA, DAY) == 0
-    assert m.merge_day(spark, root, m.SPANS, jobs.STORE_SCHEMA, DAY) == -1
+    assert m.merge_days(spark, root, m.SPANS, jobs.STORE_SCHEMA) == {DAY: 0}
+    assert m.merge_days(spark, root, m.SPANS, jobs.STORE_SCHEMA) == {}
     rows = m.read_merged(spark, root, m.SPANS, jobs.STORE_SCHEMA)
     assert "Exchange" not in rows._jdf.queryExecution().executedPlan().toString()
     assert _names(spark, root) == want
@@ -50,7 +50,7 @@ def test_last_write_of_each_key_over_generations(spark, tmp_path):
     _write_spans(spark, root, 2, [("b", "newer", 5), ("a", "stale", 0)])
     want[1] = ("b", "newer")
     assert _names(spark, root) == want
-    assert m.merge_day(spark, root, m.SPANS, jobs.STORE_SCHEMA, DAY) == 1
+    assert m.merge_days(spark, root, m.SPANS, jobs.STORE_SCHEMA) == {DAY: 1}
     assert _names(spark, root) == want
     m.retire(spark, root, m.SPANS, jobs.STORE_SCHEMA, DAY)
     assert _names(spark, root) == want
@@ -61,31 +61,31 @@ def test_last_write_of_each_key_over_generations(spark, tmp_path):
 def test_a_merge_that_ends_before_its_commit_changes_nothing(spark, tmp_path, monkeypatch):
     root = str(tmp_path)
     _write_spans(spark, root, 0, [("a", "one", 1)])
-    m.merge_day(spark, root, m.SPANS, jobs.STORE_SCHEMA, DAY)
+    m.merge_days(spark, root, m.SPANS, jobs.STORE_SCHEMA, [DAY])
     _write_spans(spark, root, 1, [("a", "two", 2), ("b", "b", 1)])
     with monkeypatch.context() as patch:
         patch.setattr(m, "_commits", lambda root, table: "file:/proc/no/such/folder" if _written(tmp_path) else f"{root}/{table}_merges")
         with pytest.raises(Exception):
-            m.merge_day(spark, root, m.SPANS, jobs.STORE_SCHEMA, DAY)
+            m.merge_days(spark, root, m.SPANS, jobs.STORE_SCHEMA, [DAY])
     assert _written(tmp_path)
     assert _names(spark, root) == [("a", "two"), ("b", "b")]
     # Files of the failed generation are replaced by the next run, which finds more.
     _write_spans(spark, root, 2, [("c", "c", 1)])
-    assert m.merge_day(spark, root, m.SPANS, jobs.STORE_SCHEMA, DAY) == 1
+    assert m.merge_days(spark, root, m.SPANS, jobs.STORE_SCHEMA) == {DAY: 1}
     assert _names(spark, root) == [("a", "two"), ("b", "b"), ("c", "c")]
 
 
 def _written(folder):
-    return (folder / "trace_merged" / f"day={DAY}" / "generation=1" / "_SUCCESS").exists()
+    return (folder / "trace_merged" / f"day={DAY}" / "generation=1").exists()
 
 
 def test_a_reader_from_before_the_commit_goes_on(spark, tmp_path):
     root = str(tmp_path)
     _write_spans(spark, root, 0, [("a", "one", 1)])
-    m.merge_day(spark, root, m.SPANS, jobs.STORE_SCHEMA, DAY)
+    m.merge_days(spark, root, m.SPANS, jobs.STORE_SCHEMA, [DAY])
     before = m.read_merged(spark, root, m.SPANS, jobs.STORE_SCHEMA)
     _write_spans(spark, root, 1, [("a", "two", 2)])
-    m.merge_day(spark, root, m.SPANS, jobs.STORE_SCHEMA, DAY)
+    m.merge_days(spark, root, m.SPANS, jobs.STORE_SCHEMA, [DAY])
     assert [r.name for r in before.collect()] == ["one"]
     assert _names(spark, root) == [("a", "two")]
 
@@ -94,7 +94,7 @@ def test_only_finished_batches_are_covered(spark, tmp_path):
     root = str(tmp_path)
     _write_spans(spark, root, 0, [("a", "one", 1)])
     _write_spans(spark, root, 1, [("a", "running", 2)])
-    m.merge_day(spark, root, m.SPANS, jobs.STORE_SCHEMA, DAY, upto=0)
+    m.merge_days(spark, root, m.SPANS, jobs.STORE_SCHEMA, [DAY], upto=0)
     _write_spans(spark, root, 1, [("a", "run again", 3)])
     assert _names(spark, root) == [("a", "run again")]
 
@@ -148,7 +148,7 @@ def test_a_lookup_reads_its_own_row_groups(spark, traces, monkeypatch):
 
     assert found()[1] == want
     monkeypatch.setattr(m, "ROW_GROUP_BYTES", 64 * 1024)
-    assert m.merge_day(spark, traces, m.TRACES, m.TRACES_SCHEMA, DAY, file_rows=20_000) == 0
+    assert m.merge_days(spark, traces, m.TRACES, m.TRACES_SCHEMA, [DAY], file_rows=20_000) == {DAY: 0}
     rows, got = found()
     assert got == want
     assert _scanned(rows) < 10_000  # of 86,401
@@ -166,7 +166,20 @@ def test_sums_of_a_key(spark, tmp_path):
         rows = [("m", "s", 86_400, "ip", total, times, "k"), ("m", "s", 86_400, f"ip{batch}", 1, 1, f"k{batch}")]
         t.write_batch(spark.createDataFrame(rows, ddl), root, t.ADDRESSES, batch, F.lit(DAY))
         if batch < 2:
-            m.merge_day(spark, root, m.ADDRESSES, m.ADDRESSES_SCHEMA, DAY)
+            m.merge_days(spark, root, m.ADDRESSES, m.ADDRESSES_SCHEMA, [DAY])
     got = m.read_merged(spark, root, m.ADDRESSES, m.ADDRESSES_SCHEMA).collect()
     assert sorted((r.rowkey, r.total_duration, r.times) for r in got) == [
         ("k", 16, 4), ("k0", 1, 1), ("k1", 1, 1), ("k2", 1, 1)]
+
+
+def test_days_go_their_own_ways(spark, tmp_path):
+    root = str(tmp_path)
+    other = DAY + datetime.timedelta(days=1)
+    _write_spans(spark, root, 0, [("a", "one", 1)])
+    t.write_batch(_spans(spark, [("z", "one", 1)]), root, t.RAW_SPANS, 0, F.lit(other))
+    assert m.merge_days(spark, root, m.SPANS, jobs.STORE_SCHEMA) == {DAY: 0, other: 0}
+    _write_spans(spark, root, 1, [("a", "two", 2)])
+    assert m.merge_days(spark, root, m.SPANS, jobs.STORE_SCHEMA) == {DAY: 1}
+    assert _names(spark, root) == [("a", "two"), ("z", "one")]
+    days = m.read_merged(spark, root, m.SPANS, jobs.STORE_SCHEMA, other, other)
+    assert [(r.rowkey, r.day) for r in days.collect()] == [("z", other)]
