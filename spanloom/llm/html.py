@@ -2,16 +2,19 @@
 
 A tree is built from the tags as browsers would: end tags that authors may leave out are implied,
 stray ones are ignored, and elements nested deeper than ``DEPTH`` join the element at that depth.
-Elements that are not displayed go, by kind, by the ``hidden`` attribute or by inline style. The
-rest is rendered: white space collapses outside ``pre``, blocks start lines and paragraphs keep a
+Elements that are not displayed go with all that they hold, at any depth: by kind, by the ``hidden``
+attribute or by inline style (content made visible again inside goes too). The rest is rendered: white space collapses outside ``pre``, blocks start lines and paragraphs keep a
 blank line around them, list items carry bullets or numbers and indents, and the cells of a table
-stand in aligned columns, each cell rendered on its own. All visible text is emitted; there is no
-filter for boilerplate.
+stand in aligned columns, each cell rendered on its own. A cell wider than ``CELL`` characters leaves
+the grid, as do columns that would start after ``GRID``: they push what follows, so a page of
+many rows is not blown up by one wide cell. A comment without an end reaches to the end of the page.
+All visible text is emitted; there is no filter for boilerplate.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
@@ -20,9 +23,12 @@ from pyspark.sql import DataFrame, functions as F
 
 from spanloom.llm.tables import slices, text_of, values
 
-#: Deepest element of a tree, and the widest table cell span that is honoured.
+#: Deepest element of a tree, and the most columns or rows that a cell takes up.
 DEPTH = 120
 SPAN = 100
+#: Widest cell that widens its column, and the last place where an aligned column starts.
+CELL = 100
+GRID = 1_000
 
 # Fixed values of the HTML standard.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -61,6 +67,8 @@ TABLE_PARTS = frozenset("table td th tr tbody thead tfoot".split())
 HEAD_ONLY = frozenset("title base link meta style script template noscript".split())
 
 _NOT_SHOWN = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse))", re.I)
+_COMMENT_END = re.compile(r"--!?>")
+_SHORT_COMMENT = re.compile(r"-?>")
 _BLANKS = re.compile(r"[ \t\n\r\f]+")
 
 
@@ -78,6 +86,29 @@ class TreeBuilder(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.root = Node("html", {})
         self.open = [self.root]
+        self.joined: Counter[str] = Counter()  # elements below DEPTH, which are not opened
+        # The element that is not displayed, if there is one, and what is open in it.
+        self.hidden: str | None = None
+        self.inside: Counter[str] = Counter()
+
+    def parse_comment(self, i, report=True):
+        end = _COMMENT_END.search(self.rawdata, i + 4)
+        short = _SHORT_COMMENT.match(self.rawdata, i + 4)
+        if short:
+            return short.end()
+        return end.end() if end else len(self.rawdata)
+
+    def _ends_hidden(self, tag: str) -> bool:
+        """Whether a start tag implies the end of the element that is not displayed."""
+        if tag in CLOSES_P and self.hidden == "p":
+            return not any(self.inside[x] for x in ("table", "td", "th", "button", "caption"))
+        kinds, scope = IMPLIED_END.get(tag, (frozenset(), frozenset()))
+        return self.hidden in kinds and not any(self.inside[x] for x in scope)
+
+    def _cut(self, at: int) -> None:
+        """End the open elements from this one on, and with them all below DEPTH."""
+        del self.open[at:]
+        self.joined.clear()
 
     def _close(self, kinds: frozenset, scope: frozenset) -> None:
         """End the outermost open element of ``kinds`` inside the nearest one of ``scope``."""
@@ -89,11 +120,16 @@ class TreeBuilder(HTMLParser):
             if tag in kinds:
                 end = i
         if end is not None:
-            del self.open[end:]
+            self._cut(end)
 
     def handle_starttag(self, tag, attributes):
         if tag == "html":
             return
+        if self.hidden:
+            if not self._ends_hidden(tag):
+                self.inside[tag] += tag not in VOID
+                return
+            self.hidden = None
         if self.open[-1].tag == "head" and tag not in HEAD_ONLY:
             self.open.pop()
         if tag in CLOSES_P:
@@ -109,9 +145,14 @@ class TreeBuilder(HTMLParser):
             self._push(node)
 
     def _push(self, node: Node) -> None:
+        if node.tag != "head" and not visible(node):
+            self.hidden, self.inside = node.tag, Counter()
+            return
         self.open[-1].children.append(node)
         if len(self.open) < DEPTH:
             self.open.append(node)
+        else:
+            self.joined[node.tag] += 1
 
     def handle_startendtag(self, tag, attributes):
         # A slash in a start tag means nothing, but for void elements, which have no end anyway.
@@ -120,6 +161,21 @@ class TreeBuilder(HTMLParser):
             self.handle_endtag(tag)
 
     def handle_endtag(self, tag):
+        if self.hidden:
+            if self.inside[tag]:
+                self.inside[tag] -= 1
+                return
+            if tag == self.hidden:
+                self.hidden = None
+                return
+            if not self.joined[tag] and all(node.tag != tag for node in self.open[1:]):
+                return
+            self.hidden = None
+        if self.joined[tag]:
+            self.joined[tag] -= 1
+            if tag in PARAGRAPHS or tag in LINES:
+                self.open[-1].children.append(Node("div", {}))  # what follows starts a line
+            return
         if tag == "br":
             self.open[-1].children.append(Node("br", {}))
             return
@@ -130,12 +186,14 @@ class TreeBuilder(HTMLParser):
             barrier = frozenset() if tag == "table" else frozenset({"table"})
         for i in range(len(self.open) - 1, 0, -1):
             if self.open[i].tag == tag:
-                del self.open[i:]
+                self._cut(i)
                 return
             if self.open[i].tag in barrier:
                 return
 
     def handle_data(self, data):
+        if self.hidden:
+            return
         if self.open[-1].tag == "head" and data.strip():
             self.open.pop()
         self.open[-1].children.append(data)
@@ -242,8 +300,8 @@ def _rows(node: Node) -> Iterator[Node]:
                 yield from _rows(child)
 
 
-def _span(node: Node) -> int:
-    value = node.attributes.get("colspan") or "1"
+def _span(node: Node, kind: str) -> int:
+    value = node.attributes.get(kind) or "1"
     return min(max(int(value), 1), SPAN) if re.fullmatch(r"\d{1,9}", value) else 1
 
 
@@ -264,15 +322,21 @@ def _table(node: Node, canvas: Canvas) -> None:
 
     outside(node)
     table, widths = [], {}
-    for row in _rows(node):
+    taken: dict[int, int] = {}  # column -> first row that a cell from above leaves free
+    for number, row in enumerate(_rows(node)):
         cells, column = [], 0
         for cell in row.children:
             if isinstance(cell, Node) and cell.tag in ("td", "th") and visible(cell):
                 own = Canvas()
                 _children(cell, own, False)
-                lines, span = own.text_lines(), _span(cell)
+                lines, span = own.text_lines(), _span(cell, "colspan")
+                while taken.get(column, 0) > number:
+                    column += 1
                 if span == 1:
-                    widths[column] = max([widths.get(column, 0), *map(len, lines)])
+                    widths[column] = max([widths.get(column, 0), *(n for n in map(len, lines) if n <= CELL)])
+                rows = _span(cell, "rowspan")
+                if rows > 1:
+                    taken.update((column + i, number + rows) for i in range(span))
                 cells.append((column, span, lines))
                 column += span
         table.append(cells)
@@ -281,7 +345,7 @@ def _table(node: Node, canvas: Canvas) -> None:
     for column in range(columns):
         starts[column] = at
         if widths.get(column):
-            at += widths[column] + 2
+            at = min(at + widths[column] + 2, GRID)
     for cells in table:
         for height in range(max((len(lines) for *_, lines in cells), default=0)):
             line = ""

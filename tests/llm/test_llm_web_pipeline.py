@@ -2,6 +2,8 @@ import gzip
 import hashlib
 import io
 import os
+import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -133,6 +135,71 @@ def test_deep_and_broken_pages_keep_their_text():
     assert html.render("<!-- c -->a<![CDATA[b]]><?php x ?>c").startswith("a")
 
 
+@pytest.mark.parametrize("depth", [3, 117, 118, 119, 120, 130, 3000])
+def test_hidden_content_stays_hidden_at_any_depth(depth):
+    deep = "<div>" * depth
+
+    def words(inner):
+        return html.render(deep + inner).split()
+
+    assert words("<p hidden>SECRET</p><script>var x=1;</script>") == []
+    assert words("<p hidden>S<b>T</b>S</p>seen") == ["seen"]
+    assert words("<p hidden>S<p>seen<p>too") == ["seen", "too"]
+    assert words("<div style='display:none'>S<div>S</div>S<br>S</div>seen") == ["seen"]
+    assert words("<div hidden>S</b></i>S</div><span>seen</span>") == ["seen"]
+    assert words("<ul><li hidden>S<ul><li>S</ul>S<li>seen</ul>") == [*["*"] * (depth < 118), "seen"]
+    assert words("<section><p hidden>S</section>seen") == ["seen"]
+    assert words("a<style>p{}</style>b</div>c") == (["ab", "c"])
+
+
+def test_cells_that_span_rows_move_the_next_rows():
+    page = "<table><tr><td rowspan=2>ab<td>c<tr><td>d<tr><td>e<td>f</table>"
+    assert html.render(page) == "ab  c\n    d\ne   f"
+    page = "<table><tr><td>a<td rowspan=2 colspan=2>b<td>c<tr><td>d<td>e</table>"
+    assert [line.split() for line in html.render(page).split("\n")] == [["a", "b", "c"], ["d", "e"]]
+    wide = "<table><tr><td rowspan=99999999 colspan=100>x" + "<tr><td>y" * 200 + "</table>"
+    assert html.render(wide).split() == ["x"] + ["y"] * 200
+
+
+def test_tables_against_a_plain_grid():
+    rng = random.Random(5)
+    for _ in range(200):
+        rows = [
+            [(f"c{rng.randrange(10 ** rng.randrange(1, 8))}", rng.choice([1, 1, 1, 2, 3])) for _ in range(rng.randrange(1, 5))]
+            for _ in range(rng.randrange(1, 6))
+        ]
+        page = "<table>" + "".join(
+            "<tr>" + "".join(f"<td rowspan={n}>{text}" for text, n in row) for row in rows) + "</table>"
+        grid = {}
+        for y, row in enumerate(rows):
+            x = 0
+            for text, n in row:
+                while (y, x) in grid:
+                    x += 1
+                grid.update({(y + i, x): text if i == 0 else "" for i in range(n)})
+                x += 1
+        width = max(x for _, x in grid) + 1
+        widths = [max(len(grid.get((y, x), "")) for y in range(len(rows))) for x in range(width)]
+        want = []
+        for y in range(len(rows)):
+            cells = (grid.get((y, x), "").ljust(widths[x] + 2 if widths[x] else 0) for x in range(width))
+            want.append("".join(cells).rstrip())
+        assert html.render(page) == "\n".join(want).strip("\n")
+
+
+def test_wide_cells_and_open_comments_stay_small():
+    page = "<table><tr><td>" + "x" * 20_000 + "<td>y" + "<tr><td>a<td>b" * 2000 + "</table>"
+    lines = html.render(page).split("\n")
+    assert lines[0] == "x" * 20_000 + "  y" and set(lines[1:]) == {"a  b"}
+    many = "<table><tr>" + "<td>0123456789" * 2000 + "<tr><td colspan=100>" * 1 + "<td>z" * 20 + "</table>"
+    assert len(html.render(many)) < 30_000
+    start = time.time()
+    assert html.render("seen" + "<!--" * 200_000) == "seen"
+    assert html.render("<!-- a > b -->seen<!-->too<!--x--!>end<!-- cut") == "seentooend"
+    assert html.render("<script><!-- x </script>seen") == "seen"
+    assert time.time() - start < 20
+
+
 def test_pages_table(spark):
     rows = [(1, "u", "<p>a<p>b"), (1, "u", "<p>a<p>b"), (2, None, None), (None, "u", ""), (3, "u", "x" * 200_000)]
     pages = spark.createDataFrame([(*r, "t") for r in rows], "page_id bigint, url string, html string, text string")
