@@ -1,11 +1,12 @@
 """Substring dedup by hashing lines and sentences over the whole corpus.
 
-Units of a text are its lines (split at ``\\n``) of at least ``LINE_WORDS`` words and, in lines
-of several sentences, the sentences of at least ``SENTENCE_WORDS`` words, so that a passage put
-into a longer line is found too. A unit is normalised (lower case, white space collapsed) and
+Units of a text are its lines (split at ``\\n``) of at least ``LINE_WORDS`` words and, from the start
+of every sentence, the shortest run of sentences with at least ``SENTENCE_WORDS`` words, on one line
+or over several, so that a passage put into a longer line is found too, and one of short
+sentences or short lines as well. A unit is normalised (lower case, white space collapsed) and
 stands for a 128-bit digest. Of all units with one digest the earliest stays, by doc_id (null
-last), text digest and place; the others are removed. Spans keep the offsets of the original
-text, in characters.
+last), text digest and place; the others are removed, but for what lies in that earliest one.
+Spans keep the offsets of the original text, in characters; those that overlap are one.
 
 Only digests and places are grouped over the corpus, with minima combined on the map side; texts
 move once, to meet the spans that are cut out of them.
@@ -32,26 +33,43 @@ SPANS = "array<struct<start:bigint,end:bigint>>"
 _UNIT = "doc_id bigint, text_key bigint, start bigint, end bigint, digest binary"
 
 
-def _digest(unit: str, least: int) -> bytes | None:
-    """Digest of the normalised unit, None if it has too few words."""
-    words = unit.lower().encode().split()
-    return xxhash.xxh3_128_digest(b" ".join(words)) if len(words) >= least else None
+def _words(unit: str) -> list[bytes]:
+    return unit.lower().encode().split()
+
+
+def _digest(words: list[bytes]) -> bytes:
+    return xxhash.xxh3_128_digest(b" ".join(words))
 
 
 def units(
     text: str, line_words: int = LINE_WORDS, sentence_words: int = SENTENCE_WORDS
 ) -> Iterator[tuple[int, int, bytes]]:
-    """(start, end, digest) of the units of a text; a line ends after its line break."""
+    """(start, end, digest) of the units of a text; a line ends after its line break, a run before it.
+
+    The only sentence of a line that is a unit is not given again.
+    """
+    # Runs that are still short: (start, words so far), as many as have words under the least number.
+    waiting: list[tuple[int, list[bytes]]] = []
     start = 0
     for line in text.split("\n"):
         end = min(start + len(line) + 1, len(text))
-        if digest := _digest(line, line_words):
-            yield start, end, digest
-        spans = [m.span() for m in SENTENCE.finditer(line)]
-        if len(spans) > 1:
-            for a, b in spans:
-                if digest := _digest(line[a:b], sentence_words):
-                    yield start + a, start + b, digest
+        words = _words(line)
+        if whole := len(words) >= line_words:
+            yield start, end, _digest(words)
+        for piece in SENTENCE.finditer(line) if words else ():
+            own = _words(piece.group())
+            if not own:
+                continue
+            alone = whole and len(own) == len(words)
+            waiting.append((start + piece.start(), []))
+            kept = []
+            for first, so_far in waiting:
+                so_far += own
+                if len(so_far) < sentence_words:
+                    kept.append((first, so_far))
+                elif not (alone and first == start + piece.start()):
+                    yield first, start + piece.end(), _digest(so_far)
+            waiting = kept
         start = end
 
 
@@ -85,24 +103,31 @@ def repeated_spans(
         "text_key", "start",
     )
     earliest = stage(
-        found.groupBy("digest").agg(F.min(rank).alias("_first"), F.count("*").alias("_n"))
+        found.groupBy("digest").agg(F.min(F.struct(rank.alias("rank"), "end")).alias("_first"), F.count("*").alias("_n"))
         .where("_n > 1").select(F.col("digest").alias("_digest"), "_first"),
         "repeated-units",
     )
-    later = found.join(earliest, F.col("digest") == F.col("_digest")).where(rank > F.col("_first"))
+    first = F.col("_first.rank")
+    same_text = (
+        (rank["last"] == first["last"]) & (rank["id"] == first["id"]) & (F.col("text_key") == first["text_key"])
+    )
+    begin = F.when(same_text, F.greatest("start", "_first.end")).otherwise(F.col("start"))
+    later = found.join(earliest, F.col("digest") == F.col("_digest")).where(rank > first)
+    later = later.select("doc_id", "text_key", begin.alias("start"), "end").where(F.col("start") < F.col("end"))
     return later.groupBy("doc_id", "text_key").agg(
         F.sort_array(F.collect_set(F.struct("start", "end"))).alias("spans")
     )
 
 
-def _outer(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
-    """The spans that lie in no other; given and returned by start."""
-    kept, reached = [], 0
-    for start, end in sorted(spans, key=lambda s: (s[0], -s[1])):
-        if end > reached:
-            kept.append((start, end))
-            reached = end
-    return kept
+def _joined(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The spans by start, those that overlap as one."""
+    out: list[tuple[int, int]] = []
+    for start, end in sorted(spans):
+        if out and start < out[-1][1]:
+            out[-1] = (out[-1][0], max(end, out[-1][1]))
+        else:
+            out.append((start, end))
+    return out
 
 
 def remove_repeats(
@@ -141,7 +166,7 @@ def remove_repeats(
         for batch in slices(batches):
             texts, removed = [], []
             for text, found in zip(values(batch.column(0)), values(batch.column(1))):
-                outer = _outer([(s["start"], s["end"]) for s in found]) if found else []
+                outer = _joined([(s["start"], s["end"]) for s in found]) if found else []
                 if outer:
                     edges = [0, *(x for span in outer for x in span), len(text)]
                     text = "".join(text[a:b] for a, b in zip(edges[::2], edges[1::2]))
@@ -192,34 +217,50 @@ with l as (
   from documents where text <> ''),
 lo as (select *, coalesce(sum(length(line) + 1) over (partition by doc_id order by n
                   rows between unbounded preceding and 1 preceding), 0)::bigint as start from l),
-s as (select doc_id, n, start as line_start, unnest(parts) as part, generate_subscripts(parts, 1) as k, len(parts) as many
+s as (select doc_id, n, start as line_start, unnest(parts) as part, generate_subscripts(parts, 1) as k
       from (select *, regexp_extract_all(line, '[^.!?]+[.!?]*|[.!?]+') as parts from lo)),
 so as (select *, (line_start + coalesce(sum(length(part)) over (partition by doc_id, n order by k
-                  rows between unbounded preceding and 1 preceding), 0))::bigint as start from s),
+                  rows between unbounded preceding and 1 preceding), 0))::bigint as start,
+              regexp_extract_all(lower(part), '[^\x20\x09-\x0D]+') as words from s),
+p as (select doc_id, n, start, start + length(part) as stop, words,
+             count(*) over (partition by doc_id, n) as on_line,
+             sum(len(words)) over (partition by doc_id order by n, k) as upto
+      from so where len(words) > 0),
+w as (select doc_id, flatten(list(words order by upto)) as all_words from p group by doc_id),
+runs as (
+  select a.doc_id, a.start, b.stop, a.upto - len(a.words) as before, b.upto
+  from (select *, upto - len(words) + 8 as target from p) a
+  asof join p b on a.doc_id = b.doc_id and a.target <= b.upto
+  where not (a.on_line = 1 and a.upto = b.upto)),
 u as (
-  select doc_id, n, 0 as k, start, least(start + length(line) + 1, length(text))::bigint as stop,
+  select doc_id, start, least(start + length(line) + 1, length(text))::bigint as stop,
          regexp_extract_all(lower(line), '[^\x20\x09-\x0D]+') as words, 4 as least_words from lo
   union all
-  select doc_id, n, k, start, start + length(part), regexp_extract_all(lower(part), '[^\x20\x09-\x0D]+'), 8
-  from so where many > 1),
-r as (select *, row_number() over (partition by array_to_string(words, ' ') order by doc_id, start, k) as occurrence
-      from u where len(words) >= least_words),
-g as (select doc_id, n, k, start, stop from r where occurrence > 1),
-gone as (select * from g a where k = 0 or not exists (
-           select 1 from g b where b.doc_id = a.doc_id and b.n = a.n and b.k = 0)),
+  select doc_id, start, stop, list_slice(all_words, before::bigint + 1, upto::bigint), 8 from runs join w using (doc_id)),
+f as (select *, first_value(doc_id) over digest as first_doc, first_value(start) over digest as first_start,
+             first_value(stop) over digest as first_stop
+      from (select doc_id, start, stop, array_to_string(words, ' ') as unit from u where len(words) >= least_words)
+      window digest as (partition by unit order by doc_id, start, stop)),
+g as (select doc_id, case when doc_id = first_doc then greatest(start, first_stop) else start end as start, stop
+      from f where doc_id > first_doc or start > first_start),
+h as (select *, max(stop) over (partition by doc_id order by start, stop
+                rows between unbounded preceding and 1 preceding) as reached
+      from (select distinct * from g where start < stop)),
+i as (select *, count(*) filter (where reached is null or start >= reached)
+                over (partition by doc_id order by start, stop rows unbounded preceding) as part from h),
+gone as (select doc_id, min(start) as start, max(stop) as stop from i group by doc_id, part),
 spans as (select doc_id, count(*) as n_removed, sum(stop - start)::bigint as removed_chars,
                  string_agg(start || '-' || stop, ',' order by start) as removed_spans
           from gone group by doc_id),
-atoms as (select so.doc_id, so.n, so.k, so.part, false as is_break from so
-          union all
-          select lo.doc_id, lo.n, 1000000000, chr(10), true from lo
-          where lo.start + length(lo.line) < length(lo.text)),
+kept as (
+  select doc_id, coalesce(lag(stop) over (partition by doc_id order by start), 0) as start, start as stop from gone
+  union all
+  select doc_id, max(stop), null from gone group by doc_id),
 left_over as (
-  select a.doc_id, string_agg(a.part, '' order by a.n, a.k) as text from atoms a
-  where not exists (select 1 from gone g where g.doc_id = a.doc_id and g.n = a.n
-                    and (g.k = 0 or g.k = a.k))
-  group by a.doc_id)
-select d.doc_id, case when d.text is null then null else coalesce(x.text, '') end as text,
+  select doc_id, string_agg(substring(text, start::bigint + 1, (coalesce(stop, length(text)) - start)::bigint), ''
+                            order by start) as text
+  from kept join documents using (doc_id) group by doc_id)
+select d.doc_id, case when s.doc_id is null then d.text else x.text end as text,
        coalesce(s.n_removed, 0)::bigint as n_removed, coalesce(s.removed_chars, 0)::bigint as removed_chars,
        coalesce(s.removed_spans, '') as removed_spans
 from documents d left join spans s using (doc_id) left join left_over x using (doc_id)

@@ -291,29 +291,84 @@ def test_tables_grow_slowly_with_the_vectors():
 
 
 def plain_cut(rows):
-    """Removed spans by (doc_id, text), with every occurrence ranked."""
+    """Places removed by (doc_id, text), with every occurrence ranked."""
     places = {}
     for doc_id, text in set(rows):
         for start, end, digest in lines.units(text or ""):
             places.setdefault(digest, set()).add((doc_id is None, doc_id or 0, text, start, end))
     gone = {}
     for found in places.values():
-        for _, doc_id, text, start, end in sorted(found)[1:]:
-            gone.setdefault(text, []).append((start, end))
+        (*first, at, until), *later = sorted(found)
+        for *document, start, end in later:
+            if document == first and start == at:
+                continue
+            low = max(start, until) if document == first else start
+            gone.setdefault(tuple(document[1:]), set()).update(range(low, end))
     return gone
 
 
+def plain_units(text, least=8, line_words=4):
+    """Lines, and the shortest run from every sentence, by their words."""
+    found, pieces, start = set(), [], 0
+    for line in text.split("\n"):
+        end = min(start + len(line) + 1, len(text))
+        if len(line.split()) >= line_words:
+            found.add((start, end))
+        own = [m for m in lines.SENTENCE.finditer(line) if m.group().split()]
+        pieces += [(start + m.start(), start + m.end(), len(m.group().split()), len(own)) for m in own]
+        start = end
+    for i, (start, _, _, alone) in enumerate(pieces):
+        for j in range(i, len(pieces)):
+            if sum(p[2] for p in pieces[i:j + 1]) >= least:
+                if i != j or alone > 1:
+                    found.add((start, pieces[j][1]))
+                break
+    return found
+
+
+def test_units_against_every_run():
+    rng = random.Random(3)
+    for _ in range(300):
+        text = "".join(rng.choice(["a ", "b ", "word ", "c. ", "d! ", "... ", "\n", "e\n", " "]) for _ in range(rng.randrange(60)))
+        found = [(a, b) for a, b, _ in lines.units(text)]
+        assert set(found) == plain_units(text), text
+
+
+def test_a_repeated_passage_of_short_sentences_goes(spark):
+    short = " ".join(f"This is short sentence number w{i}." for i in range(12))
+    short_lines = "\n".join(f"item w{i}!" for i in range(12))
+    dull = "No it is not. " * 12
+    rows = [
+        (1, f"One begins in its own manner and goes on {short} It then ends."),
+        (2, f"Two has other words. So it is. {short} Two ends otherwise."),
+        (3, f"Three\n{short_lines}\nends"), (4, f"Four\n{short_lines}\nstops"),
+        (5, dull), (6, "Six says nothing that others say. Not a word of it."),
+    ]
+    docs = spark.createDataFrame(rows, DOCS)
+    out = {r.doc_id: r for r in lines.remove_repeats(docs).collect()}
+    # The first sentence begins inside another one in the first document, so the run from it differs.
+    assert len(out[2].text) < 120 and out[2].text.startswith("Two has other words. So it is.")
+    assert out[2].text.endswith(" Two ends otherwise.")
+    assert out[4].text.split() == ["Four", "stops"] and out[1].text == rows[0][1] and out[3].text == rows[2][1]
+    assert out[5].text == dull[:27] + " " * out[5].text[27:].count(" ") and out[6].n_units == 0
+    gone = plain_cut([(r[0], r[1]) for r in rows])
+    for r in out.values():
+        places = {i for s in r.removed for i in range(s.start, s.end)}
+        assert places == gone.get((r.doc_id, dict(rows)[r.doc_id]), set())
+
+
 def test_units_cover_lines_and_sentences():
     text = "One two three four.\nshort\nFirst sentence has quite a few words in it. And the second one has even more words in it!"
     found = [text[a:b] for a, b, _ in lines.units(text)]
-    assert found == [
-        "One two three four.\n",
-        "First sentence has quite a few words in it. And the second one has even more words in it!",
-        "First sentence has quite a few words in it.",
+    first, second, third = text.split("\n")
+    assert sorted(found) == sorted([
+        f"{first}\n", third, "First sentence has quite a few words in it.",
         " And the second one has even more words in it!",
-    ]
+        f"{first}\n{second}\nFirst sentence has quite a few words in it.",
+        f"{second}\nFirst sentence has quite a few words in it.",
+    ])
     same = {d for _, _, d in lines.units("ONE  two\tthree four.")}
-    assert same == {d for a, _, d in lines.units(text) if a == 0}
+    assert same == {d for a, b, d in lines.units(text) if text[a:b] == f"{first}\n"}
 
 
 def test_repeats_are_cut_and_first_occurrences_stay(spark):
