@@ -30,14 +30,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, functions as F
 
 from spanloom.llm.tables import slices, text_of, values, worker_state
+from spanloom.staging import stage
 
 TOKENIZER = "byte_bpe_50k.json"
 #: Entries of the broadcast table, candidates for it per task, and the longest piece in it.
 FREQUENT = 65_536
 CANDIDATES = 16_384
 PIECE_CHARS = 48
-#: Tasks that choose the most frequent pieces from the candidates of all.
-TOP_TASKS = 8
 #: Pieces that a task counts before it forgets the rarer ones.
 COUNTED = 200_000
 #: Entries of a generation of a worker's cache, which has two; of one for ids, where a piece is
@@ -246,16 +245,32 @@ def _count_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     )
 
 
+def frequent_pieces(counts: DataFrame, most: int = FREQUENT) -> list[str]:
+    """The pieces of (piece, n) from some frequency on, as many as ``most`` allows.
+
+    The frequency is read off the numbers of pieces in sixteenths of an octave, of which there are
+    about a thousand, so neither a task nor the driver sees more than ``most`` pieces.
+    """
+    step = F.floor(F.log2("n") * 16).alias("step")
+    counts = stage(counts.select("piece", step), "piece-counts")
+    sizes = dict(counts.groupBy("step").count().collect())
+    least, total = None, 0
+    for at in sorted(sizes, reverse=True):
+        total += sizes[at]
+        if total > most:
+            break
+        least = at
+    if least is None:
+        return []
+    return [r.piece for r in counts.where(F.col("step") >= least).select("piece").collect()]
+
+
 def frequent_lengths(docs: DataFrame, tokenizer: str = TOKENIZER) -> dict[str, int]:
     """Tier 1: token counts of the most frequent pieces of all texts."""
-    rows = (
-        docs.select("text").mapInArrow(_count_pieces, "piece string, n bigint")
-        .groupBy("piece").agg(F.sum("n").alias("n"))
-        # Each of these few tasks sends its best to the driver, however large the corpus is.
-        .coalesce(TOP_TASKS).orderBy(F.desc("n"), "piece").limit(FREQUENT).collect()
-    )
+    counts = docs.select("text").mapInArrow(_count_pieces, "piece string, n bigint")
+    found = frequent_pieces(counts.groupBy("piece").agg(F.sum("n").alias("n")))
     pieces = length_pieces(tokenizer, {})
-    return {row.piece: pieces[row.piece] for row in rows}
+    return {piece: pieces[piece] for piece in found}
 
 
 def count_tokens(

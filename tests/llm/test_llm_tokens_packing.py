@@ -180,3 +180,13 @@ def test_plan_is_the_cheapest(seed):
         padding(b - a) + penalty[place[b]] + packing.PER_SEQUENCE for a, b in zip(plan, plan[1:])
     )
     assert plan[0] == at[0] and plan[-1] == at[-1] and cost == pytest.approx(best[-1])
+
+
+def test_frequent_pieces_are_those_from_some_frequency_on(spark):
+    rows = [(f"p{i}", n) for i, n in enumerate([900, 500, 500, 40, 8, 8, 8, 2, 1, 1, 1, 1])] + [("q", 10**12)]
+    counts = spark.createDataFrame(rows, "piece string, n bigint")
+    for most, want in [(0, 0), (1, 1), (2, 2), (3, 2), (4, 4), (5, 5), (7, 5), (8, 8), (12, 9), (13, 13), (99, 13)]:
+        got = tokens.frequent_pieces(counts, most)
+        assert sorted(got) == sorted(p for p, _ in sorted(rows, key=lambda r: -r[1])[:want])
+    assert tokens.frequent_pieces(counts.limit(0)) == []
+    assert tokens.frequent_pieces(counts.where("n = 1"), 3) == []
