@@ -15,7 +15,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
@@ -56,13 +56,10 @@ class Forest:
     wide_steps: DataFrame | None = None
     extra: tuple[str, ...] = ()
 
-    def persist(self) -> "Forest":
-        """Keep the trees of the ordinary traces for several outputs; the others are written."""
-        self.inline.persist()
-        return self
-
-    def unpersist(self) -> None:
-        self.inline.unpersist()
+    def staged(self) -> "Forest":
+        """The trees of the ordinary traces written for several outputs, as the others are: each reads
+        the columns that it needs, and the number of files follows the bytes."""
+        return replace(self, inline=stage(self.inline, "forest"))
 
     def summary(self) -> DataFrame:
         """One row per trace with its measures."""

@@ -24,7 +24,7 @@ def forest_of(spans: DataFrame, extra: tuple[str, ...] = ()) -> Forest:
 
 def write_trace_tables(forest: Forest, root: str, batch_id: int, now_sec: int) -> None:
     """Chain statistics, failed traces, all traces and address latency of one batch."""
-    forest.persist()
+    forest = forest.staged()
     start = t.day_of_seconds(F.col("starttime"))
     minute = t.day_of_seconds(F.col("minute_start"))
     chains = stats.chain_table(forest, "minute_start").withColumn("now", F.lit(now_sec))
@@ -41,7 +41,6 @@ def write_trace_tables(forest: Forest, root: str, batch_id: int, now_sec: int) -
         "rowkey", F.concat_ws(":", "trace_md5", "span_name", "minute_start", "ip")
     )
     t.write_batch(addresses, root, t.ADDRESSES, batch_id, minute)
-    forest.unpersist()
 
 
 def write_page_tables(spans: DataFrame, root: str, batch_id: int, now_ms: int) -> None:

@@ -33,8 +33,14 @@ def write_batch(
     df: DataFrame, root: str, table: str, batch_id: int, day: Column | None = None,
     by: tuple[str, ...] = (),
 ) -> None:
+    """Write a batch's rows, by ``day`` if given: a day's rows meet before they are written.
+
+    Otherwise every task would open a file for each day. Adaptive execution splits a large day and puts
+    small ones together, so the number of files follows the bytes and not tasks times days.
+    """
     if day is not None:
         df, by = df.withColumn("day", day), (*by, "day")
+        df = df.hint("rebalance", *(F.col(c) for c in by))
     (
         df.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")

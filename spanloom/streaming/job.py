@@ -13,7 +13,8 @@ batches coming, so that waiting traces are released without new input.
 from __future__ import annotations
 
 import time
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -133,6 +134,23 @@ def newest_receive(spans: DataFrame) -> int | None:
     return spans.agg(F.max("receive")).first()[0]
 
 
+ADAPTIVE = "spark.sql.adaptive.enabled"
+
+
+@contextmanager
+def adaptive(spark: SparkSession) -> Iterator[None]:
+    """Jobs inside have adaptive execution, which Spark turns off in the session of a stream.
+
+    The stream itself keeps no state in operators, so its batches need no fixed number of partitions.
+    """
+    before = spark.conf.get(ADAPTIVE)
+    spark.conf.set(ADAPTIVE, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(ADAPTIVE, before)
+
+
 @dataclass(frozen=True)
 class TraceStream:
     """Settings of the stream; ``start`` runs it."""
@@ -154,6 +172,10 @@ class TraceStream:
         return spark.read.schema("as_of bigint").parquet(path).first().as_of
 
     def process(self, payloads: DataFrame, batch_id: int) -> None:
+        with adaptive(payloads.sparkSession):
+            self._process(payloads, batch_id)
+
+    def _process(self, payloads: DataFrame, batch_id: int) -> None:
         if TICK in payloads.columns:
             payloads = payloads.where(~F.col(TICK)).drop(TICK)
         decoded = decode(payloads).withColumn(
