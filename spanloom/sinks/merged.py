@@ -22,8 +22,9 @@ from spanloom.operators import spans as span_ops
 from spanloom.sinks import tables as t
 from spanloom.staging import remove
 
-#: Rows of one file: a few row groups, so that statistics and bloom filters leave most of them out.
-FILE_ROWS = 4_000_000
+#: Rows of one file, which one task sorts: spans with their tags take about 1 KB each while it does. A
+#: file has a row group or a few, so that statistics and bloom filters leave most of them out.
+FILE_ROWS = 500_000
 ROW_GROUP_BYTES = 16 * 1024 * 1024
 
 COMMIT = "day date, generation bigint, upto bigint"

@@ -183,3 +183,19 @@ def test_days_go_their_own_ways(spark, tmp_path):
     assert _names(spark, root) == [("a", "two"), ("z", "one")]
     days = m.read_merged(spark, root, m.SPANS, jobs.STORE_SCHEMA, other, other)
     assert [(r.rowkey, r.day) for r in days.collect()] == [("z", other)]
+
+
+def test_a_task_sorts_a_bounded_share_of_a_day(spark, tmp_path):
+    root = str(tmp_path)
+    ddl = m.ADDRESSES_SCHEMA.split(", day")[0]
+    n = F.col("id")
+    known = {"minute_start": n, "total_duration": n, "times": F.lit(1), "rowkey": n, "trace_md5": F.lit("m")}
+    rows = spark.range(1_100_000).select(*[
+        known.get(name, F.lit("x")).cast(kind).alias(name) for name, kind in (c.split() for c in ddl.split(", "))
+    ])
+    t.write_batch(rows, root, t.ADDRESSES, 0, F.lit(DAY))
+    m.merge_days(spark, root, m.ADDRESSES, m.ADDRESSES_SCHEMA, [DAY])
+    files = list((tmp_path / "span_ip_merged" / f"day={DAY}").rglob("*.parquet"))
+    assert len(files) == 3
+    got = m.read_merged(spark, root, m.ADDRESSES, m.ADDRESSES_SCHEMA).agg(F.count("*"), F.sum("times")).first()
+    assert tuple(got) == (1_100_000, 1_100_000)
