@@ -5,11 +5,11 @@ points to the next one of its tour, so each has one successor and one predecesso
 the joins below is hot, whatever the shape of a tree. The number of entries from an element to the
 end of its tour gives the place of a node, entries less exits give its level.
 
-Lists are ranked by pointer doubling, in two steps. Each run of ``2 * RUN_NODES`` neighbouring
+Lists are ranked in two steps. Each run of ``2 * RUN_NODES`` neighbouring
 elements is followed inside one task, as arrays, to the first element outside. Only elements that such
 a jump lands on remain; they are few if parents and children have near ranks, and none if a tree fits
-a run. If those of a tree fit one task they are ranked there; else the jumps are doubled by
-joins, so many rounds as the logarithm of their number. What does not reach the end, for it hangs on a
+a run. If those of a tree fit one task they are ranked there; else neighbours are joined, which
+leaves fewer of them each round, or a few jumps are doubled: so many rounds as the logarithm of their number. What does not reach the end, for it hangs on a
 span outside the tree or lies on a cycle, has no place.
 """
 
@@ -22,12 +22,14 @@ import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from spanloom.staging import stage
 
 #: Nodes of a tree that a task follows at a time.
 RUN_NODES = 131_072
+#: Elements that are moved by every round of doubling, at most.
+DOUBLED = 1_000_000
 #: Where a list ends: at the end of the tour, and anywhere else.
 END, LOST = -1, -2
 
@@ -74,29 +76,91 @@ def _follow_group(key, rows):
 
 
 def _rank_lists(jumps: DataFrame, run: int) -> DataFrame:
-    """``jumps`` (tree, element, target, entries, depth) with every target at an end."""
+    """``jumps`` (tree, element, target, entries, depth) with every target at an end.
+
+    If there are few elements in all, jumps are doubled, in fewer jobs. Else lists too long for a task lose
+    about a quarter of their elements a round, until they fit one; then what was left out is placed,
+    last round first. All rounds together move a few times the elements, where doubling moves all of
+    them in every round.
+    """
     largest = jumps.groupBy("tree").agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
     if largest <= run:
         return stage(jumps.groupBy("tree").applyInPandas(_follow_group, _JUMP), "ranked-lists")
-    after = lambda df: df.select(
-        "tree", F.col("element").alias("target"), F.col("target").alias("_target"),
-        F.col("entries").alias("_entries"), F.col("depth").alias("_depth"),
+    if jumps.count() <= DOUBLED:
+        return _double(jumps, int(largest - 1).bit_length() + 1)
+    removed = []
+    while _most_under_way(jumps) > run // 2:
+        both = stage(_halve(jumps, len(removed)), "list-jumps")
+        jumps = both.where("not gone").drop("gone")
+        removed.append(both.where("gone").drop("gone"))
+    # What still has a way to go meets the ends that are known, and fits a task then.
+    ended = jumps.where("target < 0")
+    rest = _onward(jumps.where("target >= 0"), ended, F.col("target"))
+    ranked = ended.unionByName(
+        stage(rest.groupBy("tree").applyInPandas(_follow_group, _JUMP), "ranked-lists")
     )
-    for _ in range(int(largest - 1).bit_length() + 1):
-        joined = jumps.join(after(jumps), ["tree", "target"], "left")
-        jumps = stage(joined.select(
-            "tree", "element",
-            F.when(F.col("target") < 0, F.col("target")).otherwise(
-                F.coalesce("_target", F.lit(LOST))
-            ).alias("target"),
-            (F.col("entries") + F.coalesce("_entries", F.lit(0))).alias("entries"),
-            (F.col("depth") + F.coalesce("_depth", F.lit(0))).alias("depth"),
-        ), "list-jumps")
+    for gone in reversed(removed):
+        found = _onward(gone.where("target >= 0"), ranked, F.lit(LOST)).unionByName(gone.where("target < 0"))
+        ranked = ranked.unionByName(stage(found, "ranked-lists"))
+    return ranked
+
+
+def _most_under_way(jumps: DataFrame) -> int:
+    """The most elements of a tree that have not reached an end."""
+    counts = jumps.where("target >= 0").groupBy("tree").agg(F.count("*").alias("n"))
+    return counts.agg(F.max("n")).first()[0] or 0
+
+
+def _double(jumps: DataFrame, rounds: int) -> DataFrame:
+    for _ in range(rounds):
+        far = F.when(F.col("target") < 0, F.col("target")).otherwise(F.lit(LOST))
+        jumps = stage(_onward(jumps, jumps, far), "list-jumps")
         if jumps.where("target >= 0").isEmpty():
             break
     return jumps
 
 
+def _onward(jumps: DataFrame, known: DataFrame, otherwise: Column) -> DataFrame:
+    """``jumps`` with those of the known elements that they land on added."""
+    following = known.select(
+        "tree", F.col("element").alias("target"), F.col("target").alias("_target"),
+        F.col("entries").alias("_entries"), F.col("depth").alias("_depth"),
+    )
+    return jumps.join(following, ["tree", "target"], "left").select(
+        "tree", "element", F.coalesce("_target", otherwise).alias("target"),
+        (F.col("entries") + F.coalesce("_entries", F.lit(0))).alias("entries"),
+        (F.col("depth") + F.coalesce("_depth", F.lit(0))).alias("depth"),
+    )
+
+
+def _halve(jumps: DataFrame, number: int) -> DataFrame:
+    """One round of ``_rank_lists``: ``jumps`` with ``gone``, true for the elements left out from here on.
+
+    A coin is tossed for every element, by hash. One of heads that lands on one of tails takes its jump
+    over, and the one of tails goes. No two neighbours go in a round, so what an element that went
+    lands on is there after it.
+    """
+    heads = lambda c: F.xxhash64("tree", c, F.lit(number)) % 2 == 0
+    takes = heads("element") & (F.col("target") >= 0) & ~heads("target")
+    before = jumps.where(takes).select(
+        "tree", F.col("target").alias("element"), F.col("element").alias("_element"),
+        F.col("entries").alias("_entries"), F.col("depth").alias("_depth"),
+    )
+    met = jumps.where(~heads("element")).join(before, ["tree", "element"], "left")
+    as_is = F.struct("element", "target", "entries", "depth", F.col("_element").isNotNull().alias("gone"))
+    taken = F.struct(
+        F.col("_element").alias("element"),
+        # The last of a cycle.
+        F.when(F.col("target") == F.col("_element"), LOST).otherwise(F.col("target")).cast("bigint").alias("target"),
+        (F.col("entries") + F.col("_entries")).alias("entries"),
+        (F.col("depth") + F.col("_depth")).alias("depth"), F.lit(False).alias("gone"),
+    )
+    rows = F.when(F.col("_element").isNull(), F.array(as_is)).otherwise(F.array(as_is, taken))
+    return met.select("tree", F.inline(rows)).unionByName(
+        jumps.where(~takes & heads("element")).withColumn("gone", F.lit(False))
+    )
+
+
 _EDGES = "tree string, parent bigint, rank bigint, _parent bigint, _rank bigint"
 _PLACED = _EDGES + ", part int, kind string"
 

@@ -302,3 +302,34 @@ def test_sized_join_splits_the_giants(spark, monkeypatch):
         monkeypatch.setattr(skew, "BROADCAST_KEYS", keys)
         for key in ("key", ["key"]):
             assert sorted(map(str, skew.join_sized(rows, groups, key, "n").collect())) == wanted
+
+
+def test_long_lists_move_a_few_times_in_all(spark, monkeypatch):
+    """A binary tree numbered by levels, whose tour leaves every run at once: rounds do not each move it all."""
+    monkeypatch.setattr(preorder, "DOUBLED", 0, raising=False)
+    moved = []
+
+    def counting(df, name):
+        rows = stage(df, name)
+        if name in ("list-jumps", "ranked-lists"):
+            moved.append(rows.count())
+        return rows
+
+    monkeypatch.setattr(preorder, "stage", counting)
+    n = 6_000
+    nodes = spark.range(1, n + 1).selectExpr("'t' as tree", "id as rank", "id = 1 as is_root")
+    edges = spark.range(2, n + 1).selectExpr("'t' as tree", "id div 2 as parent", "id as rank")
+    got = preorder.preorder(nodes, edges, 64).orderBy("pos").collect()
+    want, stack = [], [(1, 0)]
+    while stack:
+        rank, level = stack.pop()
+        want.append((rank, level))
+        stack += [(c, level + 1) for c in (2 * rank + 1, 2 * rank) if c <= n]
+    assert [(r.rank, r.level) for r in got] == want
+    assert sum(moved) < 10 * n
+
+
+@pytest.mark.parametrize("run_nodes", [2, 7])
+def test_halved_lists_of_random_forests_with_cycles(spark, monkeypatch, run_nodes):
+    monkeypatch.setattr(preorder, "DOUBLED", 0, raising=False)
+    test_preorder_of_random_forests_with_cycles(spark, run_nodes)
