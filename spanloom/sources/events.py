@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from spanloom.functions import hex_id
 from spanloom.operators.skew import HeavyKeys, heavy_keys, row_number_in_group
+from spanloom.staging import stage
 
 # Traces with more spans than this are built by joins instead of inside one row.
 INLINE_SPANS = 2048
@@ -93,7 +94,8 @@ def event_spans(
         .when(k % 3 == 1, F.concat(F.lit("aFP"), (user % 10).cast("string")))
         .alias("tag_from_page"),
     )
-    return SpanTable(rows, heavy)
+    # Ordinary and large traces go two ways from here, which should not both derive all spans.
+    return SpanTable(stage(rows, "event-spans") if heavy else rows, heavy)
 
 
 # Spans of one trace sent together in a message, at most.
