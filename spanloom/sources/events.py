@@ -16,6 +16,11 @@ from spanloom.staging import stage
 
 # Traces with more spans than this are built by joins instead of inside one row.
 INLINE_SPANS = 2048
+# Events that one task numbers and gives parents: about 130 MB of memory. The bytes shuffled, which adaptive
+# execution goes by, are a small part of that.
+TASK_ROWS = 100_000
+# Fewer are not worth a task.
+LEAST_ROWS = 5_000
 
 
 @dataclass(frozen=True)
@@ -48,6 +53,8 @@ def event_spans(
 
     heavy = heavy_keys(traced, "tno", inline_spans)
     heavy = heavy and heavy.spelled("traceid", hex_id(F.col("tno")))
+    if heavy is None:
+        traced = _spread(traced, events.count(), "traceid")
     numbered = row_number_in_group(traced, "traceid", ["ts", "event_id"], "idx", heavy)
     spanid = F.when(F.col("idx") == 1, F.col("traceid")).otherwise(
         hex_id(F.lit(1_000_000_000) + F.col("event_id"))
@@ -98,6 +105,13 @@ def event_spans(
     return SpanTable(stage(rows, "event-spans") if heavy else rows, heavy)
 
 
+def _spread(rows: DataFrame, count: int, key: str) -> DataFrame:
+    """Rows partitioned by a key without large groups, so that no task has many more than ``TASK_ROWS``."""
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    tasks = max(-(-count // TASK_ROWS), min(cores, -(-count // LEAST_ROWS)), 1)
+    return rows.repartition(tasks, key)
+
+
 # Spans of one trace sent together in a message, at most.
 SPANS_PER_MESSAGE = 50
 

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from spanloom.functions import has_text, hex_id, ipv4_to_int, split_on_spaces, parse_hex_id
 from spanloom.operators import spans as span_ops, zipkin
 from spanloom.schemas import MESSAGE, TagKeys
+from spanloom.sources import events
 from spanloom.sources.messages import PAYLOAD, dead_letters, decode, good_messages
 
 HOST = {"serviceName": "Shop", "address": "10.1.2.3", "port": 8080}
@@ -184,3 +185,10 @@ def test_conversion_of_tags(spark):
     assert got[5] == {("STRING", "lc", "unknown", "shop")}
     notes = zipkin.zipkin_annotations(rows).where("id = '0000000000000002'").first()
     assert (notes.timestamp, notes.value, notes.endpoint_ipv4) == (1000, "sr", 167838211)
+
+
+def test_tasks_that_derive_spans_are_bounded_by_rows(spark, monkeypatch):
+    monkeypatch.setattr(events, "TASK_ROWS", 500, raising=False)
+    rows = events.event_spans(spark, "/root/testdata/sf0.01").rows
+    sizes = rows.groupBy(F.spark_partition_id()).count().agg(F.sum("count"), F.max("count")).first()
+    assert sizes[0] == 10_000 and sizes[1] < 1_500
