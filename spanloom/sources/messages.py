@@ -75,10 +75,10 @@ def decode(payloads: DataFrame) -> DataFrame:
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}
     body = F.substring("value", HEADER_BYTES + 1, 2**31 - 1)
     length = F.octet_length("value")
-    parsed = payloads.withColumn(
-        # Bytes that are not UTF-8 make a payload malformed; they must not end the batch.
-        "message", F.from_json(F.make_valid_utf8(body.cast("string")), parse_schema, options)
-    )
+    # Bytes that are not UTF-8 make a payload malformed; they must not end the batch.
+    message = F.from_json(F.make_valid_utf8(body.cast("string")), parse_schema, options)
+    # Out of an array, so that filters on the reason do not parse the payload once more for every use.
+    parsed = payloads.select("*", F.explode(F.array(message)).alias("message"))
     reason = (
         F.when(F.col("value").isNull() | (length < HEADER_BYTES), "truncated")
         .when(length == HEADER_BYTES, "empty")

@@ -192,3 +192,9 @@ def test_tasks_that_derive_spans_are_bounded_by_rows(spark, monkeypatch):
     rows = events.event_spans(spark, "/root/testdata/sf0.01").rows
     sizes = rows.groupBy(F.spark_partition_id()).count().agg(F.sum("count"), F.max("count")).first()
     assert sizes[0] == 10_000 and sizes[1] < 1_500
+
+
+def test_a_payload_is_parsed_once(spark):
+    stored = spark.range(3).selectExpr("cast(string(id) as binary) as value", "timestamp_millis(id) as timestamp")
+    plan = good_messages(decode(stored))._jdf.queryExecution().optimizedPlan()
+    assert plan.toString().count("from_json") == 1
