@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from spanloom.llm.tables import slices, values
-from spanloom.staging import stage
+from spanloom.staging import stage, stage_last
 
 LINE_WORDS = 4
 SENTENCE_WORDS = 8
@@ -146,9 +146,13 @@ def remove_repeats(
         F.struct(*[F.col(f"`{c}`") for c in kept]).alias("_row"),
         F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64("text").alias("text_key"), "text",
     )
-    spans = repeated_spans(keyed.select("doc_id", "text_key", "text"), line_words, sentence_words)
-    spans = spans.select(
-        F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), "spans"
+    texts = keyed.select("doc_id", "text_key", "text")
+    # The units are gone before the texts move.
+    spans = stage_last(
+        docs.sparkSession, "repeated-spans",
+        lambda: repeated_spans(texts, line_words, sentence_words).select(
+            F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), "spans"
+        ),
     )
     joined = keyed.join(
         spans, (F.col("text_key") == F.col("_key")) & F.col("doc_id").eqNullSafe(F.col("_id")), "left"

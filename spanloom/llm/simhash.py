@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +30,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from spanloom.llm.components import connected_components, forest
 from spanloom.llm.tables import slices, text_of, values, worker_state
 from spanloom.operators.skew import ranged_row_number
-from spanloom.staging import stage
+from spanloom.staging import stage, stage_last
 
 SHINGLE_WORDS = 3
 MAX_BITS = 2
@@ -225,6 +226,9 @@ def _edges(
     if inner is not None:
         left, right = inner()
         u, v = first + left[i], second + right[j]
+        # Of the links between the same two groups the shortest.
+        once = np.sort(np.unique(left[i] * (len(right) + 1) + right[j], return_index=True)[1])
+        i, j, u, v = i[once], j[once], u[once], v[once]
     parent: dict[int, int] = {}
 
     def root(n: int) -> int:
@@ -246,67 +250,70 @@ def _words_differ(left: np.ndarray, right: np.ndarray, i: np.ndarray, j: np.ndar
     return np.bitwise_count(left[i] ^ right[j]).sum(axis=1, dtype=np.int64)
 
 
-def _leaf_links(reach: int, limit: int, parts: int):
-    """Links of leaf pairs (a, b, and fp, words and label of the codes of each leaf) whose first
-    word is within ``reach`` and whose ``parts`` words are within ``limit``.
-
-    Without labels those of a spanning forest; with labels all between codes of different labels.
+def _block_links(reach: int, limit: int, limits: list[int], parts: int):
+    """Links of a spanning forest between the codes below two nodes (a, b), given as the rows of
+    their leaves: those whose first word is within ``reach`` and whose ``parts`` words are within
+    ``limit``. Pairs of leaves are pruned by ``limits`` first, as in ``_child_pairs``.
     """
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            a, b = (batch.column(i).to_numpy() for i in (0, 1))
-            ends, prints, words, labels = [], [], [], []
-            for side in (2, 5):
-                column = batch.column(side)
-                ends.append(np.concatenate([[0], np.cumsum(column.value_lengths().to_numpy())]))
-                prints.append(column.flatten().to_numpy().view(np.uint64))
-                flat = batch.column(side + 1).flatten().to_numpy().view(np.uint64)
-                words.append(flat.reshape(-1, parts))
-                labels.append(batch.column(side + 2).flatten().to_numpy())
-            first, second = [], []
-            for row in range(len(a)):
-                left = slice(ends[0][row], ends[0][row + 1])
-                right = slice(ends[1][row], ends[1][row + 1])
-                near = np.bitwise_count(prints[0][left][:, None] ^ prints[1][right][None, :]) <= reach
-                if a[row] == b[row]:
-                    near = np.triu(near, 1)
-                i, j = np.nonzero(near)
-                x, y = words[0][left], words[1][right]
-                labelled = len(labels[0]) > 0
-                if labelled:
-                    apart = labels[0][left][i] != labels[1][right][j]
-                    i, j = i[apart], j[apart]
-                differ = _words_differ(x, y, i, j)
-                i, j, differ = i[differ <= limit], j[differ <= limit], differ[differ <= limit]
-                if labelled:
-                    pairs = a[row] * FANOUT + i, b[row] * FANOUT + j
-                else:
-                    inner = None if a[row] == b[row] else lambda: tuple(
-                        forest(np.bitwise_count(w[:, None] ^ w[None]).sum(axis=2, dtype=np.int64) <= limit)
-                        for w in (x, y)
-                    )
-                    pairs = _edges(differ, i, j, a[row] * FANOUT, b[row] * FANOUT, inner)
-                first.append(pairs[0])
-                second.append(pairs[1])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(x) if x else [], pa.int64()) for x in (first, second)],
-                names=["a", "b"],
-            )
+    allowed = np.array(limits, dtype=np.uint8)
+
+    def run(key: tuple, rows: pa.Table) -> pa.Table:
+        a, b = (k.as_py() for k in key)
+        rows = rows.sort_by("leaf").combine_chunks()
+        number = rows["leaf"].to_numpy()
+        column = rows["fp"].combine_chunks()
+        ends = np.concatenate([[0], np.cumsum(column.value_lengths().to_numpy())])
+        flat = column.flatten().to_numpy().view(np.uint64)
+        prints = [flat[x:y] for x, y in zip(ends, ends[1:])]
+        flat = rows["words"].combine_chunks().flatten().to_numpy().view(np.uint64).reshape(-1, parts)
+        words = [flat[x:y] for x, y in zip(ends, ends[1:])]
+        low = np.array([np.bitwise_and.reduce(p) for p in prints], dtype=np.uint64)
+        mask = ~(low ^ np.array([np.bitwise_or.reduce(p) for p in prints], dtype=np.uint64))
+        left, right = (np.flatnonzero(number // FANOUT == node) for node in (a, b))
+        shared = mask[left][:, None] & mask[right][None, :]
+        differ = (low[left][:, None] ^ low[right][None, :]) & shared
+        near = np.bitwise_count(differ) <= allowed[np.bitwise_count(shared)]
+        if a == b:
+            near = np.triu(near)
+        inside: dict[int, np.ndarray] = {}
+
+        def groups(leaf: int) -> np.ndarray:
+            if leaf not in inside:
+                p, w = prints[leaf], words[leaf]
+                linked = np.bitwise_count(w[:, None] ^ w[None]).sum(axis=2, dtype=np.int64) <= limit
+                inside[leaf] = forest(linked & (np.bitwise_count(p[:, None] ^ p[None]) <= reach))
+            return inside[leaf]
+
+        found = []
+        for x, y in zip(*(side[at] for side, at in zip((left, right), np.nonzero(near)))):
+            close = np.bitwise_count(prints[x][:, None] ^ prints[y][None, :]) <= reach
+            i, j = np.nonzero(np.triu(close, 1) if x == y else close)
+            differ = _words_differ(words[x], words[y], i, j)
+            i, j, differ = i[differ <= limit], j[differ <= limit], differ[differ <= limit]
+            if len(i):
+                inner = None if x == y else lambda: (groups(x), groups(y))
+                found.append(_edges(differ, i, j, number[x] * FANOUT, number[y] * FANOUT, inner))
+        first, second = (np.concatenate(side) for side in zip(*found)) if found else ([], [])
+        return pa.table({"a": pa.array(first, pa.int64()), "b": pa.array(second, pa.int64())})
 
     return run
 
 
 def _walk(codes: DataFrame, limits: list[int], indexes: int, leaves: bool) -> DataFrame:
-    """Pairs of leaves that are not pruned or, with ``leaves``, the links found in them."""
+    """The links found in the leaves or, without ``leaves``, pairs (a, b) of the nodes above the
+    leaves that are not pruned.
+    """
     rows = codes.select("number", F.col("fp").alias("low"), F.col("fp").alias("high"))
     levels = [stage(_level(rows), "gray-level")]
     while levels[-1].count() > indexes:
         above = levels[-1].select(F.col("node").alias("number"), "low", "high")
         levels.append(stage(_level(above), "gray-level"))
-    pairs = levels[-1].select(F.col("node").alias("a"), F.col("node").alias("b"))
+    top = levels[-1].select("node")
+    if not leaves and len(levels) == 1:
+        top = top.select(F.expr(f"node div {FANOUT}").alias("node")).distinct()
+    pairs = top.select(F.col("node").alias("a"), F.col("node").alias("b"))
     for depth, level in reversed(list(enumerate(levels))):
-        if depth == 0 and not leaves:
+        if depth <= 1 and not leaves:
             break
         left = level.select(F.col("node").alias("a"), F.col("lows").alias("l1"), F.col("highs").alias("h1"))
         right = level.select(F.col("node").alias("b"), F.col("lows").alias("l2"), F.col("highs").alias("h2"))
@@ -323,24 +330,24 @@ def near_links(codes: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     return _walk(codes, [max_bits] * 65, 1, True)
 
 
-def _compared(pairs: DataFrame, codes: DataFrame, reach: int, limit: int, parts: int) -> DataFrame:
-    """The links of ``_leaf_links`` for the pairs of leaves of ``codes`` (number, fp, words, label)."""
-    label = F.col("label") if "label" in codes.columns else F.lit(None).cast("bigint")
-    code = F.struct("number", "fp", "words", label.alias("label"))
+def _compared(
+    pairs: DataFrame, codes: DataFrame, reach: int, limit: int, limits: list[int], parts: int
+) -> DataFrame:
+    """The links of ``_block_links`` for pairs of nodes above the leaves of ``codes`` (number, fp, words).
+
+    A leaf goes once to each pair of its node, not to each pair of leaves.
+    """
     leaves = stage(
-        codes.groupBy(F.expr(f"number div {FANOUT}").alias("node"))
-        .agg(F.sort_array(F.collect_list(code)).alias("c"))
-        .select("node", "c.fp", F.flatten("c.words").alias("words"),
-                F.filter("c.label", lambda x: x.isNotNull()).alias("label")),
+        codes.groupBy(F.expr(f"number div {FANOUT}").alias("leaf"))
+        .agg(F.sort_array(F.collect_list(F.struct("number", "fp", "words"))).alias("c"))
+        .select(F.expr(f"leaf div {FANOUT}").alias("node"), "leaf", "c.fp", F.flatten("c.words").alias("words")),
         "gray-leaves",
     )
-    met = pairs
-    for end, side in (("a", "x"), ("b", "y")):
-        met = met.join(leaves.select(
-            F.col("node").alias(end), *[F.col(n).alias(f"{n}_{side}") for n in ("fp", "words", "label")]
-        ), end)
-    names = [f"{n}_{side}" for side in "xy" for n in ("fp", "words", "label")]
-    return met.select("a", "b", *names).mapInArrow(_leaf_links(reach, limit, parts), "a bigint, b bigint")
+    ends = F.when(F.col("a") == F.col("b"), F.array("a")).otherwise(F.array("a", "b"))
+    met = pairs.select("a", "b", F.explode(ends).alias("node")).join(leaves, "node")
+    return met.select("a", "b", "leaf", "fp", "words").groupBy("a", "b").applyInArrow(
+        _block_links(reach, limit, limits, parts), "a bigint, b bigint"
+    )
 
 
 def _between_entries(links: DataFrame, codes: DataFrame) -> DataFrame:
@@ -353,7 +360,7 @@ def _between_entries(links: DataFrame, codes: DataFrame) -> DataFrame:
 
 def similar_links(
     codes: DataFrame, reach: int, limit: int, prune_bits: int | list[int], indexes: int,
-    verify: Callable[[DataFrame], DataFrame],
+    verify: Callable[[DataFrame], DataFrame], within: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """(a, b): verified links between the entries of ``codes`` (number, entry, fp, words), that
     connect what all links within reach that ``verify`` passes do.
@@ -362,27 +369,47 @@ def similar_links(
     than ``prune_bits`` of the bits that both share (a list: by the number of these). In the leaves that are left codes are linked by
     ``reach`` of the 64 bits of ``fp`` and ``limit`` of all bits of ``words``. First a spanning forest
     of the links is verified, which connects groups of near copies without their pairs. A
-    link that ``verify`` rejects may have stood for others: so then all links between entries
-    that are not connected yet are verified, and nothing is left out.
+    link that ``verify`` rejects may have stood for others: so then, in each group that the forest
+    connects, all entries that are not connected yet are compared, and nothing is left out.
+    ``within`` finds the links between the labels of such members (entry, group, label) without a
+    row for each pair; without it their pairs are verified.
     """
     parts = len(codes.first()["words"]) if codes.head(1) else 1
     limits = [prune_bits] * 65 if isinstance(prune_bits, int) else prune_bits
     pairs = _walk(codes, limits, indexes, False)
-    links = stage(_compared(pairs, codes, reach, limit, parts), "similar-forest")
+    links = stage(_compared(pairs, codes, reach, limit, limits, parts), "similar-forest")
     tried = stage(_between_entries(links, codes), "similar-tried")
     passed = stage(verify(tried), "similar-passed")
-    groups = connected_components(passed, "similar")
-    known = codes.join(groups, codes["entry"] == groups["node"], "left").withColumn(
-        "label", F.coalesce("component", "entry")
+    members = _open_members(tried, passed)
+    if within is None:
+        x, y = (members.select("group", *[F.col(n).alias(f"{n}_{end}") for n in ("entry", "label")]) for end in "ab")
+        pairs = x.join(y, "group").where("entry_a < entry_b and label_a <> label_b")
+        pairs = pairs.select(F.col("entry_a").alias("a"), F.col("entry_b").alias("b"))
+        return passed.unionByName(verify(pairs.join(tried, ["a", "b"], "left_anti")))
+    return passed.unionByName(within(members))
+
+
+def _open_members(tried: DataFrame, passed: DataFrame) -> DataFrame:
+    """(entry, group, label) of the groups that ``tried`` connects, ``passed`` does not, and that have
+    pairs not tried; the label is the part that ``passed`` connects.
+    """
+    grouped = stage(
+        connected_components(tried, "similar").select(F.col("node").alias("entry"), F.col("component").alias("group")),
+        "similar-grouped",
+    )
+    known = connected_components(passed, "similar")
+    members = stage(
+        grouped.join(known, grouped["entry"] == known["node"], "left").select(
+            "entry", "group", F.coalesce("component", "entry").alias("label")
+        ),
+        "similar-members",
     )
-    # Leaves without a link in the forest have no link at all.
-    again = stage(
-        links.select(F.expr(f"a div {FANOUT}").alias("a"), F.expr(f"b div {FANOUT}").alias("b")).distinct(),
-        "similar-leaves",
+    links = tried.join(grouped, tried["a"] == grouped["entry"]).groupBy("group").agg(F.count("*").alias("_tried"))
+    sizes = members.groupBy("group").agg(F.count("*").alias("_n"), F.min("label").alias("_x"), F.max("label").alias("_y"))
+    unsettled = stage(
+        sizes.join(links, "group").where("_x < _y and _tried < _n * (_n - 1) / 2").select("group"), "similar-unsettled"
     )
-    rest = _between_entries(_compared(again, known, reach, limit, parts), codes)
-    rest = stage(rest.join(tried, ["a", "b"], "left_anti"), "similar-rest")
-    return passed.unionByName(verify(rest))
+    return stage(members.join(unsettled, "group").select("entry", "group", "label"), "similar-open")
 
 
 def near_duplicates(
@@ -500,17 +527,18 @@ def shingle_sets(texts: DataFrame, words: int) -> DataFrame:
     return texts.select("entry", "text").mapInArrow(run, "entry bigint, shingles array<bigint>")
 
 
-def verified_links(
-    links: DataFrame, entries: DataFrame, docs: DataFrame, words: int, similarity: float
-) -> DataFrame:
-    """The links (a, b) between entries (entry, place) whose shingle sets have the similarity.
+#: Rows of a list of documents that is broadcast, so that the texts do not move.
+BROADCAST_ROWS = 2_000_000
+
 
-    ``place`` (text_key, doc_id) names a document of the entry. Only the texts of linked entries
-    are read again, one for each.
+def sets_of_entries(wanted: DataFrame, entries: DataFrame, docs: DataFrame, words: int) -> DataFrame:
+    """(entry, shingles), a written table, of the entries ``wanted`` (entry).
+
+    ``place`` (text_key, doc_id) names a document of the entry. The texts stay where they are: the
+    list of wanted ones goes to them, a long one in pieces, with a scan of the documents for each.
     """
-    ends = links.select(F.col("a").alias("entry")).unionByName(links.select(F.col("b").alias("entry")))
     needed = stage(
-        entries.join(ends.distinct(), "entry").select(
+        entries.join(wanted, "entry").select(
             "entry", F.col("place.text_key").alias("_key"), F.col("place.doc_id").alias("_id")
         ),
         "similar-needed",
@@ -519,8 +547,23 @@ def verified_links(
         F.col("doc_id").cast("bigint").alias("_doc"), F.xxhash64("text").alias("_text"), "text"
     )
     match = (F.col("_text") == F.col("_key")) & F.col("_doc").eqNullSafe(F.col("_id"))
-    texts = keyed.join(needed, match)
-    sets = stage(shingle_sets(texts, words).dropDuplicates(["entry"]), "similar-shingles")
+    pieces = max(1, math.ceil(needed.count() / BROADCAST_ROWS))
+    texts = [
+        keyed.join(F.broadcast(needed.where(F.pmod("_key", F.lit(pieces)) == i)), match) for i in range(pieces)
+    ]
+    sets = shingle_sets(reduce(DataFrame.unionByName, texts), words)
+    return stage(sets.dropDuplicates(["entry"]), "similar-shingles")
+
+
+def verified_links(
+    links: DataFrame, entries: DataFrame, docs: DataFrame, words: int, similarity: float
+) -> DataFrame:
+    """The links (a, b) between entries (entry, place) whose shingle sets have the similarity.
+
+    Only the texts of linked entries are read again, one for each.
+    """
+    ends = links.select(F.col("a").alias("entry")).unionByName(links.select(F.col("b").alias("entry")))
+    sets = sets_of_entries(ends.distinct(), entries, docs, words)
     left = sets.select(F.col("entry").alias("a"), F.col("shingles").alias("x"))
     right = sets.select(F.col("entry").alias("b"), F.col("shingles").alias("y"))
     common = F.size(F.array_intersect("x", "y"))
@@ -531,6 +574,105 @@ def verified_links(
     )
 
 
+#: Shingles of a block of entries: at least, at most, and blocks that a group has between the two.
+LEAST_BLOCK, MOST_BLOCK, GROUP_BLOCKS = 1 << 14, 1 << 18, 32
+#: An entry counts as so many shingles at least, which bounds the entries of a block.
+LEAST_WEIGHT = 64
+#: Shingles whose occurrences in two blocks are counted at once.
+SLAB = 4_096
+
+
+def links_within(
+    members: DataFrame, entries: DataFrame, docs: DataFrame, words: int, similarity: float
+) -> DataFrame:
+    """(a, b): links that connect the labels of each group of ``members`` (entry, group, label) as all
+    pairs of its entries whose shingle sets have the similarity do.
+
+    The entries of a group are dealt into blocks of a bounded number of shingles, those of a large label
+    into blocks of their own; two blocks meet in a task, which gives out a spanning forest of the
+    labels. Blocks of one label do not meet. So neither rows nor memory grow with a group's pairs.
+    """
+    sets = sets_of_entries(members.select("entry"), entries, docs, words)
+    weight = F.greatest(F.size("shingles"), F.lit(LEAST_WEIGHT)).cast("bigint").alias("weight")
+    sized = members.join(sets.select("entry", weight), "entry")
+    labels = stage(sized.groupBy("group", "label").agg(F.sum("weight").alias("weight")), "similar-labels")
+    size = F.least(F.lit(MOST_BLOCK), F.greatest(F.lit(LEAST_BLOCK), F.expr(f"sum(weight) div {GROUP_BLOCKS}")))
+    sizes = labels.groupBy("group").agg(size.alias("size"))
+    homes = stage(
+        labels.join(sizes, "group").select(
+            "group", "label", "weight", "size", F.when(F.col("weight") >= F.col("size"), F.col("label")).otherwise(-1).alias("home")
+        ),
+        "similar-homes",
+    )
+    counts = stage(
+        homes.groupBy("group", "home").agg(F.ceil(F.sum("weight") / F.first("size")).alias("blocks")), "similar-blocks"
+    )
+    blocks = counts.select("group", "home", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)).alias("block"))
+    x, y = (blocks.select("group", *[F.col(n).alias(f"{n}_{end}") for n in ("home", "block")]) for end in "ab")
+    first, second = (F.struct(F.col(f"home_{end}").alias("home"), F.col(f"block_{end}").alias("block")) for end in "ab")
+    pairs = x.join(y, "group").where((first <= second) & ((F.col("home_a") != F.col("home_b")) | (F.col("home_a") < 0)))
+    key = ["group", "home_a", "block_a", "home_b", "block_b"]
+    sides = pairs.select(*key, F.explode(F.array_distinct(F.array(first, second))).alias("_s")).select(*key, "_s.*")
+    block = F.pmod(F.xxhash64("entry"), F.col("blocks")).alias("block")
+    dealt = stage(
+        members.join(homes.select("group", "label", "home"), ["group", "label"]).join(counts, ["group", "home"])
+        .select("entry", "group", "label", "home", block).join(sets.where(F.size("shingles") > 0), "entry"),
+        "similar-dealt",
+    )
+    met = sides.join(dealt, ["group", "home", "block"]).select(*key, "home", "block", "entry", "label", "shingles")
+    return met.groupBy(*key).applyInArrow(_label_links(similarity), "a bigint, b bigint")
+
+
+def _label_links(similarity: float):
+    """Links between the labels of two blocks of entries, or of one: a spanning forest of them."""
+
+    def run(key: tuple, rows: pa.Table) -> pa.Table:
+        _, home_a, block_a, home_b, block_b = (k.as_py() for k in key)
+        rows = rows.combine_chunks()
+        home, block, entry, label = (rows[n].to_numpy() for n in ("home", "block", "entry", "label"))
+        column = rows["shingles"].combine_chunks()
+        sizes = column.value_lengths().to_numpy().astype(np.int64)
+        values, owners = column.flatten().to_numpy(), np.repeat(np.arange(len(sizes)), sizes)
+        sides = [np.flatnonzero((home == h) & (block == b)) for h, b in ((home_a, block_a), (home_b, block_b))]
+        place, inside = np.zeros(len(sizes), dtype=np.int64), []
+        for side in sides:
+            place[side] = np.arange(len(side))
+            mine = np.isin(owners, side)
+            inside.append((values[mine], place[owners[mine]]))
+        met = np.intersect1d(inside[0][0], inside[1][0])
+        common = np.zeros((len(sides[0]), len(sides[1])), dtype=np.float32)
+        for begin in range(0, len(met), SLAB):
+            slab, has = met[begin : begin + SLAB], []
+            for (shingles, owner), side in zip(inside, sides):
+                at = np.minimum(np.searchsorted(slab, shingles), len(slab) - 1)
+                hit = slab[at] == shingles
+                has.append(np.zeros((len(side), len(slab)), dtype=np.float32))
+                has[-1][owner[hit], at[hit]] = 1
+            common += has[0] @ has[1].T
+        common = common.astype(np.float64)
+        total = sizes[sides[0]][:, None] + sizes[sides[1]][None, :]
+        near = (common >= similarity * (total - common)) & (label[sides[0]][:, None] != label[sides[1]][None, :])
+        i, j = (side[at] for side, at in zip(sides, np.nonzero(near)))
+        parent: dict[int, int] = {}
+
+        def root(n: int) -> int:
+            while (above := parent.setdefault(n, n)) != n:
+                parent[n] = n = parent.setdefault(above, above)
+            return n
+
+        kept = []
+        joined = np.stack([label[i], label[j]], axis=1)
+        for at in np.unique(joined, axis=0, return_index=True)[1] if len(i) else ():
+            u, v = root(int(label[i[at]])), root(int(label[j[at]]))
+            if u != v:
+                parent[u] = v
+                kept.append(at)
+        return pa.table({"a": pa.array(entry[i[kept]] if kept else [], pa.int64()),
+                         "b": pa.array(entry[j[kept]] if kept else [], pa.int64())})
+
+    return run
+
+
 def similar_documents(
     docs: DataFrame, words: int = SIMILAR_WORDS, similarity: float = SIMILARITY
 ) -> DataFrame:
@@ -567,10 +709,13 @@ def similar_documents(
         "similar-parts",
     )
     codes = stage(in_gray_order(parts), "similar-codes")
-    linked = similar_links(
-        codes, bit_limit(64, similarity, DEVIATIONS), bit_limit(64 * PARTS, similarity, DEVIATIONS),
-        limits, count,
-        lambda links: verified_links(links, entries, docs, words, similarity),
+    check = (entries, docs, words, similarity)
+    linked = stage_last(
+        docs.sparkSession, "similar-linked",
+        lambda: similar_links(
+            codes, bit_limit(64, similarity, DEVIATIONS), bit_limit(64 * PARTS, similarity, DEVIATIONS),
+            limits, count, lambda links: verified_links(links, *check), lambda members: links_within(members, *check),
+        ),
     )
     groups = connected_components(linked, "similar")
     numbered = stage(
@@ -592,16 +737,31 @@ def representatives(docs: DataFrame, found: DataFrame | None = None) -> DataFram
     rank = F.struct(
         F.col("doc_id").isNull().alias("last"), F.coalesce("doc_id", F.lit(0)).alias("id"), "text_key"
     )
-    best = found.groupBy("component_number").agg(F.min(rank).alias("best"))
-    kept = stage(best.select(
-        F.when(F.col("best.last"), None).otherwise(F.col("best.id")).alias("_id"),
-        F.col("best.text_key").alias("_key"),
-    ), "simhash-kept")
+    counts = stage(
+        found.groupBy("component_number", "doc_id", "text_key").agg(F.count("*").alias("_n")), "simhash-counts"
+    )
+    best = stage(counts.groupBy("component_number").agg(F.min(rank).alias("best")), "simhash-best")
+    told = stage(
+        counts.join(best, "component_number").select(
+            F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), "_n", (rank == F.col("best")).alias("_stays")
+        ),
+        "simhash-told",
+    )
     names = docs.columns
     keyed = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in names]).alias("_row"),
         F.col("doc_id").cast("bigint").alias("_doc"), F.xxhash64("text").alias("_text"),
     )
     match = F.col("_doc").eqNullSafe(F.col("_id")) & (F.col("_text") == F.col("_key"))
-    one = keyed.join(kept, match, "left_semi").dropDuplicates(["_doc", "_text"])
+    # The texts stay where they are, but for rows with the same id and text.
+    apart = told.where("not _stays or _n > 1")
+    n, again = apart.agg(F.count("*"), F.count_if("_stays")).first()
+    if n > BROADCAST_ROWS:
+        one = keyed.join(told.where("_stays"), match, "left_semi").dropDuplicates(["_doc", "_text"])
+        return one.select("_row.*")
+    one = keyed.join(F.broadcast(apart), match, "left_anti")
+    if again:
+        one = one.unionByName(
+            keyed.join(F.broadcast(apart.where("_stays")), match, "left_semi").dropDuplicates(["_doc", "_text"])
+        )
     return one.select("_row.*")

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import threading
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -57,8 +57,29 @@ def staged_job(spark: SparkSession) -> Iterator[None]:
             remove(spark, path)
 
 
+#: Removes the shuffle files of a query when it has ended, not when the driver collects its garbage.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def _write(df: DataFrame, path: str) -> DataFrame:
+    """The written table; the shuffle files that led to it go."""
+    conf = df.sparkSession.conf
+    before = conf.get(CLEANUP, None)
+    conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        conf.unset(CLEANUP) if before is None else conf.set(CLEANUP, before)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write once, read back: later steps start from the written table, not from the lineage."""
-    path = new_folder(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return _write(df, new_folder(df.sparkSession, name))
+
+
+def stage_last(spark: SparkSession, name: str, make: Callable[[], DataFrame]) -> DataFrame:
+    """Stage what ``make`` returns; what it staged on the way is removed."""
+    path = new_folder(spark, name)
+    with staged_job(spark):
+        return _write(make(), path)
