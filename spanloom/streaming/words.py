@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from spanloom.operators.words import word_count, words
+from spanloom.functions import split_on_spaces
+from spanloom.operators.words import word_count
 
 
 def kafka_texts(spark: SparkSession, servers: str, topic: str) -> DataFrame:
@@ -23,6 +28,28 @@ def file_texts(spark: SparkSession, path: str, schema: str = "text string") -> D
     return spark.readStream.schema(schema).parquet(path)
 
 
+def counted_words(texts: DataFrame, column: str, at: str) -> DataFrame:
+    """(word, at, n): the words of some texts of a task together, so that copies of a word do not move.
+
+    A row with the newest time and neither word nor count stands for texts without words.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts, times = batch.columns
+            rows = pa.table({"word": texts.flatten(), at: times.take(pc.list_parent_indices(texts))})
+            counts = rows.group_by(["word", at]).aggregate([([], "count_all")]).combine_chunks()
+            last = pa.array([pc.max(times).as_py()], times.type)
+            columns = [
+                pa.chunked_array([*counts["word"].chunks, pa.nulls(1, texts.type.value_type)]),
+                pa.chunked_array([*counts[at].chunks, last]),
+                pa.chunked_array([*counts["count_all"].chunks, pa.nulls(1, pa.int64())]),
+            ]
+            yield from pa.table(columns, names=["word", at, "n"]).combine_chunks().to_batches()
+
+    return texts.select(split_on_spaces(F.col(column)), at).mapInArrow(run, f"word string, {at} timestamp, n bigint")
+
+
 def expiring_word_count(
     texts: DataFrame, timeout: str, delay: str = "0 seconds", column: str = "text", at: str = "ts"
 ) -> DataFrame:
@@ -33,10 +60,12 @@ def expiring_word_count(
     state, when the watermark says that nothing can be added: the state holds the words of one
     timeout and delay, however long the stream runs.
     """
-    seen = words(texts.withWatermark(at, delay), column, (at,))
+    seen = counted_words(texts, column, at).withWatermark(at, delay)
+    # With the time in it the condition stays above the watermark, which all rows move.
+    seen = seen.where(F.when(F.col(at).isNotNull(), F.col("word").isNotNull()))
     return (
         seen.groupBy("word", F.session_window(at, timeout))
-        .agg(F.min(at).alias("first"), F.max(at).alias("last"), F.count("*").alias("n"))
+        .agg(F.min(at).alias("first"), F.max(at).alias("last"), F.sum("n").alias("n"))
         .select("word", "first", "last", "n")
     )
 

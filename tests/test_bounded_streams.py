@@ -123,3 +123,14 @@ def test_a_minute_of_several_batches_is_one_row(spark, tmp_path):
     want = whole.where("minute_start < 1900 * 60 - 3600").select(*out[0].asDict()).collect()
     assert sorted(map(str, out)) == sorted(map(str, want)) and len(out) == 2
     assert sorted(r.times for r in out) == [2, 3]
+
+
+def test_copies_of_a_word_meet_before_they_move(spark):
+    from spanloom.streaming.words import counted_words
+
+    rows = [("a b a", 0), ("a  b", 0), ("   ", 9), (None, 0), ("a", 3)]
+    texts = spark.createDataFrame(rows, "text string, s bigint").selectExpr("text", "timestamp_seconds(s) ts").coalesce(1)
+    got = counted_words(texts, "text", "ts").selectExpr("word", "unix_seconds(ts)", "n").collect()
+    told = sorted((tuple(r) for r in got if r[0] is not None), key=str)
+    assert told == [("", 0, 1), ("a", 0, 3), ("a", 3, 1), ("b", 0, 2), ("null", 0, 1)]
+    assert max(r[1] for r in got) == 9
