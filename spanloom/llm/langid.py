@@ -21,7 +21,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from spanloom.llm.tables import slices, values, worker_state
+from spanloom.llm.tables import rows_beside, slices, values, worker_state
 
 #: Bounds of the labelled sample that a model is fitted on: about so many documents a language,
 #: one piece of so many characters from each, and languages at most (the most frequent).
@@ -30,7 +30,7 @@ SAMPLE_CHARS = 1024
 LANGUAGES = 200
 SEED = 7
 #: Words a worker remembers, and the longest of them.
-CACHED = 400_000
+CACHED = 100_000
 WORD_CHARS = 48
 UNKNOWN = "und"
 
@@ -215,18 +215,21 @@ def identify(docs: DataFrame, model: list[tuple], passed: list[str] | None = Non
     schema = docs.select(*kept).schema.add("lang_pred", "string").add("score", "double")
     shared = docs.sparkSession.sparkContext.broadcast(model)
     run = uuid.uuid4().hex
+    # A text that is passed is read where it is and does not move twice.
+    read = [] if "text" in kept else [F.col("text").alias("_read")]
+    at = 0 if read else kept.index("text")
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parser = worker_state(("languages", run), lambda: Parser(shared.value))
         for batch in slices(batches):
-            found = [parser.predict(text) for text in values(batch.column(0))]
+            found = [parser.predict(text) for text in values(batch.column(at))]
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[1:], pa.array([f[0] for f in found], pa.string()),
+                [*batch.columns[len(read):], pa.array([f[0] for f in found], pa.string()),
                  pa.array([f[1] for f in found], pa.float64())],
                 names=[*kept, "lang_pred", "score"],
             )
 
-    return docs.select(F.col("text").alias("_read"), *kept).mapInArrow(predict, schema)
+    return docs.select(*read, *kept).mapInArrow(predict, schema)
 
 
 def fit_on_training_part(docs: DataFrame) -> list[tuple]:
@@ -243,7 +246,6 @@ def document_languages(docs: DataFrame) -> DataFrame:
 
 def identified_documents(docs: DataFrame) -> DataFrame:
     """The documents whose language is found, with their own columns."""
-    names = docs.columns
-    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("_row"), "text")
-    kept = identify(packed, fit_on_training_part(docs), ["_row"]).where(F.col("lang_pred") != UNKNOWN)
-    return kept.select("_row.*")
+    rest, columns = rows_beside(docs)
+    kept = identify(docs.select(rest, F.col("text").alias("text")), fit_on_training_part(docs)).where(F.col("lang_pred") != UNKNOWN)
+    return kept.select(*columns(F.col("text")))

@@ -20,8 +20,9 @@ from collections.abc import Iterator
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import StructField, StructType
 
-from spanloom.llm.tables import slices, values
+from spanloom.llm.tables import rows_beside, slices, values
 from spanloom.staging import stage, stage_last
 
 LINE_WORDS = 4
@@ -162,8 +163,10 @@ def remove_repeats(
     )
     at = kept.index("text")
     names = [f"_c{i}" for i in range(len(kept))]
-    schema = ", ".join(
-        f"{n} {f.dataType.simpleString()}" for n, f in zip(names, docs.select(*[f"`{c}`" for c in kept]).schema)
+    fields = docs.select(*[f"`{c}`" for c in kept]).schema
+    schema = StructType(
+        [StructField(n, f.dataType) for n, f in zip(names, fields)]
+        + StructType.fromDDL(f"removed {SPANS}, n_units bigint").fields
     )
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -184,7 +187,7 @@ def remove_repeats(
                 [*rest, pa.array(removed, spans_type), counts], names=[*names, "removed", "n_units"]
             )
 
-    out = joined.mapInArrow(cut, f"{schema}, removed {SPANS}, n_units bigint")
+    out = joined.mapInArrow(cut, schema)
     return out.select(
         *[F.col(n).alias(c) for n, c in zip(names, kept)], "removed", "n_units"
     )
@@ -192,15 +195,12 @@ def remove_repeats(
 
 def cut_documents(docs: DataFrame) -> DataFrame:
     """The columns of ``docs`` with repeats cut out of the text; a column n_chars follows it."""
-    names = docs.columns
-    packed = docs.select(
-        F.struct(*[F.col(f"`{c}`") for c in names]).alias("_row"), "doc_id", "text"
-    )
-    row = F.col("_row").withField("text", F.col("text"))
-    if "n_chars" in names:
-        kind = docs.schema["n_chars"].dataType
-        row = row.withField("n_chars", F.length("text").cast(kind))
-    return remove_repeats(packed).select(row.alias("_row")).select("_row.*")
+    rest, columns = rows_beside(docs)
+    cut = remove_repeats(docs.select(rest, "doc_id", F.col("text").alias("text"))).select(*columns(F.col("text")))
+    if "n_chars" not in docs.columns:
+        return cut
+    kind = docs.schema["n_chars"].dataType
+    return cut.withColumn("n_chars", F.length("text").cast(kind))
 
 
 def deduplicated(docs: DataFrame) -> DataFrame:

@@ -17,7 +17,6 @@ is planned again with the next, so a task holds one segment and not its partitio
 
 from __future__ import annotations
 
-import functools
 from collections import deque
 from collections.abc import Iterator
 
@@ -26,7 +25,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from spanloom.llm.tables import text_of, values, worker_state
+from spanloom.llm.tables import slices, text_of, values, worker_cache, worker_state
 from spanloom.llm.tokens import TOKENIZER, WholeTexts, id_pieces, load_tokenizer
 
 WINDOW = 2048
@@ -47,7 +46,7 @@ PIECES = (
 )
 
 
-@functools.lru_cache(maxsize=4)
+@worker_cache
 def sentence_ends(tokenizer: str) -> np.ndarray:
     """For every id, whether its text ends a sentence or a line."""
     library = load_tokenizer(tokenizer)
@@ -58,14 +57,16 @@ def sentence_ends(tokenizer: str) -> np.ndarray:
     return ends
 
 
+def _encoders(tokenizer: str):
+    return worker_state(("ids", tokenizer), lambda: (id_pieces(tokenizer), WholeTexts(tokenizer)))
+
+
 def document_ids(text: str, tokenizer: str, closing: int) -> np.ndarray:
     """Ids of a whole text and the closing id."""
     end = np.array([closing], dtype=np.uint32)
     if not text:
         return end
-    pieces, whole = worker_state(
-        ("ids", tokenizer), lambda: (id_pieces(tokenizer), WholeTexts(tokenizer))
-    )
+    pieces, whole = _encoders(tokenizer)
     ids = whole.ids(text)
     if ids is not None:
         return np.array([*ids, closing], dtype=np.uint32)
@@ -123,6 +124,7 @@ class _Stream:
     """Documents of one partition that are not yet in a finished window."""
 
     def __init__(self, tokenizer: str, window: int, free_lengths: tuple[int, ...], number: int):
+        _encoders(tokenizer)  # first: what an earlier stage left in the worker goes
         self.ends = sentence_ends(tokenizer)
         self.window, self.free_lengths = window, free_lengths
         self.sequence = number << 33
@@ -195,7 +197,7 @@ def pack(
         stream = _Stream(tokenizer, window, free_lengths, TaskContext.get().partitionId())
 
         def rows() -> Iterator[tuple]:
-            for batch in batches:
+            for batch in slices(batches):
                 for doc_id, text in zip(values(batch.column(0)), values(batch.column(1))):
                     stream.add(doc_id, document_ids(text_of(text), tokenizer, closing))
                     if stream.waiting >= SEGMENT:

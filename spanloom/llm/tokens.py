@@ -16,7 +16,6 @@ the choice is approximate; the token counts are exact whatever it holds.
 
 from __future__ import annotations
 
-import functools
 import json
 import os
 import re
@@ -29,7 +28,7 @@ import pyarrow as pa
 import public_tokenizers
 from pyspark.sql import DataFrame, functions as F
 
-from spanloom.llm.tables import slices, text_of, values, worker_state
+from spanloom.llm.tables import slices, text_of, values, worker_cache, worker_state
 from spanloom.staging import stage
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -69,7 +68,7 @@ def tokenizer_path(name: str) -> str:
     return name if os.path.exists(name) else public_tokenizers.path(name)
 
 
-@functools.lru_cache(maxsize=4)
+@worker_cache
 def load_tokenizer(name: str):
     """The tokenizer of a Python worker, without truncation or padding."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -90,7 +89,7 @@ RUN_CHARS = 16_384
 LONGEST_RUN = 65_536
 
 
-@functools.lru_cache(maxsize=4)
+@worker_cache
 def merge_table(name: str):
     """The tokenizer's own vocabulary as a table of tiktoken, which merges faster; or None.
 

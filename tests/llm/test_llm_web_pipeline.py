@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from spanloom.llm import html, warc
+from spanloom.llm import html, langid, lines, packing, tables, tokens, warc
 
 # ---- WARC -----------------------------------------------------------------------------------
 
@@ -267,3 +267,28 @@ def test_the_last_stage_holds_the_tokens(spark):
     ids = [int.from_bytes(r.ids[i : i + 4], "little") for r in rows for i in range(0, len(r.ids), 4)]
     assert name == "packing" and tokens.load_tokenizer(tokens.TOKENIZER).decode(ids[:-1]) == text
     assert all(r.ids_crc32 == zlib.crc32(bytes(r.ids)) and len(r.ids) == 4 * r.length for r in rows)
+
+
+@pytest.mark.parametrize("operator, step, stage", [
+    (langid, "identify", langid.identified_documents), (lines, "remove_repeats", lines.cut_documents),
+])
+def test_a_text_moves_once(spark, monkeypatch, operator, step, stage):
+    """Beside the text no struct holds it again; names of other cases and odd columns stay."""
+    moved = []
+    real = getattr(operator, step)
+    monkeypatch.setattr(operator, step, lambda docs, *more: moved.append(docs.schema) or real(docs, *more))
+    rows = [(1, "en", "a b c d e", "x"), (2, None, None, "y"), (3, "en", "a b c d e\nf g h i", None)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, lang string, Text string, `odd.name` string")
+    out = stage(docs)
+    assert out.columns == docs.columns
+    assert str(moved[0].jsonValue()).lower().count("'text'") == 1
+    got = {r["doc_id"]: tuple(r) for r in out.collect()}
+    assert got[1] == rows[0] and got[3][0::3] == (3, None)
+
+
+def test_what_a_state_is_made_of_goes_with_it():
+    """The tokenizers of an earlier stage do not stay in the worker."""
+    packing.document_ids("some words", tokens.TOKENIZER, 1)
+    packing.sentence_ends(tokens.TOKENIZER)
+    tables.worker_state(("another stage",), dict)
+    assert [f.cache_info().currsize for f in (tokens.load_tokenizer, tokens.merge_table, packing.sentence_ends)] == [0] * 3
