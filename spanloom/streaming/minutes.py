@@ -19,12 +19,17 @@ SUMMARY_SCHEMA = (
 )
 
 
-def summaries(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
-    """Streaming measures of a written summary table."""
-    reader = spark.readStream.schema(SUMMARY_SCHEMA)
-    if max_files:
-        reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.parquet(path)
+def summaries(
+    spark: SparkSession, path: str, max_files: int | None = None, max_bytes: int | None = None
+) -> DataFrame:
+    """Streaming measures of a written summary table, oldest files first.
+
+    A batch takes at most ``max_files`` files, or files of about ``max_bytes``; not both. Bytes are the
+    better bound where files are small: every batch opens the state of all partitions.
+    """
+    limits = {"maxFilesPerTrigger": max_files, "maxBytesPerTrigger": max_bytes}
+    given = {k: v for k, v in limits.items() if v is not None}
+    return spark.readStream.schema(SUMMARY_SCHEMA).options(**given).parquet(path)
 
 
 def closed_minutes(summary: DataFrame, delay: str) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from model import frame, span
 from spanloom.operators.stats import chain_stats
-from spanloom.plans import jobs
+from spanloom.plans import jobs, queries
 from spanloom.sinks import tables as t
 from spanloom.sources import messages as msg
 from spanloom.streaming.minutes import closed_minutes, summaries
@@ -125,6 +125,23 @@ def test_a_minute_of_several_batches_is_one_row(spark, tmp_path):
     assert sorted(r.times for r in out) == [2, 3]
 
 
+def test_batches_of_minutes_follow_bytes_not_files(spark, tmp_path):
+    root, day = str(tmp_path), 86_400_000
+    ends = [span(f"t{i}", f"t{i}", None, "api", begin=day + i, end=day + i + 5, event="sr", receive=day + 9_000) for i in range(40)]
+    last = span("z", "z", None, "api", begin=2 * day, end=2 * day + 1, event="sr", receive=2 * day + 9_000)
+    summary = jobs.forest_of(frame(spark, [*ends, last])).summary()
+    t.write_batch(summary.repartition(20, "traceid"), root, "summary", 0)
+    assert len([*tmp_path.glob("summary/*/*.parquet")]) > 8
+    out = []
+    stream = closed_minutes(summaries(spark, f"{root}/summary", max_bytes=queries.SUMMARY_BYTES), "10 minutes")
+    query = stream.writeStream.outputMode("append").foreachBatch(
+        lambda batch, n: out.extend(batch.collect())
+    ).option("checkpointLocation", f"{root}/c").trigger(availableNow=True).start()
+    query.awaitTermination()
+    assert [p.numInputRows for p in query.recentProgress if p.numInputRows] == [41]
+    assert [r.times for r in out] == [40]
+
+
 def test_copies_of_a_word_meet_before_they_move(spark):
     from spanloom.streaming.words import counted_words
 
