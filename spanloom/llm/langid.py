@@ -216,19 +216,20 @@ def identify(docs: DataFrame, model: list[tuple], passed: list[str] | None = Non
     shared = docs.sparkSession.sparkContext.broadcast(model)
     run = uuid.uuid4().hex
     # A text that is passed is read where it is and does not move twice.
-    read = [] if "text" in kept else [F.col("text").alias("_read")]
-    at = 0 if read else kept.index("text")
+    beside = "text" not in kept
+    at = 0 if beside else kept.index("text")
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parser = worker_state(("languages", run), lambda: Parser(shared.value))
         for batch in slices(batches):
             found = [parser.predict(text) for text in values(batch.column(at))]
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[len(read):], pa.array([f[0] for f in found], pa.string()),
+                [*batch.columns[beside:], pa.array([f[0] for f in found], pa.string()),
                  pa.array([f[1] for f in found], pa.float64())],
                 names=[*kept, "lang_pred", "score"],
             )
 
+    read = [F.col("text").alias("_read")] if beside else []
     return docs.select(*read, *kept).mapInArrow(predict, schema)
 
 
