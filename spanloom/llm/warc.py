@@ -169,16 +169,20 @@ class _Lines:
         self.held, self.at = self.held[self.at :] + new, 0
         return bool(new)
 
+    def _holds(self, size: int) -> bool:
+        """Whether so many bytes are there, after as much reading as that takes."""
+        while len(self.held) - self.at < size:
+            if not self._more():
+                return False
+        return True
+
     def headers(self) -> bytes | None:
         """The next header block, without its blank line; None at the end."""
-        while self.held[self.at : self.at + 2] == b"\r\n" or self.at == len(self.held):
-            if self.at == len(self.held):
-                if not self._more():
-                    return None
-            else:
-                self.at += 2
-            if len(self.held) - self.at == 1:
-                self._more()
+        # A piece may end between the two bytes of a line break.
+        while self._holds(2) and self.held[self.at : self.at + 2] == b"\r\n":
+            self.at += 2
+        if self.at == len(self.held):
+            return None
         while (end := self.held.find(b"\r\n\r\n", self.at)) < 0:
             if not self._more():
                 raise ValueError("a WARC record ends inside its headers")
@@ -186,9 +190,8 @@ class _Lines:
         return block
 
     def take(self, size: int) -> bytes:
-        while len(self.held) - self.at < size:
-            if not self._more():
-                raise ValueError("a WARC record ends inside its block")
+        if not self._holds(size):
+            raise ValueError("a WARC record ends inside its block")
         block, self.at = self.held[self.at : self.at + size], self.at + size
         return block
 

@@ -93,6 +93,33 @@ def test_unwanted_blocks_are_not_decoded():
     assert len(list(warc.read_records(gzip.GzipFile(fileobj=io.BytesIO(members)), frozenset(), {}, False))) == 2
 
 
+@pytest.mark.parametrize("payload", [True, False])
+def test_pieces_may_end_anywhere(payload):
+    class Cut(io.BytesIO):
+        """The first read ends at ``at``, the others give ``piece`` bytes."""
+
+        def __init__(self, data, at, piece):
+            super().__init__(data)
+            self.at, self.piece = at, piece
+
+        def read(self, size=-1):
+            return super().read(self.at if self.tell() < self.at else self.piece)
+
+    http = b"HTTP/1.1 200 OK\r\nContent-Length: %d\r\n\r\n"
+    data = b""
+    for n, kind in enumerate((b"response", b"revisit", b"response", b"metadata")):
+        body = b"" if kind == b"revisit" else b"x\r\n\r\n"
+        block = body if kind == b"metadata" else http % 6 + body
+        media = b"" if kind == b"metadata" else b"Content-Type: application/http\r\n"
+        data += b"WARC/1.1\r\nWARC-Type: %s\r\nWARC-Record-ID: <urn:page:%d>\r\n" % (kind, n) + media
+        data += b"Content-Length: %d\r\n\r\n" % len(block) + block + b"\r\n\r\n"
+    plain = list(warc.read_records(io.BytesIO(data), frozenset(), {}, payload))
+    assert [r["record_id"] for r in plain] == [f"<urn:page:{n}>" for n in range(4)]
+    for at in range(1, len(data)):
+        for piece in (1, 1 << 20):
+            assert list(warc.read_records(Cut(data, at, piece), frozenset(), {}, payload)) == plain
+
+
 # ---- HTML -----------------------------------------------------------------------------------
 
 CASES = {
