@@ -254,27 +254,23 @@ def _block_links(reach: int, limit: int, limits: list[int], parts: int):
     """Links of a spanning forest between the codes below two nodes (a, b), given as the rows of
     their leaves: those whose first word is within ``reach`` and whose ``parts`` words are within
     ``limit``. Pairs of leaves are pruned by ``limits`` first, as in ``_child_pairs``.
+
+    The two nodes are the key or, where the rows are those of many, each row (a, b) of ``pairs``.
     """
     allowed = np.array(limits, dtype=np.uint8)
 
-    def run(key: tuple, rows: pa.Table) -> pa.Table:
-        a, b = (k.as_py() for k in key)
-        rows = rows.sort_by("leaf").combine_chunks()
+    def run(key: tuple, rows: pa.Table, pairs: pa.Table | None = None) -> pa.Table:
+        met = [tuple(k.as_py() for k in key)] if pairs is None else zip(pairs["a"].to_pylist(), pairs["b"].to_pylist())
+        rows = rows.select(["leaf", "fp", "words"]).sort_by("leaf").combine_chunks()
         number = rows["leaf"].to_numpy()
         column = rows["fp"].combine_chunks()
         ends = np.concatenate([[0], np.cumsum(column.value_lengths().to_numpy())])
         flat = column.flatten().to_numpy().view(np.uint64)
         prints = [flat[x:y] for x, y in zip(ends, ends[1:])]
+        low, high = (f.reduceat(flat, ends[:-1]) for f in (np.bitwise_and, np.bitwise_or))
+        mask = ~(low ^ high)
         flat = rows["words"].combine_chunks().flatten().to_numpy().view(np.uint64).reshape(-1, parts)
         words = [flat[x:y] for x, y in zip(ends, ends[1:])]
-        low = np.array([np.bitwise_and.reduce(p) for p in prints], dtype=np.uint64)
-        mask = ~(low ^ np.array([np.bitwise_or.reduce(p) for p in prints], dtype=np.uint64))
-        left, right = (np.flatnonzero(number // FANOUT == node) for node in (a, b))
-        shared = mask[left][:, None] & mask[right][None, :]
-        differ = (low[left][:, None] ^ low[right][None, :]) & shared
-        near = np.bitwise_count(differ) <= allowed[np.bitwise_count(shared)]
-        if a == b:
-            near = np.triu(near)
         inside: dict[int, np.ndarray] = {}
 
         def groups(leaf: int) -> np.ndarray:
@@ -285,14 +281,23 @@ def _block_links(reach: int, limit: int, limits: list[int], parts: int):
             return inside[leaf]
 
         found = []
-        for x, y in zip(*(side[at] for side, at in zip((left, right), np.nonzero(near)))):
-            close = np.bitwise_count(prints[x][:, None] ^ prints[y][None, :]) <= reach
-            i, j = np.nonzero(np.triu(close, 1) if x == y else close)
-            differ = _words_differ(words[x], words[y], i, j)
-            i, j, differ = i[differ <= limit], j[differ <= limit], differ[differ <= limit]
-            if len(i):
-                inner = None if x == y else lambda: (groups(x), groups(y))
-                found.append(_edges(differ, i, j, number[x] * FANOUT, number[y] * FANOUT, inner))
+        for a, b in met:
+            left, right = (
+                np.arange(*np.searchsorted(number, [node * FANOUT, (node + 1) * FANOUT])) for node in (a, b)
+            )
+            shared = mask[left][:, None] & mask[right][None, :]
+            differ = (low[left][:, None] ^ low[right][None, :]) & shared
+            near = np.bitwise_count(differ) <= allowed[np.bitwise_count(shared)]
+            if a == b:
+                near = np.triu(near)
+            for x, y in zip(*(side[at] for side, at in zip((left, right), np.nonzero(near)))):
+                close = np.bitwise_count(prints[x][:, None] ^ prints[y][None, :]) <= reach
+                i, j = np.nonzero(np.triu(close, 1) if x == y else close)
+                differ = _words_differ(words[x], words[y], i, j)
+                i, j, differ = i[differ <= limit], j[differ <= limit], differ[differ <= limit]
+                if len(i):
+                    inner = None if x == y else lambda: (groups(x), groups(y))
+                    found.append(_edges(differ, i, j, number[x] * FANOUT, number[y] * FANOUT, inner))
         first, second = (np.concatenate(side) for side in zip(*found)) if found else ([], [])
         return pa.table({"a": pa.array(first, pa.int64()), "b": pa.array(second, pa.int64())})
 
@@ -330,24 +335,46 @@ def near_links(codes: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     return _walk(codes, [max_bits] * 65, 1, True)
 
 
+#: Nodes of a tile at most, and tiles that an index has at least, if it has as many nodes.
+TILE_NODES, LEAST_TILES = 32, 8
+#: Leaves that a round of comparisons moves at most, as a multiple of all there are.
+ROUND_LEAVES = 4
+
+
 def _compared(
-    pairs: DataFrame, codes: DataFrame, reach: int, limit: int, limits: list[int], parts: int
+    pairs: DataFrame, codes: DataFrame, reach: int, limit: int, limits: list[int], parts: int, indexes: int
 ) -> DataFrame:
     """The links of ``_block_links`` for pairs of nodes above the leaves of ``codes`` (number, fp, words).
 
-    A leaf goes once to each pair of its node, not to each pair of leaves.
+    Nodes that follow each other are a tile. A leaf goes once to each pair of its tile that has a
+    pair of nodes, not to each pair of nodes. The pairs of tiles are compared in rounds, each of
+    which moves a bounded number of leaves: what it moved goes before the next, so that the disk does
+    not grow with the pairs.
     """
     leaves = stage(
         codes.groupBy(F.expr(f"number div {FANOUT}").alias("leaf"))
         .agg(F.sort_array(F.collect_list(F.struct("number", "fp", "words"))).alias("c"))
-        .select(F.expr(f"leaf div {FANOUT}").alias("node"), "leaf", "c.fp", F.flatten("c.words").alias("words")),
+        .select("leaf", "c.fp", F.flatten("c.words").alias("words")),
         "gray-leaves",
     )
-    ends = F.when(F.col("a") == F.col("b"), F.array("a")).otherwise(F.array("a", "b"))
-    met = pairs.select("a", "b", F.explode(ends).alias("node")).join(leaves, "node")
-    return met.select("a", "b", "leaf", "fp", "words").groupBy("a", "b").applyInArrow(
-        _block_links(reach, limit, limits, parts), "a bigint, b bigint"
-    )
+    n = leaves.count()
+    size = max(1, min(TILE_NODES, n // (FANOUT * indexes * LEAST_TILES)))
+    dealt = pairs.select("a", "b", F.expr(f"a div {size}").alias("left"), F.expr(f"b div {size}").alias("right"))
+    tiles = stage(dealt.select("left", "right").distinct(), "gray-tiles")
+    ends = tiles.agg(F.sum(F.when(F.col("left") == F.col("right"), 1).otherwise(2))).first()[0] or 0
+    rounds = max(1, math.ceil(ends * size * FANOUT / (ROUND_LEAVES * max(n, 1))))
+    both = F.when(F.col("left") == F.col("right"), F.array("left")).otherwise(F.array("left", "right"))
+    sides = tiles.select("left", "right", F.explode(both).alias("tile"))
+    placed = leaves.withColumn("tile", F.expr(f"leaf div {FANOUT * size}"))
+    links = []
+    for i in range(rounds):
+        now = F.pmod(F.xxhash64("left", "right"), F.lit(rounds)) == i
+        met = sides.where(now).join(placed, "tile").select("left", "right", "leaf", "fp", "words")
+        found = met.groupBy("left", "right").cogroup(dealt.where(now).groupBy("left", "right")).applyInArrow(
+            _block_links(reach, limit, limits, parts), "a bigint, b bigint"
+        )
+        links.append(stage(found, "similar-forest"))
+    return reduce(DataFrame.unionByName, links)
 
 
 def _between_entries(links: DataFrame, codes: DataFrame) -> DataFrame:
@@ -377,7 +404,7 @@ def similar_links(
     parts = len(codes.first()["words"]) if codes.head(1) else 1
     limits = [prune_bits] * 65 if isinstance(prune_bits, int) else prune_bits
     pairs = _walk(codes, limits, indexes, False)
-    links = stage(_compared(pairs, codes, reach, limit, limits, parts), "similar-forest")
+    links = _compared(pairs, codes, reach, limit, limits, parts, indexes)
     tried = stage(_between_entries(links, codes), "similar-tried")
     passed = stage(verify(tried), "similar-passed")
     members = _open_members(tried, passed)
@@ -695,28 +722,30 @@ def similar_documents(
         worker_state(("simhash",), dict)  # what an earlier stage left in the worker goes
         return set_prints(text, words, count)
 
+    spark = docs.sparkSession
     prints = _per_text(docs, ["set_key", *names], make)
     prints = stage(prints, "similar-prints")
-    entries = stage(
-        prints.groupBy("set_key", *names).agg(F.min(F.struct("text_key", "doc_id")).alias("place")),
-        "similar-distinct",
-    )
-    entries = stage(entries.withColumn("entry", F.monotonically_increasing_id()), "similar-entries")
-    parts = stage(
-        entries.select(
+
+    def numbered_entries() -> DataFrame:
+        found = prints.groupBy("set_key", *names).agg(F.min(F.struct("text_key", "doc_id")).alias("place"))
+        return stage(found, "similar-distinct").withColumn("entry", F.monotonically_increasing_id())
+
+    def ordered_codes() -> DataFrame:
+        parts = entries.select(
             "entry", F.array(*names[:PARTS]).alias("words"), F.posexplode(F.array(*names)).alias("part", "fp")
-        ),
-        "similar-parts",
-    )
-    codes = stage(in_gray_order(parts), "similar-codes")
-    check = (entries, docs, words, similarity)
-    linked = stage_last(
-        docs.sparkSession, "similar-linked",
-        lambda: similar_links(
+        )
+        return in_gray_order(stage(parts, "similar-parts"))
+
+    def links() -> DataFrame:
+        codes = stage_last(spark, "similar-codes", ordered_codes)
+        return similar_links(
             codes, bit_limit(64, similarity, DEVIATIONS), bit_limit(64 * PARTS, similarity, DEVIATIONS),
             limits, count, lambda links: verified_links(links, *check), lambda members: links_within(members, *check),
-        ),
-    )
+        )
+
+    entries = stage_last(spark, "similar-entries", numbered_entries)
+    check = (entries, docs, words, similarity)
+    linked = stage_last(spark, "similar-linked", links)
     groups = connected_components(linked, "similar")
     numbered = stage(
         entries.join(groups, entries["entry"] == groups["node"], "left").select(

@@ -43,6 +43,50 @@ def test_the_forest_of_two_nodes_connects_what_their_links_do():
     assert groups(got, codes) == groups(linked, codes)
 
 
+def test_leaves_move_once_for_each_pair_of_tiles_and_in_rounds(spark, monkeypatch):
+    """Nothing is pruned here, so that all nodes of an index meet."""
+    monkeypatch.setattr(simhash, "FANOUT", 4)
+    moved, tables, real, write = spark.sparkContext.accumulator(0), [], simhash._block_links, simhash.stage
+
+    def counted(*given):
+        links = real(*given)
+
+        def run(key, rows, pairs=None):
+            moved.add(rows.num_rows)
+            return links(key, rows) if pairs is None else links(key, rows, pairs)
+
+        return run
+
+    def staged(df, name):
+        before, out = moved.value, write(df, name)
+        tables.append((name, moved.value - before))
+        return out
+
+    monkeypatch.setattr(simhash, "_block_links", counted)
+    monkeypatch.setattr(simhash, "stage", staged)
+    rng, codes = random.Random(3), {}
+    for part in (0, 1):
+        fps = []
+        for _ in range(60):
+            base = rng.getrandbits(64)
+            fps += [base ^ sum(1 << b for b in rng.sample(range(64), rng.randint(0, 6))) for _ in range(10)]
+        fps = [x - (x >> 63 << 64) for x in fps]
+        frame = spark.createDataFrame([(i, x, part) for i, x in enumerate(fps)], "entry bigint, fp bigint, part int")
+        codes[part] = (fps, frame)
+    both = codes[0][1].unionByName(codes[1][1]).selectExpr("entry", "fp", "part", "array(fp) as words")
+    ordered = write(simhash.in_gray_order(write(both, "codes")), "codes")
+    links = simhash.similar_links(ordered, 9, 9, 64, 2, lambda found: found).select("a", "b").collect()
+    near = [
+        (i, j) for fps, _ in codes.values() for i in range(600) for j in range(i)
+        if bits([fps[i] % 2**64], [fps[j] % 2**64]) <= 9
+    ]
+    assert groups([tuple(r) for r in links], range(600)) == groups(near, range(600))
+    # 300 leaves, 38 nodes and 10 tiles in each index.
+    rounds = [n for name, n in tables if name == "similar-forest"]
+    assert len(rounds) > 1 and max(rounds) < 2 * simhash.ROUND_LEAVES * 300
+    assert 300 * 9 < sum(rounds) == moved.value < 300 * 11
+
+
 def test_labels_of_two_blocks_are_linked_by_exact_similarity():
     rng = random.Random(9)
     base = list(range(100))
